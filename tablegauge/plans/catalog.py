@@ -349,3 +349,206 @@ def q_impute_median(spark, sf):
 def q_impute_mode(spark, sf):
     df = q_missingness_all(spark, sf)
     return P.impute(df, P.column_modes(df, ["o_orderpriority"]))
+
+
+# ============================================================ splits and samples
+_SPLIT_SEED = 42
+_TEST_SIZE = 0.2
+
+
+def _hash_sql(seed, salt, key):
+    return f"md5(concat_ws('|', '{seed}', '{salt}', CAST({key} AS VARCHAR)))"
+
+
+def _split_sql(stratified: bool) -> str:
+    h = _hash_sql(_SPLIT_SEED, "split", "o_orderkey")
+    if not stratified:
+        return (f"SELECT o_orderkey, o_orderstatus, CASE WHEN row_number() OVER (ORDER BY {h}) <= "
+                f"(SELECT CAST(ceil({_TEST_SIZE} * count(*)) AS BIGINT) FROM orders) THEN 'test' "
+                f"ELSE 'train' END AS part FROM orders")
+    return f"""
+WITH c AS (SELECT o_orderstatus AS s, count(*) AS n FROM orders GROUP BY 1),
+t AS (SELECT CAST(ceil({_TEST_SIZE} * sum(n)) AS BIGINT) AS nt, CAST(sum(n) AS BIGINT) AS tot FROM c),
+a AS (SELECT s, (nt * n) // tot AS fl, (nt * n) % tot AS rem, nt FROM c, t),
+k AS (SELECT s, fl + CASE WHEN row_number() OVER (ORDER BY rem DESC, s) <= nt - sum(fl) OVER ()
+                     THEN 1 ELSE 0 END AS k FROM a),
+r AS (SELECT o_orderkey, o_orderstatus,
+             row_number() OVER (PARTITION BY o_orderstatus ORDER BY {h}) AS rn FROM orders)
+SELECT o_orderkey, o_orderstatus, CASE WHEN rn <= k THEN 'test' ELSE 'train' END AS part
+FROM r JOIN k ON r.o_orderstatus = k.s"""
+
+
+def _orders_split(spark, sf, stratified=True):
+    o = I.table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    return S.split_train_test(o, keys=["o_orderkey"], test_size=_TEST_SIZE, seed=_SPLIT_SEED,
+                              target="o_orderstatus", stratify=stratified)
+
+
+@query("split_stratified", _split_sql(True))
+def q_split_stratified(spark, sf):
+    return _orders_split(spark, sf, True)
+
+
+@query("split_plain", _split_sql(False))
+def q_split_plain(spark, sf):
+    return _orders_split(spark, sf, False)
+
+
+@query("split_distribution",
+       f"SELECT part, CAST(o_orderstatus AS VARCHAR) AS class_value, count(*) AS n "
+       f"FROM ({_split_sql(True)}) x GROUP BY 1, 2")
+def q_split_distribution(spark, sf):
+    return S.split_distribution(_orders_split(spark, sf, True), "o_orderstatus")
+
+
+_BATCH = 300   # fixed batch size of the monitoring batches
+
+
+def _sample_sql() -> str:
+    h = _hash_sql(_SPLIT_SEED, "sample", "o_orderkey")
+    return (f"SELECT {', '.join(I.ORDERS_COLS)} FROM (SELECT *, row_number() OVER (ORDER BY {h}) AS rn "
+            f"FROM ({I.orders_features_sql()}) o) x WHERE rn <= {_BATCH}")
+
+
+@query("sample_n", _sample_sql())
+def q_sample_n(spark, sf):
+    return S.sample_rows(I.orders_features(spark, sf), keys=["o_orderkey"], n=_BATCH, seed=_SPLIT_SEED)
+
+
+@query("stable_batch",
+       f"SELECT *, {_hash_sql(_SPLIT_SEED + 1, 'permute', 'o_orderkey')} AS shuffle_key FROM ({_sample_sql()}) s")
+def q_stable_batch(spark, sf):
+    ref = S.sample_rows(I.orders_features(spark, sf), keys=["o_orderkey"], n=_BATCH, seed=_SPLIT_SEED)
+    return S.permute(ref, keys=["o_orderkey"], seed=_SPLIT_SEED + 1)
+
+
+# ============================================================ encoding
+@query("onehot_encode",
+       "SELECT c_custkey, 'categorical__c_mktsegment_' || v AS feature_name, "
+       "CASE WHEN c_mktsegment = v THEN 1.0 ELSE 0.0 END AS value "
+       "FROM customer, (SELECT DISTINCT c_mktsegment AS v FROM customer) cats")
+def q_onehot_encode(spark, sf):
+    cust = I.table(spark, sf, "customer")
+    cats = P.fit_categories(cust, ["c_mktsegment"])
+    return _wide_to_long(P.onehot_wide(cust, cats, keep=["c_custkey"]), "c_custkey")
+
+
+def _wide_to_long(wide: DataFrame, key: str) -> DataFrame:
+    feats = [c for c in wide.columns if c != key]
+    return wide.select(key, F.inline(F.array(*[
+        F.struct(F.lit(c).alias("feature_name"), F.col(f"`{c}`").alias("value")) for c in feats])))
+
+
+@query("onehot_unseen",
+       "SELECT c_custkey, 'categorical__c_mktsegment_' || v AS feature_name, "
+       "CASE WHEN c_mktsegment = v THEN 1.0 ELSE 0.0 END AS value "
+       "FROM customer, (SELECT DISTINCT c_mktsegment AS v FROM customer WHERE c_mktsegment < 'M') cats")
+def q_onehot_unseen(spark, sf):
+    cust = I.table(spark, sf, "customer")
+    cats = P.fit_categories(cust.where(F.col("c_mktsegment") < "M"), ["c_mktsegment"])
+    return _wide_to_long(P.onehot_wide(cust, cats, keep=["c_custkey"]), "c_custkey")
+
+
+_FM_NUM = ["c_acctbal", "c_nationkey"]
+_FM_CAT = ["c_mktsegment"]
+
+
+@query("onehot_names",
+       "SELECT CAST(0 AS BIGINT) AS position, 'numeric__c_acctbal' AS feature_name UNION ALL "
+       "SELECT 1, 'numeric__c_nationkey' UNION ALL "
+       "SELECT 1 + row_number() OVER (ORDER BY v), 'categorical__c_mktsegment_' || v "
+       "FROM (SELECT DISTINCT c_mktsegment AS v FROM customer) c")
+def q_onehot_names(spark, sf):
+    cust = I.table(spark, sf, "customer")
+    spec = P.fit_features(cust, _FM_NUM, _FM_CAT, keep=["c_custkey"])
+    return spark.createDataFrame(list(enumerate(spec.names)), "position long, feature_name string")
+
+
+@query("feature_matrix",
+       "SELECT c_custkey, 'numeric__c_acctbal' AS feature_name, c_acctbal AS value FROM customer UNION ALL "
+       "SELECT c_custkey, 'numeric__c_nationkey', CAST(c_nationkey AS DOUBLE) FROM customer UNION ALL "
+       "SELECT c_custkey, 'categorical__c_mktsegment_' || v, CASE WHEN c_mktsegment = v THEN 1.0 ELSE 0.0 END "
+       "FROM customer, (SELECT DISTINCT c_mktsegment AS v FROM customer) cats")
+def q_feature_matrix(spark, sf):
+    from pyspark.ml.functions import vector_to_array
+    cust = I.table(spark, sf, "customer")
+    spec = P.fit_features(cust, _FM_NUM, _FM_CAT, keep=["c_custkey"])
+    names = F.array(*[F.lit(n) for n in spec.names])
+    arr = spec.transform(cust).select("c_custkey", vector_to_array("features").alias("v"))
+    return arr.select("c_custkey", F.inline(F.arrays_zip(names.alias("feature_name"), F.col("v").alias("value"))))
+
+
+# ============================================================ evaluation (M1–M7, G1)
+_PD = f"({I.lineitem_predictions_sql('discount')})"
+_PE = f"({I.lineitem_predictions_sql('price')})"
+
+
+def _counts_sql(src):
+    return (f"SELECT count(*) AS n, "
+            f"count(*) FILTER (WHERE y_true = 'Yes' AND y_pred = 'Yes') AS tp, "
+            f"count(*) FILTER (WHERE y_true = 'No' AND y_pred = 'Yes') AS fp, "
+            f"count(*) FILTER (WHERE y_true = 'Yes' AND y_pred = 'No') AS fn, "
+            f"count(*) FILTER (WHERE y_true = 'No' AND y_pred = 'No') AS tn FROM {src} p")
+
+
+def _auc_sql(src):
+    return (f"SELECT CAST(sum(2 * pos * nb + pos * neg) AS DOUBLE) / (2.0 * sum(pos) * sum(neg)) AS roc_auc "
+            f"FROM (SELECT s, pos, neg, coalesce(sum(neg) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING "
+            f"AND 1 PRECEDING), 0) AS nb FROM (SELECT p_pos AS s, "
+            f"CAST(sum(CASE WHEN y_true = 'Yes' THEN 1 ELSE 0 END) AS BIGINT) AS pos, "
+            f"CAST(sum(CASE WHEN y_true <> 'Yes' THEN 1 ELSE 0 END) AS BIGINT) AS neg FROM {src} p GROUP BY 1) c) w")
+
+
+def _metrics_sql(src):
+    return (f"SELECT (tp + tn) / n AS accuracy, "
+            f"(coalesce(tp / nullif(tp + fn, 0), 0) + coalesce(tn / nullif(tn + fp, 0), 0)) / "
+            f"nullif((CASE WHEN tp + fn > 0 THEN 1 ELSE 0 END) + (CASE WHEN tn + fp > 0 THEN 1 ELSE 0 END), 0) "
+            f"AS balanced_accuracy, "
+            f"coalesce(tp / nullif(tp + fp, 0), 0) AS precision_pos, "
+            f"coalesce(tp / nullif(tp + fn, 0), 0) AS recall_pos, "
+            f"coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0) AS f1_pos, "
+            f"({_auc_sql(src)}) AS roc_auc FROM ({_counts_sql(src)}) c")
+
+
+@query("metrics_all", _metrics_sql(_PD))
+def q_metrics_all(spark, sf):
+    from tablegauge.operators import evaluate as E
+    return E.classification_metrics(I.lineitem_predictions(spark, sf, "discount"))
+
+
+@query("roc_auc", _auc_sql(_PE))
+def q_roc_auc(spark, sf):
+    from tablegauge.operators import evaluate as E
+    return E.roc_auc(I.lineitem_predictions(spark, sf, "price")).select("roc_auc")
+
+
+@query("confusion_matrix",
+       "SELECT a AS actual, b AS predicted, count(p.y_true) AS n FROM (VALUES ('No'), ('Yes')) x(a) "
+       "CROSS JOIN (VALUES ('No'), ('Yes')) y(b) "
+       f"LEFT JOIN {_PD} p ON p.y_true = a AND p.y_pred = b GROUP BY 1, 2")
+def q_confusion_matrix(spark, sf):
+    from tablegauge.operators import evaluate as E
+    return E.confusion_matrix(I.lineitem_predictions(spark, sf, "discount"))
+
+
+_GATE = {"f1_pos": 0.30, "roc_auc": 0.50, "accuracy": 0.95}
+
+
+@query("quality_gate", _union([
+    f"SELECT '{m}' AS metric, {m} AS value, {t} AS minimum_required, coalesce({m} >= {t}, false) AS passed, "
+    f"{'true' if m == 'f1_pos' else 'false'} AS is_primary FROM ({_metrics_sql(_PD)}) m"
+    for m, t in _GATE.items()]))
+def q_quality_gate(spark, sf):
+    from tablegauge.operators import evaluate as E
+    mets = E.classification_metrics(I.lineitem_predictions(spark, sf, "discount"))
+    return E.quality_gate(mets, _GATE, primary="f1_pos")
+
+
+@query("gate_summary",
+       f"SELECT bool_and(passed) AS passed, 'f1_pos' AS primary_metric, "
+       f"max(value) FILTER (WHERE is_primary) AS primary_value, "
+       f"string_agg(metric, ',' ORDER BY metric) FILTER (WHERE NOT passed) AS failed_metrics FROM "
+       f"({_union([f'''SELECT '{m}' AS metric, {m} AS value, coalesce({m} >= {t}, false) AS passed, {'true' if m == 'f1_pos' else 'false'} AS is_primary FROM ({_metrics_sql(_PD)}) m''' for m, t in _GATE.items()])}) g")
+def q_gate_summary(spark, sf):
+    from tablegauge.operators import evaluate as E
+    return E.gate_summary(q_quality_gate(spark, sf))
