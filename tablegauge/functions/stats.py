@@ -42,7 +42,7 @@ def ks_pvalue_sql(d: str, n: str, m: str) -> str:
     ne = f"(({n})*({m}))::DOUBLE/(({n})+({m}))"
     lam = f"((sqrt({ne}) + 0.12 + 0.11/sqrt({ne})) * ({d}))"
     series = (f"list_sum(list_transform(range(1, {KS_TERMS + 1}), "
-              f"j -> pow(-1.0, j - 1) * exp(-2.0 * j * j * {lam} * {lam})))")
+              f"lambda j: pow(-1.0, j - 1) * exp(-2.0 * j * j * {lam} * {lam})))")
     return (f"CASE WHEN {lam} < {KS_SMALL_LAMBDA} THEN 1.0 "
             f"ELSE least(1.0, greatest(0.0, 2.0 * {series})) END")
 

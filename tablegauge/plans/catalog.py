@@ -552,3 +552,175 @@ def q_quality_gate(spark, sf):
 def q_gate_summary(spark, sf):
     from tablegauge.operators import evaluate as E
     return E.gate_summary(q_quality_gate(spark, sf))
+
+
+# ============================================================ drift
+from tablegauge.functions.stats import ks_pvalue_sql  # noqa: E402
+from tablegauge.operators import drift as D  # noqa: E402
+
+_ORD_TARGET = "o_orderstatus"
+# Simulated drift on orders: price scaled and clipped, customer key shifted
+# by a half (exercises half-to-even rounding of integer columns), priority
+# set to one value.
+_ORD_DRIFT = {
+    "o_totalprice": {"kind": "numeric", "transform": "scale", "magnitude": 0.75,
+                     "clip_min": 1000, "clip_max": 300000},
+    "o_custkey": {"kind": "numeric", "transform": "add", "magnitude": 50.5, "clip_min": 0, "clip_max": 1499},
+    "o_orderpriority": {"kind": "categorical", "transform": "set_constant", "value": "1-URGENT"},
+}
+_ORD_FEATURES = ["o_custkey", "o_totalprice", "o_orderpriority"]
+
+
+def _orders_batches(spark, sf):
+    return D.monitoring_batches(I.orders_features(spark, sf), keys=["o_orderkey"], size=_BATCH,
+                                seed=_SPLIT_SEED, settings=_ORD_DRIFT, target=_ORD_TARGET)
+
+
+def _drifted_sql() -> str:
+    return (f"SELECT o_orderkey, CAST(round_even(CASE WHEN o_custkey IS NULL THEN NULL ELSE "
+            f"least(1499.0, greatest(0.0, CAST(o_custkey AS DOUBLE) + 50.5)) END, 0) AS BIGINT) AS o_custkey, "
+            f"o_orderstatus, CASE WHEN o_totalprice IS NULL THEN NULL ELSE "
+            f"least(300000.0, greatest(1000.0, o_totalprice * 0.75)) END AS o_totalprice, "
+            f"'1-URGENT' AS o_orderpriority FROM ({_sample_sql()}) s")
+
+
+@query("drift_batches", _union([
+    f"SELECT *, 'reference' AS batch FROM ({_sample_sql()}) r",
+    f"SELECT *, 'stable' AS batch FROM ({_sample_sql()}) s",
+    f"SELECT *, 'drifted' AS batch FROM ({_drifted_sql()}) d"]))
+def q_drift_batches(spark, sf):
+    return _orders_batches(spark, sf).union()
+
+
+@query("drift_transform", _drifted_sql())
+def q_drift_transform(spark, sf):
+    return _orders_batches(spark, sf).drifted
+
+
+@query("drift_target_unchanged",
+       f"SELECT count(*) AS mismatched_rows FROM ("
+       f"(SELECT o_orderkey, o_orderstatus FROM ({_sample_sql()}) a EXCEPT ALL "
+       f"SELECT o_orderkey, o_orderstatus FROM ({_drifted_sql()}) b) UNION ALL "
+       f"(SELECT o_orderkey, o_orderstatus FROM ({_drifted_sql()}) b EXCEPT ALL "
+       f"SELECT o_orderkey, o_orderstatus FROM ({_sample_sql()}) a)) x")
+def q_drift_target_unchanged(spark, sf):
+    b = _orders_batches(spark, sf)
+    return D.target_mismatches(b.stable, b.drifted, ["o_orderkey"], _ORD_TARGET)
+
+
+_SPLIT_TS = "2024-01-16 00:00:00"
+_EV_NUM = ["value", "user_id"]
+
+
+def _event_halves(spark, sf):
+    ev = I.events_holes(spark, sf)
+    cut = F.expr(f"TIMESTAMP_NTZ '{_SPLIT_TS}'")
+    return ev.where(F.col("ts") < cut), ev.where(F.col("ts") >= cut)
+
+
+def _obs_sql(features, as_type):
+    side = f"CASE WHEN ts < TIMESTAMP '{_SPLIT_TS}' THEN 0 ELSE 1 END"
+    return _union([f"SELECT '{c}' AS feature, CAST({c} AS {as_type}) AS v, {side} AS side FROM {EH} e "
+                   f"WHERE {c} IS NOT NULL" for c in features])
+
+
+def _ks_sql() -> str:
+    return f"""
+WITH c AS (SELECT feature, v, CAST(sum(CASE WHEN side = 0 THEN 1 ELSE 0 END) AS BIGINT) AS nr,
+                  CAST(sum(side) AS BIGINT) AS nc FROM ({_obs_sql(_EV_NUM, 'DOUBLE')}) o GROUP BY 1, 2),
+t AS (SELECT feature, CAST(sum(nr) AS BIGINT) AS n_ref, CAST(sum(nc) AS BIGINT) AS n_cur FROM c GROUP BY 1),
+w AS (SELECT c.feature, CAST(sum(nr) OVER (PARTITION BY c.feature ORDER BY v) AS BIGINT) AS cr,
+             CAST(sum(nc) OVER (PARTITION BY c.feature ORDER BY v) AS BIGINT) AS cc, n_ref, n_cur
+      FROM c JOIN t ON c.feature = t.feature),
+d AS (SELECT feature, CAST(max(abs(cr * n_cur - cc * n_ref)) AS DOUBLE) / CAST(n_ref * n_cur AS DOUBLE) AS statistic,
+             n_ref, n_cur FROM w GROUP BY feature, n_ref, n_cur)
+SELECT feature, statistic, round({ks_pvalue_sql('statistic', 'n_ref', 'n_cur')}, 9) AS p_value, n_ref, n_cur
+FROM d"""
+
+
+@query("drift_ks", _ks_sql())
+def q_drift_ks(spark, sf):
+    ref, cur = _event_halves(spark, sf)
+    return D.ks_scores(ref, cur, _EV_NUM).withColumn("p_value", F.round("p_value", 9))
+
+
+def _chi2_sql() -> str:
+    e_r = "(n_ref * (nr + nc) / (n_ref + n_cur))"
+    e_c = "(n_cur * (nr + nc) / (n_ref + n_cur))"
+    return f"""
+WITH c AS (SELECT feature, v, CAST(sum(CASE WHEN side = 0 THEN 1 ELSE 0 END) AS BIGINT) AS nr,
+                  CAST(sum(side) AS BIGINT) AS nc FROM ({_obs_sql(['event_type'], 'VARCHAR')}) o GROUP BY 1, 2),
+t AS (SELECT feature, CAST(sum(nr) AS BIGINT) AS n_ref, CAST(sum(nc) AS BIGINT) AS n_cur, count(*) AS categories
+      FROM c GROUP BY 1)
+SELECT c.feature, round(sum(power(nr - {e_r}, 2) / {e_r} + power(nc - {e_c}, 2) / {e_c}), 9) AS statistic,
+       CAST(categories - 1 AS BIGINT) AS dof, categories, n_ref, n_cur
+FROM c JOIN t ON c.feature = t.feature GROUP BY c.feature, categories, n_ref, n_cur"""
+
+
+@query("drift_chi2", _chi2_sql())
+def q_drift_chi2(spark, sf):
+    ref, cur = _event_halves(spark, sf)
+    return D.chi2_statistics(ref, cur, ["event_type"]).withColumn("statistic", F.round("statistic", 9))
+
+
+_FEAT_THR = 0.5
+_SHARE_THR = 0.15
+
+
+def _features_sql() -> str:
+    pos = " UNION ALL ".join(f"SELECT '{c}' AS feature, CAST({i} AS BIGINT) AS position"
+                             for i, c in enumerate(_EV_NUM))
+    return (f"SELECT f.feature, f.position, coalesce(k.p_value, 1.0) AS score, "
+            f"coalesce(k.p_value, 1.0) < {_FEAT_THR} AS drifted FROM ({pos}) f "
+            f"LEFT JOIN ({_ks_sql()}) k ON f.feature = k.feature")
+
+
+def _event_features(spark, sf):
+    ref, cur = _event_halves(spark, sf)
+    scores = D.ks_scores(ref, cur, _EV_NUM).select("feature", F.round("p_value", 9).alias("score"))
+    return D.drifted_features(scores, _EV_NUM, _FEAT_THR)
+
+
+@query("drift_features", _features_sql())
+def q_drift_features(spark, sf):
+    return _event_features(spark, sf)
+
+
+def _gate_sql() -> str:
+    return (f"SELECT count(*) AS evaluated_feature_count, CAST(count(*) FILTER (WHERE drifted) AS BIGINT) "
+            f"AS drifted_feature_count, coalesce(count(*) FILTER (WHERE drifted) / count(*), 0.0) "
+            f"AS drifted_feature_share, coalesce(count(*) FILTER (WHERE drifted) / count(*), 0.0) >= {_SHARE_THR} "
+            f"AS dataset_drift, CASE WHEN coalesce(count(*) FILTER (WHERE drifted) / count(*), 0.0) >= "
+            f"{_SHARE_THR} THEN 'failed' ELSE 'passed' END AS gate_status FROM ({_features_sql()}) f")
+
+
+@query("drift_gate", _gate_sql())
+def q_drift_gate(spark, sf):
+    return D.drift_gate(_event_features(spark, sf), _SHARE_THR)
+
+
+@query("drift_summary",
+       f"SELECT g.*, (SELECT coalesce(string_agg(feature, ',' ORDER BY position) FILTER (WHERE drifted), '') "
+       f"FROM ({_features_sql()}) f) AS drifted_feature_names, {_SHARE_THR} AS configured_threshold, "
+       f"{_FEAT_THR} AS feature_threshold FROM ({_gate_sql()}) g")
+def q_drift_summary(spark, sf):
+    return D.drift_summary(_event_features(spark, sf), feature_threshold=_FEAT_THR, share_threshold=_SHARE_THR)
+
+
+def _orders_compare(spark, sf, current: str):
+    b = _orders_batches(spark, sf)
+    cur = D.choose_batch(b, current)
+    return D.compare_batches(b.reference, cur, features=_ORD_FEATURES, feature_threshold=_FEAT_THR,
+                             share_threshold=_SHARE_THR, column_order=I.ORDERS_COLS)
+
+
+@query("drift_orders_drifted")
+def q_drift_orders_drifted(spark, sf):
+    """Reference vs drifted orders batch, KS and chi-square: rows only."""
+    return _orders_compare(spark, sf, "drifted")[1]
+
+
+@query("drift_orders_stable")
+def q_drift_orders_stable(spark, sf):
+    """Reference vs its own permutation: nothing drifts."""
+    return _orders_compare(spark, sf, "stable")[1]
