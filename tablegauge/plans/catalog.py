@@ -724,3 +724,229 @@ def q_drift_orders_drifted(spark, sf):
 def q_drift_orders_stable(spark, sf):
     """Reference vs its own permutation: nothing drifts."""
     return _orders_compare(spark, sf, "stable")[1]
+
+
+# ============================================================ run history and ranking
+from tablegauge.operators import rank as RK  # noqa: E402
+from tablegauge.sources import runs_store as RS  # noqa: E402
+
+
+def _runs_from_part(spark, sf, fallback: bool = False) -> DataFrame:
+    """A run history derived from ``part``: one run per part, name = brand,
+    algorithm = type, gate status from the size (NULL for some), metrics as
+    text with some non-numeric values."""
+    p = I.table(spark, sf, "part")
+    status = (F.when(F.col("p_size") >= 10, "failed") if fallback else
+              F.when(F.col("p_size") >= 30, "passed").when(F.col("p_size") >= 10, "failed"))
+    return p.select(
+        F.concat(F.lit("run-"), F.lpad(F.col("p_partkey").cast("string"), 8, "0")).alias("run_id"),
+        F.col("p_brand").alias("run_name"),
+        F.col("p_type").alias("model_algorithm"),
+        status.alias("quality_gate_status"),
+        F.when(F.col("p_name").like("%bolt%"), F.lit("n/a")).otherwise(F.col("p_size").cast("string"))
+        .alias("f1_pos"),
+        (F.col("p_retailprice") / 2000.0).alias("balanced_accuracy"),
+        F.when(F.col("p_type") == "SMALL", F.lit(None)).otherwise(F.col("p_retailprice") / 3000.0)
+        .alias("roc_auc"),
+        (F.col("p_partkey").cast("double") / 10000.0).alias("precision_pos"),
+        F.lit(0.5).alias("recall_pos"),
+        F.lit(0.75).alias("accuracy"),
+        F.create_map(F.lit("model.class_weight"), F.when(F.col("p_size") % 2 == 0, F.lit("balanced")),
+                     F.lit("model.max_iter"), F.lit("1000"),
+                     F.lit("split.test_size"), F.lit("0.2"),
+                     F.lit("split.stratify"), F.lit("true")).alias("params"))
+
+
+def _runs_sql(fallback: bool = False) -> str:
+    status = ("CASE WHEN p_size >= 10 THEN 'failed' END" if fallback else
+              "CASE WHEN p_size >= 30 THEN 'passed' WHEN p_size >= 10 THEN 'failed' END")
+    return (f"SELECT 'run-' || lpad(CAST(p_partkey AS VARCHAR), 8, '0') AS run_id, p_brand AS run_name, "
+            f"p_type AS model_algorithm, {status} AS quality_gate_status, "
+            f"CASE WHEN p_name LIKE '%bolt%' THEN NULL ELSE CAST(p_size AS DOUBLE) END AS metric_f1, "
+            f"p_retailprice / 2000.0 AS metric_balanced_accuracy, "
+            f"CASE WHEN p_type = 'SMALL' THEN NULL ELSE p_retailprice / 3000.0 END AS metric_roc_auc, "
+            f"CAST(p_partkey AS DOUBLE) / 10000.0 AS metric_precision, 0.5 AS metric_recall, "
+            f"0.75 AS metric_accuracy, "
+            f"CASE WHEN p_size % 2 = 0 THEN 'balanced' END AS param_model_class_weight, "
+            f"'1000' AS param_model_max_iter, '0.2' AS param_split_test_size, 'true' AS param_split_stratify, "
+            f"coalesce({status}, 'failed') = 'passed' AS eligible FROM part")
+
+
+_RANK_KEYS = ("metric_f1 DESC NULLS LAST, metric_balanced_accuracy DESC NULLS LAST, "
+              "metric_roc_auc DESC NULLS LAST, metric_precision DESC NULLS LAST, metric_recall DESC NULLS LAST, "
+              "metric_accuracy DESC NULLS LAST, coalesce(run_name, '') ASC, coalesce(run_id, '') ASC")
+_RANK_COLS = ("run_id, run_name, model_algorithm, quality_gate_status, metric_f1, metric_balanced_accuracy, "
+              "metric_roc_auc, metric_precision, metric_recall, metric_accuracy, eligible")
+
+
+def _ranked_sql(fallback: bool = False) -> str:
+    r = f"({_runs_sql(fallback)})"
+    return (f"SELECT CAST(row_number() OVER (ORDER BY {_RANK_KEYS}) AS BIGINT) AS rank, {_RANK_COLS} "
+            f"FROM {r} r WHERE eligible OR NOT (SELECT bool_or(eligible) FROM {r} x)")
+
+
+def _ranked(spark, sf, fallback=False):
+    r = RK.rank_runs(_runs_from_part(spark, sf, fallback))
+    return r.select("rank", *[c.strip() for c in _RANK_COLS.split(",")])
+
+
+@query("rank_runs", _ranked_sql(False))
+def q_rank_runs(spark, sf):
+    return _ranked(spark, sf, False)
+
+
+@query("rank_runs_fallback", _ranked_sql(True))
+def q_rank_runs_fallback(spark, sf):
+    return _ranked(spark, sf, True)
+
+
+@query("best_run", f"SELECT * EXCLUDE (rank) FROM ({_ranked_sql(False)}) x WHERE rank = 1")
+def q_best_run(spark, sf):
+    b = RK.best_run(_runs_from_part(spark, sf))
+    return b.select(*[c.strip() for c in _RANK_COLS.split(",")])
+
+
+_CMP_SQL_COLS = ("rank, run_id, run_name, model_algorithm, quality_gate_status, metric_f1 AS f1_pos, "
+                 "metric_balanced_accuracy AS balanced_accuracy, metric_roc_auc AS roc_auc, "
+                 "metric_precision AS precision_pos, metric_recall AS recall_pos, metric_accuracy AS accuracy, "
+                 "eligible, param_model_class_weight, param_model_max_iter, param_split_test_size, "
+                 "param_split_stratify")
+
+
+@query("compare_runs",
+       f"SELECT {_CMP_SQL_COLS} FROM (SELECT CAST(row_number() OVER (ORDER BY {_RANK_KEYS}) AS BIGINT) AS rank, * "
+       f"FROM ({_runs_sql()}) r WHERE eligible OR NOT (SELECT bool_or(eligible) FROM ({_runs_sql()}) x)) y")
+def q_compare_runs(spark, sf):
+    return RK.flatten_parameters(RK.comparison_rows(RK.rank_runs(_runs_from_part(spark, sf))))
+
+
+@query("runs_append_scan",
+       "SELECT 'run-' || lpad(CAST(p_partkey AS VARCHAR), 8, '0') AS run_id, p_brand AS run_name, "
+       "CASE WHEN p_size >= 30 THEN 'passed' ELSE 'failed' END AS quality_gate_status, "
+       "p_type AS model_algorithm, CAST(p_size AS DOUBLE) AS f1_pos, p_retailprice / 2000.0 AS roc_auc "
+       "FROM part WHERE p_size >= 25")
+def q_runs_append_scan(spark, sf):
+    """Append runs of two experiments to a partitioned table in the shared
+    scratch folder, then scan one experiment back (partition pruning)."""
+    from tablegauge.session import scratch_path
+    p = I.table(spark, sf, "part")
+    runs = p.select(
+        F.concat(F.lit("run-"), F.lpad(F.col("p_partkey").cast("string"), 8, "0")).alias("run_id"),
+        F.col("p_brand").alias("run_name"),
+        F.to_timestamp(F.lit("2024-01-01 00:00:00")).alias("start_time"),
+        F.lit("FINISHED").alias("status"),
+        F.create_map(F.lit("f1_pos"), F.col("p_size").cast("double"),
+                     F.lit("roc_auc"), F.col("p_retailprice") / 2000.0).alias("metrics"),
+        F.create_map(F.lit("model.algorithm"), F.col("p_type")).alias("params"),
+        F.create_map(F.lit("quality_gate.status"),
+                     F.when(F.col("p_size") >= 30, "passed").otherwise("failed")).alias("tags"),
+        F.when(F.col("p_size") >= 25, "exp-b").otherwise("exp-a").alias("experiment"))
+    path = scratch_path(spark, "runs")
+    RS.append_runs(runs.where(F.col("experiment") == "exp-a"), path)
+    RS.append_runs(runs.where(F.col("experiment") == "exp-b"), path)
+    scanned = RS.load_runs(spark, path, "exp-b")
+    return scanned.select("run_id", "run_name", "quality_gate_status", "model_algorithm", "f1_pos", "roc_auc")
+
+
+# ============================================================ file round trips
+@query("csv_scan", "SELECT n_nationkey, n_name, n_regionkey FROM nation")
+def q_csv_scan(spark, sf):
+    from tablegauge.session import scratch_path
+    from tablegauge.sources.files import read_table, write_table
+    path = write_table(I.table(spark, sf, "nation"), scratch_path(spark, "nation.csv"), fmt="csv")
+    return read_table(spark, path, fmt="csv")
+
+
+@query("batch_roundtrip", ORACLE["drift_batches"])
+def q_batch_roundtrip(spark, sf):
+    from tablegauge.session import scratch_path
+    from tablegauge.sources.files import read_table, write_table
+    b = _orders_batches(spark, sf)
+    root = scratch_path(spark, "batches")
+    out = None
+    for name, frame in (("reference", b.reference), ("stable", b.stable), ("drifted", b.drifted)):
+        path = write_table(frame, f"{root}/{name}.csv", fmt="csv")
+        back = read_table(spark, path, fmt="csv", schema=frame.schema).withColumn("batch", F.lit(name))
+        out = back if out is None else out.unionByName(back)
+    return out
+
+
+@query("json_roundtrip", ORACLE["audit_constraints"])
+def q_json_roundtrip(spark, sf):
+    from tablegauge.session import scratch_path
+    from tablegauge.sources.files import write_report
+    rep = A.audit_constraints(I.events_holes(spark, sf), "event_type")
+    path = write_report(rep, scratch_path(spark, "constraints.json"))
+    return spark.read.json(path).select("constraint_name", "required", "actual", "passed")
+
+
+# ============================================================ training
+from tablegauge.operators import train as TR  # noqa: E402
+from tablegauge.plans import training as TP  # noqa: E402
+
+
+def _labelled_docs(spark, sf) -> DataFrame:
+    """labels joined with documents: target ``quality`` (0/1), features
+    ``n_chars`` (numeric), ``lang`` and ``source`` (categorical)."""
+    lab = I.table(spark, sf, "labels").select("doc_id", F.col("quality").cast("string").alias("quality"))
+    docs = I.table(spark, sf, "documents").select("doc_id", "n_chars", "lang", "source")
+    return lab.join(docs, "doc_id")
+
+
+@query("class_weights",
+       "SELECT CAST(quality AS VARCHAR) AS class_value, count(*) AS n, "
+       "sum(count(*)) OVER () / (count(*) OVER () * count(*)) AS weight FROM labels GROUP BY 1")
+def q_class_weights(spark, sf):
+    lab = I.table(spark, sf, "labels").select(F.col("quality").cast("double").alias("label"))
+    w = TR.class_weight_map(lab, "label", "balanced")
+    counts = lab.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+    m = F.create_map(*[x for k, v in w.items() for x in (F.lit(k), F.lit(v))])
+    return counts.select(F.col("label").cast("int").cast("string").alias("class_value"), "n",
+                         m[F.col("label")].alias("weight"))
+
+
+def _train_cfg(spec: TR.ModelSpec, name: str) -> TP.TrainingConfig:
+    return TP.TrainingConfig(target="quality", keys=["doc_id"], positive="1", negative="0", model=spec,
+                             test_size=0.2, split_seed=42, stratify=True, seed=42, missing_enabled=True,
+                             missing_fraction=0.05, missing_seed=42, missing_strategy="all_eligible",
+                             thresholds={"f1_pos": 0.0, "roc_auc": 0.0}, primary="f1_pos",
+                             experiment="docs-quality", run_name=name)
+
+
+_SPECS = {
+    "01_logreg_balanced": TR.ModelSpec("logistic_regression", "balanced", 200, {"C": 1.0}),
+    "02_logreg_c05": TR.ModelSpec("logistic_regression", "balanced", 200, {"C": 0.5}),
+    "03_logreg_unweighted": TR.ModelSpec("logistic_regression", None, 200, {"C": 1.5}),
+    "04_forest_balanced": TR.ModelSpec("random_forest", "balanced", None,
+                                       {"n_estimators": 50, "max_depth": 8, "min_samples_leaf": 2}),
+    "05_gbt": TR.ModelSpec("gradient_boosting", None, None,
+                           {"n_estimators": 30, "learning_rate": 0.05, "subsample": 0.9}),
+}
+
+
+def _train(spark, sf, name):
+    res = TP.train_run(_labelled_docs(spark, sf), _train_cfg(_SPECS[name], name), enforce=False)
+    return res.predictions
+
+
+@query("train_logreg")
+def q_train_logreg(spark, sf):
+    return _train(spark, sf, "01_logreg_balanced")
+
+
+@query("train_forest")
+def q_train_forest(spark, sf):
+    return _train(spark, sf, "04_forest_balanced")
+
+
+@query("train_gbt")
+def q_train_gbt(spark, sf):
+    return _train(spark, sf, "05_gbt")
+
+
+@query("experiment_sweep")
+def q_experiment_sweep(spark, sf):
+    cfgs = {n: _train_cfg(s, n) for n, s in _SPECS.items()}
+    cfgs["06_bad_subsample"] = _train_cfg(TR.ModelSpec("random_forest", "balanced_subsample", None, {}),
+                                          "06_bad_subsample")
+    return TP.sweep(_labelled_docs(spark, sf), cfgs)

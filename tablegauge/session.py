@@ -74,3 +74,18 @@ def default_parallelism(spark: SparkSession) -> int:
         return int(spark.conf.get("spark.sql.shuffle.partitions"))
     except Exception:  # pragma: no cover
         return os.cpu_count() or 8
+
+
+def path_exists(path: str) -> bool:
+    """Existence test for local paths (plain or ``file:``); paths on other
+    file systems are assumed to exist and left for Spark to resolve."""
+    import re
+    p = str(path)
+    if p.startswith("file:"):
+        p = re.sub(r"^file:(//)?", "", p)
+        if not p.startswith("/"):
+            p = "/" + p
+        return os.path.exists(p)
+    if re.match(r"^[A-Za-z][\w+.-]*://", p):
+        return True
+    return os.path.exists(p)

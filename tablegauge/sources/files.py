@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from tablegauge.errors import ValidationError
 from tablegauge.functions.columns import nan_to_null
+from tablegauge.session import path_exists
 
 # The default missing-value markers of pandas' CSV reader
 # (public pandas behaviour), so CSV files read the same way they would there.
@@ -69,7 +70,7 @@ def read_table(spark: SparkSession, source, *, fmt: str | None = None,
         raise ValidationError("no table given")
     path = os.fspath(source)
     kind = _format_of(path, fmt)
-    if "://" not in path and not os.path.exists(path):
+    if not path_exists(path):
         raise ValidationError(f"table not found: {path}")
     reader = spark.read
     if schema is not None:
