@@ -21,8 +21,10 @@ from pyspark.sql import functions as F
 from tablegauge.errors import PreparationError
 from tablegauge.functions.columns import is_numeric, row_hash
 from tablegauge.functions.hashrank import hash_thresholds, threshold_column
+from tablegauge.functions.quantile import exact_medians
 
 MAX_MISSING_FRACTION = 0.2
+MAX_CATEGORIES = 100_000   # one-hot width guard: the category list is collected
 
 
 # ---------------------------------------------------------------- P1–P3
@@ -146,11 +148,9 @@ def inject_missing(df: DataFrame, *, keys: Sequence[str], fraction: float, seed:
 # ---------------------------------------------------------------- F4/F5
 def column_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:
     """Exact median per numeric column (mean of the middle pair for an even
-    count), NULLs ignored; one aggregate."""
-    if not columns:
-        return {}
-    row = df.agg(*[F.median(F.col(f"`{c}`")).alias(f"m{i}") for i, c in enumerate(columns)]).first()
-    return {c: row[f"m{i}"] for i, c in enumerate(columns)}
+    count), NULLs ignored; bracketed by approximate quantiles so no task
+    holds a whole column (see :mod:`tablegauge.functions.quantile`)."""
+    return exact_medians(df, list(columns))
 
 
 def column_modes(df: DataFrame, columns: Sequence[str]) -> dict[str, object]:
@@ -212,6 +212,10 @@ def fit_categories(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]
     pairs = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("c"), F.col(f"`{c}`").cast("string").alias("v")) for c in columns
     ])).alias("x")).select("x.c", "x.v").where(F.col("v").isNotNull()).distinct()
+    wide = pairs.groupBy("c").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") > MAX_CATEGORIES).collect()
+    if wide:
+        raise PreparationError(f"too many categories to one-hot encode (> {MAX_CATEGORIES}): "
+                               + ", ".join(f"{r['c']}={r['k']}" for r in wide))
     cats: dict[str, list[str]] = {c: [] for c in columns}
     # the category list is the encoder's state: its size is the vector width
     for r in pairs.collect():
@@ -286,6 +290,7 @@ def fit_features(df: DataFrame, numeric: Sequence[str], categorical: Sequence[st
     numeric, categorical = list(numeric), list(categorical)
     medians = column_medians(df, numeric)
     modes = column_modes(df, categorical)
+    fit_categories(df, categorical)          # width guard before the indexer collects labels
     imp = SQLTransformer(statement=_impute_sql(numeric, categorical, medians, modes, keep))
     idx_cols = [f"__idx_{i}" for i in range(len(categorical))]
     vec_cols = [f"__ohe_{i}" for i in range(len(categorical))]

@@ -950,3 +950,22 @@ def q_experiment_sweep(spark, sf):
     cfgs["06_bad_subsample"] = _train_cfg(TR.ModelSpec("random_forest", "balanced_subsample", None, {}),
                                           "06_bad_subsample")
     return TP.sweep(_labelled_docs(spark, sf), cfgs)
+
+
+# ============================================================ streaming drift monitor
+@query("drift_stream")
+def q_drift_stream(spark, sf):
+    """The stable and the drifted orders batch land as two files in a
+    folder; the streaming monitor compares each with the reference batch
+    (one summary row per file).  Rows only."""
+    from tablegauge.session import scratch_path
+    from tablegauge.streaming import run_drift_monitor_once
+    b = _orders_batches(spark, sf)
+    folder = scratch_path(spark, "incoming")
+    b.stable.coalesce(1).write.mode("append").parquet(folder)     # a batch is one file
+    b.drifted.coalesce(1).write.mode("append").parquet(folder)
+    out = run_drift_monitor_once(spark, b.reference, folder, schema=b.reference.schema,
+                                 features=_ORD_FEATURES, feature_threshold=_FEAT_THR,
+                                 share_threshold=_SHARE_THR)
+    return out.select("batch_id", "current_rows", "evaluated_feature_count", "drifted_feature_count",
+                      "gate_status", "drifted_feature_names")

@@ -73,3 +73,20 @@ def test_chi2_sf_known_values():
     assert abs(chi2_sf(3.841458820694124, 1) - 0.05) < 1e-9
     assert abs(chi2_sf(5.991464547107979, 2) - 0.05) < 1e-9
     assert chi2_sf(0.0, 3) == 1.0 and chi2_sf(4.0, 0) == 1.0
+
+
+def test_exact_median_bracketing(spark):
+    import random
+    from tablegauge.functions import quantile
+    rnd = random.Random(11)
+    vals = [rnd.random() * 1000 for _ in range(3001)] + [500.0] * 1500 + [None] * 7
+    ints = [rnd.randint(0, 50) for _ in range(len(vals))]
+    df = spark.createDataFrame(list(zip(vals, ints)), "x double, y long")
+    got = quantile.exact_medians(df, ["x", "y"], accuracy=100, final_rows=16)
+    xs = sorted(v for v in vals if v is not None)
+    ys = sorted(ints)
+    def med(s):
+        n = len(s)
+        return s[(n - 1) // 2] + (s[n // 2] - s[(n - 1) // 2]) * 0.5
+    assert got["x"] == med(xs) and got["y"] == med(ys)
+    assert quantile.exact_medians(df.where("x is null"), ["x"]) == {"x": None}
