@@ -9,7 +9,8 @@ Execution never ranks a whole stratum in one task.  Hashes are uniform, so
 the hash *prefix* is a balanced range bucket:
 
 1. count rows per ``(stratum, prefix)`` (map-side partial aggregation; the
-   counted table has at most strata x 65,536 rows);
+   counted table has at most strata x 65,536 rows and also gives every
+   stratum's size, so k may depend on it without another pass);
 2. a running sum over that small table finds the boundary bucket of each
    stratum and how many rows are still needed inside it;
 3. while a boundary bucket is still large, refine it with the next four
@@ -23,7 +24,7 @@ table is never shuffled or sorted for it.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -32,58 +33,79 @@ _ALL = "g"          # sorts after every hex digit: selects the whole stratum
 _NONE = ""          # sorts before every hash: selects nothing
 _DIGITS = 4         # hex digits added per refinement level
 _FINAL_ROWS = 1 << 20  # a boundary bucket this small is ranked directly
-
-
-def _stratum_is(stratum: str, values) -> Column:
-    return F.col(stratum).isin(list(values))
+MAX_STRATA = 100_000   # strata are collected and looked up from a literal map
 
 
 def hash_thresholds(df: DataFrame, stratum: str, hash_col: str,
-                    k: Mapping[str, int]) -> dict[str, str]:
+                    k: Mapping[str, int] | Callable[[dict[str, int]], Mapping[str, int]],
+                    totals_out: dict | None = None) -> dict[str, str]:
     """Return ``{stratum value: T}`` so that ``hash <= T`` selects exactly
     the ``k[s]`` smallest hashes of stratum ``s`` (all rows when ``k[s]`` is
     at least the stratum size).
 
+    ``k`` is a mapping, or a function of the stratum sizes (computed from the
+    first-level bucket counts, so no separate counting pass is needed).
     ``df`` must have a string column ``stratum`` and a hex ``hash_col``.
-    Only bounded tables (counts per bucket, one row per stratum) reach the
-    driver.
+    Only bounded tables (bucket counts, one row per stratum) reach the
+    driver; ``totals_out`` receives the stratum sizes.
     """
-    out: dict[str, str] = {s: _NONE for s, n in k.items() if n <= 0}
-    # state: stratum -> (known boundary prefix, rows still needed inside it)
-    state: dict[str, tuple[str, int]] = {s: ("", int(n)) for s, n in k.items() if n > 0}
-    final: dict[str, tuple[str, int]] = {}
-    level = 0
-    while state:
-        level += 1
-        plen = level * _DIGITS
-        cond = None
-        for s, (prefix, _) in state.items():
-            c = F.col(stratum) == F.lit(s)
-            if prefix:
-                c = c & F.col(hash_col).startswith(prefix)
-            cond = c if cond is None else (cond | c)
-        need = F.create_map(*[x for s, (_, r) in state.items() for x in (F.lit(s), F.lit(r))])
-        counts = (df.where(cond)
-                  .groupBy(F.col(stratum).alias("s"), F.substring(hash_col, 1, plen).alias("b"))
-                  .agg(F.count(F.lit(1)).alias("n")))
-        w = Window.partitionBy("s").orderBy("b").rowsBetween(Window.unboundedPreceding, 0)
-        bounds = (counts
-                  .withColumn("cum", F.sum("n").over(w))
-                  .withColumn("r", need[F.col("s")])
-                  .where((F.col("cum") - F.col("n") < F.col("r")) & (F.col("cum") >= F.col("r")))
-                  .select("s", "b", "n", (F.col("r") - (F.col("cum") - F.col("n"))).alias("rest"))
-                  .collect())
-        found = {row["s"]: row for row in bounds}
-        nxt: dict[str, tuple[str, int]] = {}
-        for s in state:
-            row = found.get(s)
-            if row is None:              # k exceeds the stratum size
-                out[s] = _ALL
-            elif row["n"] <= _FINAL_ROWS or plen >= 32:
-                final[s] = (row["b"], int(row["rest"]))
+    from pyspark import StorageLevel
+    # level 1 over the whole table; the counted table is small (<= strata x 65,536 rows)
+    level1 = (df.groupBy(F.col(stratum).alias("s"), F.substring(hash_col, 1, _DIGITS).alias("b"))
+              .agg(F.count(F.lit(1)).alias("n"))
+              .persist(StorageLevel.MEMORY_AND_DISK))
+    try:
+        trows = level1.groupBy("s").agg(F.sum("n").alias("t")).limit(MAX_STRATA + 1).collect()
+        if len(trows) > MAX_STRATA:
+            raise ValueError(f"more than {MAX_STRATA} strata: stratify by a coarser column")
+        totals = {r["s"]: int(r["t"]) for r in trows}
+        if totals_out is not None:
+            totals_out.update(totals)
+        kk = dict(k(totals)) if callable(k) else dict(k)
+        out: dict[str, str] = {s: _NONE for s, n in kk.items() if n <= 0}
+        state: dict[str, tuple[str, int]] = {}
+        for s, n in kk.items():
+            if n > 0:
+                if n >= totals.get(s, 0):
+                    out[s] = _ALL
+                else:
+                    state[s] = ("", int(n))
+        final: dict[str, tuple[str, int]] = {}
+        level = 0
+        while state:
+            level += 1
+            plen = level * _DIGITS
+            need = F.create_map(*[x for s, (_, r) in state.items() for x in (F.lit(s), F.lit(r))])
+            if level == 1:
+                counts = level1.where(F.col("s").isin(list(state)))
             else:
-                nxt[s] = (row["b"], int(row["rest"]))
-        state = nxt
+                cond = None
+                for s, (prefix, _) in state.items():
+                    c = (F.col(stratum) == F.lit(s)) & F.col(hash_col).startswith(prefix)
+                    cond = c if cond is None else (cond | c)
+                counts = (df.where(cond)
+                          .groupBy(F.col(stratum).alias("s"), F.substring(hash_col, 1, plen).alias("b"))
+                          .agg(F.count(F.lit(1)).alias("n")))
+            w = Window.partitionBy("s").orderBy("b").rowsBetween(Window.unboundedPreceding, 0)
+            bounds = (counts
+                      .withColumn("cum", F.sum("n").over(w))
+                      .withColumn("r", need[F.col("s")])
+                      .where((F.col("cum") - F.col("n") < F.col("r")) & (F.col("cum") >= F.col("r")))
+                      .select("s", "b", "n", (F.col("r") - (F.col("cum") - F.col("n"))).alias("rest"))
+                      .collect())
+            found = {row["s"]: row for row in bounds}
+            nxt: dict[str, tuple[str, int]] = {}
+            for s in state:
+                row = found.get(s)
+                if row is None:              # k exceeds the stratum size
+                    out[s] = _ALL
+                elif row["n"] <= _FINAL_ROWS or plen >= 32:
+                    final[s] = (row["b"], int(row["rest"]))
+                else:
+                    nxt[s] = (row["b"], int(row["rest"]))
+            state = nxt
+    finally:
+        level1.unpersist()
 
     if final:
         cond = None
@@ -110,14 +132,20 @@ def threshold_column(thresholds: Mapping[str, str], stratum: Column) -> Column:
     return F.coalesce(m[stratum], F.lit(_NONE))
 
 
-def select_smallest(df: DataFrame, hash_expr: Column, k: Mapping[str, int] | int,
-                    stratum: Column | None = None, flag: str = "selected") -> DataFrame:
+def select_smallest(df: DataFrame, hash_expr: Column, k, stratum: Column | None = None,
+                    flag: str = "selected", totals_out: dict | None = None) -> DataFrame:
     """Add boolean ``flag``: row is among the ``k`` smallest hashes of its
-    stratum.  ``k`` is an int (one stratum) or a map stratum value -> k."""
+    stratum.  ``k`` is an int (one stratum, key ``"*"``), a map stratum
+    value -> k, or a function of the stratum sizes returning such a map."""
     strat = stratum if stratum is not None else F.lit("*")
-    kk = {"*": int(k)} if isinstance(k, int) else {str(s): int(n) for s, n in k.items()}
+    if isinstance(k, int):
+        kk = {"*": int(k)}
+    elif callable(k):
+        kk = k
+    else:
+        kk = {str(s): int(n) for s, n in k.items()}
     keyed = df.select(strat.cast("string").alias("_s"), hash_expr.alias("_h"))
-    thr = hash_thresholds(keyed, "_s", "_h", kk)
+    thr = hash_thresholds(keyed, "_s", "_h", kk, totals_out)
     return df.withColumn(flag, hash_expr <= threshold_column(thr, strat.cast("string")))
 
 

@@ -97,8 +97,8 @@ def inject_missing(df: DataFrame, *, keys: Sequence[str], fraction: float, seed:
     ``selected_columns`` the given ``columns``.  The selection must hold at
     least one numeric and one categorical column.
 
-    Plan: one count job, one aggregate of (column, hash-prefix) counts over
-    all selected columns (see :mod:`tablegauge.functions.hashrank`), then a
+    Plan: one aggregate of (column, hash-prefix) counts over all selected
+    columns (which also yields the row count) (see :mod:`tablegauge.functions.hashrank`), then a
     pure projection ``when(hash <= T_column, NULL)`` — the table itself is
     never shuffled.
     """
@@ -126,14 +126,20 @@ def inject_missing(df: DataFrame, *, keys: Sequence[str], fraction: float, seed:
     if not (any(c in num for c in selected) and any(c in cat for c in selected)):
         raise PreparationError("Missingness must affect both numeric and categorical features.")
 
-    n = int(rows) if rows is not None else df.count()
-    if n == 0:
-        raise PreparationError("Cannot inject missing values into an empty table.")
-    m = missing_cells_per_column(n, fraction)
     hashed = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("_s"), row_hash(seed, c, keys).alias("_h")) for c in selected
     ])).alias("_x")).select("_x._s", "_x._h")
-    thr = hash_thresholds(hashed, "_s", "_h", {c: m for c in selected})
+    got: dict[str, int] = {}
+
+    def cells(totals: dict[str, int]) -> dict[str, int]:
+        # every selected column has one hash per row: its total is the row count
+        n = int(rows) if rows is not None else max(totals.values(), default=0)
+        if n == 0:
+            raise PreparationError("Cannot inject missing values into an empty table.")
+        got["m"] = missing_cells_per_column(n, fraction)
+        return {c: got["m"] for c in selected}
+    thr = hash_thresholds(hashed, "_s", "_h", cells)
+    m = got["m"]
     out = df.select(*[
         F.when(row_hash(seed, c, keys) <= threshold_column(thr, F.lit(c)), F.lit(None))
         .otherwise(F.col(f"`{c}`")).cast(df.schema[c].dataType).alias(c)

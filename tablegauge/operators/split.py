@@ -36,6 +36,8 @@ def test_allocation(counts: dict[str, int], test_size: float, stratify: bool) ->
     if not isinstance(test_size, (int, float)) or not 0 < float(test_size) < 1:
         raise ValidationError("test_size must be a fraction in (0, 1)")
     n = sum(counts.values())
+    if not stratify:
+        counts = {"*": n}
     n_test = int(math.ceil(float(test_size) * n))
     n_train = n - n_test
     if n_test < 1 or n_train < 1:
@@ -60,10 +62,16 @@ def split_train_test(df: DataFrame, *, keys: Sequence[str], test_size: float, se
     labelling itself is a projection."""
     if stratify and target is None:
         raise ValidationError("stratified split needs a target column")
-    counts = class_counts(df, target) if stratify else {"*": df.count()}
-    alloc = test_allocation(counts, test_size, stratify)
+    if not isinstance(test_size, (int, float)) or not 0 < float(test_size) < 1:
+        raise ValidationError("test_size must be a fraction in (0, 1)")
     h = row_hash(seed, "split", keys)
     strat = F.col(f"`{target}`").cast("string") if stratify else None
+
+    def alloc(counts: dict[str, int]) -> dict[str, int]:
+        # class sizes come from the first bucket-count pass
+        if len(counts) > MAX_STRATA:
+            raise ValidationError(f"'{target}' has more than {MAX_STRATA} classes; cannot stratify")
+        return test_allocation(counts or {"*": 0}, test_size, stratify)
     out = select_smallest(df, h, alloc, strat, flag="__test")
     return (out.withColumn(part_col, F.when(F.col("__test"), F.lit("test")).otherwise(F.lit("train")))
             .drop("__test"))
@@ -80,12 +88,14 @@ def sample_rows(df: DataFrame, *, keys: Sequence[str], n: int, seed: int,
                 rows: int | None = None) -> DataFrame:
     """exactly ``n`` rows without replacement (the smallest
     ``md5(seed|sample|keys)``); more than the table holds is an error."""
-    total = int(rows) if rows is not None else df.count()
-    if n > total:
-        raise ValidationError("sample size cannot exceed the number of rows")
     if n < 0:
         raise ValidationError("sample size must be non-negative")
-    out = select_smallest(df, row_hash(seed, "sample", keys), int(n), None, flag="__pick")
+
+    def size(totals: dict[str, int]) -> dict[str, int]:
+        if n > totals.get("*", 0):
+            raise ValidationError("sample size cannot exceed the number of rows")
+        return {"*": int(n)}
+    out = select_smallest(df, row_hash(seed, "sample", keys), size, None, flag="__pick")
     return out.where(F.col("__pick")).drop("__pick")
 
 
