@@ -41,7 +41,8 @@ def _in(c: str, lo, hi):
 
 
 def order_statistics(df: DataFrame, wanted: dict[str, tuple[int, ...]], *,
-                     accuracy: int = ACCURACY, final_rows: int = FINAL_ROWS) -> dict[str, dict[int, float]]:
+                     accuracy: int = ACCURACY, final_rows: int = FINAL_ROWS,
+                     counts: dict[str, int] | None = None) -> dict[str, dict[int, float]]:
     """Exact values at 0-based ranks (ascending, NULLs ignored) per column.
 
     ``wanted`` maps a numeric column to the ranks needed; ranks must be
@@ -51,7 +52,7 @@ def order_statistics(df: DataFrame, wanted: dict[str, tuple[int, ...]], *,
         return {}
     src = df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in cols])
     # bracket state per column: lo, hi (None = unbounded), rows below lo, rows inside
-    state = {c: [None, None, 0, None] for c in cols}
+    state = {c: [None, None, 0, (counts or {}).get(c)] for c in cols}
     eps = 2.0 / accuracy
     for _ in range(MAX_ROUNDS):
         if any(s[3] is None for s in state.values()):
@@ -119,7 +120,7 @@ def exact_medians(df: DataFrame, columns: Sequence[str], **kw) -> dict[str, floa
     for i, c in enumerate(columns):
         k = int(n[f"n{i}"])
         wanted[c] = ((k - 1) // 2, k // 2) if k else ()
-    stats = order_statistics(df, wanted, **kw)
+    stats = order_statistics(df, wanted, counts={c: int(n[f"n{i}"]) for i, c in enumerate(columns)}, **kw)
     res: dict[str, float | None] = {}
     for c in columns:
         if not wanted[c]:

@@ -14,7 +14,8 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexerModel, VectorAssembler
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -159,21 +160,54 @@ def column_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float | N
     return exact_medians(df, list(columns))
 
 
-def column_modes(df: DataFrame, columns: Sequence[str]) -> dict[str, object]:
-    """Most frequent non-NULL value per column, ties to the smallest value.
-
-    Distributed: (column, value) counts with map-side partial aggregation,
-    then ``min_by(value, (-count, value))`` per column — constant-size
-    buffers, no per-column value map in one task."""
+def category_counts(df: DataFrame, columns: Sequence[str],
+                    max_categories: int = None) -> dict[str, dict[str, int]]:
+    """Non-NULL value counts per categorical column from ONE aggregate:
+    (column, value) counts with map-side partial aggregation.  The result
+    is bounded: a column with more than ``max_categories`` values raises
+    (the counts are checked in Spark before anything is collected)."""
+    cap = MAX_CATEGORIES if max_categories is None else max_categories
     if not columns:
         return {}
     pairs = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("c"), F.col(f"`{c}`").cast("string").alias("v")) for c in columns
     ])).alias("x")).select("x.c", "x.v").where(F.col("v").isNotNull())
-    counts = pairs.groupBy("c", "v").agg(F.count(F.lit(1)).alias("n"))
-    best = counts.groupBy("c").agg(F.min_by("v", F.struct((-F.col("n")).alias("k"), F.col("v"))).alias("mode"))
-    found = {r["c"]: r["mode"] for r in best.collect()}   # one row per column
+    counts = pairs.groupBy("c", "v").agg(F.count(F.lit(1)).alias("n")).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        # sizes first (one row per column), so an over-wide column never reaches the driver
+        wide = counts.groupBy("c").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") > cap).collect()
+        if wide:
+            raise PreparationError(f"too many categories to one-hot encode (> {cap}): "
+                                   + ", ".join(f"{r['c']}={r['k']}" for r in wide))
+        out: dict[str, dict[str, int]] = {c: {} for c in columns}
+        for r in counts.collect():
+            out[r["c"]][r["v"]] = int(r["n"])
+    finally:
+        counts.unpersist()
+    return out
+
+
+def column_modes(df: DataFrame, columns: Sequence[str],
+                 counts: Mapping[str, Mapping[str, int]] | None = None) -> dict[str, object]:
+    """Most frequent non-NULL value per column, ties to the smallest value.
+
+    From bounded category counts when given; otherwise distributed:
+    (column, value) counts with map-side partial aggregation, then
+    ``min_by(value, (-count, value))`` per column — constant-size buffers,
+    no per-column value map in one task."""
+    if not columns:
+        return {}
     types = {f.name: f.dataType for f in df.schema.fields}
+    if counts is not None:
+        found = {c: (min(counts[c].items(), key=lambda kv: (-kv[1], kv[0]))[0] if counts[c] else None)
+                 for c in columns}
+    else:
+        pairs = df.select(F.explode(F.array(*[
+            F.struct(F.lit(c).alias("c"), F.col(f"`{c}`").cast("string").alias("v")) for c in columns
+        ])).alias("x")).select("x.c", "x.v").where(F.col("v").isNotNull())
+        cnt = pairs.groupBy("c", "v").agg(F.count(F.lit(1)).alias("n"))
+        best = cnt.groupBy("c").agg(F.min_by("v", F.struct((-F.col("n")).alias("k"), F.col("v"))).alias("mode"))
+        found = {r["c"]: r["mode"] for r in best.collect()}   # one row per column
     out = {}
     for c in columns:
         v = found.get(c)
@@ -212,21 +246,9 @@ def impute(df: DataFrame, fills: Mapping[str, object]) -> DataFrame:
 # ---------------------------------------------------------------- F6–F9
 def fit_categories(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
     """Categories per column (sorted ascending, NULL excluded) — one
-    distributed aggregate of distinct (column, value) pairs."""
-    if not columns:
-        return {}
-    pairs = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("c"), F.col(f"`{c}`").cast("string").alias("v")) for c in columns
-    ])).alias("x")).select("x.c", "x.v").where(F.col("v").isNotNull()).distinct()
-    wide = pairs.groupBy("c").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") > MAX_CATEGORIES).collect()
-    if wide:
-        raise PreparationError(f"too many categories to one-hot encode (> {MAX_CATEGORIES}): "
-                               + ", ".join(f"{r['c']}={r['k']}" for r in wide))
-    cats: dict[str, list[str]] = {c: [] for c in columns}
-    # the category list is the encoder's state: its size is the vector width
-    for r in pairs.collect():
-        cats[r["c"]].append(r["v"])
-    return {c: sorted(v) for c, v in cats.items()}
+    distributed aggregate; the list is the encoder's state (its size is the
+    vector width) and is capped at MAX_CATEGORIES per column."""
+    return {c: sorted(v) for c, v in category_counts(df, columns).items()}
 
 
 def onehot_names(numeric: Sequence[str], categories: Mapping[str, Sequence[str]]) -> list[str]:
@@ -295,19 +317,28 @@ def fit_features(df: DataFrame, numeric: Sequence[str], categorical: Sequence[st
         raise PreparationError("Categorical column list cannot be empty.")
     numeric, categorical = list(numeric), list(categorical)
     medians = column_medians(df, numeric)
-    modes = column_modes(df, categorical)
-    fit_categories(df, categorical)          # width guard before the indexer collects labels
+    counts = category_counts(df, categorical)        # one aggregate: modes, categories, width guard
+    modes = column_modes(df, categorical, counts)
+    # categories after imputation: the mode is already among the values
+    cats = {c: sorted(set(counts[c]) | ({str(modes[c])} if modes[c] is not None else set()))
+            for c in categorical}
     imp = SQLTransformer(statement=_impute_sql(numeric, categorical, medians, modes, keep))
     idx_cols = [f"__idx_{i}" for i in range(len(categorical))]
     vec_cols = [f"__ohe_{i}" for i in range(len(categorical))]
-    indexer = StringIndexer(inputCols=categorical, outputCols=idx_cols,
-                            stringOrderType="alphabetAsc", handleInvalid="keep")
+    # labels are known: build the indexer model directly instead of another pass
+    # (one model per column: the multi-column constructor pads label arrays)
+    indexers = [StringIndexerModel.from_labels(cats[c], inputCol=c, outputCol=idx_cols[i], handleInvalid="keep")
+                for i, c in enumerate(categorical)]
     encoder = OneHotEncoder(inputCols=idx_cols, outputCols=vec_cols, dropLast=True,
                             handleInvalid="error")
     assembler = VectorAssembler(inputCols=numeric + vec_cols, outputCol=output)
     drop = SQLTransformer(statement="SELECT " + ", ".join(
         [f"`{c}`" for c in list(keep) + numeric + categorical] + [f"`{output}`"]) + " FROM __THIS__")
-    model = Pipeline(stages=[imp, indexer, encoder, assembler, drop]).fit(df)
-    labels = model.stages[1].labelsArray
-    cats = {c: list(labels[i]) for i, c in enumerate(categorical)}
+    # every stage but the encoder is already fitted; the encoder reads its
+    # sizes from the indexer's column metadata
+    indexed = imp.transform(df)
+    for ix in indexers:
+        indexed = ix.transform(indexed)
+    enc_model = encoder.fit(indexed)
+    model = PipelineModel(stages=[imp, *indexers, enc_model, assembler, drop])
     return FeatureSpec(numeric, categorical, medians, modes, cats, model)

@@ -55,11 +55,12 @@ def test_allocation(counts: dict[str, int], test_size: float, stratify: bool) ->
 
 def split_train_test(df: DataFrame, *, keys: Sequence[str], test_size: float, seed: int,
                      target: str | None = None, stratify: bool = True,
-                     part_col: str = "part") -> DataFrame:
+                     part_col: str = "part", report: dict | None = None) -> DataFrame:
     """add ``part`` = 'test' for the rows with the smallest
     ``md5(seed|split|keys)`` within each class (allocation above), 'train'
-    otherwise.  Jobs: class counts, bucket counts, boundary rank; the
-    labelling itself is a projection."""
+    otherwise.  Jobs: bucket counts (which give the class sizes), boundary
+    rank; the labelling itself is a projection.  ``report`` (optional)
+    receives the class sizes and test rows per class."""
     if stratify and target is None:
         raise ValidationError("stratified split needs a target column")
     if not isinstance(test_size, (int, float)) or not 0 < float(test_size) < 1:
@@ -71,7 +72,12 @@ def split_train_test(df: DataFrame, *, keys: Sequence[str], test_size: float, se
         # class sizes come from the first bucket-count pass
         if len(counts) > MAX_STRATA:
             raise ValidationError(f"'{target}' has more than {MAX_STRATA} classes; cannot stratify")
-        return test_allocation(counts or {"*": 0}, test_size, stratify)
+        a = test_allocation(counts or {"*": 0}, test_size, stratify)
+        if report is not None:
+            # class sizes and test rows per class, known without another pass
+            report["class_counts"] = dict(counts)
+            report["test_counts"] = dict(a)
+        return a
     out = select_smallest(df, h, alloc, strat, flag="__test")
     return (out.withColumn(part_col, F.when(F.col("__test"), F.lit("test")).otherwise(F.lit("train")))
             .drop("__test"))

@@ -40,7 +40,8 @@ _RESERVED = {
 }
 
 
-def class_weight_map(df: DataFrame, label: str, class_weight) -> dict[float, float] | None:
+def class_weight_map(df: DataFrame, label: str, class_weight,
+                     counts: Mapping[float, int] | None = None) -> dict[float, float] | None:
     """T5: ``None`` -> no weights; ``'balanced'`` -> ``n / (k * n_class)``
     from one class-count aggregate; a mapping -> given weights.
     ``'balanced_subsample'`` needs per-tree weights, which Spark ML lacks."""
@@ -50,7 +51,8 @@ def class_weight_map(df: DataFrame, label: str, class_weight) -> dict[float, flo
         raise TrainingError("class_weight 'balanced_subsample' is not supported: Spark ML has no "
                             "per-tree class weights; use 'balanced'")
     if class_weight == "balanced":
-        counts = {r[0]: r[1] for r in df.groupBy(label).count().collect()}   # one row per class
+        if counts is None:
+            counts = {r[0]: r[1] for r in df.groupBy(label).count().collect()}   # one row per class
         n, k = sum(counts.values()), len(counts)
         return {float(c): n / (k * m) for c, m in counts.items()}
     if isinstance(class_weight, Mapping):

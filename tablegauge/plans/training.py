@@ -83,8 +83,9 @@ def train_run(df: DataFrame, cfg: TrainingConfig, *, runs_path: str | None = Non
     # row keys identify rows; they are never features
     feats = P.feature_columns(df, cfg.target, list(cfg.excluded) + list(cfg.keys))
     base = df.select(*dict.fromkeys(list(cfg.keys) + [cfg.target] + feats))
+    srep: dict = {}
     split = S.split_train_test(base, keys=cfg.keys, test_size=cfg.test_size, seed=cfg.split_seed,
-                               target=cfg.target, stratify=cfg.stratify)
+                               target=cfg.target, stratify=cfg.stratify, report=srep)
     train = split.where(F.col("part") == "train").drop("part")
     test = split.where(F.col("part") == "test").drop("part")
     if cfg.missing_enabled:
@@ -96,14 +97,25 @@ def train_run(df: DataFrame, cfg: TrainingConfig, *, runs_path: str | None = Non
     train = train.withColumn("label", label).persist(StorageLevel.MEMORY_AND_DISK)
     test = test.withColumn("label", label)
     try:
-        dist_rows = S.split_distribution(split, cfg.target).collect()
-        distribution = {(r["part"], r["class_value"]): r["n"] for r in dist_rows}
+        if cfg.stratify:
+            # per-class sizes come from the split's own bucket counts
+            distribution = {}
+            for c, n in srep["class_counts"].items():
+                distribution[("test", c)] = srep["test_counts"][c]
+                distribution[("train", c)] = n - srep["test_counts"][c]
+        else:
+            distribution = {(r["part"], r["class_value"]): r["n"]
+                            for r in S.split_distribution(split, cfg.target).collect()}
         n_train = sum(v for (p, _), v in distribution.items() if p == "train")
         n_test = sum(v for (p, _), v in distribution.items() if p == "test")
+        train_counts = {(1.0 if c == cfg.positive else 0.0): 0 for (p, c) in distribution if p == "train"}
+        for (p, c), v in distribution.items():
+            if p == "train":
+                train_counts[1.0 if c == cfg.positive else 0.0] += v
         num, cat = P.feature_types(train, feats)
         fspec = P.fit_features(train, num, cat, keep=list(cfg.keys) + [cfg.target, "label"])
         prepared = fspec.transform(train)
-        weights = T.class_weight_map(train, "label", cfg.model.class_weight)
+        weights = T.class_weight_map(train, "label", cfg.model.class_weight, counts=train_counts)
         prepared = T.with_weights(prepared, "label", weights)
         est = T.build_estimator(cfg.model, seed=cfg.seed, n_train=n_train,
                                 weight="weight" if cfg.model.algorithm != "gradient_boosting" else None)
