@@ -176,6 +176,11 @@ def audit_report(df: DataFrame, target: str | None = None) -> DataFrame:
             [("required", F.col("required")), ("actual", F.col("actual")),
              ("passed", F.lower(F.col("passed").cast("string")))], "metric", "value"))
     out = shape.unionByName(cols).unionByName(per_col).unionByName(dup).unionByName(cons)
+    if target and target not in df.columns:
+        missing_target = df.sparkSession.createDataFrame(
+            [("target", target, "target_exists", "false")],
+            "section string, column_name string, metric string, value string")
+        out = out.unionByName(missing_target)
     if target and target in df.columns:
         bal = audit_class_balance(df, target).select(
             F.lit("target").alias("section"), F.coalesce(F.col("class_value"), F.lit("<null>")).alias("column_name"),

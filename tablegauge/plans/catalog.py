@@ -708,10 +708,12 @@ def q_drift_summary(spark, sf):
 
 
 def _orders_compare(spark, sf, current: str):
-    b = _orders_batches(spark, sf)
-    cur = D.choose_batch(b, current)
-    return D.compare_batches(b.reference, cur, features=_ORD_FEATURES, feature_threshold=_FEAT_THR,
-                             share_threshold=_SHARE_THR, column_order=I.ORDERS_COLS)
+    from tablegauge.plans.monitoring import run_monitoring
+    res = run_monitoring(I.orders_features(spark, sf), keys=["o_orderkey"], target=_ORD_TARGET, size=_BATCH,
+                         seed=_SPLIT_SEED, settings=_ORD_DRIFT, current=current, excluded=["o_orderkey"],
+                         feature_threshold=_FEAT_THR, share_threshold=_SHARE_THR,
+                         allowed_target_values=["F", "O", "P"])
+    return res.features, res.summary
 
 
 @query("drift_orders_drifted")
@@ -910,7 +912,11 @@ def _train_cfg(spec: TR.ModelSpec, name: str) -> TP.TrainingConfig:
                              test_size=0.2, split_seed=42, stratify=True, seed=42, missing_enabled=True,
                              missing_fraction=0.05, missing_seed=42, missing_strategy="all_eligible",
                              thresholds={"f1_pos": 0.0, "roc_auc": 0.0}, primary="f1_pos",
-                             experiment="docs-quality", run_name=name)
+                             experiment="docs-quality", run_name=name,
+                             validation={"allowed_target_values": ("0", "1"), "key_column": "doc_id",
+                                         "required_columns": ["doc_id", "quality"], "min_rows": 10,
+                                         "min_features": 3},
+                             dataset_path="labels+documents")
 
 
 _SPECS = {

@@ -45,6 +45,8 @@ class TrainingConfig:
     primary: str = "f1_pos"
     experiment: str = "default"
     run_name: str | None = None
+    validation: dict | None = None      # rule arguments of validate_dataset; None skips validation
+    dataset_path: str | None = None     # lineage: recorded as tags
 
 
 @dataclass
@@ -80,6 +82,9 @@ def _params(cfg: TrainingConfig) -> dict[str, str]:
 def train_run(df: DataFrame, cfg: TrainingConfig, *, runs_path: str | None = None,
               enforce: bool = True) -> TrainingResult:
     spark = df.sparkSession
+    if cfg.validation is not None:
+        from tablegauge.operators import validate as V
+        V.enforce(V.validate_dataset(df, target=cfg.target, excluded_columns=cfg.excluded, **cfg.validation))
     # row keys identify rows; they are never features
     feats = P.feature_columns(df, cfg.target, list(cfg.excluded) + list(cfg.keys))
     base = df.select(*dict.fromkeys(list(cfg.keys) + [cfg.target] + feats))
@@ -134,7 +139,10 @@ def train_run(df: DataFrame, cfg: TrainingConfig, *, runs_path: str | None = Non
                        run_name=cfg.run_name or f"{cfg.model.algorithm}", metrics=metrics,
                        params=_params(cfg),
                        tags={"quality_gate.status": "passed" if passed else "failed",
-                             "target.column": cfg.target, "run_name": cfg.run_name or cfg.model.algorithm})
+                             "target.column": cfg.target, "run_name": cfg.run_name or cfg.model.algorithm,
+                             **({"dataset.path": cfg.dataset_path,
+                                 "dataset.name": cfg.dataset_path.rstrip("/").rsplit("/", 1)[-1]}
+                                if cfg.dataset_path else {})})
     if runs_path:
         R.append_runs(run, runs_path)
     result = TrainingResult(model, fspec, preds, metrics, gate, passed, n_train, n_test, distribution, run)

@@ -76,3 +76,19 @@ def test_batch_schema(spark, x3):
     assert {r["status"] for r in rows} == {"ok", "missing"}
     with pytest.raises(ValidationError):
         V.enforce_batch_schema(x3.select(*reversed(x3.columns)), x3.columns)
+
+
+def test_csv_missing_markers(spark, tmp_path):
+    from tablegauge.sources.files import read_table
+    p = tmp_path / "t.csv"
+    p.write_text("a,b\n1,x\nNA,\n3,n/a\n,NULL\n")
+    df = read_table(spark, str(p))
+    m = {r["column_name"]: r["missing_count"] for r in A.audit_missing(df).collect()}
+    assert m == {"a": 2, "b": 3}
+    with pytest.raises(ValidationError):
+        read_table(spark, str(tmp_path / "absent.csv"))
+
+
+def test_report_flags_missing_target(spark, x3):
+    rows = A.audit_report(x3, "NoSuchTarget").where("metric = 'target_exists'").collect()
+    assert [(r["column_name"], r["value"]) for r in rows] == [("NoSuchTarget", "false")]

@@ -79,3 +79,18 @@ def test_unscored_feature_counts_as_one(spark):
     assert [(r["feature"], r["score"], r["drifted"]) for r in f] == [("a", 0.01, True), ("b", 1.0, False)]
     g = D.drift_gate(D.drifted_features(scores, ["a", "b"], 0.5), 0.5).first()
     assert g["drifted_feature_share"] == 0.5 and g["gate_status"] == "failed"   # >= fails
+
+
+def test_monitoring_run_with_persisted_batches(spark, tmp_path):
+    from tablegauge.plans.monitoring import run_monitoring
+    res = run_monitoring(_orders(spark), keys=["o_orderkey"], target="o_orderstatus", size=300, seed=42,
+                         settings=SETTINGS, current="drifted", excluded=["o_orderkey"],
+                         allowed_target_values=["F", "O", "P"], persist_dir=str(tmp_path / "batches"))
+    assert set(res.paths) == {"reference", "stable", "drifted"}
+    assert res.context.feature_columns == ["o_custkey", "o_totalprice", "o_orderpriority",
+                                           "o_shippriority_like"]
+    s = res.summary.first()
+    assert s["drifted_feature_count"] == 3 and s["gate_status"] == "failed"
+    with pytest.raises(ValidationError):
+        run_monitoring(_orders(spark), keys=["o_orderkey"], target="o_orderstatus", size=300, seed=42,
+                       settings=SETTINGS, current="production")
