@@ -35,7 +35,7 @@ def non_numeric_columns(df: DataFrame, *, include_bool: bool = False) -> list[st
 
 def missing(c: str, dt: T.DataType) -> Column:
     """Missing marker test: NULL, and NaN for floating columns."""
-    col = F.col(c)
+    col = F.col(f"`{c}`")
     if is_fractional(dt):
         return col.isNull() | F.isnan(col)
     return col.isNull()

@@ -45,6 +45,18 @@ def audit_columns(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, schema)
 
 
+def _profile_wide(df: DataFrame, *, approx_distinct: bool = False, rsd: float = 0.01) -> DataFrame:
+    """One aggregate: ``__rows``, then ``m<i>`` (missing) and ``d<i>``
+    (distinct, NULL counted) for column ``i``."""
+    aggs = [F.count(F.lit(1)).alias("__rows")]
+    for i, f in enumerate(df.schema.fields):
+        c = F.col(f"`{f.name}`")
+        aggs.append(F.sum(missing(f.name, f.dataType).cast("long")).alias(f"m{i}"))
+        nd = F.approx_count_distinct(c, rsd) if approx_distinct else F.count_distinct(c)
+        aggs.append((nd + F.max(c.isNull().cast("long"))).alias(f"d{i}"))
+    return df.agg(*aggs)
+
+
 def column_profile(df: DataFrame, *, approx_distinct: bool = False, rsd: float = 0.01) -> DataFrame:
     """One aggregate over the table giving, per column,
     ``(position, column_name, missing_count, distinct_count)``.
@@ -52,14 +64,7 @@ def column_profile(df: DataFrame, *, approx_distinct: bool = False, rsd: float =
     ``distinct_count`` counts NULL as one value.  With ``approx_distinct``
     the HyperLogLog++ estimate replaces the exact count (no Expand of the
     table per column; for very wide, very large tables)."""
-    aggs = [F.count(F.lit(1)).alias("__rows")]
-    for i, f in enumerate(df.schema.fields):
-        miss = missing(f.name, f.dataType)
-        aggs.append(F.sum(miss.cast("long")).alias(f"m{i}"))
-        nd = (F.approx_count_distinct(f.name, rsd) if approx_distinct
-              else F.count_distinct(F.col(f.name)))
-        aggs.append((nd + F.max(F.col(f.name).isNull().cast("long"))).alias(f"d{i}"))
-    wide = df.agg(*aggs)
+    wide = _profile_wide(df, approx_distinct=approx_distinct, rsd=rsd)
     items = F.array(*[
         F.struct(F.lit(i).cast("long").alias("position"), F.lit(f.name).alias("column_name"),
                  F.coalesce(F.col(f"m{i}"), F.lit(0)).cast("long").alias("missing_count"),
@@ -102,12 +107,14 @@ def audit_candidates(df: DataFrame, *, lo: int = CANDIDATE_MIN_EXCLUSIVE,
     return d.where((F.col("distinct_count") > lo) & (F.col("distinct_count") <= hi))
 
 
-def audit_class_balance(df: DataFrame, target: str) -> DataFrame:
+def audit_class_balance(df: DataFrame, target: str, total: int | None = None) -> DataFrame:
     """``(class_value, class_count, class_proportion)``; the NULL
-    class is kept.  The total is a scalar subquery over the class table."""
-    counts = df.groupBy(F.col(target).cast("string").alias("class_value")).agg(
+    class is kept.  The total is a known row count or a scalar subquery over
+    the class table."""
+    counts = df.groupBy(F.col(f"`{target}`").cast("string").alias("class_value")).agg(
         F.count(F.lit(1)).alias("class_count"))
-    total = counts.select(F.sum("class_count")).scalar()
+    total = F.lit(int(total)).cast("long") if total is not None else \
+        counts.select(F.sum("class_count")).scalar()
     return counts.withColumn("class_proportion", F.col("class_count") / total)
 
 
@@ -147,42 +154,47 @@ def audit_report(df: DataFrame, target: str | None = None) -> DataFrame:
     """The whole audit as one long table
     ``(section, column_name, metric, value)`` with text values.
 
-    Built from the column profile (one aggregate), the duplicate count
-    (one grouped aggregate) and the class counts (one grouped aggregate)."""
-    prof = column_profile(df)
-    n_cols = len(df.columns)
-    rows_df = df.agg(F.count(F.lit(1)).alias("n"))
-    shape = rows_df.select(_long([("row_count", F.col("n").cast("string")),
-                                  ("column_count", F.lit(str(n_cols)))], "metric", "value"))
-    shape = shape.select(F.lit("shape").alias("section"), F.lit(None).cast("string").alias("column_name"),
-                         "metric", "value")
-    cols = audit_columns(df).select(
-        F.lit("columns").alias("section"), "column_name", F.lit("data_type").alias("metric"),
-        F.col("data_type").alias("value")).unionByName(audit_columns(df).select(
-            F.lit("columns").alias("section"), "column_name", F.lit("is_numeric").alias("metric"),
-            F.lower(F.col("is_numeric").cast("string")).alias("value")))
-    per_col = prof.select(F.lit("columns").alias("section"), "column_name", _long(
-        [("missing_count", F.col("missing_count").cast("string")),
-         ("distinct_count", F.col("distinct_count").cast("string")),
-         ("candidate_target", F.lower(((F.col("distinct_count") > CANDIDATE_MIN_EXCLUSIVE)
-                                       & (F.col("distinct_count") <= CANDIDATE_MAX_INCLUSIVE))
-                                      .cast("string")))], "metric", "value"))
-    dup = duplicate_rows(df).select(F.lit("shape").alias("section"),
-                                    F.lit(None).cast("string").alias("column_name"),
-                                    F.lit("duplicate_row_count").alias("metric"),
-                                    F.col("duplicate_row_count").cast("string").alias("value"))
-    cons = audit_constraints(df, target).select(
-        F.lit("constraints").alias("section"), F.col("constraint_name").alias("column_name"), _long(
-            [("required", F.col("required")), ("actual", F.col("actual")),
-             ("passed", F.lower(F.col("passed").cast("string")))], "metric", "value"))
-    out = shape.unionByName(cols).unionByName(per_col).unionByName(dup).unionByName(cons)
+    Three passes over the table: the column profile (one aggregate: row
+    count, missing and distinct counts of every column — one row, brought
+    to the driver), the duplicate count (one grouped aggregate, one value)
+    and the class counts (one grouped aggregate, kept distributed)."""
+    spark = df.sparkSession
+    fields = df.schema.fields
+    wide = _profile_wide(df).first()                 # one row: 1 + 2 values per column
+    n_rows = int(wide["__rows"])
+    prof = {f.name: {"missing_count": wide[f"m{i}"] or 0, "distinct_count": wide[f"d{i}"] or 0}
+            for i, f in enumerate(fields)}
+    dup = duplicate_rows(df).first()[0]
+    n_cols = len(fields)
+    num = sum(1 for f in fields if is_numeric(f.dataType))
+    non = n_cols - num
+    feats = n_cols - 1
+    miss_total = sum(int(r["missing_count"]) for r in prof.values())
+    rows = [("shape", None, "row_count", str(n_rows)),
+            ("shape", None, "column_count", str(n_cols)),
+            ("shape", None, "duplicate_row_count", str(dup))]
+    for f in fields:
+        r = prof[f.name]
+        d = int(r["distinct_count"])
+        rows += [("columns", f.name, "data_type", f.dataType.simpleString()),
+                 ("columns", f.name, "is_numeric", str(is_numeric(f.dataType)).lower()),
+                 ("columns", f.name, "missing_count", str(int(r["missing_count"]))),
+                 ("columns", f.name, "distinct_count", str(d)),
+                 ("columns", f.name, "candidate_target",
+                  str(CANDIDATE_MIN_EXCLUSIVE < d <= CANDIDATE_MAX_INCLUSIVE).lower())]
+    for name, required, actual, passed in (
+            ("minimum_rows", str(MIN_ROWS), str(n_rows), n_rows >= MIN_ROWS),
+            ("minimum_feature_columns", str(MIN_FEATURES), str(feats), feats >= MIN_FEATURES),
+            ("has_numeric_columns", "true", str(num > 0).lower(), num > 0),
+            ("has_non_numeric_columns", "true", str(non > 0).lower(), non > 0),
+            ("missing_values_present", "> 0", str(miss_total), miss_total > 0)):
+        rows += [("constraints", name, "required", required), ("constraints", name, "actual", actual),
+                 ("constraints", name, "passed", str(passed).lower())]
     if target and target not in df.columns:
-        missing_target = df.sparkSession.createDataFrame(
-            [("target", target, "target_exists", "false")],
-            "section string, column_name string, metric string, value string")
-        out = out.unionByName(missing_target)
+        rows.append(("target", target, "target_exists", "false"))
+    out = spark.createDataFrame(rows, "section string, column_name string, metric string, value string")
     if target and target in df.columns:
-        bal = audit_class_balance(df, target).select(
+        bal = audit_class_balance(df, target, total=n_rows).select(
             F.lit("target").alias("section"), F.coalesce(F.col("class_value"), F.lit("<null>")).alias("column_name"),
             _long([("class_count", F.col("class_count").cast("string")),
                    ("class_proportion", F.format_string("%.6f", F.col("class_proportion")))], "metric", "value"))
