@@ -250,17 +250,23 @@ def drift_gate(features: DataFrame, share_threshold: float) -> DataFrame:
                       .alias("gate_status"))
 
 
+_SUMMARY_SCHEMA = ("evaluated_feature_count long, drifted_feature_count long, drifted_feature_share double, "
+                   "dataset_drift boolean, gate_status string, drifted_feature_names string, "
+                   "configured_threshold double, feature_threshold double")
+
+
 def drift_summary(features: DataFrame, *, feature_threshold: float, share_threshold: float) -> DataFrame:
     """The gate row plus thresholds and the drifted feature names in
-    feature order (comma separated)."""
-    gate = drift_gate(features, share_threshold)
-    names = features.agg(F.concat_ws(",", F.transform(
-        F.array_sort(F.collect_list(F.when(F.col("drifted"), F.struct("position", "feature")))),
-        lambda x: x["feature"])).alias("drifted_feature_names"))
-    return gate.select(
-        "*", names.select("drifted_feature_names").scalar().alias("drifted_feature_names"),
-        F.lit(float(share_threshold)).alias("configured_threshold"),
-        F.lit(float(feature_threshold)).alias("feature_threshold"))
+    feature order (comma separated).  The feature table has one row per
+    feature, so it is evaluated once and the summary built from it."""
+    rows = sorted(features.select("feature", "position", "drifted").collect(), key=lambda r: r["position"])
+    evaluated = len(rows)
+    names = [r["feature"] for r in rows if r["drifted"]]
+    share = len(names) / evaluated if evaluated else 0.0
+    drift = share >= float(share_threshold)
+    return features.sparkSession.createDataFrame(
+        [(evaluated, len(names), share, drift, "failed" if drift else "passed", ",".join(names),
+          float(share_threshold), float(feature_threshold))], _SUMMARY_SCHEMA)
 
 
 def compare_batches(ref: DataFrame, cur: DataFrame, *, features: Sequence[str],
@@ -281,6 +287,8 @@ def compare_batches(ref: DataFrame, cur: DataFrame, *, features: Sequence[str],
                 raise ValidationError(f"{label} batch: target '{target}' has missing or invalid values")
     scores = drift_scores(ref.select(*features), cur.select(*features), features, numeric)
     feats = drifted_features(scores, features, feature_threshold)
+    # one row per feature: evaluate the scoring plan once
+    feats = ref.sparkSession.createDataFrame(feats.collect(), feats.schema)
     summary = drift_summary(feats, feature_threshold=feature_threshold, share_threshold=share_threshold)
     return feats, summary
 
