@@ -94,3 +94,15 @@ def test_monitoring_run_with_persisted_batches(spark, tmp_path):
     with pytest.raises(ValidationError):
         run_monitoring(_orders(spark), keys=["o_orderkey"], target="o_orderstatus", size=300, seed=42,
                        settings=SETTINGS, current="production")
+
+
+def test_streaming_monitor_one_row_per_batch_file(spark, batches, tmp_path):
+    from tablegauge.streaming import run_drift_monitor_once
+    folder = str(tmp_path / "incoming")
+    batches.stable.coalesce(1).write.mode("append").parquet(folder)
+    batches.drifted.coalesce(1).write.mode("append").parquet(folder)
+    out = run_drift_monitor_once(spark, batches.reference, folder, schema=batches.reference.schema,
+                                 features=FEATURES[:3], feature_threshold=0.5, share_threshold=0.15,
+                                 sink_path=str(tmp_path / "out"), checkpoint=str(tmp_path / "ckpt"))
+    got = [(r["batch_id"], r["drifted_feature_count"], r["gate_status"]) for r in out.orderBy("batch_id").collect()]
+    assert got == [(0, 0, "passed"), (1, 3, "failed")]
