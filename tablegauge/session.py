@@ -53,10 +53,14 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the session's checkpoint folder; set a local one only when unset
-    (tests and single-machine runs)."""
+    """Use the session's checkpoint folder (``spark.checkpoint.dir``, a
+    folder shared by the cluster).  Only a local-mode session (tests,
+    single-machine runs) gets a temporary folder when none is set; on a
+    cluster an unset folder is an error, never a machine-local path."""
     d = checkpoint_dir(spark)
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         d = tempfile.mkdtemp(prefix="tablegauge-ckpt-")
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(d)
