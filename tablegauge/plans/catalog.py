@@ -425,7 +425,7 @@ def q_stable_batch(spark, sf):
 # ============================================================ encoding
 @query("onehot_encode",
        "SELECT c_custkey, 'categorical__c_mktsegment_' || v AS feature_name, "
-       "CASE WHEN c_mktsegment = v THEN 1.0 ELSE 0.0 END AS value "
+       "CAST(CASE WHEN c_mktsegment = v THEN 1.0 ELSE 0.0 END AS DOUBLE) AS value "
        "FROM customer, (SELECT DISTINCT c_mktsegment AS v FROM customer) cats")
 def q_onehot_encode(spark, sf):
     cust = I.table(spark, sf, "customer")
@@ -441,7 +441,7 @@ def _wide_to_long(wide: DataFrame, key: str) -> DataFrame:
 
 @query("onehot_unseen",
        "SELECT c_custkey, 'categorical__c_mktsegment_' || v AS feature_name, "
-       "CASE WHEN c_mktsegment = v THEN 1.0 ELSE 0.0 END AS value "
+       "CAST(CASE WHEN c_mktsegment = v THEN 1.0 ELSE 0.0 END AS DOUBLE) AS value "
        "FROM customer, (SELECT DISTINCT c_mktsegment AS v FROM customer WHERE c_mktsegment < 'M') cats")
 def q_onehot_unseen(spark, sf):
     cust = I.table(spark, sf, "customer")
@@ -535,7 +535,7 @@ _GATE = {"f1_pos": 0.30, "roc_auc": 0.50, "accuracy": 0.95}
 
 
 @query("quality_gate", _union([
-    f"SELECT '{m}' AS metric, {m} AS value, {t} AS minimum_required, coalesce({m} >= {t}, false) AS passed, "
+    f"SELECT '{m}' AS metric, {m} AS value, CAST({t} AS DOUBLE) AS minimum_required, coalesce({m} >= {t}, false) AS passed, "
     f"{'true' if m == 'f1_pos' else 'false'} AS is_primary FROM ({_metrics_sql(_PD)}) m"
     for m, t in _GATE.items()]))
 def q_quality_gate(spark, sf):
@@ -701,8 +701,8 @@ def q_drift_gate(spark, sf):
 
 @query("drift_summary",
        f"SELECT g.*, (SELECT coalesce(string_agg(feature, ',' ORDER BY position) FILTER (WHERE drifted), '') "
-       f"FROM ({_features_sql()}) f) AS drifted_feature_names, {_SHARE_THR} AS configured_threshold, "
-       f"{_FEAT_THR} AS feature_threshold FROM ({_gate_sql()}) g")
+       f"FROM ({_features_sql()}) f) AS drifted_feature_names, CAST({_SHARE_THR} AS DOUBLE) AS configured_threshold, "
+       f"CAST({_FEAT_THR} AS DOUBLE) AS feature_threshold FROM ({_gate_sql()}) g")
 def q_drift_summary(spark, sf):
     return D.drift_summary(_event_features(spark, sf), feature_threshold=_FEAT_THR, share_threshold=_SHARE_THR)
 
@@ -767,8 +767,8 @@ def _runs_sql(fallback: bool = False) -> str:
             f"CASE WHEN p_name LIKE '%bolt%' THEN NULL ELSE CAST(p_size AS DOUBLE) END AS metric_f1, "
             f"p_retailprice / 2000.0 AS metric_balanced_accuracy, "
             f"CASE WHEN p_type = 'SMALL' THEN NULL ELSE p_retailprice / 3000.0 END AS metric_roc_auc, "
-            f"CAST(p_partkey AS DOUBLE) / 10000.0 AS metric_precision, 0.5 AS metric_recall, "
-            f"0.75 AS metric_accuracy, "
+            f"CAST(p_partkey AS DOUBLE) / 10000.0 AS metric_precision, CAST(0.5 AS DOUBLE) AS metric_recall, "
+            f"CAST(0.75 AS DOUBLE) AS metric_accuracy, "
             f"CASE WHEN p_size % 2 = 0 THEN 'balanced' END AS param_model_class_weight, "
             f"'1000' AS param_model_max_iter, '0.2' AS param_split_test_size, 'true' AS param_split_stratify, "
             f"coalesce({status}, 'failed') = 'passed' AS eligible FROM part")
