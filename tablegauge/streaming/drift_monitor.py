@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablegauge.operators.drift import compare_batches
-from tablegauge.session import scratch_path
+from tablegauge.session import ensure_checkpoint_dir, scratch_path
 
 
 def start_drift_monitor(spark: SparkSession, reference: DataFrame, source_dir: str, *,
@@ -31,6 +31,10 @@ def start_drift_monitor(spark: SparkSession, reference: DataFrame, source_dir: s
     Each micro-batch (``max_files_per_trigger`` files) is one current batch.
     The summary rows carry ``batch_id`` and the number of rows compared."""
     feats = list(features)
+    # the reference is compared with every micro-batch: write it once to the
+    # shared checkpoint folder instead of recomputing it from its source
+    ensure_checkpoint_dir(spark)
+    reference = reference.checkpoint(eager=True)
     stream = (spark.readStream.schema(schema).format(fmt)
               .option("maxFilesPerTrigger", max_files_per_trigger)
               .option("header", True)
