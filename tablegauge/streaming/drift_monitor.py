@@ -4,9 +4,9 @@ The batch operator (:func:`tablegauge.operators.drift.compare_batches`)
 compares one current batch with a reference batch.  Here every micro-batch
 of a file stream — each new batch file dropped into a folder — is compared
 with the same reference, and one summary row per micro-batch is appended to
-a Parquet table.  ``foreachBatch`` gives exactly-once output per batch id
-with the stream's checkpoint in the shared checkpoint folder, so a restarted
-or failed query resumes where it stopped.
+a Parquet table partitioned by ``batch_id``.  Each batch overwrites its own
+partition, so a replayed batch (after a failure, with the stream's
+checkpoint in the shared checkpoint folder) leaves exactly one row.
 """
 
 from __future__ import annotations
@@ -46,9 +46,9 @@ def start_drift_monitor(spark: SparkSession, reference: DataFrame, source_dir: s
         _, summary = compare_batches(reference, batch, features=feats,
                                      feature_threshold=feature_threshold,
                                      share_threshold=share_threshold)
-        (summary.withColumn("batch_id", F.lit(batch_id).cast("long"))
-         .withColumn("current_rows", F.lit(batch.count()).cast("long"))
-         .write.mode("append").parquet(sink_path))
+        # one folder per batch id, overwritten on retry: replays are idempotent
+        (summary.withColumn("current_rows", F.lit(batch.count()).cast("long"))
+         .write.mode("overwrite").parquet(f"{sink_path.rstrip('/')}/batch_id={batch_id}"))
 
     writer = (stream.writeStream.foreachBatch(compare)
               .option("checkpointLocation", checkpoint or scratch_path(spark, "drift-monitor-ckpt")))
