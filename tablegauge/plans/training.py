@@ -80,14 +80,30 @@ def _params(cfg: TrainingConfig) -> dict[str, str]:
 
 
 def train_run(df: DataFrame, cfg: TrainingConfig, *, runs_path: str | None = None,
-              enforce: bool = True) -> TrainingResult:
-    spark = df.sparkSession
+              enforce: bool = True, cache_input: bool = True) -> TrainingResult:
+    """T8.  The projected input (keys, target, features) is read by the
+    split, missingness and scoring; with ``cache_input`` it is
+    persisted once (memory and disk) instead of being recomputed — worth it
+    whenever the input is a join or another derived table."""
     if cfg.validation is not None:
+        # rules see the whole table (excluded columns included)
         from tablegauge.operators import validate as V
         V.enforce(V.validate_dataset(df, target=cfg.target, excluded_columns=cfg.excluded, **cfg.validation))
     # row keys identify rows; they are never features
     feats = P.feature_columns(df, cfg.target, list(cfg.excluded) + list(cfg.keys))
     base = df.select(*dict.fromkeys(list(cfg.keys) + [cfg.target] + feats))
+    if cache_input:
+        base = base.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _train_run(base, cfg, feats, runs_path=runs_path, enforce=enforce)
+    finally:
+        if cache_input:
+            base.unpersist()
+
+
+def _train_run(base: DataFrame, cfg: TrainingConfig, feats: list[str], *, runs_path: str | None,
+               enforce: bool) -> TrainingResult:
+    spark = base.sparkSession
     srep: dict = {}
     split = S.split_train_test(base, keys=cfg.keys, test_size=cfg.test_size, seed=cfg.split_seed,
                                target=cfg.target, stratify=cfg.stratify, report=srep)
