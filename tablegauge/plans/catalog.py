@@ -624,10 +624,11 @@ def _obs_sql(features, as_type):
                    f"WHERE {c} IS NOT NULL" for c in features])
 
 
-def _ks_sql() -> str:
+def _ks_sql(obs: str | None = None) -> str:
+    obs = obs or _obs_sql(_EV_NUM, 'DOUBLE')
     return f"""
 WITH c AS (SELECT feature, v, CAST(sum(CASE WHEN side = 0 THEN 1 ELSE 0 END) AS BIGINT) AS nr,
-                  CAST(sum(side) AS BIGINT) AS nc FROM ({_obs_sql(_EV_NUM, 'DOUBLE')}) o GROUP BY 1, 2),
+                  CAST(sum(side) AS BIGINT) AS nc FROM ({obs}) o GROUP BY 1, 2),
 t AS (SELECT feature, CAST(sum(nr) AS BIGINT) AS n_ref, CAST(sum(nc) AS BIGINT) AS n_cur FROM c GROUP BY 1),
 w AS (SELECT c.feature, CAST(sum(nr) OVER (PARTITION BY c.feature ORDER BY v) AS BIGINT) AS cr,
              CAST(sum(nc) OVER (PARTITION BY c.feature ORDER BY v) AS BIGINT) AS cc, n_ref, n_cur
@@ -644,12 +645,13 @@ def q_drift_ks(spark, sf):
     return D.ks_scores(ref, cur, _EV_NUM).withColumn("p_value", F.round("p_value", 9))
 
 
-def _chi2_sql() -> str:
+def _chi2_sql(obs: str | None = None) -> str:
+    obs = obs or _obs_sql(['event_type'], 'VARCHAR')
     e_r = "(n_ref * (nr + nc) / (n_ref + n_cur))"
     e_c = "(n_cur * (nr + nc) / (n_ref + n_cur))"
     return f"""
 WITH c AS (SELECT feature, v, CAST(sum(CASE WHEN side = 0 THEN 1 ELSE 0 END) AS BIGINT) AS nr,
-                  CAST(sum(side) AS BIGINT) AS nc FROM ({_obs_sql(['event_type'], 'VARCHAR')}) o GROUP BY 1, 2),
+                  CAST(sum(side) AS BIGINT) AS nc FROM ({obs}) o GROUP BY 1, 2),
 t AS (SELECT feature, CAST(sum(nr) AS BIGINT) AS n_ref, CAST(sum(nc) AS BIGINT) AS n_cur, count(*) AS categories
       FROM c GROUP BY 1)
 SELECT c.feature, round(sum(power(nr - {e_r}, 2) / {e_r} + power(nc - {e_c}, 2) / {e_c}), 9) AS statistic,
@@ -975,3 +977,33 @@ def q_drift_stream(spark, sf):
                                  share_threshold=_SHARE_THR)
     return out.select("batch_id", "current_rows", "evaluated_feature_count", "drifted_feature_count",
                       "gate_status", "drifted_feature_names")
+
+
+# ============================================================ orders monitoring batches: scores
+def _batch_obs_sql(features, as_type) -> str:
+    """Observations of the reference (side 0) and drifted (side 1) orders batches."""
+    parts = []
+    for side, src in ((0, _sample_sql()), (1, _drifted_sql())):
+        for c in features:
+            parts.append(f"SELECT '{c}' AS feature, CAST({c} AS {as_type}) AS v, {side} AS side "
+                         f"FROM ({src}) b WHERE {c} IS NOT NULL")
+    return _union(parts)
+
+
+_ORD_NUM = ["o_custkey", "o_totalprice"]
+
+
+@query("drift_orders_ks", _ks_sql(_batch_obs_sql(_ORD_NUM, "DOUBLE")))
+def q_drift_orders_ks(spark, sf):
+    """KS of the numeric features, reference vs drifted orders batch."""
+    b = _orders_batches(spark, sf)
+    return D.ks_scores(b.reference, b.drifted, _ORD_NUM).withColumn("p_value", F.round("p_value", 9))
+
+
+@query("drift_orders_chi2", _chi2_sql(_batch_obs_sql(["o_orderpriority", "o_orderstatus"], "VARCHAR")))
+def q_drift_orders_chi2(spark, sf):
+    """Chi-square statistic and degrees of freedom, reference vs drifted
+    orders batch: the set-to-constant priority and the untouched status."""
+    b = _orders_batches(spark, sf)
+    return D.chi2_statistics(b.reference, b.drifted, ["o_orderpriority", "o_orderstatus"]) \
+        .withColumn("statistic", F.round("statistic", 9))
