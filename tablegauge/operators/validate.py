@@ -170,10 +170,33 @@ def invalid_target_examples(df: DataFrame, target: str, allowed: Sequence[str],
             .select(t.cast("string").alias("v")).distinct().orderBy("v").limit(n).collect()]
 
 
-def check_batch_schema(df: DataFrame, expected_columns: Sequence[str]) -> DataFrame:
+def check_batch_schema(df: DataFrame, expected_columns: Sequence[str], *, target: str | None = None,
+                       allowed_target_values: Sequence[str] | None = None) -> DataFrame:
     """Compare a batch's columns with the expected order.  Rows
     ``(position, expected_column, actual_column, status)`` where status is
-    ``ok``, ``moved``, ``missing`` or ``extra``; no job is run."""
+    ``ok``, ``moved``, ``missing`` or ``extra``.  With ``target`` and
+    ``allowed_target_values`` one more row (position NULL) checks the
+    target's values (V3) with one aggregate: ``target_ok`` or
+    ``target_invalid=<rows>`` (NULL or not allowed)."""
+    schema_rows = _batch_schema_rows(df, expected_columns)
+    if target is None or allowed_target_values is None:
+        return schema_rows
+    if target not in df.columns:
+        extra = df.sparkSession.createDataFrame(
+            [(None, target, None, "target_missing")], schema_rows.schema)
+        return schema_rows.unionByName(extra)
+    t = F.col(f"`{target}`")
+    bad = F.coalesce(F.sum((t.isNull() | ~t.cast("string").isin(list(allowed_target_values))).cast("long")),
+                     F.lit(0))
+    row = df.agg(bad.alias("bad")).select(
+        F.lit(None).cast("long").alias("position"), F.lit(target).alias("expected_column"),
+        F.lit(target).alias("actual_column"),
+        F.when(F.col("bad") == 0, F.lit("target_ok"))
+        .otherwise(F.concat(F.lit("target_invalid="), F.col("bad").cast("string"))).alias("status"))
+    return schema_rows.unionByName(row)
+
+
+def _batch_schema_rows(df: DataFrame, expected_columns: Sequence[str]) -> DataFrame:
     actual = list(df.columns)
     exp = list(expected_columns)
     rows = []

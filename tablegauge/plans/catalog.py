@@ -244,10 +244,15 @@ _ORD_ALL = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_order
     "SELECT 3, 'o_totalprice', 'o_totalprice', 'ok'",
     "SELECT 4, 'o_orderdate', 'o_orderdate', 'ok'",
     "SELECT 5, 'o_orderpriority', 'o_priority', 'missing'",
+    "SELECT NULL, 'o_orderstatus', 'o_orderstatus', CASE WHEN count(*) FILTER (WHERE o_orderstatus IS NULL "
+    "OR o_orderstatus NOT IN ('F', 'O')) = 0 THEN 'target_ok' ELSE 'target_invalid=' || CAST(count(*) FILTER "
+    "(WHERE o_orderstatus IS NULL OR o_orderstatus NOT IN ('F', 'O')) AS VARCHAR) END FROM orders",
 ]))
 def q_validate_batch_schema(spark, sf):
+    """Schema of a batch with a renamed column against the expected order,
+    then the target values of the batch (status 'P' is not allowed here)."""
     batch = I.table(spark, sf, "orders").withColumnRenamed("o_orderpriority", "o_priority")
-    return V.check_batch_schema(batch, _ORD_ALL)
+    return V.check_batch_schema(batch, _ORD_ALL, target="o_orderstatus", allowed_target_values=("F", "O"))
 
 
 @query("validate_predictions",
