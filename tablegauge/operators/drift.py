@@ -22,7 +22,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tablegauge.errors import ValidationError
 from tablegauge.functions.columns import is_integral, is_numeric
@@ -302,5 +301,3 @@ def choose_batch(batches: MonitoringBatches, name: str) -> DataFrame:
         raise ValidationError(f"current batch must be one of {BATCH_NAMES}, got '{name}'")
     return batches.stable if name == "stable" else batches.drifted
 
-
-__all__ = [n for n in dir() if not n.startswith("_") and n not in ("T",)]
