@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablegauge.llm import packing, records, simhash
+from tablegauge.llm import packing, records, simhash, substrings
 from tablegauge.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,3 +47,10 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents: 3-word shingles, 2 bits."""
     out = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
     return out.select("doc_id", simhash.hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+@query("op5_substring_dedup")
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents under a 35-word window that occurs twice, removed."""
+    out = substrings.remove_repeats(table(spark, sf_dir, "documents"), window=35)
+    return out.select("doc_id", "n_words", "n_removed", "kept_sha256")

@@ -10,6 +10,7 @@ tokens in a text are ordinary text.
 
 from __future__ import annotations
 
+import gc
 import json
 import os
 
@@ -83,6 +84,15 @@ class TextEncoder:
         return ids
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
+        on = gc.isenabled()
+        gc.disable()            # lists of a million words and no cycles: nothing to collect
+        try:
+            return self._encode(texts)
+        finally:
+            if on:
+                gc.enable()
+
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
         get = self.known.get
         cut: list[tuple[list, list[int], list[str]] | None] = []       # ids, their gaps, the words there
         for t in texts:
