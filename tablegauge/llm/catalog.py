@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablegauge.llm import packing, records, simhash, substrings
+from tablegauge.llm import decontaminate, packing, quality, records, simhash, substrings
 from tablegauge.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,3 +54,21 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of all documents under a 35-word window that occurs twice, removed."""
     out = substrings.remove_repeats(table(spark, sf_dir, "documents"), window=35)
     return out.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+@query("op10_decontamination")
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document that holds a benchmark item with up to 10 % edits, and where."""
+    return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op2_quality_classifier")
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of all documents by attention over passages, learned
+    from the labelled rows that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    train = quality.labelled(docs, table(spark, sf_dir, "labels").filter(~held_out), "quality")
+    scored = quality.score(docs, quality.fit(train))
+    return scored.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score",
+                         (F.col("score") >= 0.3).cast("int").alias("predicted"))

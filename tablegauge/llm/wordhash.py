@@ -70,6 +70,7 @@ class Words:
         heads = off[:-1][off[:-1] < off[1:]]
         begins[heads] = ~blank[heads]           # a text's first byte never continues a word
         at = np.flatnonzero(begins)
+        self.places = at
         self.hash = mix(self._hashes(data, at))
         self.first = np.searchsorted(at, off)
         self.sums: list[np.ndarray | None] = [None, None]
