@@ -48,6 +48,7 @@ _PIECE = 1 << 16               # characters scanned at once
 _BINS = 1 << 22
 _FAR = 1 << 20
 _POWERS = _Powers(0x9E3779B97F4A7C15)
+_CHARACTER: np.ndarray | None = None
 
 
 def normalise(text: str | None) -> str:
@@ -59,15 +60,22 @@ def _codes(text: str) -> np.ndarray:
 
 
 def _qgrams(codes: np.ndarray, q: int) -> np.ndarray:
-    """Slot of each q-gram."""
+    """Slot of each q-gram: the high bits of a sum of random numbers times powers."""
+    global _CHARACTER
+    if _CHARACTER is None:
+        _CHARACTER = mix(np.arange(0x110000, dtype=np.uint64) + np.uint64(1))
     n = len(codes)
     if n < q:
         return np.zeros(0, np.int64)
     _POWERS.need(n + 1)
     s = np.zeros(n + 1, np.uint64)
-    np.cumsum(mix(codes.astype(np.uint64)) * _POWERS.up[:n], out=s[1:])
-    h = mix((s[q:] - s[:-q]) * _POWERS.down[:n - q + 1])
-    return (h >> np.uint64(64 - _SLOTS)).astype(np.int64)
+    values = _CHARACTER[codes]
+    values *= _POWERS.up[:n]
+    np.cumsum(values, out=s[1:])
+    h = s[q:] - s[:-q]
+    h *= _POWERS.down[:n - q + 1]
+    h >>= np.uint64(64 - _SLOTS)
+    return h.view(np.int64)
 
 
 @dataclass
@@ -99,32 +107,38 @@ class ItemIndex:
         order = np.argsort(slot, kind="stable")
         self.item, self.place = item[order].astype(np.int64), place[order].astype(np.int64)
         self.count = np.bincount(slot, minlength=1 << _SLOTS).astype(np.int32)
+        self.used = self.count > 0
         self.begin = np.concatenate([[0], np.cumsum(self.count)[:-1]])
 
     def _retained(self, codes: np.ndarray) -> list[tuple[int, int]]:
         """Item and first diagonal of the bands that meet the bound."""
         slot = _qgrams(codes, self.q)
-        n = self.count[slot]
-        at = np.flatnonzero(n)
+        at = np.flatnonzero(self.used[slot])
         if not len(at):
             return []
-        n, shift = n[at], self.longest + (1 << _BAND)
+        slot = slot[at]
+        n, shift = self.count[slot], self.longest + (1 << _BAND)
         inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        hit = np.repeat(self.begin[slot[at]], n) + inside
+        hit = np.repeat(self.begin[slot], n) + inside
         item = self.item[hit]
         diagonal = np.repeat(at, n) - self.place[hit] + shift
         bands = (len(codes) + shift >> _BAND) + 1
         key = item * bands + (diagonal >> _BAND)
         overlap = (diagonal & (1 << _BAND) - 1) < self.budget[item]
         key = np.concatenate([key, key[overlap] - 1])
+        hit = np.concatenate([hit, hit[overlap]])
         if len(self.keys) * bands <= _BINS:
-            shared = np.bincount(key, minlength=len(self.keys) * bands).reshape(-1, bands)
-            items, band = np.nonzero(shared >= self.need[:, None])
+            shared = np.bincount(key, minlength=len(self.keys) * bands)[key]
         else:
-            key, shared = np.unique(key, return_counts=True)
-            keep = shared >= self.need[key // bands]
-            items, band = key[keep] // bands, key[keep] % bands
-        return list(zip(items.tolist(), ((band << _BAND) - shift).tolist()))
+            _, of, shared = np.unique(key, return_inverse=True, return_counts=True)
+            shared = shared[of]
+        keep = shared >= self.need[key // bands]
+        # of an item's q-grams each counts once, however often the region repeats it
+        key, hit = key[keep], hit[keep]
+        key = np.unique(key * (self.longest + 1) + self.place[hit]) // (self.longest + 1)
+        key, shared = np.unique(key, return_counts=True)
+        key = key[shared >= self.need[key // bands]]
+        return list(zip((key // bands).tolist(), ((key % bands << _BAND) - shift).tolist()))
 
     def scan(self, texts: list[str | None]) -> list[list[Match]]:
         """For each text its best match with every item that it holds."""
