@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablegauge.llm.common import blocks, cut_lineage
+from tablegauge.llm.common import blocks, write_shared
 from tablegauge.llm.wordhash import Words, least_places, mix
 
 #: Words of an anchor; a window holds window - SEED_WORDS + 1 candidates.
@@ -45,11 +45,15 @@ SEED_WORDS = 12
 
 def _rows(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``id``, ``sum`` and ``text``: id and checksum name a row (rows that
-    share both have the same text, hence the same repeats)."""
+    share both have the same text, hence the same repeats).  Where no id is
+    null or repeated the checksum is left out, which makes every shuffle
+    of places smaller."""
+    key = F.col(id_col).cast("long")
     text = F.coalesce(F.col(text_col).cast("binary"), F.lit(b""))
-    return df.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-1)).alias("id"),
-                     F.when(F.col(id_col).isNull(), -1).otherwise(1).cast("long").alias("sign"), text.alias("text")) \
-        .select("id", (F.col("sign") * (F.crc32("text") + 1)).alias("sum"), "text")
+    named = df.groupBy(key.alias("id")).agg(F.count("*").alias("c")).filter("c > 1 or id is null").isEmpty()
+    rows = df.select(F.coalesce(key, F.lit(-1)).alias("id"), text.alias("text"), key.isNull().alias("unnamed"))
+    total = F.lit(0).cast("long") if named else F.when(F.col("unnamed"), -1).otherwise(1) * (F.crc32("text") + 1)
+    return rows.select("id", total.alias("sum"), "text")
 
 
 def _anchored(rows: DataFrame, window: int) -> DataFrame:
@@ -105,7 +109,7 @@ def repeated_windows(df: DataFrame, window: int, id_col: str = "doc_id", text_co
         raise ValueError(f"a window needs more than {SEED_WORDS} words")
     rows = _rows(df, id_col, text_col)
     seen = _anchored(rows, window).groupBy("anchor").agg(F.count("*").alias("c")).filter("c > 1").select("anchor")
-    repeated = cut_lineage(_anchored(rows, window).join(seen, "anchor"))
+    repeated = df.sparkSession.read.parquet(write_shared(_anchored(rows, window).join(seen, "anchor"), "anchors"))
     segs = repeated.groupBy("anchor", "seg").agg(F.count("*").alias("c"), F.min(F.struct("id", "sum", "s")).alias("one"))
     kinds = segs.groupBy("anchor").agg(F.count("*").alias("kinds"))
     segs = segs.join(kinds, "anchor").filter("c > 1 or kinds > 1")
@@ -114,7 +118,7 @@ def repeated_windows(df: DataFrame, window: int, id_col: str = "doc_id", text_co
     # the ends of matches; of segments that occur twice, one occurrence stands for all
     ends = known.filter("kinds > 1").filter((F.col("c") == 1) | (F.struct("id", "sum", "s") == F.col("one")))
     parts = ends.groupBy("id", "sum").agg(F.collect_set(F.struct("s", "n")).alias("parts"))
-    wins = cut_lineage(_windows(rows.join(parts, ["id", "sum"]), window))
+    wins = _windows(rows.join(parts, ["id", "sum"]), window)
     twice = wins.groupBy("w1", "w2").agg(F.count("*").alias("c")).filter("c > 1").select("w1", "w2")
     single = wins.join(twice, ["w1", "w2"]).select("id", "sum", "s", F.lit(1).alias("n"))
     hits = whole.union(single).groupBy("id", "sum").agg(F.collect_set(F.struct("s", "n")).alias("hits"))
