@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablegauge.llm import decontaminate, packing, quality, records, simhash, substrings
+from tablegauge.llm import decontaminate, html, packing, quality, records, simhash, substrings
 from tablegauge.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -72,3 +72,10 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = quality.score(docs, quality.fit(train))
     return scored.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score",
                          (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@query("op1_html_text")
+def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of all pages."""
+    out = html.extract(table(spark, sf_dir, "pages"))
+    return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
