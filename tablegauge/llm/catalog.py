@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablegauge.llm import decontaminate, html, packing, quality, records, simhash, substrings
+from tablegauge.llm import decontaminate, html, packing, pii, quality, records, simhash, substrings
 from tablegauge.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,3 +79,12 @@ def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of all pages."""
     out = html.extract(table(spark, sf_dir, "pages"))
     return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query("op8_pii")
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in all documents: pattern spans and disclosing terms."""
+    out = pii.find(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    counts = [pii.count_kind(F.col("base"), name).alias(f"n_{name}") for name in pii.KINDS]
+    return out.select("doc_id", *counts, F.sha2(pii.span_list(F.col("base")), 256).alias("base_sha256"),
+                      pii.span_list(F.col("base"), F.col("terms")).alias("spans"))

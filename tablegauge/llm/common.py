@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -42,8 +42,8 @@ def write_shared(df: DataFrame, name: str) -> str:
     return path
 
 
-def blocks(batches: Iterable[pa.RecordBatch], text_col: str) -> Iterator[pa.RecordBatch]:
-    """Slices of the Arrow batches with about BLOCK_BYTES of text each, so
+def blocks(batches: Iterable[pa.RecordBatch], text_col: str, size: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
+    """Slices of the Arrow batches with about ``size`` bytes of text each, so
     that long texts don't pile up in a task."""
     for batch in batches:
         n = batch.num_rows
@@ -52,19 +52,8 @@ def blocks(batches: Iterable[pa.RecordBatch], text_col: str) -> Iterator[pa.Reco
         sizes = pc.binary_length(batch.column(text_col)).to_pylist()
         start = held = 0
         for i, b in enumerate(sizes):
-            if held and held + (b or 0) > BLOCK_BYTES:
+            if held and held + (b or 0) > size:
                 yield batch.slice(start, i - start)
                 start, held = i, 0
             held += b or 0
         yield batch.slice(start, n - start)
-
-
-def map_blocks(df: DataFrame, fn: Callable[[pa.RecordBatch], dict | None], schema: str, text_col: str,
-               arrow_schema: pa.Schema) -> DataFrame:
-    """``mapInArrow`` over bounded blocks; ``fn`` returns the columns of its rows."""
-    def run(batches):
-        for b in blocks(batches, text_col):
-            cols = fn(b)
-            if cols is not None:
-                yield pa.RecordBatch.from_pydict(cols, schema=arrow_schema)
-    return df.mapInArrow(run, schema)

@@ -41,6 +41,9 @@ from tablegauge.llm.wordhash import Words, least_places, mix
 
 #: Words of an anchor; a window holds window - SEED_WORDS + 1 candidates.
 SEED_WORDS = 12
+_SALTS = 16
+#: Bytes of text a task hashes at a time (some 20 times that in arrays).
+_BLOCK = 2 << 20
 
 
 def _rows(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -60,7 +63,7 @@ def _anchored(rows: DataFrame, window: int) -> DataFrame:
     """One row for each run of windows with one anchor: ``anchor``, ``seg``,
     the row's ``id`` and ``sum``, first window ``s`` and number of windows ``n``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in blocks(batches, "text"):
+        for b in blocks(batches, "text", _BLOCK):
             words = Words(b.column("text"))
             total, first = len(words.hash), words.first
             if total < window:
@@ -87,7 +90,7 @@ def _anchored(rows: DataFrame, window: int) -> DataFrame:
 def _windows(rows: DataFrame, window: int) -> DataFrame:
     """``w1, w2, id, sum, s`` of the windows in the rows' ``parts`` (an array of ``s, n``)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in blocks(batches, "text"):
+        for b in blocks(batches, "text", _BLOCK):
             words = Words(b.column("text"))
             parts = b.column("parts")
             d = np.repeat(np.arange(b.num_rows), parts.value_lengths().to_numpy(zero_copy_only=False))
@@ -111,12 +114,15 @@ def repeated_windows(df: DataFrame, window: int, id_col: str = "doc_id", text_co
     seen = _anchored(rows, window).groupBy("anchor").agg(F.count("*").alias("c")).filter("c > 1").select("anchor")
     repeated = df.sparkSession.read.parquet(write_shared(_anchored(rows, window).join(seen, "anchor"), "anchors"))
     segs = repeated.groupBy("anchor", "seg").agg(F.count("*").alias("c"), F.min(F.struct("id", "sum", "s")).alias("one"))
-    kinds = segs.groupBy("anchor").agg(F.count("*").alias("kinds"))
-    segs = segs.join(kinds, "anchor").filter("c > 1 or kinds > 1")
+    # an anchor may have very many segments, so those that share it meet in several tasks
+    many = segs.groupBy("anchor").agg(F.count("*").alias("kinds")).filter("kinds > 1") \
+        .select("anchor", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("salt"), F.lit(True).alias("shared"))
+    segs = segs.withColumn("salt", F.pmod("seg", F.lit(_SALTS)).cast("int")).join(many, ["anchor", "salt"], "left") \
+        .filter("c > 1 or shared").select("anchor", "seg", "c", "one", F.coalesce("shared", F.lit(False)).alias("shared"))
     known = repeated.join(segs, ["anchor", "seg"])
     whole = known.filter("c > 1").select("id", "sum", "s", "n")
     # the ends of matches; of segments that occur twice, one occurrence stands for all
-    ends = known.filter("kinds > 1").filter((F.col("c") == 1) | (F.struct("id", "sum", "s") == F.col("one")))
+    ends = known.filter("shared").filter((F.col("c") == 1) | (F.struct("id", "sum", "s") == F.col("one")))
     parts = ends.groupBy("id", "sum").agg(F.collect_set(F.struct("s", "n")).alias("parts"))
     wins = _windows(rows.join(parts, ["id", "sum"]), window)
     twice = wins.groupBy("w1", "w2").agg(F.count("*").alias("c")).filter("c > 1").select("w1", "w2")
@@ -132,7 +138,7 @@ def remove_repeats(df: DataFrame, window: int = 35, id_col: str = "doc_id", text
     rows, hits = repeated_windows(df, window, id_col, text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in blocks(batches, "text"):
+        for b in blocks(batches, "text", _BLOCK):
             out: dict[str, list] = {k: [] for k in ("text", "n_words", "n_removed", "spans", "sha256")}
             for text, found in zip(b.column("text").to_pylist(), b.column("hits").to_pylist()):
                 words = text.split()
