@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablegauge.llm import decontaminate, html, packing, pii, quality, records, simhash, substrings
+from tablegauge.llm import decontaminate, html, licenses, licenses_sql, packing, pii, quality, records, rules, simhash, substrings
 from tablegauge.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -88,3 +88,23 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = [pii.count_kind(F.col("base"), name).alias(f"n_{name}") for name in pii.KINDS]
     return out.select("doc_id", *counts, F.sha2(pii.span_list(F.col("base")), 256).alias("base_sha256"),
                       pii.span_list(F.col("base"), F.col("terms")).alias("spans"))
+
+
+@query("op7_quality_rules")
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule counts and verdicts of all documents; cutoffs certified by language."""
+    out = rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@query("op3_license_scan", licenses_sql.SQL)
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences of all documents, laid out as the files of a repository for
+    each source: a directory for a language, below it one for each hundred
+    ids; every 25th document is its directory's licence file, and every
+    1000th its language's."""
+    files = table(spark, sf_dir, "documents").select("doc_id", F.col("source").alias("repo"), "text", F.expr(
+        "concat_ws('/', lang, CASE WHEN doc_id % 1000 = 0 THEN 'LICENSE' WHEN doc_id % 25 = 0 THEN concat('d', doc_id div 100, '/LICENSE') "
+        "ELSE concat('d', doc_id div 100, '/', doc_id, '.txt') END)").alias("path"))
+    out = licenses.scan(files, licenses.templates(spark), id_col="doc_id")
+    return out.select(F.col("file_id").alias("doc_id"), "path", "license", "origin", F.round("cosine", 6).alias("cosine"), "from_dir")
