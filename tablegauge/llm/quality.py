@@ -139,10 +139,12 @@ def train(bags: list[np.ndarray], labels: np.ndarray, hidden: int = 24, gate: in
     rng = np.random.default_rng(seed)
     # bags in a fixed order, so the model doesn't depend on how they arrived
     order = sorted(range(len(bags)), key=lambda i: (bags[i].tobytes(), y[i]))
-    bags, y = [bags[i].astype(np.float64) for i in order], y[order]
-    flat = np.concatenate(bags)
-    mean, scale = flat.mean(0), flat.std(0) + 0.02
-    bags = [(b - mean) / scale for b in bags]
+    flat, y = np.concatenate([bags[i] for i in order]).astype(np.float32), y[order]
+    ends = np.cumsum([len(bags[i]) for i in order])
+    mean, scale = flat.mean(0, dtype=np.float64), flat.std(0, dtype=np.float64) + 0.02
+    flat -= mean.astype(np.float32)
+    flat /= scale.astype(np.float32)
+    bags = np.split(flat, ends[:-1])            # views: the sample is held once
     w = {"W": rng.normal(0, 1 / np.sqrt(N_FEATURES), (N_FEATURES, hidden)), "b": np.zeros(hidden),
          "V": rng.normal(0, .3, (hidden, gate)), "U": rng.normal(0, .3, (hidden, gate)), "w": rng.normal(0, .3, gate),
          "c": rng.normal(0, .3, hidden), "d": np.array(np.log(y.mean() / (1 - y.mean())))}
@@ -163,7 +165,7 @@ def train(bags: list[np.ndarray], labels: np.ndarray, hidden: int = 24, gate: in
     return Model(mean, scale, w)
 
 
-def labelled(docs: DataFrame, labels: DataFrame, label_col: str, max_docs: int = 3000, id_col: str = "doc_id",
+def labelled(docs: DataFrame, labels: DataFrame, label_col: str, max_docs: int = 2500, id_col: str = "doc_id",
              text_col: str = "text") -> DataFrame:
     """``text, label`` of at most ``max_docs`` labelled documents, by the hash of their id."""
     few = labels.filter(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()) \

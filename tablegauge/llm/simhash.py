@@ -45,7 +45,7 @@ from tablegauge.llm.components import connected_components
 
 SEED = 42
 BITS = 64
-BASES = 8
+BASES = 4
 PAIR_GROUP = 8
 
 
