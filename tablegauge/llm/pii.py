@@ -161,22 +161,28 @@ def _small(df: DataFrame, rows: int) -> bool:
 def disclosing(docs: DataFrame, near: DataFrame, alpha: float = ALPHA, support: int = SUPPORT,
                broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """``entity, term, pmi, ic`` of the pairs above the disclosure threshold."""
-    n = docs.count()
+    n = F.lit(float(max(docs.count(), 1)))
     once = near.select("key", "entity", "term").distinct()
     pairs = once.filter("term <> ''").groupBy("entity", "term").agg(F.count("*").alias("n_te")).filter(F.col("n_te") >= support)
     entities = near.select("key", "entity").distinct().groupBy("entity").agg(F.count("*").alias("n_e"))
-    pairs = docs.sparkSession.read.parquet(write_shared(pairs.join(entities, "entity"), "pairs"))
+    # documents that show the term beside any entity: at least so many hold it
+    shown = near.select("key", "term").distinct().groupBy("term").agg(F.count("*").alias("n_shown"))
+    ic = F.log2(n / F.col("n_e"))
+    enough = F.greatest(F.lit(1.0), F.lit(alpha) * ic)
+
+    def pmi(n_t):
+        return F.log2(F.col("n_te") * n / (n_t * F.col("n_e")))
+    # a pair that fails with so few documents fails with all of them, so common words are not counted at all
+    pairs = pairs.join(entities, "entity").join(shown, "term").filter(pmi(F.col("n_shown")) >= enough)
+    pairs = docs.sparkSession.read.parquet(write_shared(pairs, "pairs"))
     wanted = pairs.select("term").distinct()
     words = docs.select(F.explode(F.array_distinct(F.split(F.lower(F.col("text")), _TERM_BREAK))).alias("term"))
     if _small(wanted, broadcast_rows):
         counts = words.join(F.broadcast(wanted), "term", "left_semi").groupBy("term").agg(F.count("*").alias("n_t"))
     else:
         counts = words.groupBy("term").agg(F.count("*").alias("n_t")).join(wanted, "term", "left_semi")
-    # a context can hold a term as part of a match's neighbour only; it is in the document all the same
-    pmi = F.log2(F.col("n_te") * F.lit(float(max(n, 1))) / (F.greatest("n_t", "n_te") * F.col("n_e")))
-    ic = F.log2(F.lit(float(max(n, 1))) / F.col("n_e"))
-    return pairs.join(counts, "term").select("entity", "term", pmi.alias("pmi"), ic.alias("ic")) \
-        .filter(F.col("pmi") >= F.greatest(F.lit(1.0), F.lit(alpha) * F.col("ic")))
+    return pairs.join(counts, "term").select("entity", "term", pmi(F.greatest("n_t", "n_shown")).alias("pmi"), ic.alias("ic"), enough.alias("enough")) \
+        .filter("pmi >= enough").drop("enough")
 
 
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", context: int = CONTEXT, alpha: float = ALPHA,
