@@ -41,7 +41,7 @@ from tablegauge.llm.wordhash import Words, least_places, mix
 
 #: Words of an anchor; a window holds window - SEED_WORDS + 1 candidates.
 SEED_WORDS = 12
-_SALTS = 16
+_SALTS = 8
 #: Bytes of text a task hashes at a time (some 20 times that in arrays).
 _BLOCK = 2 << 20
 
@@ -111,22 +111,29 @@ def repeated_windows(df: DataFrame, window: int, id_col: str = "doc_id", text_co
     if window <= SEED_WORDS:
         raise ValueError(f"a window needs more than {SEED_WORDS} words")
     rows = _rows(df, id_col, text_col)
-    seen = _anchored(rows, window).groupBy("anchor").agg(F.count("*").alias("c")).filter("c > 1").select("anchor")
-    repeated = df.sparkSession.read.parquet(write_shared(_anchored(rows, window).join(seen, "anchor"), "anchors"))
-    segs = repeated.groupBy("anchor", "seg").agg(F.count("*").alias("c"), F.min(F.struct("id", "sum", "s")).alias("one"))
-    # an anchor may have very many segments, so those that share it meet in several tasks
-    many = segs.groupBy("anchor").agg(F.count("*").alias("kinds")).filter("kinds > 1") \
-        .select("anchor", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("salt"), F.lit(True).alias("shared"))
-    segs = segs.withColumn("salt", F.pmod("seg", F.lit(_SALTS)).cast("int")).join(many, ["anchor", "salt"], "left") \
-        .filter("c > 1 or shared").select("anchor", "seg", "c", "one", F.coalesce("shared", F.lit(False)).alias("shared"))
+    spark = df.sparkSession
+
+    def kept(table: DataFrame, name: str) -> DataFrame:
+        # a written table is shuffled by itself, so the planner can split a join's hot keys
+        return spark.read.parquet(write_shared(table, name))
+
+    seen = kept(_anchored(rows, window).groupBy("anchor").agg(F.count("*").alias("c")).filter("c > 1").select("anchor"), "seen")
+    repeated = kept(_anchored(rows, window).join(seen, "anchor"), "anchors")
+    segs = kept(repeated.groupBy("anchor", "seg").agg(F.count("*").alias("c"), F.min(F.struct("id", "sum", "s")).alias("one")), "segments")
+    many = kept(segs.groupBy("anchor").agg(F.count("*").alias("kinds")).filter("kinds > 1")
+                .select("anchor", F.lit(True).alias("shared")), "shared")
+    segs = segs.join(many, "anchor", "left").filter("c > 1 or shared") \
+        .select("anchor", "seg", "c", "one", F.coalesce("shared", F.lit(False)).alias("shared"))
     known = repeated.join(segs, ["anchor", "seg"])
     whole = known.filter("c > 1").select("id", "sum", "s", "n")
     # the ends of matches; of segments that occur twice, one occurrence stands for all
     ends = known.filter("shared").filter((F.col("c") == 1) | (F.struct("id", "sum", "s") == F.col("one")))
     parts = ends.groupBy("id", "sum").agg(F.collect_set(F.struct("s", "n")).alias("parts"))
-    wins = _windows(rows.join(parts, ["id", "sum"]), window)
-    twice = wins.groupBy("w1", "w2").agg(F.count("*").alias("c")).filter("c > 1").select("w1", "w2")
-    single = wins.join(twice, ["w1", "w2"]).select("id", "sum", "s", F.lit(1).alias("n"))
+    wins = _windows(rows.join(parts, ["id", "sum"]), window).withColumn("salt", F.pmod("id", F.lit(_SALTS)).cast("int"))
+    # a window that very many documents share meets its count in several tasks
+    twice = wins.groupBy("w1", "w2").agg(F.count("*").alias("c")).filter("c > 1") \
+        .select("w1", "w2", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("salt"))
+    single = wins.join(twice, ["w1", "w2", "salt"]).select("id", "sum", "s", F.lit(1).alias("n"))
     hits = whole.union(single).groupBy("id", "sum").agg(F.collect_set(F.struct("s", "n")).alias("hits"))
     return rows, hits
 
