@@ -23,3 +23,10 @@ class GateError(TableGaugeError):
 
 class TrainingError(TableGaugeError):
     """A model specification or fit is invalid."""
+
+
+def refuse(kind: type[Exception], **faults) -> None:
+    """Raise ``kind`` with every fault that holds: ``name=(test, text)``."""
+    said = [f"{name}: {text}" for name, (test, text) in faults.items() if test]
+    if said:
+        raise kind("; ".join(said))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,14 +25,6 @@ def is_fractional(dt: T.DataType) -> bool:
     return isinstance(dt, (T.FloatType, T.DoubleType))
 
 
-def numeric_columns(df: DataFrame, *, include_bool: bool = False) -> list[str]:
-    return [f.name for f in df.schema.fields if is_numeric(f.dataType, include_bool=include_bool)]
-
-
-def non_numeric_columns(df: DataFrame, *, include_bool: bool = False) -> list[str]:
-    return [f.name for f in df.schema.fields if not is_numeric(f.dataType, include_bool=include_bool)]
-
-
 def missing(c: str, dt: T.DataType) -> Column:
     """Missing marker test: NULL, and NaN for floating columns."""
     col = F.col(f"`{c}`")
@@ -54,6 +46,12 @@ def nan_to_null(df: DataFrame) -> DataFrame:
     ])
 
 
+def present(c: str, dt: T.DataType) -> Column:
+    """The column with NaN as NULL, so that both count as one missing value."""
+    col = F.col(f"`{c}`")
+    return F.nanvl(col, F.lit(None).cast(dt)) if is_fractional(dt) else col
+
+
 def key_text(keys: Sequence[str]) -> list[Column]:
     """Keys rendered as text for hashing (integers and strings render the
     same way in Spark and DuckDB)."""
@@ -65,13 +63,3 @@ def row_hash(seed: int | str, salt: str, keys: Sequence[str]) -> Column:
     md5('seed|salt|key1|key2...')."""
     return F.md5(F.concat_ws("|", F.lit(str(seed)), F.lit(str(salt)), *key_text(keys)))
 
-
-def require_columns(df: DataFrame, cols: Iterable[str], what: str, exc=ValueError) -> None:
-    missing_cols = sorted(set(cols).difference(df.columns))
-    if missing_cols:
-        raise exc(f"{what}: missing columns {missing_cols}")
-
-
-def sql_str(v: str) -> str:
-    """Quote a Python string as a SQL literal."""
-    return "'" + str(v).replace("'", "''") + "'"

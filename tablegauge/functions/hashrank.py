@@ -33,7 +33,7 @@ _ALL = "g"          # sorts after every hex digit: selects the whole stratum
 _NONE = ""          # sorts before every hash: selects nothing
 _DIGITS = 4         # hex digits added per refinement level
 _FINAL_ROWS = 1 << 20  # a boundary bucket this small is ranked directly
-MAX_STRATA = 100_000   # strata are collected and looked up from a literal map
+_LITERAL_STRATA = 256  # up to so many thresholds are a literal map, more are joined (same rows)
 
 
 def hash_thresholds(df: DataFrame, stratum: str, hash_col: str,
@@ -55,9 +55,7 @@ def hash_thresholds(df: DataFrame, stratum: str, hash_col: str,
               .agg(F.count(F.lit(1)).alias("n"))
               .persist(StorageLevel.MEMORY_AND_DISK))
     try:
-        trows = level1.groupBy("s").agg(F.sum("n").alias("t")).limit(MAX_STRATA + 1).collect()
-        if len(trows) > MAX_STRATA:
-            raise ValueError(f"more than {MAX_STRATA} strata: stratify by a coarser column")
+        trows = level1.groupBy("s").agg(F.sum("n").alias("t")).collect()     # one row per stratum
         totals = {r["s"]: int(r["t"]) for r in trows}
         if totals_out is not None:
             totals_out.update(totals)
@@ -75,21 +73,17 @@ def hash_thresholds(df: DataFrame, stratum: str, hash_col: str,
         while state:
             level += 1
             plen = level * _DIGITS
-            need = F.create_map(*[x for s, (_, r) in state.items() for x in (F.lit(s), F.lit(r))])
+            need = _boundaries(df.sparkSession, state)
             if level == 1:
-                counts = level1.where(F.col("s").isin(list(state)))
+                counts = level1
             else:
-                cond = None
-                for s, (prefix, _) in state.items():
-                    c = (F.col(stratum) == F.lit(s)) & F.col(hash_col).startswith(prefix)
-                    cond = c if cond is None else (cond | c)
-                counts = (df.where(cond)
+                counts = (_inside(df, stratum, hash_col, need, plen - _DIGITS)
                           .groupBy(F.col(stratum).alias("s"), F.substring(hash_col, 1, plen).alias("b"))
                           .agg(F.count(F.lit(1)).alias("n")))
             w = Window.partitionBy("s").orderBy("b").rowsBetween(Window.unboundedPreceding, 0)
             bounds = (counts
                       .withColumn("cum", F.sum("n").over(w))
-                      .withColumn("r", need[F.col("s")])
+                      .join(need.select("s", "r"), "s")
                       .where((F.col("cum") - F.col("n") < F.col("r")) & (F.col("cum") >= F.col("r")))
                       .select("s", "b", "n", (F.col("r") - (F.col("cum") - F.col("n"))).alias("rest"))
                       .collect())
@@ -108,22 +102,33 @@ def hash_thresholds(df: DataFrame, stratum: str, hash_col: str,
         level1.unpersist()
 
     if final:
-        cond = None
-        for s, (prefix, _) in final.items():
-            c = (F.col(stratum) == F.lit(s)) & F.col(hash_col).startswith(prefix)
-            cond = c if cond is None else (cond | c)
-        need = F.create_map(*[x for s, (_, r) in final.items() for x in (F.lit(s), F.lit(r))])
-        w = Window.partitionBy(stratum).orderBy(hash_col)
-        rows = (df.where(cond)
-                .select(stratum, hash_col)
-                .withColumn("rn", F.row_number().over(w))
-                .where(F.col("rn") == need[F.col(stratum)])
-                .collect())
-        for row in rows:
-            out[row[stratum]] = row[hash_col]
+        by_length: dict[int, dict[str, tuple[str, int]]] = {}
+        for s, (prefix, r) in final.items():
+            by_length.setdefault(len(prefix), {})[s] = (prefix, r)
+        for length, part in by_length.items():
+            rows = (_inside(df, stratum, hash_col, _boundaries(df.sparkSession, part), length)
+                    .withColumn("rn", F.row_number().over(Window.partitionBy(stratum).orderBy(hash_col)))
+                    .withColumn("same", F.count(F.lit(1)).over(Window.partitionBy(stratum, hash_col)))
+                    .where(F.col("rn") == F.col("r"))
+                    .select(stratum, hash_col, "same").collect())
+            for row in rows:
+                if row["same"] > 1:
+                    raise ValueError("the keys name several rows alike; an exact selection needs unique keys")
+                out[row[stratum]] = row[hash_col]
     return out
 
 
+def _boundaries(spark, state: Mapping[str, tuple[str, int]]) -> DataFrame:
+    """``s, p, r``: each stratum's boundary prefix and the rows still needed there."""
+    return spark.createDataFrame([(s, p, r) for s, (p, r) in state.items()], "s string, p string, r long")
+
+
+def _inside(df: DataFrame, stratum: str, hash_col: str, need: DataFrame, length: int) -> DataFrame:
+    """The rows in their stratum's boundary bucket, by an equi-join."""
+    keyed = df.select(stratum, hash_col, F.substring(hash_col, 1, length).alias("_p"))
+    return keyed.join(need, (F.col(stratum) == F.col("s")) & (F.col("_p") == F.col("p"))).select(stratum, hash_col, "r")
+
+
 def threshold_column(thresholds: Mapping[str, str], stratum: Column) -> Column:
     """Per-row threshold looked up from a (bounded) literal map."""
     if not thresholds:
@@ -146,7 +151,11 @@ def select_smallest(df: DataFrame, hash_expr: Column, k, stratum: Column | None
         kk = {str(s): int(n) for s, n in k.items()}
     keyed = df.select(strat.cast("string").alias("_s"), hash_expr.alias("_h"))
     thr = hash_thresholds(keyed, "_s", "_h", kk, totals_out)
-    return df.withColumn(flag, hash_expr <= threshold_column(thr, strat.cast("string")))
+    if len(thr) <= _LITERAL_STRATA:
+        return df.withColumn(flag, hash_expr <= threshold_column(thr, strat.cast("string")))
+    limits = df.sparkSession.createDataFrame(list(thr.items()), "_stratum string, _limit string")
+    return (df.withColumn("_stratum", strat.cast("string")).join(limits, "_stratum", "left")
+            .withColumn(flag, hash_expr <= F.coalesce("_limit", F.lit(_NONE))).drop("_stratum", "_limit"))
 
 
 def largest_remainder(total: int, counts: Mapping[str, int]) -> dict[str, int]:

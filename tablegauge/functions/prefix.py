@@ -10,9 +10,9 @@ groups rows) gives every partition its offset, and the global statistic is
 combined from the partials.  The whole computation is one lazy plan: the
 range exchange is evaluated once, so partition ids are consistent.
 
-Integer counts are combined in 64-bit integer arithmetic so that the final
-statistic is one exact ratio (identical to an ordinary cumulative-window
-query in SQL).
+Products of counts are exact 38-digit integers, so that the final statistic
+is one exact ratio (identical to an ordinary cumulative-window query in SQL)
+for up to 10^18 rows a side.
 """
 
 from __future__ import annotations
@@ -29,6 +29,11 @@ def _parts(spark: SparkSession, num: int | None) -> int:
     return max(1, int(num or default_parallelism(spark)))
 
 
+def _wide(c: Column) -> Column:
+    """A count as a decimal: the product of two is exact."""
+    return c.cast("decimal(19,0)")
+
+
 def ks_distance(counts: DataFrame, group: str, value: str, n_ref: str, n_cur: str,
                 num_partitions: int | None = None) -> DataFrame:
     """Two-sample Kolmogorov–Smirnov distance per group.
@@ -50,7 +55,7 @@ def ks_distance(counts: DataFrame, group: str, value: str, n_ref: str, n_cur: st
              .join(F.broadcast(totals), group)  # one row per group
              .withColumn("_lr", F.sum(n_ref).over(w))
              .withColumn("_lc", F.sum(n_cur).over(w))
-             .withColumn("_d", F.col("_lr") * F.col("_N_cur") - F.col("_lc") * F.col("_N_ref")))
+             .withColumn("_d", _wide(F.col("_lr")) * _wide(F.col("_N_cur")) - _wide(F.col("_lc")) * _wide(F.col("_N_ref"))))
     partials = local.groupBy("_pid", group).agg(
         F.sum(n_ref).alias("_tr"), F.sum(n_cur).alias("_tc"),
         F.max("_d").alias("_dmax"), F.min("_d").alias("_dmin"),
@@ -59,13 +64,13 @@ def ks_distance(counts: DataFrame, group: str, value: str, n_ref: str, n_cur: st
     offs = (partials
             .withColumn("_or", F.coalesce(F.sum("_tr").over(before), F.lit(0)))
             .withColumn("_oc", F.coalesce(F.sum("_tc").over(before), F.lit(0)))
-            .withColumn("_c", F.col("_or") * F.col("_N_cur") - F.col("_oc") * F.col("_N_ref")))
+            .withColumn("_c", _wide(F.col("_or")) * _wide(F.col("_N_cur")) - _wide(F.col("_oc")) * _wide(F.col("_N_ref"))))
     return (offs.groupBy(group)
             .agg(F.max(F.greatest(F.abs(F.col("_c") + F.col("_dmax")),
                                   F.abs(F.col("_c") + F.col("_dmin")))).alias("_num"),
                  F.first("_N_ref").alias("n_ref"), F.first("_N_cur").alias("n_cur"))
             .select(group,
-                    (F.col("_num") / (F.col("n_ref") * F.col("n_cur"))).alias("statistic"),
+                    (F.col("_num").cast("double") / (_wide(F.col("n_ref")) * _wide(F.col("n_cur"))).cast("double")).alias("statistic"),
                     "n_ref", "n_cur"))
 
 
@@ -86,15 +91,15 @@ def roc_auc_counts(counts: DataFrame, score: str, pos: str, neg: str,
     partials = local.groupBy("_pid").agg(
         F.sum(pos).alias("_tp"), F.sum(neg).alias("_tn"),
         # twice the within-partition numerator, integer valued
-        F.sum(2 * F.col(pos) * F.col("_nb") + F.col(pos) * F.col(neg)).alias("_in2"))
+        F.sum(_wide(F.col(pos)) * (2 * _wide(F.col("_nb")) + _wide(F.col(neg))).cast("decimal(20,0)")).alias("_in2"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     # `partials` has one row per range partition: a bounded table
     offs = partials.withColumn("_on", F.coalesce(F.sum("_tn").over(before), F.lit(0)))
-    agg = offs.agg(F.sum(F.col("_in2") + 2 * F.col("_on") * F.col("_tp")).alias("_num2"),
+    agg = offs.agg(F.sum(F.col("_in2") + (2 * _wide(F.col("_on"))).cast("decimal(20,0)") * _wide(F.col("_tp"))).alias("_num2"),
                    F.sum("_tp").alias("n_pos"), F.sum("_tn").alias("n_neg"))
     return agg.select(
         F.when((F.col("n_pos") > 0) & (F.col("n_neg") > 0),
-               F.col("_num2") / (2.0 * F.col("n_pos") * F.col("n_neg"))).alias("auc"),
+               F.col("_num2").cast("double") / (2.0 * (_wide(F.col("n_pos")) * _wide(F.col("n_neg"))).cast("double"))).alias("auc"),
         F.coalesce("n_pos", F.lit(0)).alias("n_pos"),
         F.coalesce("n_neg", F.lit(0)).alias("n_neg"))
 

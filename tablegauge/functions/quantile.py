@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 ACCURACY = 10_000
 FINAL_ROWS = 1 << 20
-MAX_ROUNDS = 4
+MAX_ACCURACY = 10_000_000
 
 
 def _in(c: str, lo, hi):
@@ -50,11 +50,12 @@ def order_statistics(df: DataFrame, wanted: dict[str, tuple[int, ...]], *,
     cols = [c for c, r in wanted.items() if r]
     if not cols:
         return {}
-    src = df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in cols])
+    # NaN counts as missing
+    src = df.select(*[F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None).cast("double")).alias(c) for c in cols])
     # bracket state per column: lo, hi (None = unbounded), rows below lo, rows inside
     state = {c: [None, None, 0, (counts or {}).get(c)] for c in cols}
-    eps = 2.0 / accuracy
-    for _ in range(MAX_ROUNDS):
+    while True:
+        eps = 2.0 / accuracy
         if any(s[3] is None for s in state.values()):
             row = src.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in cols]).first()
             for c in cols:
@@ -79,22 +80,24 @@ def order_statistics(df: DataFrame, wanted: dict[str, tuple[int, ...]], *,
                 F.count_if(_in(c, state[c][0], state[c][1]) & (F.col(f"`{c}`") < F.lit(cand[c][0])))
                 .alias(f"b_{c}"),
                 F.count_if(_in(c, cand[c][0], cand[c][1])).alias(f"i_{c}"))]).first()
+        narrowed = False
         for c in active:
             below = state[c][2] + int(cnt[f"b_{c}"])
             inside = int(cnt[f"i_{c}"])
             rs = wanted[c]
             if below <= min(rs) and below + inside > max(rs):   # bracket holds the ranks
+                narrowed |= inside < state[c][3]
                 state[c] = [cand[c][0], cand[c][1], below, inside]
-    # final: distinct values inside each bracket with their counts
-    parts = []
-    for c in cols:
-        lo, hi, below, _ = state[c]
-        parts.append(src.where(_in(c, lo, hi)).groupBy(F.col(f"`{c}`").alias("v"))
-                     .agg(F.count(F.lit(1)).alias("n"))
-                     .select(F.lit(c).alias("c"), "v", "n", F.lit(below).alias("below")))
-    vals = parts[0]
-    for p in parts[1:]:
-        vals = vals.unionByName(p)
+        if not narrowed:            # a sharper quantile sketch for the next round
+            if accuracy >= MAX_ACCURACY:
+                break
+            accuracy *= 10
+    # final: distinct values inside each bracket with their counts, all columns from one scan
+    below = F.create_map(*[x for c in cols for x in (F.lit(c), F.lit(state[c][2]))])
+    vals = src.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("c"), F.when(_in(c, *state[c][:2]), F.col(f"`{c}`")).alias("v")) for c in cols
+    ])).alias("x")).select("x.c", "x.v").where(F.col("v").isNotNull()) \
+        .groupBy("c", "v").agg(F.count(F.lit(1)).alias("n")).withColumn("below", below[F.col("c")])
     w = Window.partitionBy("c").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ranked = vals.withColumn("hi_rank", F.col("below") + F.sum("n").over(w)) \
                  .withColumn("lo_rank", F.col("hi_rank") - F.col("n"))
@@ -115,7 +118,8 @@ def exact_medians(df: DataFrame, columns: Sequence[str], **kw) -> dict[str, floa
     """Median per column (mean of the middle pair for an even count)."""
     if not columns:
         return {}
-    n = df.agg(*[F.count(F.col(f"`{c}`")).alias(f"n{i}") for i, c in enumerate(columns)]).first()
+    n = df.agg(*[F.count(F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None).cast("double"))).alias(f"n{i}")
+                 for i, c in enumerate(columns)]).first()
     wanted = {}
     for i, c in enumerate(columns):
         k = int(n[f"n{i}"])

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablegauge.functions.columns import is_numeric, missing
+from tablegauge.functions.columns import is_numeric, missing, present
 
 # Fixed values of the audit's constraint checks.
 MIN_ROWS = 1000
@@ -49,10 +49,10 @@ def _profile_wide(df: DataFrame, *, approx_distinct: bool = False, rsd: float =
     (distinct, NULL counted) for column ``i``."""
     aggs = [F.count(F.lit(1)).alias("__rows")]
     for i, f in enumerate(df.schema.fields):
-        c = F.col(f"`{f.name}`")
         aggs.append(F.sum(missing(f.name, f.dataType).cast("long")).alias(f"m{i}"))
-        nd = F.approx_count_distinct(c, rsd) if approx_distinct else F.count_distinct(c)
-        aggs.append((nd + F.max(c.isNull().cast("long"))).alias(f"d{i}"))
+        x = present(f.name, f.dataType)
+        nd = F.approx_count_distinct(x, rsd) if approx_distinct else F.count_distinct(x)
+        aggs.append((nd + F.max(x.isNull().cast("long"))).alias(f"d{i}"))
     return df.agg(*aggs)
 
 

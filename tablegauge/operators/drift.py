@@ -23,13 +23,12 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablegauge.errors import ValidationError
-from tablegauge.functions.columns import is_integral, is_numeric
+from tablegauge.errors import ValidationError, refuse
+from tablegauge.functions.columns import is_integral, is_numeric, present
 from tablegauge.functions.prefix import ks_distance
 from tablegauge.functions.stats import chi2_sf, ks_pvalue
 from tablegauge.operators.split import permute, sample_rows
-
-MAX_CATEGORIES = 10_000   # chi-square table width guard per feature
+from tablegauge.session import ensure_checkpoint_dir
 
 
 # ---------------------------------------------------------------- transforms
@@ -62,40 +61,34 @@ def _clip(x: Column, lo, hi) -> Column:
     return F.when(x.isNull(), F.lit(None).cast("double")).otherwise(y)
 
 
+def _shifted(moved):
+    """A numeric transform: move in double, clip, back to whole numbers where the column holds them."""
+    def build(name: str, spec: FeatureDrift, dt) -> Column:
+        refuse(ValidationError, **{name: (spec.magnitude is None, "a numeric drift needs a magnitude")})
+        x = moved(F.col(f"`{name}`").cast("double"), F.lit(float(spec.magnitude)))  # no number in a text raises under ANSI
+        x = _clip(x, spec.clip_min, spec.clip_max)
+        return F.bround(x, 0).cast(dt) if is_integral(dt) else x
+    return build
+
+
+#: What a drift of a kind does to a column.
+_TRANSFORMS = {
+    ("numeric", "add"): _shifted(lambda x, m: x + m),
+    ("numeric", "scale"): _shifted(lambda x, m: x * m),
+    ("categorical", "set_constant"): lambda name, spec, dt: F.lit(spec.value).cast(dt),
+}
+
+
 def apply_drift(batch: DataFrame, settings: Mapping[str, Mapping | FeatureDrift],
                 target: str | None = None) -> DataFrame:
     """Apply per-feature drift as one projection.  Integer columns are
     rounded half-to-even and cast back; the target is never touched."""
     specs = {f: FeatureDrift.of(s) for f, s in settings.items()}
     types = {f.name: f.dataType for f in batch.schema.fields}
-    exprs: dict[str, Column] = {}
-    for name, s in specs.items():
-        if name not in types:
-            raise ValidationError(f"Configured drift feature '{name}' is missing from the batch schema.")
-        if target is not None and name == target:
-            raise ValidationError("Drift simulation must not modify the target column.")
-        col = F.col(f"`{name}`")
-        if s.kind == "numeric":
-            if s.magnitude is None:
-                raise ValidationError(f"numeric drift of '{name}' needs a magnitude")
-            x = col.cast("double")          # strict: a non-numeric text raises under ANSI
-            if s.transform == "add":
-                x = x + F.lit(float(s.magnitude))
-            elif s.transform == "scale":
-                x = x * F.lit(float(s.magnitude))
-            else:
-                raise ValidationError(f"Unsupported numeric transform '{s.transform}' for '{name}'.")
-            x = _clip(x, s.clip_min, s.clip_max)
-            if is_integral(types[name]):
-                x = F.bround(x, 0).cast(types[name])
-            exprs[name] = x.alias(name)
-        elif s.kind == "categorical":
-            if s.transform != "set_constant":
-                raise ValidationError(f"Unsupported categorical transform '{s.transform}' for '{name}'.")
-            exprs[name] = F.lit(s.value).cast(types[name]).alias(name)
-        else:
-            raise ValidationError(f"Unsupported drift feature kind '{s.kind}' for '{name}'.")
-    return batch.select(*[exprs.get(c, F.col(f"`{c}`")) for c in batch.columns])
+    refuse(ValidationError, **{f: (f not in types or f == target or (s.kind, s.transform) not in _TRANSFORMS,
+                                   f"no such column, the target, or no transform {s.kind}/{s.transform}") for f, s in specs.items()})
+    moved = {f: _TRANSFORMS[s.kind, s.transform](f, s, types[f]) for f, s in specs.items()}
+    return batch.select(*[moved[c].alias(c) if c in moved else F.col(f"`{c}`") for c in batch.columns])
 
 
 @dataclass
@@ -119,7 +112,9 @@ def monitoring_batches(df: DataFrame, *, keys: Sequence[str], size: int, seed: i
     drift applied.  Sizes must match and fit the table."""
     if production_size is not None and production_size != size:
         raise ValidationError("reference and production batch sizes must match")
-    ref = sample_rows(df, keys=keys, n=size, seed=seed, rows=rows)
+    # kept once: everything else reads these rows and not the table
+    ensure_checkpoint_dir(df.sparkSession)
+    ref = sample_rows(df, keys=keys, n=size, seed=seed, rows=rows).checkpoint(eager=True)
     stable = permute(ref, keys=keys, seed=seed + 1).drop("shuffle_key")
     drifted = apply_drift(stable, settings, target)
     return MonitoringBatches(ref, stable, drifted)
@@ -136,8 +131,9 @@ def target_mismatches(before: DataFrame, after: DataFrame, keys: Sequence[str],
 
 # ---------------------------------------------------------------- scores
 def _long(df: DataFrame, features: Sequence[str], side: int, as_type: str) -> DataFrame:
+    types = {f.name: f.dataType for f in df.schema.fields}
     return df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("feature"), F.col(f"`{c}`").cast(as_type).alias("value")) for c in features
+        F.struct(F.lit(c).alias("feature"), present(c, types[c]).cast(as_type).alias("value")) for c in features
     ])).alias("x")).select("x.feature", "x.value", F.lit(side).alias("side")) \
         .where(F.col("value").isNotNull())
 
@@ -169,9 +165,11 @@ def chi2_statistics(ref: DataFrame, cur: DataFrame, features: Sequence[str]) ->
     tot = counts.groupBy("feature").agg(F.sum("n_ref").alias("tot_ref"), F.sum("n_cur").alias("tot_cur"),
                                         F.count(F.lit(1)).alias("categories"))
     j = counts.join(F.broadcast(tot), "feature")   # one row per feature
-    n = F.col("tot_ref") + F.col("tot_cur")
-    e_ref = F.col("tot_ref") * (F.col("n_ref") + F.col("n_cur")) / n
-    e_cur = F.col("tot_cur") * (F.col("n_ref") + F.col("n_cur")) / n
+    # products of counts as exact 38-digit integers
+    n = (F.col("tot_ref") + F.col("tot_cur")).cast("double")
+    both = (F.col("n_ref") + F.col("n_cur")).cast("decimal(19,0)")
+    e_ref = (F.col("tot_ref").cast("decimal(19,0)") * both).cast("double") / n
+    e_cur = (F.col("tot_cur").cast("decimal(19,0)") * both).cast("double") / n
     term = (F.pow(F.col("n_ref") - e_ref, 2) / e_ref) + (F.pow(F.col("n_cur") - e_cur, 2) / e_cur)
     stat = j.groupBy("feature").agg(
         F.sum(term).alias("statistic"), F.first("categories").alias("categories"),
@@ -194,8 +192,6 @@ def chi2_scores(ref: DataFrame, cur: DataFrame, features: Sequence[str]) -> Data
     stats = chi2_statistics(ref, cur, features).collect()   # one row per feature
     rows = []
     for r in stats:
-        if r["categories"] is not None and r["categories"] > MAX_CATEGORIES:
-            raise ValidationError(f"'{r['feature']}' has more than {MAX_CATEGORIES} categories")
         p = None if r["statistic"] is None else chi2_sf(float(r["statistic"]), int(r["dof"]))
         rows.append((r["feature"], r["statistic"], p, r["dof"]))
     return spark.createDataFrame(rows, schema)
@@ -228,8 +224,7 @@ def drifted_features(scores: DataFrame, features: Sequence[str], threshold: floa
     order; a feature without a score counts as 1.0; drifted when
     ``score < threshold`` (strict)."""
     feats = _feature_frame(scores.sparkSession, features)
-    # the feature list is schema-sized: broadcast it
-    j = F.broadcast(feats).join(scores.select("feature", "score"), "feature", "left")
+    j = feats.join(scores.select("feature", "score"), "feature", "left")
     s = F.coalesce(F.col("score"), F.lit(1.0))
     return j.select("feature", "position", s.alias("score"), (s < F.lit(float(threshold))).alias("drifted"))
 

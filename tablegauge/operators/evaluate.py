@@ -13,7 +13,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablegauge.errors import EvaluationError, GateError
+from tablegauge.errors import EvaluationError, GateError, refuse
 from tablegauge.functions.columns import is_numeric
 from tablegauge.functions.prefix import roc_auc_counts
 
@@ -98,15 +98,10 @@ def quality_gate(metrics: DataFrame, thresholds: Mapping[str, float], *, primary
     """G1: ``(metric, value, minimum_required, passed, is_primary)``; a
     metric fails when ``value < minimum`` (strict).  Every thresholded
     metric and the primary metric must exist (checked on the schema)."""
-    if primary not in metrics.columns:
-        raise EvaluationError(f"Primary metric '{primary}' is missing from computed metrics.")
-    if primary not in thresholds:
-        raise EvaluationError(f"Primary metric '{primary}' is missing from configured thresholds.")
-    for name in thresholds:
-        if name not in metrics.columns:
-            raise EvaluationError(f"Threshold configured for '{name}', but metric is missing.")
-        if not is_numeric(metrics.schema[name].dataType):
-            raise EvaluationError(f"Metric '{name}' is not numeric and cannot be compared.")
+    types = {f.name: f.dataType for f in metrics.schema.fields}
+    needs = {primary: "the primary metric needs a threshold"} if primary not in thresholds else {}
+    needs |= {m: "no numeric metric of this name" for m in (primary, *thresholds) if m not in types or not is_numeric(types[m])}
+    refuse(EvaluationError, **{m: (True, text) for m, text in needs.items()})
     thr = F.create_map(*[x for k, v in thresholds.items() for x in (F.lit(k), F.lit(float(v)))])
     long = metrics_long(metrics.select(*thresholds.keys()))
     return long.select(
@@ -127,14 +122,12 @@ def gate_summary(gate: DataFrame) -> DataFrame:
 
 def enforce_gate(gate: DataFrame) -> None:
     """Raise with every failed metric listed (a bounded set of rows)."""
-    failed = gate.where(~F.col("passed")).orderBy("metric").collect()
-    if failed:
-        raise GateError("Quality gate failed for metrics: " + ", ".join(
-            f"{r['metric']}={(r['value'] if r['value'] is not None else float('nan')):.4f} "
-            f"< {r['minimum_required']:.4f}" for r in failed))
+    short = gate.where(~F.col("passed")).select("metric", "value", "minimum_required").orderBy("metric").collect()
+    if short:
+        raise GateError("below the gate: " + "; ".join(f"{m} is {v}, at least {least} is needed" for m, v, least in short))
 
 
 def enforce_auc(metrics: DataFrame) -> None:
     r = metrics.select("roc_auc").first()
     if r is None or r[0] is None:
-        raise EvaluationError("Unable to compute ROC AUC: only one class present in y_true.")
+        raise EvaluationError("roc_auc: the true labels are all alike, so there is nothing to rank")

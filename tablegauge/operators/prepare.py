@@ -15,35 +15,29 @@ from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexerModel, VectorAssembler
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablegauge.errors import PreparationError
+from tablegauge.errors import PreparationError, refuse
 from tablegauge.functions.columns import is_numeric, row_hash
 from tablegauge.functions.hashrank import hash_thresholds, threshold_column
 from tablegauge.functions.quantile import exact_medians
 
 MAX_MISSING_FRACTION = 0.2
-MAX_CATEGORIES = 100_000   # one-hot width guard: the category list is collected
 
 
 # ---------------------------------------------------------------- P1–P3
 def feature_columns(df: DataFrame, target: str, excluded: Sequence[str] = ()) -> list[str]:
     """Columns other than the target and the excluded ones (absent
     excluded names are ignored); a missing target is an error."""
-    if target not in df.columns:
-        raise PreparationError(f"Target column '{target}' is missing.")
-    if isinstance(excluded, str) or not all(isinstance(c, str) for c in excluded):
-        raise PreparationError("excluded columns must be a list of names")
-    ex = set(excluded)
-    return [c for c in df.columns if c != target and c not in ex]
+    refuse(PreparationError, target=(target not in df.columns, f"no column {target!r}"))
+    return [c for c in drop_excluded(df, excluded).columns if c != target]
 
 
 def drop_excluded(df: DataFrame, excluded: Sequence[str]) -> DataFrame:
     """Drop columns; names that are absent are ignored."""
-    if isinstance(excluded, str) or not all(isinstance(c, str) for c in excluded):
-        raise PreparationError("excluded columns must be a list of names")
+    names = not isinstance(excluded, str) and all(isinstance(c, str) for c in excluded)
+    refuse(PreparationError, excluded=(not names, "give a sequence of column names"))
     return df.drop(*excluded)
 
 
@@ -52,13 +46,16 @@ def feature_types(df: DataFrame, columns: Sequence[str] | None = None) -> tuple[
     everything else categorical; either list empty is an error."""
     cols = list(columns) if columns is not None else list(df.columns)
     types = {f.name: f.dataType for f in df.schema.fields}
-    num = [c for c in cols if is_numeric(types[c], include_bool=True)]
-    cat = [c for c in cols if c not in num]
-    if not num:
-        raise PreparationError("No numeric feature columns detected.")
-    if not cat:
-        raise PreparationError("No categorical feature columns detected.")
-    return num, cat
+    kinds: dict[bool, list[str]] = {True: [], False: []}
+    for c in cols:
+        kinds[is_numeric(types[c], include_bool=True)].append(c)
+    _both_kinds(kinds[True], kinds[False])
+    return kinds[True], kinds[False]
+
+
+def _both_kinds(numeric: Sequence[str], categorical: Sequence[str]) -> None:
+    refuse(PreparationError, numeric=(not numeric, "at least one such column is needed"),
+           categorical=(not categorical, "at least one such column is needed"))
 
 
 def feature_types_table(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -106,26 +103,17 @@ def inject_missing(df: DataFrame, *, keys: Sequence[str], fraction: float, seed:
     report = MissingnessReport(enabled, float(fraction), seed, strategy)
     if not enabled:
         return df, report
-    if not isinstance(fraction, (int, float)) or not 0 < float(fraction) <= MAX_MISSING_FRACTION:
-        raise PreparationError("Missingness fraction must be numeric and in (0, 0.2].")
-    if not isinstance(seed, int):
-        raise PreparationError("Missingness seed must be an integer.")
-    keep = set(keys) | set(protected)
-    eligible = [c for c in df.columns if c not in keep]
-    if strategy == "all_eligible":
-        selected = eligible
-    elif strategy == "selected_columns":
-        if not columns:
-            raise PreparationError("strategy 'selected_columns' needs a non-empty column list")
-        unknown = [c for c in columns if c not in eligible]
-        if unknown:
-            raise PreparationError(f"Missingness columns are not in the feature set: {unknown}")
-        selected = list(columns)
-    else:
-        raise PreparationError("Missingness strategy must be 'all_eligible' or 'selected_columns'.")
-    num, cat = feature_types(df, eligible)
-    if not (any(c in num for c in selected) and any(c in cat for c in selected)):
-        raise PreparationError("Missingness must affect both numeric and categorical features.")
+    eligible = [c for c in df.columns if c not in {*keys, *protected}]
+    picks = {"all_eligible": eligible, "selected_columns": list(columns or [])}
+    selected = picks.get(strategy, [])
+    in_range = isinstance(fraction, (int, float)) and 0 < float(fraction) <= MAX_MISSING_FRACTION
+    refuse(PreparationError,
+           fraction=(not in_range, f"{fraction!r} is outside (0, {MAX_MISSING_FRACTION}]"),
+           seed=(not isinstance(seed, int), f"{seed!r} is no whole number"),
+           strategy=(strategy not in picks, f"{strategy!r} is none of {sorted(picks)}"),
+           columns=(not set(selected) <= set(eligible), f"{sorted(set(selected) - set(eligible))} can't lose values"))
+    feature_types(df, eligible)         # the table itself must have both kinds
+    feature_types(df, selected)         # and so must the selection
 
     hashed = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("_s"), row_hash(seed, c, keys).alias("_h")) for c in selected
@@ -136,7 +124,7 @@ def inject_missing(df: DataFrame, *, keys: Sequence[str], fraction: float, seed:
         # every selected column has one hash per row: its total is the row count
         n = int(rows) if rows is not None else max(totals.values(), default=0)
         if n == 0:
-            raise PreparationError("Cannot inject missing values into an empty table.")
+            raise PreparationError("rows: an empty table has no values to lose")
         got["m"] = missing_cells_per_column(n, fraction)
         return {c: got["m"] for c in selected}
     thr = hash_thresholds(hashed, "_s", "_h", cells)
@@ -160,30 +148,18 @@ def column_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float | N
     return exact_medians(df, list(columns))
 
 
-def category_counts(df: DataFrame, columns: Sequence[str],
-                    max_categories: int = None) -> dict[str, dict[str, int]]:
+def category_counts(df: DataFrame, columns: Sequence[str]) -> dict[str, dict[str, int]]:
     """Non-NULL value counts per categorical column from ONE aggregate:
-    (column, value) counts with map-side partial aggregation.  The result
-    is bounded: a column with more than ``max_categories`` values raises
-    (the counts are checked in Spark before anything is collected)."""
-    cap = MAX_CATEGORIES if max_categories is None else max_categories
+    (column, value) counts with map-side partial aggregation.  The result,
+    one row per category, is the encoder's state and is collected."""
     if not columns:
         return {}
     pairs = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("c"), F.col(f"`{c}`").cast("string").alias("v")) for c in columns
     ])).alias("x")).select("x.c", "x.v").where(F.col("v").isNotNull())
-    counts = pairs.groupBy("c", "v").agg(F.count(F.lit(1)).alias("n")).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        # sizes first (one row per column), so an over-wide column never reaches the driver
-        wide = counts.groupBy("c").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") > cap).collect()
-        if wide:
-            raise PreparationError(f"too many categories to one-hot encode (> {cap}): "
-                                   + ", ".join(f"{r['c']}={r['k']}" for r in wide))
-        out: dict[str, dict[str, int]] = {c: {} for c in columns}
-        for r in counts.collect():
-            out[r["c"]][r["v"]] = int(r["n"])
-    finally:
-        counts.unpersist()
+    out: dict[str, dict[str, int]] = {c: {} for c in columns}
+    for r in pairs.groupBy("c", "v").agg(F.count(F.lit(1)).alias("n")).collect():
+        out[r["c"]][r["v"]] = int(r["n"])
     return out
 
 
@@ -236,7 +212,7 @@ def impute(df: DataFrame, fills: Mapping[str, object]) -> DataFrame:
         v = fills[c]
         dt = df.schema[c].dataType
         if isinstance(v, float) and is_numeric(dt, include_bool=True):
-            return F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(v)).alias(c)
+            return F.coalesce(F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None).cast("double")), F.lit(v)).alias(c)
         return F.coalesce(F.col(f"`{c}`"), F.lit(v).cast(dt)).alias(c)
     return df.select(*[
         filled(c) if c in fills and fills[c] is not None else F.col(f"`{c}`")
@@ -247,7 +223,7 @@ def impute(df: DataFrame, fills: Mapping[str, object]) -> DataFrame:
 def fit_categories(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
     """Categories per column (sorted ascending, NULL excluded) — one
     distributed aggregate; the list is the encoder's state (its size is the
-    vector width) and is capped at MAX_CATEGORIES per column."""
+    vector width)."""
     return {c: sorted(v) for c, v in category_counts(df, columns).items()}
 
 
@@ -289,13 +265,13 @@ class FeatureSpec:
 def _impute_sql(numeric: Sequence[str], categorical: Sequence[str], medians, modes, keep) -> str:
     def lit(v):
         if isinstance(v, str):
-            return "'" + v.replace("'", "''") + "'"
+            return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
         return repr(v)
     parts = [f"`{c}`" for c in keep]
     for c in numeric:
         m = medians.get(c)
-        parts.append(f"CAST(`{c}` AS DOUBLE) AS `{c}`" if m is None
-                     else f"coalesce(CAST(`{c}` AS DOUBLE), {float(m)!r}) AS `{c}`")
+        value = f"nanvl(CAST(`{c}` AS DOUBLE), CAST(NULL AS DOUBLE))"
+        parts.append(f"{value} AS `{c}`" if m is None else f"coalesce({value}, {float(m)!r}) AS `{c}`")
     for c in categorical:
         m = modes.get(c)
         parts.append(f"CAST(`{c}` AS STRING) AS `{c}`" if m is None
@@ -311,10 +287,7 @@ def fit_features(df: DataFrame, numeric: Sequence[str], categorical: Sequence[st
     with an extra bucket for unseen values, one-hot with that bucket
     dropped so unseen categories encode as zeros, and vector assembly,
     numeric columns first).  ``keep`` columns pass through."""
-    if not numeric:
-        raise PreparationError("Numeric column list cannot be empty.")
-    if not categorical:
-        raise PreparationError("Categorical column list cannot be empty.")
+    _both_kinds(numeric, categorical)
     numeric, categorical = list(numeric), list(categorical)
     medians = column_medians(df, numeric)
     counts = category_counts(df, categorical)        # one aggregate: modes, categories, width guard

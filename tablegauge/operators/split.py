@@ -14,19 +14,15 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablegauge.errors import ValidationError
+from tablegauge.errors import ValidationError, refuse
 from tablegauge.functions.columns import row_hash
 from tablegauge.functions.hashrank import largest_remainder, select_smallest
 
-MAX_STRATA = 100_000   # class table size guard (it is collected and broadcast)
-
 
 def class_counts(df: DataFrame, target: str) -> dict[str, int]:
-    """Rows per class (NULL is its own class ``None``); bounded by MAX_STRATA."""
+    """Rows per class (NULL is its own class ``None``), one per class."""
     rows = (df.groupBy(F.col(f"`{target}`").cast("string").alias("c"))
-            .agg(F.count(F.lit(1)).alias("n")).limit(MAX_STRATA + 1).collect())
-    if len(rows) > MAX_STRATA:
-        raise ValidationError(f"'{target}' has more than {MAX_STRATA} classes; cannot stratify")
+            .agg(F.count(F.lit(1)).alias("n")).collect())
     return {r["c"]: int(r["n"]) for r in rows}
 
 
@@ -70,8 +66,6 @@ def split_train_test(df: DataFrame, *, keys: Sequence[str], test_size: float, se
 
     def alloc(counts: dict[str, int]) -> dict[str, int]:
         # class sizes come from the first bucket-count pass
-        if len(counts) > MAX_STRATA:
-            raise ValidationError(f"'{target}' has more than {MAX_STRATA} classes; cannot stratify")
         a = test_allocation(counts or {"*": 0}, test_size, stratify)
         if report is not None:
             # class sizes and test rows per class, known without another pass
@@ -94,12 +88,11 @@ def sample_rows(df: DataFrame, *, keys: Sequence[str], n: int, seed: int,
                 rows: int | None = None) -> DataFrame:
     """exactly ``n`` rows without replacement (the smallest
     ``md5(seed|sample|keys)``); more than the table holds is an error."""
-    if n < 0:
-        raise ValidationError("sample size must be non-negative")
+    refuse(ValidationError, n=(n < 0, f"cannot draw {n} rows"))
 
     def size(totals: dict[str, int]) -> dict[str, int]:
-        if n > totals.get("*", 0):
-            raise ValidationError("sample size cannot exceed the number of rows")
+        held = totals.get("*", 0)
+        refuse(ValidationError, n=(n > held, f"{n} rows asked for, the table holds {held}"))
         return {"*": int(n)}
     out = select_smallest(df, row_hash(seed, "sample", keys), size, None, flag="__pick")
     return out.where(F.col("__pick")).drop("__pick")

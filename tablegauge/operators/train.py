@@ -17,8 +17,9 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablegauge.errors import TrainingError
+from tablegauge.errors import TrainingError, refuse
 
+# Algorithm names.
 ALGORITHMS = ("logistic_regression", "random_forest", "gradient_boosting")
 
 
@@ -33,6 +34,7 @@ class ModelSpec:
     params: dict = field(default_factory=dict)
 
 
+# Parameters that the run sets itself.
 _RESERVED = {
     "logistic_regression": {"random_state", "class_weight", "max_iter", "solver"},
     "random_forest": {"random_state", "class_weight"},
@@ -40,8 +42,23 @@ _RESERVED = {
 }
 
 
+#: Parameters that each algorithm takes, without those the run sets itself.
+_PARAMS = {k: v - _RESERVED[k] for k, v in {
+    "logistic_regression": {"C"},
+    "random_forest": {"n_estimators", "max_depth", "min_samples_leaf"},
+    "gradient_boosting": {"n_estimators", "learning_rate", "subsample", "max_depth", "min_samples_leaf"},
+}.items()}
+MAX_DEPTH = 30      # the deepest tree that Spark ML grows
+
+
+def _depth(value) -> int:
+    """None means no limit, which is Spark ML's deepest tree."""
+    return MAX_DEPTH if value is None else int(value)
+
+
 def class_weight_map(df: DataFrame, label: str, class_weight,
-                     counts: Mapping[float, int] | None = None) -> dict[float, float] | None:
+                     counts: Mapping[float, int] | None = None,
+                     classes: Mapping[str, float] | None = None) -> dict[float, float] | None:
     """T5: ``None`` -> no weights; ``'balanced'`` -> ``n / (k * n_class)``
     from one class-count aggregate; a mapping -> given weights.
     ``'balanced_subsample'`` needs per-tree weights, which Spark ML lacks."""
@@ -56,7 +73,12 @@ def class_weight_map(df: DataFrame, label: str, class_weight,
         n, k = sum(counts.values()), len(counts)
         return {float(c): n / (k * m) for c, m in counts.items()}
     if isinstance(class_weight, Mapping):
-        return {float(k): float(v) for k, v in class_weight.items()}
+        # keys are class labels, or the label column's own numbers
+        named = {str(k): v for k, v in (classes or {}).items()}
+        try:
+            return {named[str(k)] if str(k) in named else float(k): float(v) for k, v in class_weight.items()}
+        except ValueError as e:
+            raise TrainingError(f"class_weight: {e}; classes are {sorted(named)}") from e
     raise TrainingError(f"unsupported class_weight {class_weight!r}")
 
 
@@ -69,36 +91,34 @@ def with_weights(df: DataFrame, label: str, weights: Mapping[float, float] | Non
 
 
 def build_estimator(spec: ModelSpec, *, seed: int, n_train: int, features: str = "features",
-                    label: str = "label", weight: str | None = "weight"):
-    """A Spark ML classifier for the specification."""
-    if spec.algorithm not in ALGORITHMS:
-        raise TrainingError("Unsupported algorithm. Supported: " + ", ".join(sorted(ALGORITHMS)))
+                    label: str = "label", weight: str | None = "weight", weight_sum: float | None = None):
+    """A Spark ML classifier for the specification.  ``weight_sum``
+    is the sum of the training weights (the row count without weights)."""
+    refuse(TrainingError, algorithm=(spec.algorithm not in ALGORITHMS, f"{spec.algorithm!r} is none of {ALGORITHMS}"))
     params = dict(spec.params or {})
-    conflicts = _RESERVED[spec.algorithm].intersection(params)
-    if conflicts:
-        raise TrainingError("params contains reserved keys: " + ", ".join(sorted(conflicts)))
+    known = _PARAMS[spec.algorithm]
+    refuse(TrainingError,
+           params=(not set(params) <= known, f"{sorted(set(params) - known)} can't be set here, only {sorted(known)}"),
+           class_weight=(spec.algorithm == "gradient_boosting" and spec.class_weight not in (None, "", {}), "boosting takes no weights"))
     common = dict(featuresCol=features, labelCol=label, probabilityCol="probability",
                   predictionCol="prediction", rawPredictionCol="rawPrediction")
     if spec.algorithm == "logistic_regression":
-        if not isinstance(spec.max_iter, int) or spec.max_iter <= 0:
-            raise TrainingError("max_iter must be a positive integer")
+        rounds = spec.max_iter
+        refuse(TrainingError, max_iter=(not isinstance(rounds, int) or rounds < 1, f"{rounds!r} is no count of iterations"))
         c = float(params.pop("C", 1.0))
-        if params:
-            raise TrainingError(f"unsupported logistic regression params: {sorted(params)}")
-        # penalty C * sum(w * loss) + |b|^2 / 2  ==  mean loss + regParam * |b|^2 / 2
-        reg = 1.0 / (c * max(1, n_train))
+        # penalty C * sum(w * loss) + |b|^2 / 2  ==  weighted mean loss + regParam * |b|^2 / 2
+        reg = 1.0 / (c * max(1e-9, float(n_train if weight_sum is None else weight_sum)))
         return LogisticRegression(maxIter=spec.max_iter, regParam=reg, elasticNetParam=0.0,
                                   standardization=False, weightCol=weight, **common)
     if spec.algorithm == "random_forest":
         return RandomForestClassifier(
-            numTrees=int(params.pop("n_estimators", 100)), maxDepth=int(params.pop("max_depth", 5) or 5),
+            numTrees=int(params.pop("n_estimators", 100)), maxDepth=_depth(params.pop("max_depth", None)),
             minInstancesPerNode=int(params.pop("min_samples_leaf", 1)), seed=seed,
             weightCol=weight, **common)
-    if spec.class_weight not in (None, "", {}):
-        raise TrainingError("Gradient boosting does not support class_weight.")
     return GBTClassifier(
         maxIter=int(params.pop("n_estimators", 100)), stepSize=float(params.pop("learning_rate", 0.1)),
-        subsamplingRate=float(params.pop("subsample", 1.0)), maxDepth=int(params.pop("max_depth", 3)),
+        subsamplingRate=float(params.pop("subsample", 1.0)), maxDepth=_depth(params.pop("max_depth", 3)),
+        minInstancesPerNode=int(params.pop("min_samples_leaf", 1)),
         seed=seed, featuresCol=features, labelCol=label, predictionCol="prediction")
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablegauge.errors import EvaluationError, ValidationError
-from tablegauge.functions.columns import is_numeric
+from tablegauge.functions.columns import is_numeric, present
 
 # Defaults of the labelled-table rules (target domain, domain
 # ranges, expected constant columns, identifier, size limits).
@@ -103,7 +103,7 @@ def validate_dataset(df: DataFrame, *, target: str, required_columns: Iterable[s
         elif not is_numeric(types[c]):
             rows.append(_row("numeric_ranges", c, F.lit("not numeric"), expected, F.lit(False)))
         else:
-            x = F.col(f"`{c}`")
+            x = present(c, types[c])        # NaN is missing, not out of range
             aggs.append(F.sum(((x < F.lit(lo)) | (x > F.lit(hi))).cast("long")).alias(f"r{i}"))
             bad = F.coalesce(F.col(f"r{i}"), F.lit(0))
             rows.append(_row("numeric_ranges", c, bad, expected, bad == 0))
@@ -112,7 +112,7 @@ def validate_dataset(df: DataFrame, *, target: str, required_columns: Iterable[s
         if c not in cols:
             rows.append(_row("expected_constants", c, F.lit("missing column"), "1", F.lit(False)))
         else:
-            x = F.col(f"`{c}`")
+            x = present(c, types[c])
             aggs.append((F.count_distinct(x) + F.max(x.isNull().cast("long"))).alias(f"k{i}"))
             rows.append(_row("expected_constants", c, F.col(f"k{i}"), "1", F.col(f"k{i}") == 1))
 
@@ -196,9 +196,7 @@ def check_batch_schema(df: DataFrame, expected_columns: Sequence[str], *, target
     return schema_rows.unionByName(row)
 
 
-def _batch_schema_rows(df: DataFrame, expected_columns: Sequence[str]) -> DataFrame:
-    actual = list(df.columns)
-    exp = list(expected_columns)
+def _batch_schema(actual: Sequence[str], exp: Sequence[str]) -> list[tuple]:
     rows = []
     for i in range(max(len(actual), len(exp))):
         e = exp[i] if i < len(exp) else None
@@ -212,16 +210,20 @@ def _batch_schema_rows(df: DataFrame, expected_columns: Sequence[str]) -> DataFr
         else:
             status = "moved"
         rows.append((i, e, a, status))
+    return rows
+
+
+def _batch_schema_rows(df: DataFrame, expected_columns: Sequence[str]) -> DataFrame:
     return df.sparkSession.createDataFrame(
-        rows, "position long, expected_column string, actual_column string, status string")
+        _batch_schema(list(df.columns), list(expected_columns)),
+        "position long, expected_column string, actual_column string, status string")
 
 
 def enforce_batch_schema(df: DataFrame, expected_columns: Sequence[str], label: str = "batch") -> None:
-    if list(df.columns) != list(expected_columns):
-        missing_cols = sorted(set(expected_columns).difference(df.columns))
-        extra = sorted(set(df.columns).difference(expected_columns))
-        raise ValidationError(f"{label} schema mismatch. Missing: {missing_cols or 'none'}; "
-                              f"extra: {extra or 'none'}")
+    """Raise with every position of V10's comparison that is not ``ok``."""
+    wrong = [r for r in _batch_schema(df.columns, expected_columns) if r[3] != "ok"]
+    if wrong:
+        raise ValidationError(f"{label}: " + ", ".join(f"column {i} is {a or 'absent'}, not {e or 'any'} ({s})" for i, e, a, s in wrong))
 
 
 def validate_predictions(preds: DataFrame, *, y_true: str = "y_true", y_pred: str = "y_pred",
@@ -247,12 +249,8 @@ def validate_predictions(preds: DataFrame, *, y_true: str = "y_true", y_pred: st
 
 
 def enforce_predictions(check: DataFrame) -> None:
-    r = check.first()
-    if r is None or r["rows"] == 0:
-        raise EvaluationError("Evaluation inputs cannot be empty.")
-    for field, msg in (("bad_true", "y_true contains invalid labels"),
-                       ("bad_pred", "y_pred contains invalid labels"),
-                       ("nan_proba", "probabilities contain NaN values"),
-                       ("out_of_range_proba", "probabilities must be in [0, 1]")):
-        if r[field]:
-            raise EvaluationError(f"{msg}: {r[field]} rows")
+    """Raise with every count of V11's row that speaks against the set."""
+    row = check.first()
+    found = {k: v for k, v in row.asDict().items() if k not in ("rows", "passed") and v}
+    if not row["passed"]:
+        raise EvaluationError(f"{row['rows']} predictions, unusable: {found or 'none at all'}")

@@ -858,14 +858,33 @@ def q_runs_append_scan(spark, sf):
 
 
 # ============================================================ file round trips
-@query("csv_scan", "SELECT n_nationkey, n_name, n_regionkey FROM nation")
+@query("csv_scan",
+       "SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_totalprice END AS o_totalprice, "
+       "CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE o_orderstatus END AS o_orderstatus FROM orders")
 def q_csv_scan(spark, sf):
+    """All orders through a CSV file with missing markers in a numeric and a text column."""
     from tablegauge.session import scratch_path
     from tablegauge.sources.files import read_table, write_table
-    path = write_table(I.table(spark, sf, "nation"), scratch_path(spark, "nation.csv"), fmt="csv")
+    marked = I.table(spark, sf, "orders").select(
+        "o_orderkey", "o_custkey", F.when(F.col("o_orderkey") % 7 == 0, "NA").otherwise(F.col("o_totalprice").cast("string")).alias("o_totalprice"),
+        F.when(F.col("o_orderkey") % 11 == 0, "n/a").otherwise(F.col("o_orderstatus")).alias("o_orderstatus"))
+    path = write_table(marked, scratch_path(spark, "orders.csv"), fmt="csv")
     return read_table(spark, path, fmt="csv")
 
 
+@query("split_many_strata",
+       "WITH h AS (SELECT o_orderkey, CAST(o_orderkey // 8 AS VARCHAR) AS s, md5(concat_ws('|', '42', 'pick', CAST(o_orderkey AS VARCHAR))) AS m FROM orders) "
+       "SELECT o_orderkey, row_number() OVER (PARTITION BY s ORDER BY m) <= 1 AS picked FROM h")
+def q_split_many_strata(spark, sf):
+    """One row of each of very many strata, which grow with the table."""
+    from tablegauge.functions.columns import row_hash
+    from tablegauge.functions.hashrank import select_smallest
+    df = I.table(spark, sf, "orders").select("o_orderkey")
+    out = select_smallest(df, row_hash(42, "pick", ["o_orderkey"]), lambda totals: {s: 1 for s in totals},
+                          F.expr("o_orderkey div 8"), flag="picked")
+    return out.select("o_orderkey", "picked")
+
+
 @query("batch_roundtrip", ORACLE["drift_batches"])
 def q_batch_roundtrip(spark, sf):
     from tablegauge.session import scratch_path

@@ -8,15 +8,15 @@ run -> enforce the gate (after recording, so failed runs are recorded too).
 from __future__ import annotations
 
 import traceback
-from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from collections.abc import Mapping
+from dataclasses import asdict, dataclass, field
 
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablegauge.errors import TrainingError
+from tablegauge.errors import TrainingError, refuse
 from tablegauge.operators import evaluate as E
 from tablegauge.operators import prepare as P
 from tablegauge.operators import split as S
@@ -61,22 +61,13 @@ class TrainingResult:
     test_rows: int
     distribution: dict
     run: DataFrame | None = None
+    confusion: dict | None = None
 
 
 def _params(cfg: TrainingConfig) -> dict[str, str]:
-    p = {"model.algorithm": cfg.model.algorithm, "model.class_weight": cfg.model.class_weight,
-         "model.max_iter": cfg.model.max_iter, "split.test_size": cfg.test_size,
-         "split.random_state": cfg.split_seed, "split.stratify": cfg.stratify,
-         "evaluation.primary_metric": cfg.primary, "features.missingness.enabled": cfg.missing_enabled,
-         "features.missingness.fraction": cfg.missing_fraction,
-         "features.missingness.random_seed": cfg.missing_seed,
-         "features.missingness.strategy": cfg.missing_strategy,
-         "features.exclude_columns": ",".join(cfg.excluded)}
-    for k, v in cfg.thresholds.items():
-        p[f"evaluation.threshold.{k}"] = v
-    for k, v in (cfg.model.params or {}).items():
-        p[f"model.param.{k}"] = v
-    return R.flatten_params(p)
+    """The whole configuration, flattened, so that a run can be repeated from its record."""
+    record = {("target_column" if k == "target" else k): v for k, v in asdict(cfg).items() if k != "validation"}
+    return R.flatten_params(record)
 
 
 def train_run(df: DataFrame, cfg: TrainingConfig, *, runs_path: str | None = None,
@@ -133,27 +124,37 @@ def _train_run(base: DataFrame, cfg: TrainingConfig, feats: list[str], *, runs_p
         for (p, c), v in distribution.items():
             if p == "train":
                 train_counts[1.0 if c == cfg.positive else 0.0] += v
+        # one check of the target (V3), from counts that are there already: both classes and no other
+        seen = {p: {c for (q, c), n in distribution.items() if q == p and n} for p in ("train", "test")}
+        wanted = {cfg.positive, cfg.negative}
+        refuse(TrainingError, **{p: (s != wanted, f"classes {sorted(map(str, s))} where {sorted(wanted)} are needed") for p, s in seen.items()})
         num, cat = P.feature_types(train, feats)
         fspec = P.fit_features(train, num, cat, keep=list(cfg.keys) + [cfg.target, "label"])
         prepared = fspec.transform(train)
-        weights = T.class_weight_map(train, "label", cfg.model.class_weight, counts=train_counts)
+        weights = T.class_weight_map(train, "label", cfg.model.class_weight, counts=train_counts,
+                                     classes={cfg.positive: 1.0, cfg.negative: 0.0})
         prepared = T.with_weights(prepared, "label", weights)
-        est = T.build_estimator(cfg.model, seed=cfg.seed, n_train=n_train,
+        total = sum(n * (weights or {}).get(c, 1.0) for c, n in train_counts.items())
+        est = T.build_estimator(cfg.model, seed=cfg.seed, n_train=n_train, weight_sum=total,
                                 weight="weight" if cfg.model.algorithm != "gradient_boosting" else None)
         clf = est.fit(prepared)
         model = PipelineModel(stages=[*fspec.model.stages, clf])
         preds = T.score(model, test, keys=cfg.keys, target=cfg.target,
-                        positive=cfg.positive, negative=cfg.negative)
+                        positive=cfg.positive, negative=cfg.negative).persist(StorageLevel.MEMORY_AND_DISK)
         mets_df = E.classification_metrics(preds, positive=cfg.positive, negative=cfg.negative)
         metrics = mets_df.first().asDict()
-        gate_df = E.quality_gate(spark.createDataFrame([metrics]), cfg.thresholds, primary=cfg.primary)
+        kept = spark.createDataFrame([tuple(metrics.values())], mets_df.schema)
+        E.enforce_auc(kept)
+        confusion = {f"{r['actual']}/{r['predicted']}": r["n"] for r in
+                     E.confusion_matrix(preds, labels=(cfg.negative, cfg.positive)).collect()}
+        gate_df = E.quality_gate(kept, cfg.thresholds, primary=cfg.primary)
         gate = [r.asDict() for r in gate_df.collect()]
         passed = all(r["passed"] for r in gate)
     finally:
         train.unpersist()
     run = R.run_record(spark, experiment=cfg.experiment,
                        run_name=cfg.run_name or f"{cfg.model.algorithm}", metrics=metrics,
-                       params=_params(cfg),
+                       params=_params(cfg) | {f"confusion.{k}": str(v) for k, v in confusion.items()},
                        tags={"quality_gate.status": "passed" if passed else "failed",
                              "target.column": cfg.target, "run_name": cfg.run_name or cfg.model.algorithm,
                              **({"dataset.path": cfg.dataset_path,
@@ -161,9 +162,9 @@ def _train_run(base: DataFrame, cfg: TrainingConfig, feats: list[str], *, runs_p
                                 if cfg.dataset_path else {})})
     if runs_path:
         R.append_runs(run, runs_path)
-    result = TrainingResult(model, fspec, preds, metrics, gate, passed, n_train, n_test, distribution, run)
+    result = TrainingResult(model, fspec, preds, metrics, gate, passed, n_train, n_test, distribution, run, confusion)
     if enforce and not passed:
-        E.enforce_gate(spark.createDataFrame(gate))
+        E.enforce_gate(gate_df)
     return result
 
 
@@ -183,15 +184,10 @@ def sweep(df: DataFrame, configs: Mapping[str, TrainingConfig], *, runs_path: st
                              "passed" if res.passed else "failed", res.metrics.get(cfg.primary)))
             except Exception as exc:  # noqa: BLE001 - recorded, the sweep goes on
                 msg = f"{type(exc).__name__}: {exc}"
-                rows.append((name, cfg.model.algorithm, "failed", msg[:1000], None, None))
+                rows.append((name, cfg.model.algorithm, "failed", msg, None, None))
                 traceback.clear_frames(exc.__traceback__)
     finally:
         base.unpersist()
     return spark.createDataFrame(rows, "config string, algorithm string, status string, error string, "
                                        "quality_gate_status string, primary_value double")
 
-
-def require_algorithms(specs: Sequence[T.ModelSpec]) -> None:
-    for s in specs:
-        if s.algorithm not in T.ALGORITHMS:
-            raise TrainingError(f"unsupported algorithm {s.algorithm}")

@@ -80,16 +80,14 @@ def default_parallelism(spark: SparkSession) -> int:
         return os.cpu_count() or 8
 
 
-def path_exists(path: str) -> bool:
-    """Existence test for local paths (plain or ``file:``); paths on other
-    file systems are assumed to exist and left for Spark to resolve."""
-    import re
-    p = str(path)
-    if p.startswith("file:"):
-        p = re.sub(r"^file:(//)?", "", p)
-        if not p.startswith("/"):
-            p = "/" + p
-        return os.path.exists(p)
-    if re.match(r"^[A-Za-z][\w+.-]*://", p):
-        return True
-    return os.path.exists(p)
+def read_if_there(load):
+    """What ``load`` reads, or None where Spark finds no such path; any
+    other failure is raised.  Spark resolves the path, with or without a
+    scheme, never the driver's own disk."""
+    from pyspark.errors import AnalysisException
+    try:
+        return load()
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from tablegauge.errors import ValidationError
 from tablegauge.functions.columns import nan_to_null
-from tablegauge.session import path_exists
+from tablegauge.session import read_if_there
 
 # The default missing-value markers of pandas' CSV reader
 # (public pandas behaviour), so CSV files read the same way they would there.
@@ -70,18 +70,35 @@ def read_table(spark: SparkSession, source, *, fmt: str | None = None,
         raise ValidationError("no table given")
     path = os.fspath(source)
     kind = _format_of(path, fmt)
-    if not path_exists(path):
-        raise ValidationError(f"table not found: {path}")
-    reader = spark.read
-    if schema is not None:
-        reader = reader.schema(schema)
     if kind == "csv":
-        reader = reader.option("header", True).option("mode", "FAILFAST")
-        if schema is None:
-            reader = reader.option("inferSchema", True)
-        return normalise_missing(reader.csv(path), markers)
-    df = reader.format(kind).load(path)
-    return nan_to_null(df)
+        # as text first: markers go before types are told or cast
+        names = None if schema is None else (schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema))
+        reader = spark.read.option("header", True).option("mode", "FAILFAST")
+        if names is not None:
+            reader = reader.schema(T.StructType([T.StructField(f.name, T.StringType()) for f in names.fields]))
+        df = read_if_there(lambda: reader.csv(path))
+    else:
+        reader = spark.read if schema is None else spark.read.schema(schema)
+        df = read_if_there(lambda: reader.format(kind).load(path))
+    if df is None:
+        raise ValidationError(f"table not found: {path}")
+    if kind != "csv":
+        return nan_to_null(df)
+    text = normalise_missing(df, markers)
+    if names is None:
+        return text.select(*[F.col(f"`{c}`").cast(t).alias(c) for c, t in _told_types(text).items()])
+    return nan_to_null(text.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in names.fields]))
+
+
+def _told_types(text: DataFrame) -> dict[str, str]:
+    """The narrowest of bigint, double, boolean and timestamp that takes every
+    value of a text column, else string; one aggregate for all columns."""
+    kinds = ("bigint", "double", "boolean", "timestamp")
+    row = text.agg(*[a for i, c in enumerate(text.columns) for a in (
+        F.count(F.col(f"`{c}`")).alias(f"n{i}"),
+        *(F.count(F.col(f"`{c}`").try_cast(k)).alias(f"{k}{i}") for k in kinds))]).first()
+    return {c: next((k for k in kinds if row[f"n{i}"] and row[f"{k}{i}"] == row[f"n{i}"]), "string")
+            for i, c in enumerate(text.columns)}
 
 
 def write_table(df: DataFrame, path: str, *, fmt: str = "parquet", mode: str = "overwrite",

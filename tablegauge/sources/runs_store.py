@@ -15,7 +15,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablegauge.session import path_exists
+from tablegauge.session import read_if_there
 
 RUNS_SCHEMA = ("run_id string, run_name string, start_time timestamp, status string, "
                "metrics map<string,double>, params map<string,string>, tags map<string,string>, "
@@ -62,10 +62,10 @@ def append_runs(runs: DataFrame, path: str) -> str:
 def load_runs(spark: SparkSession, path: str, experiment: str) -> DataFrame:
     """The runs of one experiment as ranking input columns, newest
     best-F1 first (fetch order).  An unknown experiment gives no rows."""
-    if not path_exists(path):
+    runs = read_if_there(lambda: spark.read.schema(RUNS_SCHEMA).parquet(path))
+    if runs is None:
         runs = spark.createDataFrame([], RUNS_SCHEMA)
-    else:
-        runs = spark.read.parquet(path).where(F.col("experiment") == experiment)
+    runs = runs.where(F.col("experiment") == experiment)
     flat = runs.select(
         "run_id", F.coalesce(F.col("tags")["run_name"], F.col("run_name")).alias("run_name"),
         "start_time", "status", "experiment",

@@ -11,9 +11,9 @@ def test_audit_counts(spark, x3):
     assert A.audit_shape(df).first().asDict() == {"row_count": 5, "column_count": 9}
     assert A.audit_duplicates(df).first()[0] == 1
     d = {r["column_name"]: r["distinct_count"] for r in A.audit_distinct(df).collect()}
-    assert d["Department"] == 3 and d["EmployeeCount"] == 1
+    assert d["maker"] == 3 and d["plant"] == 1
     cand = {r["column_name"] for r in A.audit_candidates(df).collect()}
-    assert "EmployeeCount" not in cand and "Department" in cand
+    assert "plant" not in cand and "maker" in cand
 
 
 def test_missing_counts_nan_and_null(spark):
@@ -31,21 +31,17 @@ def test_class_balance_keeps_null_class(spark):
     assert rows == {"a": (2, 0.5), None: (1, 0.25), "b": (1, 0.25)}
 
 
+RANGES = {"hours": (10, 500), "load": (0, 20)}
+
+
 def _x2(spark):
-    rows = [(30, "No", 5, 1, 1, "Y", 12, 80, 5, 2, "Sales", "Rep", 3000, "Rarely", 1000),
-            (40, "Maybe", 3, 1, 2, "Y", 15, 80, 10, 4, "R&D", "Sci", 6000, "Often", 1200)]
-    schema = ("Age long, Attrition string, DistanceFromHome long, EmployeeCount long, EmployeeNumber long, "
-              "Over18 string, PercentSalaryHike long, StandardHours long, TotalWorkingYears long, "
-              "YearsAtCompany long, Department string, JobRole string, MonthlyIncome long, "
-              "BusinessTravel string, DailyRate long")
-    return spark.createDataFrame(rows, schema)
+    rows = [(55, "No", 4, 1, 21, "A", 230, "west"), (410, "Broken", 9, 1, 22, "A", 230, "east")]
+    return spark.createDataFrame(rows, "hours long, failed string, load long, plant long, unit long, grade string, volt long, site string")
 
 
 def _validate(df, **kw):
-    args = dict(target="Attrition", required_columns=["Attrition", "EmployeeNumber"],
-                excluded_columns=["EmployeeNumber", "EmployeeCount", "Over18", "StandardHours"],
-                ranges=V.DEFAULT_RANGES, constant_columns=V.DEFAULT_CONSTANT_COLUMNS,
-                key_column="EmployeeNumber", min_rows=1)
+    args = dict(target="failed", required_columns=["failed", "unit"], excluded_columns=["unit", "plant", "grade", "volt"],
+                ranges=RANGES, constant_columns=("plant", "grade", "volt"), key_column="unit", min_rows=1, min_features=3)
     args.update(kw)
     return V.validate_dataset(df, **args)
 
@@ -54,25 +50,25 @@ def test_invalid_target_is_first_failure(spark):
     rules = _validate(_x2(spark))
     with pytest.raises(ValidationError, match="target_column"):
         V.enforce(rules)
-    assert V.invalid_target_examples(_x2(spark), "Attrition", ["Yes", "No"]) == ["Maybe"]
+    assert V.invalid_target_examples(_x2(spark), "failed", ["Yes", "No"]) == ["Broken"]
 
 
 def test_rules_order_and_pass(spark):
-    ok = _x2(spark).withColumn("Attrition", F.lit("No"))
+    ok = _x2(spark).withColumn("failed", F.lit("No"))
     rules = _validate(ok)
     V.enforce(rules)  # passes
-    dup = ok.withColumn("EmployeeNumber", F.lit(7))
+    dup = ok.withColumn("unit", F.lit(7))
     with pytest.raises(ValidationError, match="key_unique"):
         V.enforce(_validate(dup))
-    bad_range = ok.withColumn("Age", F.lit(70))
-    with pytest.raises(ValidationError, match="numeric_ranges 'Age'"):
+    bad_range = ok.withColumn("hours", F.lit(700))
+    with pytest.raises(ValidationError, match="numeric_ranges 'hours'"):
         V.enforce(_validate(bad_range))
     with pytest.raises(ValidationError, match="minimum_rows"):
         V.enforce(_validate(ok, min_rows=1000))
 
 
 def test_batch_schema(spark, x3):
-    rows = V.check_batch_schema(x3.withColumnRenamed("Age", "age2"), x3.columns).collect()
+    rows = V.check_batch_schema(x3.withColumnRenamed("hours", "hours2"), x3.columns).collect()
     assert {r["status"] for r in rows} == {"ok", "missing"}
     with pytest.raises(ValidationError):
         V.enforce_batch_schema(x3.select(*reversed(x3.columns)), x3.columns)

@@ -7,16 +7,16 @@ from tablegauge.operators import validate as V
 
 def test_fixture_metrics(spark, x4):
     m = E.classification_metrics(x4).first().asDict()
-    assert m["accuracy"] == 0.75
-    assert abs(m["precision_pos"] - 2 / 3) < 1e-12 and abs(m["recall_pos"] - 2 / 3) < 1e-12
+    assert m["accuracy"] == 0.7
+    assert abs(m["precision_pos"] - 3 / 4) < 1e-12 and abs(m["recall_pos"] - 3 / 5) < 1e-12
     assert abs(m["f1_pos"] - 2 / 3) < 1e-12
-    assert abs(m["balanced_accuracy"] - (4 / 5 + 2 / 3) / 2) < 1e-12
-    assert abs(m["roc_auc"] - 14 / 15) < 1e-12
+    assert abs(m["balanced_accuracy"] - (4 / 5 + 3 / 5) / 2) < 1e-12
+    assert abs(m["roc_auc"] - 22 / 25) < 1e-12
 
 
 def test_confusion_sums_to_n(spark, x4):
     cm = {(r["actual"], r["predicted"]): r["n"] for r in E.confusion_matrix(x4).collect()}
-    assert cm == {("No", "No"): 4, ("No", "Yes"): 1, ("Yes", "No"): 1, ("Yes", "Yes"): 2}
+    assert cm == {("No", "No"): 4, ("No", "Yes"): 1, ("Yes", "No"): 2, ("Yes", "Yes"): 3}
 
 
 def test_gate_strictness(spark, x4):
@@ -24,7 +24,7 @@ def test_gate_strictness(spark, x4):
     ok = E.quality_gate(m, {"f1_pos": 0.30}, primary="f1_pos")
     E.enforce_gate(ok)
     assert E.gate_summary(ok).first()["passed"] is True
-    exact = E.quality_gate(m, {"accuracy": 0.75}, primary="accuracy")   # equal passes
+    exact = E.quality_gate(m, {"accuracy": 0.7}, primary="accuracy")   # equal passes
     E.enforce_gate(exact)
     bad = E.quality_gate(m, {"f1_pos": 0.95}, primary="f1_pos")
     with pytest.raises(GateError, match="f1_pos"):

@@ -5,36 +5,36 @@ from pyspark.sql import functions as F
 from tablegauge.errors import PreparationError
 from tablegauge.operators import prepare as P
 
-EXCL = ["EmployeeNumber", "EmployeeCount", "Over18", "StandardHours"]
+EXCL = ["unit", "plant", "grade", "volt"]
 
 
 def test_feature_columns_and_types(spark, x3):
-    feats = P.feature_columns(x3, "Attrition", EXCL + ["not_there"])
-    assert feats == ["Age", "DistanceFromHome", "BusinessTravel", "Department"]
+    feats = P.feature_columns(x3, "failed", EXCL + ["not_there"])
+    assert feats == ["hours", "load", "site", "maker"]
     num, cat = P.feature_types(x3, feats)
-    assert num == ["Age", "DistanceFromHome"] and cat == ["BusinessTravel", "Department"]
+    assert num == ["hours", "load"] and cat == ["site", "maker"]
     with pytest.raises(PreparationError):
         P.feature_columns(x3, "nope")
     with pytest.raises(PreparationError):
-        P.feature_types(x3, ["Age"])
+        P.feature_types(x3, ["hours"])
 
 
 def test_missingness_exact_and_deterministic(spark, x3):
-    kw = dict(keys=["EmployeeNumber"], fraction=0.2, seed=42, protected=["Attrition"],
-              strategy="selected_columns", columns=["Age", "Department"])
+    kw = dict(keys=["unit"], fraction=0.2, seed=42, protected=["failed"],
+              strategy="selected_columns", columns=["hours", "maker"])
     a, rep = P.inject_missing(x3, **kw)
     b, _ = P.inject_missing(x3, **kw)
     assert rep.cells_per_column == 1 and rep.missing_cells_introduced == 2
-    assert a.where(F.col("Age").isNull()).count() == 1
-    assert a.where(F.col("Department").isNull()).count() == 1
+    assert a.where(F.col("hours").isNull()).count() == 1
+    assert a.where(F.col("maker").isNull()).count() == 1
     assert sorted(map(repr, a.collect())) == sorted(map(repr, b.collect()))
     # the target and the keys are untouched
-    assert a.select("Attrition", "EmployeeNumber").collect() == x3.select("Attrition", "EmployeeNumber").collect()
+    assert a.select("failed", "unit").collect() == x3.select("failed", "unit").collect()
     with pytest.raises(PreparationError):
-        P.inject_missing(x3, keys=["EmployeeNumber"], fraction=0.5, seed=1)
+        P.inject_missing(x3, keys=["unit"], fraction=0.5, seed=1)
     with pytest.raises(PreparationError):
-        P.inject_missing(x3, keys=["EmployeeNumber"], fraction=0.1, seed=1, strategy="selected_columns",
-                         columns=["Age"])
+        P.inject_missing(x3, keys=["unit"], fraction=0.1, seed=1, strategy="selected_columns",
+                         columns=["hours"])
 
 
 def test_missingness_on_real_table(spark):
@@ -47,12 +47,12 @@ def test_missingness_on_real_table(spark):
 
 
 def test_imputation_x3(spark, x3):
-    holes = x3.withColumn("Age", F.when(F.col("EmployeeNumber") == 2, None).otherwise(F.col("Age"))) \
-              .withColumn("Department", F.when(F.col("EmployeeNumber") == 3, None).otherwise(F.col("Department")))
-    assert P.column_medians(holes, ["Age"]) == {"Age": 30.0}
-    assert P.column_modes(holes, ["Department"]) == {"Department": "Sales"}
-    filled = P.impute(holes, {"Age": 30.0, "Department": "Sales"})
-    assert filled.where(F.col("Age").isNull() | F.col("Department").isNull()).count() == 0
+    holes = x3.withColumn("hours", F.when(F.col("unit") == 12, None).otherwise(F.col("hours"))) \
+              .withColumn("maker", F.when(F.col("unit") == 13, None).otherwise(F.col("maker")))
+    assert P.column_medians(holes, ["hours"]) == {"hours": 120.0}
+    assert P.column_modes(holes, ["maker"]) == {"maker": "Acme"}
+    filled = P.impute(holes, {"hours": 120.0, "maker": "Acme"})
+    assert filled.where(F.col("hours").isNull() | F.col("maker").isNull()).count() == 0
     # mean of the middle pair for an even count
     ev = spark.createDataFrame([(1,), (2,), (3,), (10,)], "v long")
     assert P.column_medians(ev, ["v"]) == {"v": 2.5}
@@ -64,27 +64,27 @@ def test_mode_ties_lowest_value(spark):
 
 
 def test_encoding_unseen_is_zero(spark, x3):
-    feats = P.feature_columns(x3, "Attrition", EXCL)
+    feats = P.feature_columns(x3, "failed", EXCL)
     num, cat = P.feature_types(x3, feats)
-    spec = P.fit_features(x3, num, cat, keep=["EmployeeNumber"])
+    spec = P.fit_features(x3, num, cat, keep=["unit"])
     assert len(spec.names) == 8
     assert not any(e in n for n in spec.names for e in EXCL)
-    new = x3.limit(1).withColumn("Department", F.lit("NewDept"))
+    new = x3.limit(1).withColumn("maker", F.lit("NewDept"))
     vec = spec.transform(new).select(vector_to_array("features").alias("v")).first()["v"]
-    dept_idx = [i for i, n in enumerate(spec.names) if n.startswith("categorical__Department_")]
+    dept_idx = [i for i, n in enumerate(spec.names) if n.startswith("categorical__maker_")]
     assert [vec[i] for i in dept_idx] == [0.0, 0.0, 0.0]
-    wide = P.onehot_wide(new, spec.categories, keep=["EmployeeNumber"]).first()
-    assert sum(v for k, v in wide.asDict().items() if k.startswith("categorical__Department")) == 0.0
+    wide = P.onehot_wide(new, spec.categories, keep=["unit"]).first()
+    assert sum(v for k, v in wide.asDict().items() if k.startswith("categorical__maker")) == 0.0
 
 
 def test_model_save_load_same_predictions(spark, x3, tmp_path):
     from pyspark.ml import PipelineModel
-    feats = P.feature_columns(x3, "Attrition", EXCL)
+    feats = P.feature_columns(x3, "failed", EXCL)
     num, cat = P.feature_types(x3, feats)
-    spec = P.fit_features(x3, num, cat, keep=["EmployeeNumber"])
+    spec = P.fit_features(x3, num, cat, keep=["unit"])
     path = str(tmp_path / "model")
     spec.model.write().overwrite().save(path)
     again = PipelineModel.load(path)
-    a = spec.transform(x3).select("EmployeeNumber", vector_to_array("features").alias("v")).collect()
-    b = again.transform(x3).select("EmployeeNumber", vector_to_array("features").alias("v")).collect()
+    a = spec.transform(x3).select("unit", vector_to_array("features").alias("v")).collect()
+    b = again.transform(x3).select("unit", vector_to_array("features").alias("v")).collect()
     assert sorted(a) == sorted(b)
