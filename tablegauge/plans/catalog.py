@@ -54,18 +54,24 @@ _SQL_TYPES = ("CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'i
               "WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(data_type) END")
 
 
+_MISSING_SQL = _union([
+    f"SELECT '{c}' AS column_name, count(*) FILTER (WHERE {_miss_pred(c)}) AS missing_count FROM {EH} t"
+    for c in I.EVENTS_COLS])
+
+
 @query("audit_columns",
        f"SELECT CAST(ordinal_position - 1 AS BIGINT) AS position, column_name, {_SQL_TYPES} AS data_type, "
        f"data_type IN ('BIGINT','INTEGER','DOUBLE','SMALLINT','TINYINT','FLOAT','HUGEINT') "
-       f"OR data_type LIKE 'DECIMAL%' AS is_numeric "
-       f"FROM information_schema.columns WHERE table_name = 'events'")
+       f"OR data_type LIKE 'DECIMAL%' AS is_numeric, missing_count "
+       f"FROM information_schema.columns JOIN ({_MISSING_SQL}) m USING (column_name) WHERE table_name = 'events'")
 def q_audit_columns(spark, sf):
-    return A.audit_columns(I.events_holes(spark, sf))
+    """Each column's type with its missing values in the data."""
+    df = I.events_holes(spark, sf)
+    return A.audit_columns(df).join(A.audit_missing(df), "column_name") \
+        .select("position", "column_name", "data_type", "is_numeric", "missing_count")
 
 
-@query("audit_missing", _union([
-    f"SELECT '{c}' AS column_name, count(*) FILTER (WHERE {_miss_pred(c)}) AS missing_count FROM {EH} t"
-    for c in I.EVENTS_COLS]))
+@query("audit_missing", _MISSING_SQL)
 def q_audit_missing(spark, sf):
     return A.audit_missing(I.events_holes(spark, sf))
 
@@ -199,7 +205,7 @@ def _rules_sql() -> str:
                      "l_linestatus IS NOT NULL AND l_linestatus NOT IN ('F','O')) = 0"))
     for c, (lo, hi) in _LI_RANGES.items():
         bad = f"count(*) FILTER (WHERE {c} < {lo} OR {c} > {hi})"
-        parts.append(row(4, "numeric_ranges", c, bad, f"[{V._fmt(lo)}, {V._fmt(hi)}]", f"{bad} = 0"))
+        parts.append(row(4, "numeric_ranges", c, bad, f"[{lo:g}, {hi:g}]", f"{bad} = 0"))
     d = "(count(DISTINCT l_linestatus) + max(CASE WHEN l_linestatus IS NULL THEN 1 ELSE 0 END))"
     parts.append(row(5, "expected_constants", "l_linestatus", d, "1", f"{d} = 1"))
     parts.append(
@@ -274,15 +280,20 @@ def q_drop_excluded(spark, sf):
     return P.drop_excluded(I.table(spark, sf, "customer"), ["c_custkey", "c_name", "not_a_column"])
 
 
+_CUST_TYPES = {"c_name": "categorical", "c_nationkey": "numeric", "c_acctbal": "numeric", "c_mktsegment": "categorical"}
+
+
 @query("feature_types", _union([
-    "SELECT CAST(0 AS BIGINT) AS position, 'c_name' AS column_name, 'categorical' AS feature_type",
-    "SELECT 1, 'c_nationkey', 'numeric'",
-    "SELECT 2, 'c_acctbal', 'numeric'",
-    "SELECT 3, 'c_mktsegment', 'categorical'",
-]))
+    f"SELECT CAST({i} AS BIGINT) AS position, '{c}' AS column_name, '{t}' AS feature_type, "
+    f"count(*) FILTER (WHERE {c} IS NULL) AS missing_count, count(DISTINCT {c}) AS distinct_count FROM customer"
+    for i, (c, t) in enumerate(_CUST_TYPES.items())]))
 def q_feature_types(spark, sf):
+    """Each feature's kind with the missing and distinct values behind it."""
     cust = I.table(spark, sf, "customer")
-    return P.feature_types_table(cust, P.feature_columns(cust, "c_custkey", []))
+    feats = P.feature_columns(cust, "c_custkey", [])
+    counts = A.column_profile(cust.select(*feats)).select("column_name", "missing_count", "distinct_count")
+    return P.feature_types_table(cust, feats).join(counts, "column_name") \
+        .select("position", "column_name", "feature_type", "missing_count", "distinct_count")
 
 
 _MISS_SEED = 42
@@ -581,12 +592,12 @@ def _orders_batches(spark, sf):
                                 seed=_SPLIT_SEED, settings=_ORD_DRIFT, target=_ORD_TARGET)
 
 
-def _drifted_sql() -> str:
+def _drifted_sql(src: str | None = None) -> str:
     return (f"SELECT o_orderkey, CAST(round_even(CASE WHEN o_custkey IS NULL THEN NULL ELSE "
             f"least(1499.0, greatest(0.0, CAST(o_custkey AS DOUBLE) + 50.5)) END, 0) AS BIGINT) AS o_custkey, "
             f"o_orderstatus, CASE WHEN o_totalprice IS NULL THEN NULL ELSE "
             f"least(300000.0, greatest(1000.0, o_totalprice * 0.75)) END AS o_totalprice, "
-            f"'1-URGENT' AS o_orderpriority FROM ({_sample_sql()}) s")
+            f"'1-URGENT' AS o_orderpriority FROM ({src or _sample_sql()}) s")
 
 
 @query("drift_batches", _union([
@@ -597,20 +608,25 @@ def q_drift_batches(spark, sf):
     return _orders_batches(spark, sf).union()
 
 
-@query("drift_transform", _drifted_sql())
+_ALL_DRIFTED = _drifted_sql(I.orders_features_sql())
+
+
+def _all_drifted(spark, sf):
+    """The drift transforms over all orders."""
+    return D.apply_drift(I.orders_features(spark, sf), _ORD_DRIFT, _ORD_TARGET)
+
+
+@query("drift_transform", _ALL_DRIFTED)
 def q_drift_transform(spark, sf):
-    return _orders_batches(spark, sf).drifted
+    return _all_drifted(spark, sf)
 
 
 @query("drift_target_unchanged",
        f"SELECT count(*) AS mismatched_rows FROM ("
-       f"(SELECT o_orderkey, o_orderstatus FROM ({_sample_sql()}) a EXCEPT ALL "
-       f"SELECT o_orderkey, o_orderstatus FROM ({_drifted_sql()}) b) UNION ALL "
-       f"(SELECT o_orderkey, o_orderstatus FROM ({_drifted_sql()}) b EXCEPT ALL "
-       f"SELECT o_orderkey, o_orderstatus FROM ({_sample_sql()}) a)) x")
+       f"(SELECT o_orderkey, o_orderstatus FROM orders EXCEPT ALL SELECT o_orderkey, o_orderstatus FROM ({_ALL_DRIFTED}) b) UNION ALL "
+       f"(SELECT o_orderkey, o_orderstatus FROM ({_ALL_DRIFTED}) b EXCEPT ALL SELECT o_orderkey, o_orderstatus FROM orders)) x")
 def q_drift_target_unchanged(spark, sf):
-    b = _orders_batches(spark, sf)
-    return D.target_mismatches(b.stable, b.drifted, ["o_orderkey"], _ORD_TARGET)
+    return D.target_mismatches(I.orders_features(spark, sf), _all_drifted(spark, sf), ["o_orderkey"], _ORD_TARGET)
 
 
 _SPLIT_TS = "2024-01-16 00:00:00"
@@ -693,12 +709,12 @@ def q_drift_features(spark, sf):
     return _event_features(spark, sf)
 
 
-def _gate_sql() -> str:
+def _gate_sql(src: str | None = None) -> str:
     return (f"SELECT count(*) AS evaluated_feature_count, CAST(count(*) FILTER (WHERE drifted) AS BIGINT) "
             f"AS drifted_feature_count, coalesce(count(*) FILTER (WHERE drifted) / count(*), 0.0) "
             f"AS drifted_feature_share, coalesce(count(*) FILTER (WHERE drifted) / count(*), 0.0) >= {_SHARE_THR} "
             f"AS dataset_drift, CASE WHEN coalesce(count(*) FILTER (WHERE drifted) / count(*), 0.0) >= "
-            f"{_SHARE_THR} THEN 'failed' ELSE 'passed' END AS gate_status FROM ({_features_sql()}) f")
+            f"{_SHARE_THR} THEN 'failed' ELSE 'passed' END AS gate_status FROM ({src or _features_sql()}) f")
 
 
 @query("drift_gate", _gate_sql())
@@ -706,10 +722,13 @@ def q_drift_gate(spark, sf):
     return D.drift_gate(_event_features(spark, sf), _SHARE_THR)
 
 
-@query("drift_summary",
-       f"SELECT g.*, (SELECT coalesce(string_agg(feature, ',' ORDER BY position) FILTER (WHERE drifted), '') "
-       f"FROM ({_features_sql()}) f) AS drifted_feature_names, CAST({_SHARE_THR} AS DOUBLE) AS configured_threshold, "
-       f"CAST({_FEAT_THR} AS DOUBLE) AS feature_threshold FROM ({_gate_sql()}) g")
+def _summary_sql(src: str) -> str:
+    return (f"SELECT g.*, (SELECT coalesce(string_agg(feature, ',' ORDER BY position) FILTER (WHERE drifted), '') "
+            f"FROM ({src}) f) AS drifted_feature_names, CAST({_SHARE_THR} AS DOUBLE) AS configured_threshold, "
+            f"CAST({_FEAT_THR} AS DOUBLE) AS feature_threshold FROM ({_gate_sql(src)}) g")
+
+
+@query("drift_summary", _summary_sql(_features_sql()))
 def q_drift_summary(spark, sf):
     return D.drift_summary(_event_features(spark, sf), feature_threshold=_FEAT_THR, share_threshold=_SHARE_THR)
 
@@ -723,18 +742,6 @@ def _orders_compare(spark, sf, current: str):
     return res.features, res.summary
 
 
-@query("drift_orders_drifted")
-def q_drift_orders_drifted(spark, sf):
-    """Reference vs drifted orders batch, KS and chi-square: rows only."""
-    return _orders_compare(spark, sf, "drifted")[1]
-
-
-@query("drift_orders_stable")
-def q_drift_orders_stable(spark, sf):
-    """Reference vs its own permutation: nothing drifts."""
-    return _orders_compare(spark, sf, "stable")[1]
-
-
 # ============================================================ run history and ranking
 from tablegauge.operators import rank as RK  # noqa: E402
 from tablegauge.sources import runs_store as RS  # noqa: E402
@@ -937,7 +944,7 @@ def _train_cfg(spec: TR.ModelSpec, name: str) -> TP.TrainingConfig:
     return TP.TrainingConfig(target="quality", keys=["doc_id"], positive="1", negative="0", model=spec,
                              test_size=0.2, split_seed=42, stratify=True, seed=42, missing_enabled=True,
                              missing_fraction=0.05, missing_seed=42, missing_strategy="all_eligible",
-                             thresholds={"f1_pos": 0.0, "roc_auc": 0.0}, primary="f1_pos",
+                             thresholds={"f1_pos": 0.45, "roc_auc": 0.45}, primary="f1_pos",
                              experiment="docs-quality", run_name=name,
                              validation={"allowed_target_values": ("0", "1"), "key_column": "doc_id",
                                          "required_columns": ["doc_id", "quality"], "min_rows": 10,
@@ -957,21 +964,34 @@ _SPECS = {
 
 
 def _train(spark, sf, name):
-    res = TP.train_run(_labelled_docs(spark, sf), _train_cfg(_SPECS[name], name), enforce=False)
-    return res.predictions
+    """The test part's keys and true labels, and what must hold of its predictions for any fit."""
+    p = TP.train_run(_labelled_docs(spark, sf), _train_cfg(_SPECS[name], name), enforce=False).predictions
+    return p.select("doc_id", "y_true", F.col("p_pos").between(0.0, 1.0).alias("is_probability"),
+                    F.col("y_pred").isin("0", "1").alias("is_class"),
+                    ((F.col("y_pred") == "1") == (F.col("p_pos") > 0.5)).alias("class_agrees"))
 
 
-@query("train_logreg")
+_TRAIN_SQL = f"""
+WITH d AS (SELECT doc_id, CAST(quality AS VARCHAR) AS y_true FROM labels JOIN documents USING (doc_id)),
+c AS (SELECT y_true, count(*) AS n FROM d GROUP BY 1),
+t AS (SELECT CAST(ceil({_TEST_SIZE} * sum(n)) AS BIGINT) AS nt, CAST(sum(n) AS BIGINT) AS tot FROM c),
+a AS (SELECT y_true, (nt * n) // tot AS fl, (nt * n) % tot AS rem, nt FROM c, t),
+k AS (SELECT y_true, fl + CASE WHEN row_number() OVER (ORDER BY rem DESC, y_true) <= nt - sum(fl) OVER () THEN 1 ELSE 0 END AS k FROM a),
+r AS (SELECT doc_id, y_true, row_number() OVER (PARTITION BY y_true ORDER BY {_hash_sql(42, "split", "doc_id")}) AS rn FROM d)
+SELECT doc_id, y_true, true AS is_probability, true AS is_class, true AS class_agrees FROM r JOIN k USING (y_true) WHERE rn <= k"""
+
+
+@query("train_logreg", _TRAIN_SQL)
 def q_train_logreg(spark, sf):
     return _train(spark, sf, "01_logreg_balanced")
 
 
-@query("train_forest")
+@query("train_forest", _TRAIN_SQL)
 def q_train_forest(spark, sf):
     return _train(spark, sf, "04_forest_balanced")
 
 
-@query("train_gbt")
+@query("train_gbt", _TRAIN_SQL)
 def q_train_gbt(spark, sf):
     return _train(spark, sf, "05_gbt")
 
@@ -1004,10 +1024,10 @@ def q_drift_stream(spark, sf):
 
 
 # ============================================================ orders monitoring batches: scores
-def _batch_obs_sql(features, as_type) -> str:
-    """Observations of the reference (side 0) and drifted (side 1) orders batches."""
+def _batch_obs_sql(features, as_type, current: str | None = None) -> str:
+    """Observations of the reference (side 0) and the current (side 1, drifted by default) orders batch."""
     parts = []
-    for side, src in ((0, _sample_sql()), (1, _drifted_sql())):
+    for side, src in ((0, _sample_sql()), (1, current or _drifted_sql())):
         for c in features:
             parts.append(f"SELECT '{c}' AS feature, CAST({c} AS {as_type}) AS v, {side} AS side "
                          f"FROM ({src}) b WHERE {c} IS NOT NULL")
@@ -1031,3 +1051,29 @@ def q_drift_orders_chi2(spark, sf):
     b = _orders_batches(spark, sf)
     return D.chi2_statistics(b.reference, b.drifted, ["o_orderpriority", "o_orderstatus"]) \
         .withColumn("statistic", F.round("statistic", 9))
+
+
+def _orders_features_sql(current: str) -> str:
+    """Scores of the drift features and the untouched ones of an orders batch.  The
+    chi-square tail of an even number of degrees of freedom (five priorities: 4) is
+    a finite sum; an odd number would need the error function."""
+    names = [c for c in I.ORDERS_COLS if c not in ("o_orderkey", _ORD_TARGET)]
+    pos = " UNION ALL ".join(f"SELECT '{c}' AS feature, CAST({i} AS BIGINT) AS position" for i, c in enumerate(names))
+    cat = [c for c in names if c not in _ORD_NUM]
+    tail = ("exp(-statistic / 2) * list_sum(list_transform(range(0, dof // 2), lambda j: power(statistic / 2, j) / gamma(j + 1)))")
+    scores = (f"SELECT feature, p_value FROM ({_ks_sql(_batch_obs_sql(_ORD_NUM, 'DOUBLE', current))}) a UNION ALL "
+              f"SELECT feature, {tail} AS p_value FROM ({_chi2_sql(_batch_obs_sql(cat, 'VARCHAR', current))}) b")
+    return (f"SELECT f.feature, f.position, coalesce(k.p_value, 1.0) AS score, coalesce(k.p_value, 1.0) < {_FEAT_THR} AS drifted "
+            f"FROM ({pos}) f LEFT JOIN ({scores}) k ON f.feature = k.feature")
+
+
+@query("drift_orders_drifted", _summary_sql(_orders_features_sql(_drifted_sql())))
+def q_drift_orders_drifted(spark, sf):
+    """Reference vs drifted orders batch, KS and chi-square."""
+    return _orders_compare(spark, sf, "drifted")[1]
+
+
+@query("drift_orders_stable", _summary_sql(_orders_features_sql(_sample_sql())))
+def q_drift_orders_stable(spark, sf):
+    """Reference vs its own permutation: nothing drifts."""
+    return _orders_compare(spark, sf, "stable")[1]
