@@ -263,6 +263,14 @@ def drift_summary(features: DataFrame, *, feature_threshold: float, share_thresh
           float(share_threshold), float(feature_threshold))], _SUMMARY_SCHEMA)
 
 
+def drift_report(features: DataFrame, summary: DataFrame, paths: Mapping[str, str] | None = None) -> DataFrame:
+    """The summary row with every feature's score and the paths of the
+    batches compared, ready to be written as JSON."""
+    scores = features.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("feature", "score")))).alias("s"))
+    where = F.create_map(*[F.lit(x) for kv in (paths or {}).items() for x in kv]) if paths else F.lit(None).cast("map<string,string>")
+    return summary.withColumn("feature_drift_scores", scores.select("s").scalar()).withColumn("batch_paths", where)
+
+
 def compare_batches(ref: DataFrame, cur: DataFrame, *, features: Sequence[str],
                     feature_threshold: float, share_threshold: float,
                     column_order: Sequence[str] | None = None, target: str | None = None,

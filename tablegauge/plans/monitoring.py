@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from tablegauge.operators import drift as D
 from tablegauge.operators import prepare as P
 from tablegauge.operators import validate as V
-from tablegauge.sources.files import read_table, write_table
+from tablegauge.sources.files import read_table, write_report, write_table
 
 
 @dataclass
@@ -54,7 +54,7 @@ def run_monitoring(df: DataFrame, *, keys: Sequence[str], target: str, size: int
                    allowed_target_values: Sequence[str] | None = None,
                    validation: Mapping | None = None, persist_dir: str | None = None) -> MonitoringResult:
     """Build the batches, optionally persist them (CSV with header,
-    read back with the original schema) and compare ``current`` ('stable' or
+    read back with the original schema) with a JSON summary, and compare ``current`` ('stable' or
     'drifted') with the reference batch."""
     if current not in D.BATCH_NAMES:
         raise V.ValidationError(f"current batch must be one of {D.BATCH_NAMES}, got '{current}'")
@@ -74,4 +74,6 @@ def run_monitoring(df: DataFrame, *, keys: Sequence[str], target: str, size: int
         ref, cur, features=ctx.feature_columns, numeric=ctx.numeric_columns,
         feature_threshold=feature_threshold, share_threshold=share_threshold,
         column_order=ctx.column_order, target=target, allowed_target_values=allowed_target_values)
+    if persist_dir:
+        write_report(D.drift_report(feats, summary, {k: paths[k] for k in ("reference", current)}), f"{base}/drift_summary.json")
     return MonitoringResult(ctx, batches, feats, summary, paths)

@@ -131,3 +131,15 @@ def test_prediction_set_is_refused_with_its_counts(spark):
     bad = spark.createDataFrame([("Yes", "Perhaps", 1.5)], "y_true string, y_pred string, p_pos double")
     with pytest.raises(EvaluationError, match="bad_pred"):
         V.enforce_predictions(V.validate_predictions(bad))
+
+
+def test_monitoring_writes_its_summary(spark, tmp_path):
+    from tablegauge.plans.monitoring import run_monitoring
+    df = spark.range(0, 400).select(F.col("id").alias("k"), (F.col("id") % 50).cast("double").alias("x"),
+                                    F.concat(F.lit("c"), F.col("id") % 3).alias("c"), F.lit("Yes").alias("t"))
+    mon = run_monitoring(df, keys=["k"], target="t", size=100, seed=1, current="drifted", excluded=["k"], persist_dir=str(tmp_path),
+                         settings={"x": {"kind": "numeric", "transform": "add", "magnitude": 30}})
+    row = spark.read.json(f"{tmp_path}/drift_summary.json").first()
+    scores = {r.feature: r.score for r in mon.features.collect()}
+    assert row.feature_drift_scores.asDict() == pytest.approx(scores) and row.drifted_feature_names == "x"
+    assert row.batch_paths.asDict() == {k: mon.paths[k] for k in ("reference", "drifted")}
