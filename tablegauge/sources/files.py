@@ -118,6 +118,10 @@ def write_report(df: DataFrame, path: str, *, fmt: str = "json") -> str:
     """Write a small report table (a summary row, rule rows, ranked runs) as
     one JSON or CSV file.  Only for bounded report tables: coalescing to one
     file is the point."""
+    if fmt == "csv":        # a CSV cell holds a struct, map or array as JSON
+        nested = (T.StructType, T.MapType, T.ArrayType)
+        df = df.select(*[F.to_json(F.col(f"`{f.name}`")).alias(f.name) if isinstance(f.dataType, nested) else F.col(f"`{f.name}`")
+                         for f in df.schema.fields])
     one = df.coalesce(1).write.mode("overwrite")
     if fmt == "csv":
         one.option("header", True).csv(path)

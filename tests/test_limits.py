@@ -143,3 +143,11 @@ def test_monitoring_writes_its_summary(spark, tmp_path):
     scores = {r.feature: r.score for r in mon.features.collect()}
     assert row.feature_drift_scores.asDict() == pytest.approx(scores) and row.drifted_feature_names == "x"
     assert row.batch_paths.asDict() == {k: mon.paths[k] for k in ("reference", "drifted")}
+
+
+def test_nested_columns_in_a_csv_report(spark, tmp_path):
+    from tablegauge.sources.files import write_report
+    df = spark.createDataFrame([("r1", {"a": 1.0}, ["x", "y"])], "run_id string, metrics map<string,double>, names array<string>")
+    write_report(df, f"{tmp_path}/r.csv", fmt="csv")
+    row = spark.read.option("header", True).csv(f"{tmp_path}/r.csv").first()
+    assert (row.run_id, row.names) == ("r1", '["x","y"]') and "a" in row.metrics
