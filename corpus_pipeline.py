@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tablegauge.llm import decontaminate, packing, pii, quality, simhash
 from tablegauge.llm.catalog import tokenizer_path
-from tablegauge.llm.common import table, write_shared
+from tablegauge.llm.common import fresh, table, write_shared
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,16 +28,17 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     shingles, the document with the smallest id stays.  Where ids are null
     or repeated, rows are numbered first and one row of each group stays."""
     odd = docs.groupBy("doc_id").agg(F.count("*").alias("c")).filter("c > 1 or doc_id is null")
+    row, chosen = fresh(docs, "row", "chosen")
     if odd.isEmpty():
         groups = simhash.near_duplicates(docs, shingle=3, max_bits=2)
-        first = groups.filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("first"))
-        return docs.join(first, F.col("doc_id") == F.col("first"), "left_semi")
-    numbered = spark.read.parquet(write_shared(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered"))
-    groups = simhash.near_duplicates(numbered, shingle=3, max_bits=2, id_col="_row")
-    order = F.struct(F.col("doc_id").isNull(), "doc_id", "_row")
-    first = numbered.select("doc_id", "_row").join(groups, F.col("_row") == groups.doc_id).drop(groups.doc_id) \
-        .groupBy("component_id").agg(F.min_by("_row", order).alias("first"))
-    return numbered.join(first, F.col("_row") == F.col("first"), "left_semi").drop("_row")
+        first = groups.filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias(chosen))
+        return docs.join(first, F.col("doc_id") == F.col(chosen), "left_semi")
+    numbered = spark.read.parquet(write_shared(docs.withColumn(row, F.monotonically_increasing_id()), "numbered"))
+    groups = simhash.near_duplicates(numbered, shingle=3, max_bits=2, id_col=row).select(F.col("doc_id").alias("at"), "component_id")
+    names = numbered.select("doc_id", F.col(row).alias("at"))
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "at")
+    first = names.join(groups, "at").groupBy("component_id").agg(F.min_by("at", order).alias(chosen))
+    return numbered.join(first, F.col(row) == F.col(chosen), "left_semi").drop(row)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -28,6 +28,17 @@ def sql_words(text: Column) -> Column:
     return F.filter(parts, lambda w: w != "")
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with underscores added until no column of ``df`` has it."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """A checkpoint in the folder that the cluster shares, so a lost
     executor costs a read and not a recomputation."""

@@ -25,7 +25,8 @@ match and keeps the regular expression engine from recursing or rescanning.
 
 Edge cases: null texts are empty and have no span; repeated rows are
 sanitised alike and count as documents; null ids are kept; an empty table
-gives no rows; other columns are kept by ``sanitise``.  Offsets count code points.
+gives no rows; other columns are kept by ``sanitise``, whatever their names,
+and by ``find`` unless they are called like its two results.  Offsets count code points.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablegauge.llm.common import write_shared
+from tablegauge.llm.common import fresh, write_shared
 
 KINDS = ["email", "ip", "card", "phone"]
 CONTEXT = 5
@@ -186,12 +187,10 @@ def disclosing(docs: DataFrame, near: DataFrame, alpha: float = ALPHA, support:
 
 
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", context: int = CONTEXT, alpha: float = ALPHA,
-         support: int = SUPPORT, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """The rows, all columns, with ``base`` (pattern spans) and ``terms``
-    (spans of disclosing terms outside them, ``start, end``)."""
-    clash = {"base", "terms", "_key", "_terms_key"} & set(docs.columns)
-    if clash:
-        raise ValueError(f"rename the columns {sorted(clash)} first")
+         support: int = SUPPORT, broadcast_rows: int = BROADCAST_ROWS, base_col: str = "base", terms_col: str = "terms") -> DataFrame:
+    """The rows, all columns, with ``base_col`` (pattern spans) and ``terms_col``
+    (spans of disclosing terms outside them, ``start, end``); columns of
+    these names are replaced."""
     spark = docs.sparkSession
     # rows that share id and text share their spans
     key = F.struct(F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("id"), F.col(id_col).isNull().alias("no_id"),
@@ -201,13 +200,14 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", contex
     pairs = disclosing(keyed, near, alpha, support, broadcast_rows).select("entity", "term")
     terms = near.join(pairs, ["entity", "term"]).groupBy("key") \
         .agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("terms"))
-    terms = spark.read.parquet(write_shared(terms.select(F.col("key").alias("_terms_key"), "terms"), "terms"))
+    mine, other, spans = fresh(docs.withColumns({base_col: F.lit(0), terms_col: F.lit(0)}), "key", "terms_key", "found")
+    terms = spark.read.parquet(write_shared(terms.select(F.col("key").alias(other), F.col("terms").alias(spans)), "terms"))
     small = _small(terms, broadcast_rows // 10)
-    base = base_spans(F.col(text_col))
-    out = docs.withColumn("base", base).withColumn("_key", key)
-    out = out.join(F.broadcast(terms) if small else terms, F.col("_key") == F.col("_terms_key"), "left").drop("_key", "_terms_key")
-    inside = F.filter("terms", lambda t: ~F.exists("base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))
-    return out.withColumn("terms", F.when(F.col("terms").isNull(), F.array().cast("array<struct<start:int,end:int>>")).otherwise(inside))
+    out = docs.withColumns({mine: key, base_col: base_spans(F.col(text_col))})
+    out = out.join(F.broadcast(terms) if small else terms, F.col(mine) == F.col(other), "left")
+    outside = F.filter(spans, lambda t: ~F.exists(base_col, lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))
+    none = F.array().cast("array<struct<start:int,end:int>>")
+    return out.withColumn(terms_col, F.when(F.col(spans).isNull(), none).otherwise(outside)).drop(mine, other, spans)
 
 
 def span_list(base: Column, terms: Column | None = None) -> Column:
@@ -240,5 +240,6 @@ def _replaced(text: Column, base: Column, terms: Column) -> Column:
 
 def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
     """The rows, all columns, with everything protected replaced in the text."""
-    out = find(docs, id_col, text_col, **settings)
-    return out.withColumn(text_col, _replaced(F.col(text_col), F.col("base"), F.col("terms"))).drop("base", "terms").select(*docs.columns)
+    base, terms = fresh(docs, "base", "terms")
+    out = find(docs, id_col, text_col, **settings, base_col=base, terms_col=terms)
+    return out.withColumn(text_col, _replaced(F.col(text_col), F.col(base), F.col(terms))).drop(base, terms)

@@ -15,11 +15,12 @@ agree in those coordinates for all blocks but ``max_bits`` of them:
 
 Groups with more than ``PAIR_GROUP`` fingerprints under one key (large
 groups of near copies) are not expanded into pairs.  Their members are
-joined through the fingerprints at ``max_bits / 2`` flips inside the free
-blocks: two members that meet there are at most ``max_bits`` apart, and any
-two linked members meet.  At most ``65`` fingerprints can meet at one place,
-so no group is large.  This second way is exact and needs ``max_bits = 2``;
-for other bounds all groups are expanded into pairs.
+joined through the places (fingerprints) that they reach by flips inside the
+free blocks, half of ``max_bits`` of them, rounded up.  Any two linked
+members meet at a place that one of them reaches by the half rounded down;
+such a member is linked to all that meet there, so the least one is joined
+to each of them.  This second way is exact too, and linear in the group: at
+most 65 fingerprints can meet at one place (2,081 above two bits).
 
 Exact copies share a fingerprint and are handled once; components come from
 star contractions over distinct fingerprints.
@@ -139,26 +140,29 @@ class Pivots:
 def links(distinct: DataFrame, max_bits: int = 2, pair_group: int = PAIR_GROUP) -> DataFrame:
     """Edges ``(a, b)`` whose components are those of all links among the
     distinct fingerprints ``fp``; every edge is a link, or leads over one meeting place."""
-    if not 1 <= max_bits <= 8:
-        raise ValueError("max_bits must be from 1 to 8")
+    if not 1 <= max_bits <= 4:
+        raise ValueError("max_bits must be from 1 to 4")
     pivots = Pivots(max_bits)
     names = pivots.key_names()
     members = distinct.select("fp", F.explode(pivots.keys(F.col("fp"))).alias("key")).select("fp", "key.*")
     sizes = members.groupBy(*names).agg(F.count("*").alias("size")).filter("size > 1")
     groups = cut_lineage(members.join(sizes, names))
-    bound = F.lit(True) if max_bits != 2 else F.col("size") <= pair_group
-    small = groups.filter(bound)
+    small = groups.filter(F.col("size") <= pair_group)
     a, b = small.select(*names, F.col("fp").alias("a")), small.select(*names, F.col("fp").alias("b"))
     pairs = a.join(b, names).filter("a < b").filter(pivots.far(F.col("a"), F.col("b")) <= max_bits) \
         .filter(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits).select("a", "b")
-    if max_bits != 2:
-        return pairs
-    flips = F.array(*(F.array(F.lit(0).cast("long"), *(F.lit(_signed(1 << i)) for i in range(BITS) if mask >> i & 1))
-                      for mask in pivots.free_masks()))
-    at = groups.filter(~bound).select("fp", F.explode(F.element_at(flips, F.col("free") + 1)).alias("flip")) \
-        .select("fp", F.col("fp").bitwiseXOR(F.col("flip")).alias("place")).distinct()
-    met = at.groupBy("place").agg(F.collect_list("fp").alias("fps")).filter(F.size("fps") > 1)
-    hubs = met.select(F.array_min("fps").alias("a"), F.explode("fps").alias("b")).filter("a <> b")
+    bits = F.array(*(F.array(*(F.lit(i) for i in range(BITS) if mask >> i & 1)) for mask in pivots.free_masks()))
+    reach = groups.filter(F.col("size") > pair_group) \
+        .select("fp", F.col("fp").alias("place"), F.element_at(bits, F.col("free") + 1).alias("bits"), F.lit(-1).alias("last"))
+    at = reach.select("fp", "place")
+    for _ in range((max_bits + 1) // 2):
+        reach = reach.select("fp", "place", "bits", F.explode(F.filter("bits", lambda i: i > F.col("last"))).alias("last")) \
+            .withColumn("place", F.expr("place ^ shiftleft(1L, last)"))
+        at = at.union(reach.select("fp", "place"))
+    beyond = F.bit_count(F.col("fp").bitwiseXOR(F.col("place"))) > max_bits // 2
+    met = at.distinct().groupBy("place").agg(F.collect_list("fp").alias("fps"), F.min(F.when(~beyond, F.col("fp"))).alias("a")) \
+        .filter("size(fps) > 1 and a is not null")
+    hubs = met.select("a", F.explode("fps").alias("b")).filter("a <> b")
     return pairs.union(hubs)
 
 

@@ -136,5 +136,14 @@ def test_query_on_documents(spark):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert pii.find(df).collect() == [] and pii.sanitise(df).collect() == []
-    with pytest.raises(ValueError):
-        pii.find(df.withColumn("base", F.lit(1)))
+
+
+def test_columns_named_like_the_results(spark):
+    df = spark.createDataFrame(planted(), "doc_id long, text string")
+    more = df.select("*", *(F.lit(7).alias(c) for c in ("base", "terms", "key", "terms_key", "found", "BASE_")))
+    want = {r.doc_id: r.text for r in pii.sanitise(df).collect()}
+    got = pii.sanitise(more)
+    assert got.columns == more.columns
+    assert {r.doc_id: (r.text, r.base, r.found) for r in got.collect()} == {i: (t, 7, 7) for i, t in want.items()}
+    spans = {r.doc_id: (r.base, r.terms) for r in pii.find(df).collect()}
+    assert {r.doc_id: (r.base, r.terms) for r in pii.find(more).collect()} == spans

@@ -39,7 +39,7 @@ def test_fingerprint_matches_definition():
         assert simhash.fingerprint((t or "").encode()) == brute_fingerprint(t)
 
 
-@pytest.mark.parametrize("bits,group", [(2, 8), (2, 1), (2, 10**6), (1, 8), (3, 8)])
+@pytest.mark.parametrize("bits,group", [(2, 8), (2, 1), (2, 10**6), (1, 1), (3, 8), (3, 1), (4, 8)])
 def test_links_find_every_component(spark, bits, group):
     rng = random.Random(bits * 31 + group)
     fps = set()
