@@ -1001,7 +1001,7 @@ def q_experiment_sweep(spark, sf):
     cfgs = {n: _train_cfg(s, n) for n, s in _SPECS.items()}
     cfgs["06_bad_subsample"] = _train_cfg(TR.ModelSpec("random_forest", "balanced_subsample", None, {}),
                                           "06_bad_subsample")
-    return TP.sweep(_labelled_docs(spark, sf), cfgs)
+    return TP.sweep(_labelled_docs(spark, sf), cfgs).drop("run_id", "metrics")     # a run id is new each time
 
 
 # ============================================================ streaming drift monitor

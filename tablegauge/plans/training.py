@@ -8,6 +8,7 @@ run -> enforce the gate (after recording, so failed runs are recorded too).
 from __future__ import annotations
 
 import traceback
+import uuid
 from collections.abc import Mapping
 from dataclasses import asdict, dataclass, field
 
@@ -47,6 +48,7 @@ class TrainingConfig:
     run_name: str | None = None
     validation: dict | None = None      # rule arguments of validate_dataset; None skips validation
     dataset_path: str | None = None     # lineage: recorded as tags
+    model_path: str | None = None       # folder that keeps the fitted preparation and model, one subfolder per run
 
 
 @dataclass
@@ -62,6 +64,30 @@ class TrainingResult:
     distribution: dict
     run: DataFrame | None = None
     confusion: dict | None = None
+    run_id: str | None = None
+
+
+@dataclass
+class Prepared:
+    """Both parts of one split, kept, with the preparation fitted on the train part."""
+    train: DataFrame
+    test: DataFrame
+    features: P.FeatureSpec
+    feature_columns: dict[str, list[str]]
+    train_counts: dict[float, int]
+    distribution: dict
+    train_rows: int
+    test_rows: int
+
+    def release(self) -> None:
+        self.train.unpersist()
+        self.test.unpersist()
+
+
+def _preparation_key(cfg: TrainingConfig) -> str:
+    """Equal for configurations that differ in nothing before the fit."""
+    after = {"model", "seed", "thresholds", "primary", "experiment", "run_name", "dataset_path", "model_path"}
+    return repr(sorted((k, repr(v)) for k, v in asdict(cfg).items() if k not in after))
 
 
 def _params(cfg: TrainingConfig) -> dict[str, str]:
@@ -76,6 +102,15 @@ def train_run(df: DataFrame, cfg: TrainingConfig, *, runs_path: str | None = Non
     split, missingness and scoring; with ``cache_input`` it is
     persisted once (memory and disk) instead of being recomputed — worth it
     whenever the input is a join or another derived table."""
+    ready = prepare_parts(df, cfg, cache_input=cache_input)
+    try:
+        return fit_run(ready, cfg, runs_path=runs_path, enforce=enforce)
+    finally:
+        ready.release()
+
+
+def prepare_parts(df: DataFrame, cfg: TrainingConfig, *, cache_input: bool = True) -> Prepared:
+    """Everything before the fit: rules, split, missingness, preparation."""
     if cfg.validation is not None:
         # rules see the whole table (excluded columns included)
         from tablegauge.operators import validate as V
@@ -86,15 +121,13 @@ def train_run(df: DataFrame, cfg: TrainingConfig, *, runs_path: str | None = Non
     if cache_input:
         base = base.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return _train_run(base, cfg, feats, runs_path=runs_path, enforce=enforce)
+        return _prepare_parts(base, cfg, feats)
     finally:
         if cache_input:
             base.unpersist()
 
 
-def _train_run(base: DataFrame, cfg: TrainingConfig, feats: list[str], *, runs_path: str | None,
-               enforce: bool) -> TrainingResult:
-    spark = base.sparkSession
+def _prepare_parts(base: DataFrame, cfg: TrainingConfig, feats: list[str]) -> Prepared:
     srep: dict = {}
     split = S.split_train_test(base, keys=cfg.keys, test_size=cfg.test_size, seed=cfg.split_seed,
                                target=cfg.target, stratify=cfg.stratify, report=srep)
@@ -107,7 +140,7 @@ def _train_run(base: DataFrame, cfg: TrainingConfig, feats: list[str], *, runs_p
         test, _ = P.inject_missing(test, seed=cfg.missing_seed + 1, **kw)
     label = F.when(F.col(f"`{cfg.target}`").cast("string") == cfg.positive, 1.0).otherwise(0.0)
     train = train.withColumn("label", label).persist(StorageLevel.MEMORY_AND_DISK)
-    test = test.withColumn("label", label)
+    test = test.withColumn("label", label).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         if cfg.stratify:
             # per-class sizes come from the split's own bucket counts
@@ -130,31 +163,47 @@ def _train_run(base: DataFrame, cfg: TrainingConfig, feats: list[str], *, runs_p
         refuse(TrainingError, **{p: (s != wanted, f"classes {sorted(map(str, s))} where {sorted(wanted)} are needed") for p, s in seen.items()})
         num, cat = P.feature_types(train, feats)
         fspec = P.fit_features(train, num, cat, keep=list(cfg.keys) + [cfg.target, "label"])
-        prepared = fspec.transform(train)
-        weights = T.class_weight_map(train, "label", cfg.model.class_weight, counts=train_counts,
-                                     classes={cfg.positive: 1.0, cfg.negative: 0.0})
-        prepared = T.with_weights(prepared, "label", weights)
-        total = sum(n * (weights or {}).get(c, 1.0) for c, n in train_counts.items())
-        est = T.build_estimator(cfg.model, seed=cfg.seed, n_train=n_train, weight_sum=total,
-                                weight="weight" if cfg.model.algorithm != "gradient_boosting" else None)
-        clf = est.fit(prepared)
-        model = PipelineModel(stages=[*fspec.model.stages, clf])
-        preds = T.score(model, test, keys=cfg.keys, target=cfg.target,
-                        positive=cfg.positive, negative=cfg.negative).persist(StorageLevel.MEMORY_AND_DISK)
-        mets_df = E.classification_metrics(preds, positive=cfg.positive, negative=cfg.negative)
-        metrics = mets_df.first().asDict()
-        kept = spark.createDataFrame([tuple(metrics.values())], mets_df.schema)
-        E.enforce_auc(kept)
-        confusion = {f"{r['actual']}/{r['predicted']}": r["n"] for r in
-                     E.confusion_matrix(preds, labels=(cfg.negative, cfg.positive)).collect()}
-        gate_df = E.quality_gate(kept, cfg.thresholds, primary=cfg.primary)
-        gate = [r.asDict() for r in gate_df.collect()]
-        passed = all(r["passed"] for r in gate)
-    finally:
+        # both parts are kept before the input that they come from is let go
+        test.count()
+        return Prepared(train, test, fspec, {"numeric": list(num), "categorical": list(cat)}, train_counts, distribution,
+                        n_train, n_test)
+    except BaseException:
         train.unpersist()
-    run = R.run_record(spark, experiment=cfg.experiment,
+        test.unpersist()
+        raise
+
+
+def fit_run(ready: Prepared, cfg: TrainingConfig, *, runs_path: str | None = None, enforce: bool = True) -> TrainingResult:
+    """Fit, score, measure, gate and record one model on prepared parts."""
+    spark = ready.train.sparkSession
+    fspec, counts = ready.features, ready.train_counts
+    prepared = fspec.transform(ready.train)
+    weights = T.class_weight_map(ready.train, "label", cfg.model.class_weight, counts=counts,
+                                 classes={cfg.positive: 1.0, cfg.negative: 0.0})
+    prepared = T.with_weights(prepared, "label", weights)
+    total = sum(n * (weights or {}).get(c, 1.0) for c, n in counts.items())
+    est = T.build_estimator(cfg.model, seed=cfg.seed, n_train=ready.train_rows, weight_sum=total,
+                            weight="weight" if cfg.model.algorithm != "gradient_boosting" else None)
+    clf = est.fit(prepared)
+    model = PipelineModel(stages=[*fspec.model.stages, clf])
+    preds = T.score(model, ready.test, keys=cfg.keys, target=cfg.target,
+                    positive=cfg.positive, negative=cfg.negative).persist(StorageLevel.MEMORY_AND_DISK)
+    mets_df = E.classification_metrics(preds, positive=cfg.positive, negative=cfg.negative)
+    metrics = mets_df.first().asDict()
+    kept = spark.createDataFrame([tuple(metrics.values())], mets_df.schema)
+    E.enforce_auc(kept)
+    confusion = {f"{r['actual']}/{r['predicted']}": r["n"] for r in
+                 E.confusion_matrix(preds, labels=(cfg.negative, cfg.positive)).collect()}
+    gate_df = E.quality_gate(kept, cfg.thresholds, primary=cfg.primary)
+    gate = [r.asDict() for r in gate_df.collect()]
+    passed = all(r["passed"] for r in gate)
+    run_id = uuid.uuid4().hex
+    if cfg.model_path:
+        model.write().overwrite().save(f"{cfg.model_path.rstrip('/')}/{run_id}")
+    run = R.run_record(spark, experiment=cfg.experiment, run_id=run_id,
                        run_name=cfg.run_name or f"{cfg.model.algorithm}", metrics=metrics,
-                       params=_params(cfg) | {f"confusion.{k}": str(v) for k, v in confusion.items()},
+                       params=_params(cfg) | {f"confusion.{k}": str(v) for k, v in confusion.items()}
+                       | R.flatten_params(ready.feature_columns, "features."),
                        tags={"quality_gate.status": "passed" if passed else "failed",
                              "target.column": cfg.target, "run_name": cfg.run_name or cfg.model.algorithm,
                              **({"dataset.path": cfg.dataset_path,
@@ -162,32 +211,50 @@ def _train_run(base: DataFrame, cfg: TrainingConfig, feats: list[str], *, runs_p
                                 if cfg.dataset_path else {})})
     if runs_path:
         R.append_runs(run, runs_path)
-    result = TrainingResult(model, fspec, preds, metrics, gate, passed, n_train, n_test, distribution, run, confusion)
+    result = TrainingResult(model, fspec, preds, metrics, gate, passed, ready.train_rows, ready.test_rows,
+                            ready.distribution, run, confusion, run_id)
     if enforce and not passed:
         E.enforce_gate(gate_df)
     return result
 
 
+SWEEP_SCHEMA = ("config string, algorithm string, status string, error string, quality_gate_status string, "
+                "primary_value double, run_id string, metrics map<string,double>")
+
+
 def sweep(df: DataFrame, configs: Mapping[str, TrainingConfig], *, runs_path: str | None = None) -> DataFrame:
     """Train every configuration in name order without enforcing the
     gate; a failing training is recorded as ``failed`` with its error and
-    the sweep goes on.  Returns one row per configuration."""
-    spark = df.sparkSession
+    the sweep goes on.  Configurations that share their preparation share
+    the prepared parts.  Returns one row per configuration."""
+    rows: dict[str, tuple] = {}
+    groups: dict[str, list[str]] = {}
+    for name in sorted(configs):
+        groups.setdefault(_preparation_key(configs[name]), []).append(name)
+
+    def failed(name: str, exc: Exception) -> None:
+        rows[name] = (name, configs[name].model.algorithm, "failed", f"{type(exc).__name__}: {exc}", None, None, None, None)
+        traceback.clear_frames(exc.__traceback__)
+
     base = df.persist(StorageLevel.MEMORY_AND_DISK)
-    rows = []
     try:
-        for name in sorted(configs):
-            cfg = configs[name]
+        for names in groups.values():
             try:
-                res = train_run(base, cfg, runs_path=runs_path, enforce=False)
-                rows.append((name, cfg.model.algorithm, "completed", None,
-                             "passed" if res.passed else "failed", res.metrics.get(cfg.primary)))
+                ready = prepare_parts(base, configs[names[0]], cache_input=False)
             except Exception as exc:  # noqa: BLE001 - recorded, the sweep goes on
-                msg = f"{type(exc).__name__}: {exc}"
-                rows.append((name, cfg.model.algorithm, "failed", msg, None, None))
-                traceback.clear_frames(exc.__traceback__)
+                for name in names:
+                    failed(name, exc)
+                continue
+            for name in names:
+                cfg = configs[name]
+                try:
+                    res = fit_run(ready, cfg, runs_path=runs_path, enforce=False)
+                    rows[name] = (name, cfg.model.algorithm, "completed", None, "passed" if res.passed else "failed",
+                                  res.metrics.get(cfg.primary), res.run_id, R.numeric_metrics(res.metrics))
+                    res.predictions.unpersist()
+                except Exception as exc:  # noqa: BLE001 - recorded, the sweep goes on
+                    failed(name, exc)
+            ready.release()
     finally:
         base.unpersist()
-    return spark.createDataFrame(rows, "config string, algorithm string, status string, error string, "
-                                       "quality_gate_status string, primary_value double")
-
+    return df.sparkSession.createDataFrame([rows[name] for name in sorted(rows)], SWEEP_SCHEMA)

@@ -74,3 +74,28 @@ def test_training_run_repeatable_and_recorded(spark, tmp_path):
         TP.train_run(df, strict, runs_path=path)
     # the failing run was recorded before the gate raised
     assert RS.load_runs(spark, path, "docs-quality").count() == 2
+
+
+def test_sweep_prepares_once_and_keeps_models(spark, tmp_path, monkeypatch):
+    df = C._labelled_docs(spark, "/root/testdata/sf0.01")
+    spec = C._SPECS["01_logreg_balanced"]
+    cfgs = {n: C._train_cfg(spec, n) for n in ("a", "b", "c", "d")}
+    cfgs["b"].thresholds = {"f1_pos": 1.01}                 # the gate fails, the sweep doesn't
+    cfgs["b"].model_path = str(tmp_path / "models")
+    cfgs["c"].model = TR.ModelSpec("random_forest", "balanced_subsample", None, {})
+    cfgs["d"].positive = "7"                                # another preparation, which fails
+    seen = []
+    prepare = TP.prepare_parts
+    monkeypatch.setattr(TP, "prepare_parts", lambda base, cfg, **kw: seen.append(cfg.run_name) or prepare(base, cfg, **kw))
+    path = str(tmp_path / "runs")
+    rows = TP.sweep(df, cfgs, runs_path=path).collect()
+    assert seen == ["a", "d"]
+    assert [(r.config, r.status, r.quality_gate_status) for r in rows] == [
+        ("a", "completed", "passed"), ("b", "completed", "failed"), ("c", "failed", None), ("d", "failed", None)]
+    assert rows[0].metrics == rows[1].metrics and rows[0].primary_value == rows[0].metrics["f1_pos"]
+    assert "balanced_subsample" in rows[2].error and rows[2].run_id is None
+    kept = {r.run_id: r for r in RS.load_runs(spark, path, "docs-quality").collect()}
+    assert kept.keys() == {rows[0].run_id, rows[1].run_id}
+    assert kept[rows[0].run_id].params["features.numeric"] == "n_chars"
+    from pyspark.ml import PipelineModel
+    assert len(PipelineModel.load(f"{tmp_path}/models/{rows[1].run_id}").stages) > 1
