@@ -13,8 +13,12 @@ node of a host
 
 Branches below the threshold are removed from each page, as are elements
 that are never article text by their tag or role (scripts, menus, headers,
-footers, forms, ...) or by the words of their class and id (adverts,
-notices, comments, ...).  Nodes that few distinct pages show can't be judged and
+footers, forms, ...) or by a class or id that names their role (adverts,
+notices, comments, ...).  A name's last word is its role, past words for
+places and boxes: ``user-comments`` and ``sidebar-left`` go, while
+``related-work``, ``no-sidebar`` and ``content-sidebar`` stay.  Names don't
+drop text inside paragraphs, headings and ``pre``, nor ``main`` elements below
+them.  Nodes that few distinct pages show can't be judged and
 are kept, and so are headings and paragraphs inside an ``article`` or
 ``main`` element: a line that many articles of a host share stays.
 
@@ -66,6 +70,13 @@ _DROP_WORD = set("ad ads adv advert adverts advertisement advertising sponsor sp
                  "gdpr notice notices popup modal overlay newsletter subscribe subscription signup login comment comments "
                  "disqus respond replies share sharing social related recommended recommendations toolbar pagination pager "
                  "search skip".split())
+#: Names that drop paragraphs and headings, too.
+_DROP_PROSE = set("ad ads adv advert adverts advertisement advertising sponsor sponsored promo breadcrumb breadcrumbs pagination pager".split())
+#: Names with one of these tell of a state or hold the content.
+_STATE = set("no not non without with has have is hide show content layout".split())
+#: Last words of a name that tell of a place or a box, not a role.
+_PLACE = set("left right top bottom upper lower inner outer first last primary secondary wrapper wrap container area box block "
+             "list item items section bar unit slot panel zone row col column group holder".split())
 _ARTICLE = {"article", "main"}
 _PROSE = set("h1 h2 h3 h4 h5 h6 p blockquote pre".split())
 #: A start tag on the left ends an open one on the right.
@@ -77,36 +88,53 @@ _HOLDS = set("table td th ul ol dl body html article section div".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
                     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+'|[\"'])*+)(?:>|\Z)", re.S)
-_ATTR = re.compile(r"([^\s=/\"'>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
-_HIDDEN = re.compile(r"(?:^|\s)hidden(?=[\s=/]|$)", re.I)
+_ATTR = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)(?:\"|\Z)|'([^']*)(?:'|\Z)|([^\s\"'>]+)))?")
 _SPACE = re.compile(r"\s+")
 _NUMBER = re.compile(r"\d+")
 
 
 class _Node:
-    __slots__ = ("tag", "path", "dropped", "inline", "prose", "article", "children")
+    __slots__ = ("tag", "path", "dropped", "inline", "prose", "article", "children", "text", "fixed")
 
-    def __init__(self, tag, path, dropped, inline, prose, article):
+    def __init__(self, tag, path, dropped, inline, prose, article, text=False, fixed=False):
         self.tag, self.path, self.dropped, self.inline = tag, path, dropped, inline
         self.prose, self.article = prose, article
+        # inside a paragraph or heading anywhere; dropped by more than a name
+        self.text, self.fixed = text, fixed
         self.children: list[str] = []
 
 
-def _label(tag: str, attrs: str) -> tuple[str, bool]:
-    """A style node's label, and whether tag, role or names drop it."""
+def _role(name: str) -> str:
+    """The word of a class or id that names the element's role, or none."""
+    parts = [w for w in re.split(r"[-_]+", name.split("--")[0]) if w and not w.isdigit()]
+    if _STATE.intersection(parts):
+        return ""
+    while len(parts) > 1 and parts[-1] in _PLACE:
+        parts.pop()
+    return parts[-1] if parts else ""
+
+
+def _label(tag: str, attrs: str, text: bool = False, article: bool = False) -> tuple[str, bool, bool]:
+    """A style node's label, and whether tag, role or state, and whether its
+    names drop it: inside ``text`` (a paragraph, ...) or an ``article``."""
     if not attrs:
-        return tag, tag in _DROP
+        return tag, tag in _DROP, False
     got = {}
     for m in _ATTR.finditer(attrs):
         got.setdefault(m[1].lower(), m[2] or m[3] or m[4] or "")
-    names = f"{got.get('class', '')} {got.get('id', '')}".lower().split()
+    classes, ids = got.get("class", "").lower().split(), got.get("id", "").lower().split()
     role = got.get("role", "").lower()
-    words = {w for n in names for w in re.split(r"[-_]+", n)}
-    hidden = _HIDDEN.search(attrs) or got.get("aria-hidden") == "true" or "display:none" in got.get("style", "").replace(" ", "")
-    dropped = tag in _DROP or role in _DROP_ROLE or bool(hidden) or (tag not in ("html", "body", "article", "main") and bool(words & _DROP_WORD))
+    hidden = "hidden" in got or got.get("aria-hidden") == "true" or "display:none" in got.get("style", "").replace(" ", "")
+    if tag in ("html", "body", "article", "main") or text:
+        named = False
+    elif tag in _PROSE:
+        named = not _DROP_PROSE.isdisjoint(classes)
+    else:                                    # the id of an article's section is an anchor
+        own = classes if article and tag == "section" else classes + ids
+        named = any(_role(n) in _DROP_WORD for n in own)
     # numbers in names are a page's own; the style is what is left
-    style = "".join("." + _NUMBER.sub("0", n) for n in sorted(names)) + (f"@{role}" if role else "")
-    return tag + style, dropped
+    style = "".join("." + _NUMBER.sub("0", n) for n in sorted(classes + ids)) + (f"@{role}" if role else "")
+    return tag + style, tag in _DROP or role in _DROP_ROLE or hidden, named
 
 
 def parse(page: str | None) -> tuple[list[tuple[str, str, bool]], dict[str, list[str]]]:
@@ -174,8 +202,10 @@ def parse(page: str | None) -> tuple[list[tuple[str, str, bool]], dict[str, list
                 break
             if t in _HOLDS:
                 break
-        label, drop = _label(tag, m[3])
         parent = stack[-1]
+        label, fixed, named = _label(tag, m[3], parent.text, parent.article)
+        fixed = fixed or parent.fixed
+        drop = fixed or named or parent.dropped and tag != "main"
         inline = tag in _INLINE
         if not inline:
             flush()
@@ -185,8 +215,8 @@ def parse(page: str | None) -> tuple[list[tuple[str, str, bool]], dict[str, list
             continue
         article = parent.article or tag in _ARTICLE
         # as in browsers, deeper elements count as siblings
-        node = _Node(tag, parent.path if inline or len(stack) > _DEPTH else f"{parent.path}/{label}", parent.dropped or drop, inline,
-                     parent.prose if inline else article and (tag in _PROSE or parent.prose), article)
+        node = _Node(tag, parent.path if inline or len(stack) > _DEPTH else f"{parent.path}/{label}", drop, inline,
+                     parent.prose if inline else article and (tag in _PROSE or parent.prose), article, parent.text or tag in _PROSE, fixed)
         stack.append(node)
         if tag in _RAW:
             stop = re.compile(f"</{tag}\\s*>", re.I).search(page, pos)

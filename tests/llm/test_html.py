@@ -118,3 +118,18 @@ def test_odd_and_empty(spark):
     got = sorted((r.page_id or 0, r.text) for r in H.extract(df).collect())
     assert got == [(0, "<" * 5000), (1, ""), (1, "deep")]
     assert H.extract(df.limit(0)).collect() == []
+
+
+def test_names_that_are_not_roles_keep_their_text():
+    for page in ('<div class="content no-sidebar"><p>x</p></div>', '<div id="page" class="has-sidebar"><p>x</p></div>', '<div class=content-sidebar-wrap>x</div>',
+                 '<article><section id="search-algorithms"><p>x</p></section></article>', '<article><section id="recommendations"><p>x</p></section></article>',
+                 '<h2 id="related-work">x</h2>', '<p class="notice">x</p>', '<div class="card card--sponsored">x</div>', '<div class="page--with-sidebar">x</div>',
+                 '<pre><span class="hljs-comment">x</span></pre>', '<p><a class="related" title="the hidden city">x</a></p>', "<p title='so hidden it is'>x",
+                 '<div data-x="a hidden b">x</div>', '<div class="sidebar"><p>menu</p><main><p>x</p></main></div>'):
+        assert body(page) == "x", page
+
+
+def test_names_that_are_roles_still_drop():
+    for inner in ('<div class="sidebar-left">x</div>', '<div class="ad ad--large">x</div>', '<div class="page__sidebar">x</div>', '<div id="ad-slot-3">x</div>',
+                  '<p class="advertisement">x</p>', '<div HIDDEN>x</div>', '<a hidden="until-found" href=y>x</a>', '<nav><main>x</main></nav>', '<ol class="comment-list">x</ol>'):
+        assert body("<p>one</p>" + inner) == "one", inner
