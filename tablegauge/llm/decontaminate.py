@@ -7,7 +7,8 @@ within the budget shares at least ``t = m - q + 1 - k * q`` of them, on
 diagonals that drift by at most ``k``:
 
 1. q-grams of the document are looked up in the items' q-grams and counted
-   for each item in diagonal bands that overlap by ``k``;
+   for each item in diagonal bands of at least ``k`` diagonals, which overlap
+   by ``k``;
 2. bands with at least ``t`` shared q-grams are retained (``k`` is lowered
    where needed so that ``t`` stays at least 1);
 3. retained regions are verified by alignment inside the band.
@@ -42,7 +43,7 @@ EDIT_RATE = 0.1
 #: Characters of items that are sent to the tasks at a time.
 ITEM_BLOCK_CHARS = 16 << 20
 
-_BAND = 6                      # diagonals to a band, as a power of two
+_BAND = 6                      # least diagonals to a band, as a power of two
 _SLOTS = 20                    # bits of the q-gram table's address
 _PIECE = 1 << 16               # characters scanned at once
 _BINS = 1 << 22
@@ -100,6 +101,9 @@ class ItemIndex:
         self.budget = np.clip(np.minimum((edit_rate * m + 1e-9).astype(np.int64), (m - q) // q), 0, None)
         self.need = np.where(m >= q, np.maximum(m - q + 1 - self.budget * q, 1), _FAR)
         self.longest, self.drift = int(m.max(initial=0)), int(self.budget.max(initial=0))
+        # a region drifts by k at most: a band of k diagonals or more and its overlap hold it
+        self.band = np.array([max(_BAND, (int(k) - 1).bit_length()) if k else _BAND for k in self.budget], np.int64)
+        self.widest = 1 << int(self.band.max(initial=_BAND))
         grams = [_qgrams(_codes(t), q) for t in self.texts]
         slot = np.concatenate([*grams, np.zeros(0, np.int64)])
         item = np.repeat(np.arange(len(grams)), [len(g) for g in grams])
@@ -117,14 +121,15 @@ class ItemIndex:
         if not len(at):
             return []
         slot = slot[at]
-        n, shift = self.count[slot], self.longest + (1 << _BAND)
+        n, shift = self.count[slot], self.longest + self.widest
         inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         hit = np.repeat(self.begin[slot], n) + inside
         item = self.item[hit]
         diagonal = np.repeat(at, n) - self.place[hit] + shift
         bands = (len(codes) + shift >> _BAND) + 1
-        key = item * bands + (diagonal >> _BAND)
-        overlap = (diagonal & (1 << _BAND) - 1) < self.budget[item]
+        band = self.band[item]
+        key = item * bands + (diagonal >> band)
+        overlap = (diagonal & (1 << band) - 1) < self.budget[item]
         key = np.concatenate([key, key[overlap] - 1])
         hit = np.concatenate([hit, hit[overlap]])
         if len(self.keys) * bands <= _BINS:
@@ -138,12 +143,13 @@ class ItemIndex:
         key = np.unique(key * (self.longest + 1) + self.place[hit]) // (self.longest + 1)
         key, shared = np.unique(key, return_counts=True)
         key = key[shared >= self.need[key // bands]]
-        return list(zip((key // bands).tolist(), ((key % bands << _BAND) - shift).tolist()))
+        item = key // bands
+        return list(zip(item.tolist(), ((key % bands << self.band[item]) - shift).tolist()))
 
     def scan(self, texts: list[str | None]) -> list[list[Match]]:
         """For each text its best match with every item that it holds."""
         best: list[dict[int, Match]] = [{} for _ in texts]
-        overlap = self.longest + 2 * self.drift + (2 << _BAND)
+        overlap = self.longest + 2 * self.drift + 2 * self.widest
         held: list[tuple[int, int, str]] = []
         size = 0
 
@@ -176,7 +182,7 @@ class ItemIndex:
         starts = np.cumsum([0] + [len(p) + 1 for _, _, p in pieces])
         for item, first in self._retained(_codes(joined)):
             text, k = self.texts[item], int(self.budget[item])
-            last = first + (1 << _BAND) + k
+            last = first + (1 << int(self.band[item])) + k
             lo, hi = max(0, first - k), last + len(text) + k
             a = max(0, int(np.searchsorted(starts, lo, "right")) - 1)
             while a < len(pieces) and starts[a] < hi:

@@ -103,3 +103,19 @@ def test_documents_hold_planted_items(spark):
     want = {(r.doc_id, i) for r in docs.collect() for i, s in norm.items() if s in D.normalise(r.text)}
     got = {(r.doc_id, r.item_id): r.distance for r in D.matches(docs, items).collect()}
     assert want and want == {k for k, e in got.items() if e == 0}
+
+
+@pytest.mark.parametrize("m,edits", [(650, 65), (2000, 200), (3000, 280), (6000, 500), (10_000, 600)])
+def test_long_items_whose_region_drifts(m, edits):
+    rng = random.Random(m)
+    item = "".join(rng.choice("abcdeou") for _ in range(m))          # no blanks that a deletion could squeeze
+    grown, shrunk, last = [], [], 0
+    for n in range(edits):                     # evenly spread insertions, and as many deletions
+        at = (n + 1) * m // (edits + 1)
+        grown.append(item[last:at] + "#")
+        shrunk.append(item[last:at - 1])
+        last = at
+    filler = make(rng, 400)
+    for s in ("".join(grown) + item[last:], "".join(shrunk) + item[last:]):
+        ((found,),) = D.ItemIndex([(1, item)]).scan([filler + " " + s + " " + filler])
+        assert 0 < found.distance <= edits
