@@ -41,6 +41,8 @@ CONTEXT = 5
 ALPHA = 0.9
 SUPPORT = 3
 BROADCAST_ROWS = 200_000
+#: Characters on each side of an entity that are cut into words first.
+_WINDOW = 512
 
 _USER = r"[A-Za-z0-9._%+-]"
 _PART = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
@@ -87,24 +89,20 @@ def _valid(kind: str, found: Column) -> Column:
 
 
 def _matches(text: Column, kind: str) -> Column:
-    """All leftmost matches of one kind with the pieces of text before and
-    after each: what the pattern finds, and what it splits."""
+    """All leftmost matches of one kind with the piece of text before each:
+    what the pattern finds, and what it splits."""
     found = F.regexp_extract_all(text, F.lit(_PATTERN[kind]), F.lit(0))
     pieces = F.split(text, _PATTERN[kind], -1)
-    return F.zip_with(F.slice(F.zip_with(pieces, F.slice(pieces, F.lit(2), F.greatest(F.size(pieces) - 1, F.lit(0))),
-                                         lambda a, b: F.struct(a.alias("before"), b.alias("after"))), F.lit(1), F.size(pieces) - 1),
-                      found, lambda p, m: F.struct(p["before"].alias("before"), p["after"].alias("after"), m.alias("found")))
+    return F.zip_with(F.slice(pieces, F.lit(1), F.size(pieces) - 1), found, lambda p, m: F.struct(p.alias("before"), m.alias("found")))
 
 
-def _spans(text: Column, kind: str, context: bool = False) -> Column:
+def _spans(text: Column, kind: str) -> Column:
     """The valid spans of a kind, in order of their start."""
     def step(acc, z):
         start = acc["at"] + F.length(z["before"])
-        fields = [F.lit(KINDS.index(kind)).alias("kind"), start.alias("start"), (start + F.length(z["found"])).alias("end"),
-                  z["found"].alias("found")] + ([z["before"].alias("before"), z["after"].alias("after")] if context else [])
+        fields = [F.lit(KINDS.index(kind)).alias("kind"), start.alias("start"), (start + F.length(z["found"])).alias("end"), z["found"].alias("found")]
         return F.struct((start + F.length(z["found"])).alias("at"), F.concat(acc["out"], F.array(F.struct(*fields))).alias("out"))
-    kinds = _SPAN if not context else _SPAN[:-2] + ",before:string,after:string>>"
-    empty = F.array().cast(kinds)
+    empty = F.array().cast(_SPAN)
     spans = F.aggregate(_matches(text, kind), F.struct(F.lit(0).alias("at"), empty.alias("out")), step, lambda acc: acc["out"])
     return F.when(_maybe(kind, text), F.filter(spans, lambda s: _valid(kind, s["found"]))).otherwise(empty)
 
@@ -118,37 +116,42 @@ def base_spans(text: Column) -> Column:
 _WORD_START = r"(?<=[\x20\x09-\x0D])(?=[^\x20\x09-\x0D])"
 
 
-def _near(spans: Column, context: int) -> Column:
-    """Words around each span as ``entity, start, end, word``: a piece is cut
-    into words with the blanks after them, so lengths give the offsets."""
-    def words(s):
-        before = F.split(s["before"], _WORD_START)
-        tail = F.slice(before, F.greatest(F.size(before) - context + 1, F.lit(1)), F.lit(context))
-        after = F.split(s["after"], _WORD_START)
-        head = F.slice(after, F.lit(1), F.lit(context + 1))
-        left = F.aggregate(tail, F.lit(0), lambda n, w: n + F.length(w))
+def _around(text: Column, start: Column, end: Column, context: int) -> tuple[Column, Column]:
+    """The words of the whole text before and after a span, with the blanks
+    after each; the rest of a word that the span begins in counts as one.
+    A window is cut into words, or all of that side if it holds too few."""
+    size = F.lit(_WINDOW)
+    near = F.split(F.substring(text, F.greatest(start - size, F.lit(0)) + 1, F.least(start, size)), _WORD_START)
+    # the first word of a window may have lost its head, and the last its tail
+    before = F.when((start <= size) | (F.size(near) > context), near).otherwise(F.split(F.substring(text, F.lit(1), start), _WORD_START))
+    near = F.split(F.substring(text, end + 1, size), _WORD_START)
+    after = F.when((F.length(text) - end <= size) | (F.size(near) > context + 1), near) \
+        .otherwise(F.split(F.substring(text, end + 1, F.length(text)), _WORD_START))
+    return F.slice(before, F.greatest(F.size(before) - context + 1, F.lit(1)), F.lit(context)), F.slice(after, F.lit(1), F.lit(context + 1))
 
-        def run(tokens, at):
-            start = F.struct(at.alias("at"), F.array().cast("array<struct<start:int,end:int,word:string>>").alias("out"))
 
-            def step(acc, w):
-                end = acc["at"] + F.length(w)
-                return F.struct(end.alias("at"), F.concat(acc["out"], F.array(F.struct(
-                    acc["at"].alias("start"), end.alias("end"), w.alias("word")))).alias("out"))
-            return F.aggregate(tokens, start, step, lambda acc: acc["out"])
-        return F.struct(F.concat_ws(":", s["kind"].cast("string"), F.lower(s["found"])).alias("entity"),
-                        F.concat(run(tail, s["start"] - left), run(head, s["end"])).alias("words"))
-    return F.transform(spans, words)
+def _placed(tokens: Column, at: Column) -> Column:
+    """The tokens with their offsets, as ``start, word``."""
+    def step(acc, w):
+        return F.struct((acc["at"] + F.length(w)).alias("at"),
+                        F.concat(acc["out"], F.array(F.struct(acc["at"].alias("start"), w.alias("word")))).alias("out"))
+    start = F.struct(at.alias("at"), F.array().cast("array<struct<start:int,word:string>>").alias("out"))
+    return F.aggregate(tokens, start, step, lambda acc: acc["out"])
 
 
 def contexts(docs: DataFrame, context: int = CONTEXT) -> DataFrame:
-    """``key, entity, term, start, end`` of the words around every entity; a
-    term is a word's letters and digits in lower case, and the offsets are theirs."""
+    """``key, entity, term, start, end`` of the words around every entity,
+    whatever other matches lie between; a term is a word's first letters and
+    digits in lower case, and the offsets are theirs."""
     text = F.coalesce(F.col("text"), F.lit(""))
     maybe = _maybe("email", text) | _maybe("ip", text) | _maybe("card", text) | _maybe("phone", text)
-    spans = F.concat(*(_spans(text, k, context=True) for k in KINDS))
-    near = docs.filter(maybe).select("key", F.explode(_near(spans, context)).alias("n")) \
-        .select("key", "n.entity", F.explode_outer("n.words").alias("w"))
+    spans = docs.filter(maybe).select("key", text.alias("text"), F.explode(base_spans(F.col("text"))).alias("s"))
+    before, after = _around(F.col("text"), F.col("s.start"), F.col("s.end"), context)
+    near = spans.select("key", F.concat_ws(":", F.col("s.kind").cast("string"), F.lower("s.found")).alias("entity"), "s.start", "s.end",
+                        before.alias("before"), after.alias("after"))
+    left = F.aggregate("before", F.lit(0), lambda n, w: n + F.length(w))
+    near = near.select("key", "entity", F.explode_outer(F.concat(_placed(F.col("before"), F.col("start") - left),
+                                                                 _placed(F.col("after"), F.col("end")))).alias("w"))
     lead = F.regexp_extract("w.word", r"^[^\p{L}\p{N}]*", 0)
     core = F.regexp_extract("w.word", r"^[^\p{L}\p{N}]*([\p{L}\p{N}]*)", 1)
     start = F.col("w.start") + F.length(lead)

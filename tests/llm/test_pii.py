@@ -147,3 +147,41 @@ def test_columns_named_like_the_results(spark):
     assert {r.doc_id: (r.text, r.base, r.found) for r in got.collect()} == {i: (t, 7, 7) for i, t in want.items()}
     spans = {r.doc_id: (r.base, r.terms) for r in pii.find(df).collect()}
     assert {r.doc_id: (r.base, r.terms) for r in pii.find(more).collect()} == spans
+
+
+def context_runs(rows, context=5):
+    """(row, entity, term, start, end) of every letter or digit run in the words around
+    each valid span, by word positions in the whole text; no other match counts."""
+    out = set()
+    for i, t in rows:
+        starts = [m.start() for m in re.finditer(r"(?<![^\x20\x09-\x0d])[^\x20\x09-\x0d]+", t or "")]
+        for kind, a, b in brute(t):
+            entity = f"{['email', 'ip', 'card', 'phone'].index(kind)}:{t[a:b].lower()}"
+            head = [0, *(x for x in starts if 0 < x < a)][-context:]
+            tail = [x for x in starts if x > b]
+            lo, hi = head[0], tail[context] if len(tail) > context else len(t)
+            for m in re.finditer(r"[^\W_]+", t[lo:a]):
+                out.add((i, entity, m[0].lower(), lo + m.start(), lo + m.end()))
+            for m in re.finditer(r"[^\W_]+", t[b:hi]):
+                out.add((i, entity, m[0].lower(), b + m.start(), b + m.end()))
+    return out
+
+
+def contexts_of(spark, rows):
+    df = spark.createDataFrame(rows, "key long, text string")
+    return [tuple(r) for r in pii.contexts(df).select("key", "entity", "term", "start", "end").collect()]
+
+
+def test_context_reaches_over_other_matches(spark):
+    card = "4111 1111 1111 1111"
+    plain = [(0, f"Alice Smith order 2024 card {card} paid on 12 May 2025 at noon"), (1, "write ann@a.example or bob@b.example soon please"),
+             (2, f"Ünï \U0001f600 name 77 88 99 {card} 10 11 12 end"), (3, "far " + "y" * 2000 + f" a b c {card} d e f " + "z" * 2000 + " far"), (4, card)]
+    plain += [(10 + n, f"{'w ' * n}{card}{' v' * n}") for n in range(9)]
+    got = contexts_of(spark, plain)
+    terms = {(i, e, w) for i, e, w, _, _ in got if w}
+    assert {(0, f"2:{card}", w) for w in ("alice", "smith", "order", "2024", "card", "paid", "on", "12", "may", "2025")} <= terms
+    assert {(1, "0:ann@a.example", w) for w in ("write", "or", "soon", "please")} <= terms
+    assert {(1, "0:bob@b.example", w) for w in ("write", "or", "soon", "please")} <= terms
+    assert (3, f"2:{card}", "far") in terms and (3, f"2:{card}", "z" * 2000) in terms
+    want = {x for x in context_runs(plain) if x[0] != 1}
+    assert {x for x in got if x[0] != 1 and x[2]} == want
