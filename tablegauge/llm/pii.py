@@ -55,6 +55,7 @@ _PATTERN = {
 }
 _SPAN = "array<struct<kind:int,start:int,end:int,found:string>>"
 _TERM_BREAK = r"[^\p{L}\p{N}]+"
+_TERM = r"[\p{L}\p{N}]++"
 
 
 def _maybe(kind: str, text: Column) -> Column:
@@ -130,32 +131,32 @@ def _around(text: Column, start: Column, end: Column, context: int) -> tuple[Col
     return F.slice(before, F.greatest(F.size(before) - context + 1, F.lit(1)), F.lit(context)), F.slice(after, F.lit(1), F.lit(context + 1))
 
 
-def _placed(tokens: Column, at: Column) -> Column:
-    """The tokens with their offsets, as ``start, word``."""
-    def step(acc, w):
-        return F.struct((acc["at"] + F.length(w)).alias("at"),
-                        F.concat(acc["out"], F.array(F.struct(acc["at"].alias("start"), w.alias("word")))).alias("out"))
-    start = F.struct(at.alias("at"), F.array().cast("array<struct<start:int,word:string>>").alias("out"))
-    return F.aggregate(tokens, start, step, lambda acc: acc["out"])
+def _terms(text: Column, at: Column) -> Column:
+    """Every run of letters or digits of a text that begins at an offset, as ``start, term``."""
+    def step(acc, z):
+        start = acc["at"] + F.length(z["gap"])
+        return F.struct((start + F.length(z["run"])).alias("at"),
+                        F.concat(acc["out"], F.array(F.struct(start.alias("start"), z["run"].alias("term")))).alias("out"))
+    runs, gaps = F.regexp_extract_all(text, F.lit(_TERM), F.lit(0)), F.split(text, _TERM, -1)
+    start = F.struct(at.alias("at"), F.array().cast("array<struct<start:int,term:string>>").alias("out"))
+    return F.aggregate(F.zip_with(F.slice(gaps, F.lit(1), F.size(runs)), runs, lambda g, r: F.struct(g.alias("gap"), r.alias("run"))),
+                       start, step, lambda acc: acc["out"])
 
 
 def contexts(docs: DataFrame, context: int = CONTEXT) -> DataFrame:
     """``key, entity, term, start, end`` of the words around every entity,
-    whatever other matches lie between; a term is a word's first letters and
-    digits in lower case, and the offsets are theirs."""
+    whatever other matches lie between; each run of letters or digits in a
+    word is a term, in lower case, and the offsets are its own.  An entity
+    without terms has one row with a null term."""
     text = F.coalesce(F.col("text"), F.lit(""))
     maybe = _maybe("email", text) | _maybe("ip", text) | _maybe("card", text) | _maybe("phone", text)
     spans = docs.filter(maybe).select("key", text.alias("text"), F.explode(base_spans(F.col("text"))).alias("s"))
     before, after = _around(F.col("text"), F.col("s.start"), F.col("s.end"), context)
     near = spans.select("key", F.concat_ws(":", F.col("s.kind").cast("string"), F.lower("s.found")).alias("entity"), "s.start", "s.end",
-                        before.alias("before"), after.alias("after"))
-    left = F.aggregate("before", F.lit(0), lambda n, w: n + F.length(w))
-    near = near.select("key", "entity", F.explode_outer(F.concat(_placed(F.col("before"), F.col("start") - left),
-                                                                 _placed(F.col("after"), F.col("end")))).alias("w"))
-    lead = F.regexp_extract("w.word", r"^[^\p{L}\p{N}]*", 0)
-    core = F.regexp_extract("w.word", r"^[^\p{L}\p{N}]*([\p{L}\p{N}]*)", 1)
-    start = F.col("w.start") + F.length(lead)
-    return near.select("key", "entity", F.lower(core).alias("term"), start.alias("start"), (start + F.length(core)).alias("end"))
+                        F.array_join(before, "").alias("before"), F.array_join(after, "").alias("after"))
+    near = near.select("key", "entity", F.explode_outer(F.concat(_terms(F.col("before"), F.col("start") - F.length("before")),
+                                                                 _terms(F.col("after"), F.col("end")))).alias("t"))
+    return near.select("key", "entity", F.lower("t.term").alias("term"), "t.start", (F.col("t.start") + F.length("t.term")).alias("end"))
 
 
 def _small(df: DataFrame, rows: int) -> bool:

@@ -185,3 +185,18 @@ def test_context_reaches_over_other_matches(spark):
     assert (3, f"2:{card}", "far") in terms and (3, f"2:{card}", "z" * 2000) in terms
     want = {x for x in context_runs(plain) if x[0] != 1}
     assert {x for x in got if x[0] != 1 and x[2]} == want
+
+
+def test_every_run_of_a_context_word_is_a_term(spark):
+    rows = [(0, "call O'Brien or Jean-Luc, name:Alice user=alice,id=77,mail=x@y.example;tel=5 (Ünï-cödé \U0001f600x_y) end"), (1, "x@y.example"),
+            (2, "a@b.example,c@d.example\t10.0.0.1-e"), (3, "--- x@y.example ---"), (4, TRICKY[-1] + " ²x")]
+    got = contexts_of(spark, rows)
+    assert {x for x in got if x[2]} == context_runs(rows)
+    assert {w for i, _, w, _, _ in got if i == 0} >= {"o", "brien", "jean", "luc", "name", "alice", "user", "77"}
+    assert {(i, e) for i, e, *_ in got} == {(i, f"{pii.KINDS.index(k)}:{t[a:b].lower()}") for i, t in rows for k, a, b in brute(t)}
+
+
+def test_later_parts_of_a_word_are_sanitised(spark):
+    rows = [(i, f"filler{i} user=Quorlin,id=77 ann@corp.example since{i}") for i in range(4)] + [(10 + i, f"some other text {i} id 77") for i in range(30)]
+    out = {r.doc_id: r.text for r in pii.sanitise(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(out[i] == f"filler{i} [TERM]=[TERM],id=77 [EMAIL] since{i}" for i in range(4)) and out[12] == rows[6][1]
