@@ -106,5 +106,5 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = table(spark, sf_dir, "documents").select("doc_id", F.col("source").alias("repo"), "text", F.expr(
         "concat_ws('/', lang, CASE WHEN doc_id % 1000 = 0 THEN 'LICENSE' WHEN doc_id % 25 = 0 THEN concat('d', doc_id div 100, '/LICENSE') "
         "ELSE concat('d', doc_id div 100, '/', doc_id, '.txt') END)").alias("path"))
-    out = licenses.scan(files, licenses.templates(spark), id_col="doc_id")
+    out = licenses.scan(files, licenses.templates(spark), id_col="doc_id", forms=licenses.form_templates(spark))
     return out.select(F.col("file_id").alias("doc_id"), "path", "license", "origin", F.round("cosine", 6).alias("cosine"), "from_dir")

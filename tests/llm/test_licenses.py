@@ -81,3 +81,31 @@ def test_empty_tables(spark):
     none = spark.createDataFrame([], "license string, text string")
     assert [r.origin for r in L.scan(df, none).collect()] == ["none"]
     assert L.scan(df.limit(0), L.templates(spark)).collect() == []
+
+
+def test_titles_headers_and_full_texts(spark):
+    texts = {n: t for n, k, t in L.license_forms.forms() if k == "text"}
+    filled = lambda n: texts[n].replace("<year> <owner>", "2021 Some Body and others")
+    wrapped = "// This program is free software: you can\n// redistribute it and/or modify it under the terms of\n// the GNU {} as\n" \
+        "// published by the Free Software Foundation, either\n// version {} of the License, or (at your option) any later\n// version.\n//\n// more words\ncode();"
+    apache = '#!/bin/sh\n#\n# Licensed under the Apache License, Version 2.0\n# (the "License"); you may not use this file except in\n# compliance with the License. ' \
+        "You may obtain\n# a copy of the License at\n#\n#     http://www.apache.org/licenses/LICENSE-2.0\n\nrun"
+    mozilla = "/* This Source Code Form is subject to the terms of the Mozilla Public\n * License, v. 2.0. If a copy of the MPL was not distributed with this\n" \
+        " * file, You can obtain one at https://mozilla.org/MPL/2.0/. */\nint x;"
+    comment = lambda t: "".join(f" * {x}\n" for x in t.splitlines()) + "\ncode();"
+    files = [("a.py", x, y) for x, y in (("MIT License", "MIT"), ("# SPDX-License-Identifier: MIT", "MIT"), ("SPDX-License-Identifier: Apache-2.0", "Apache-2.0"),
+             ("SPDX-License-Identifier: GPL-2.0-or-later", "GPL-2.0"), ("SPDX-License-Identifier: Zlib", None), ("BSD 3-Clause License", "BSD-3-Clause"),
+             ("GNU GENERAL PUBLIC LICENSE", "GPL"), ("Mozilla Public License Version 2.0", "MPL-2.0"), (apache, "Apache-2.0"), (mozilla, "MPL-2.0"),
+             (wrapped.format("General Public License", 2), "GPL-2.0"), (wrapped.format("Lesser General Public License", 3), "LGPL-3.0"),
+             (wrapped.format("Affero General Public License", 3), "AGPL-3.0"), (comment(filled("MIT")), "MIT"), (comment(filled("BSD-2-Clause")), "BSD-2-Clause"),
+             ("a book on copyright and the public domain", None), ("see the license file for more on this", None))]
+    files += [("LICENSE", filled(n), n) for n in texts] + [("COPYING", "the words of and to the in a license " * 300, None)]
+    real = {"pluggy": "MIT", "idna": "BSD-3-Clause", "pygments": "BSD-2-Clause", "requests": "Apache-2.0"}
+    for p in L.license_forms.Path(duckdb.__file__).parents[1].glob("*.dist-info/licenses/LICENSE*"):
+        name = p.parents[1].name.split("-")[0]
+        if name in real:
+            files.append(("LICENSE", p.read_text(), real[name]))
+    rows = [(i, f"r{i}", name, t) for i, (name, t, _) in enumerate(files)]
+    df = spark.createDataFrame(rows, "file_id long, repo string, path string, text string")
+    got = {r.file_id: r.license for r in L.scan(df, L.templates(spark), forms=L.form_templates(spark)).collect()}
+    assert [(files[i][1][:60], got[i], x[2]) for i, x in enumerate(files) if got[i] != x[2]] == []
