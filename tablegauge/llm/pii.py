@@ -10,13 +10,13 @@ with p(t, e) the share of documents that show term t within ``CONTEXT``
 words of entity e and p(t) the share that hold t anywhere.  PMI reaches
 IC(e) when t occurs with e only.  A term whose PMI is at least
 ``ALPHA * IC(e)`` (and one bit), on ``SUPPORT`` documents or more, exceeds
-the disclosure threshold and is generalised next to that entity; everything
-protected is replaced by the name of its kind.
+the disclosure threshold and is generalised wherever a document holds it, near
+that entity or not; everything protected is replaced by the name of its kind.
 
 Contexts are a few words for each match.  Entities, terms and pairs are
 counted by aggregates that combine before the shuffle, so an entity or word
 in a third of all documents is a partial count in every task.  Counting the
-candidate terms over all documents, and bringing spans back to documents,
+candidate terms over all documents, and bringing terms back to documents,
 uses a broadcast while its measured size is under ``BROADCAST_ROWS`` rows
 and a shuffled join beyond.
 
@@ -131,13 +131,15 @@ def _around(text: Column, start: Column, end: Column, context: int) -> tuple[Col
     return F.slice(before, F.greatest(F.size(before) - context + 1, F.lit(1)), F.lit(context)), F.slice(after, F.lit(1), F.lit(context + 1))
 
 
-def _terms(text: Column, at: Column) -> Column:
-    """Every run of letters or digits of a text that begins at an offset, as ``start, term``."""
+def _terms(text: Column, at: Column, pattern: Column | None = None) -> Column:
+    """Every run of letters or digits of a text that begins at an offset, as ``start, term``:
+    all, or those that match a pattern."""
     def step(acc, z):
         start = acc["at"] + F.length(z["gap"])
         return F.struct((start + F.length(z["run"])).alias("at"),
                         F.concat(acc["out"], F.array(F.struct(start.alias("start"), z["run"].alias("term")))).alias("out"))
-    runs, gaps = F.regexp_extract_all(text, F.lit(_TERM), F.lit(0)), F.split(text, _TERM, -1)
+    pattern = F.lit(_TERM) if pattern is None else pattern
+    runs, gaps = F.regexp_extract_all(text, pattern, F.lit(0)), F.split(text, pattern, -1)
     start = F.struct(at.alias("at"), F.array().cast("array<struct<start:int,term:string>>").alias("out"))
     return F.aggregate(F.zip_with(F.slice(gaps, F.lit(1), F.size(runs)), runs, lambda g, r: F.struct(g.alias("gap"), r.alias("run"))),
                        start, step, lambda acc: acc["out"])
@@ -159,6 +161,14 @@ def contexts(docs: DataFrame, context: int = CONTEXT) -> DataFrame:
     return near.select("key", "entity", F.lower("t.term").alias("term"), "t.start", (F.col("t.start") + F.length("t.term")).alias("end"))
 
 
+def _occurrences(text: Column, terms: Column) -> Column:
+    """``start, end`` of every occurrence of the terms (lower case) as whole runs of the text."""
+    def spans(t):
+        pattern = F.concat(F.lit(r"(?iu)(?<![\p{L}\p{N}])"), t, F.lit(r"(?![\p{L}\p{N}])"))
+        return F.transform(_terms(text, F.lit(0), pattern), lambda x: F.struct(x["start"].alias("start"), (x["start"] + F.length(x["term"])).alias("end")))
+    return F.array_sort(F.array_distinct(F.flatten(F.transform(terms, spans))))
+
+
 def _small(df: DataFrame, rows: int) -> bool:
     return df.limit(rows + 1).count() <= rows
 
@@ -201,15 +211,17 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", contex
                    F.xxhash64(text_col).alias("hash"))
     keyed = docs.select(key.alias("key"), F.col(text_col).alias("text"))
     near = spark.read.parquet(write_shared(contexts(keyed, context), "contexts"))
-    pairs = disclosing(keyed, near, alpha, support, broadcast_rows).select("entity", "term")
-    terms = near.join(pairs, ["entity", "term"]).groupBy("key") \
-        .agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("terms"))
+    wanted = spark.read.parquet(write_shared(disclosing(keyed, near, alpha, support, broadcast_rows).select("term").distinct(), "disclosing"))
+    # a disclosing term gives its entity away in any document that holds it
+    words = keyed.select("key", F.explode(F.array_distinct(F.split(F.lower("text"), _TERM_BREAK))).alias("term"))
+    terms = words.join(F.broadcast(wanted) if _small(wanted, broadcast_rows) else wanted, "term", "left_semi") \
+        .groupBy("key").agg(F.array_sort(F.collect_set("term")).alias("terms"))
     mine, other, spans = fresh(docs.withColumns({base_col: F.lit(0), terms_col: F.lit(0)}), "key", "terms_key", "found")
     terms = spark.read.parquet(write_shared(terms.select(F.col("key").alias(other), F.col("terms").alias(spans)), "terms"))
     small = _small(terms, broadcast_rows // 10)
     out = docs.withColumns({mine: key, base_col: base_spans(F.col(text_col))})
     out = out.join(F.broadcast(terms) if small else terms, F.col(mine) == F.col(other), "left")
-    outside = F.filter(spans, lambda t: ~F.exists(base_col, lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))
+    outside = F.filter(_occurrences(F.col(text_col), F.col(spans)), lambda t: ~F.exists(base_col, lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))
     none = F.array().cast("array<struct<start:int,end:int>>")
     return out.withColumn(terms_col, F.when(F.col(spans).isNull(), none).otherwise(outside)).drop(mine, other, spans)
 

@@ -200,3 +200,14 @@ def test_later_parts_of_a_word_are_sanitised(spark):
     rows = [(i, f"filler{i} user=Quorlin,id=77 ann@corp.example since{i}") for i in range(4)] + [(10 + i, f"some other text {i} id 77") for i in range(30)]
     out = {r.doc_id: r.text for r in pii.sanitise(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert all(out[i] == f"filler{i} [TERM]=[TERM],id=77 [EMAIL] since{i}" for i in range(4)) and out[12] == rows[6][1]
+
+
+@pytest.mark.parametrize("limit", [200_000, 0])
+def test_disclosing_terms_go_wherever_documents_hold_them(spark, limit):
+    far = "some plain words that say nothing at all here " * 3
+    rows = [(i, f"Quorlin ann@corp.example {far}QUORLIN's, Ünquorlin quorlin2 (quorlin)") for i in range(9)]
+    rows += [(20, f"{far} quorlin"), (21, far), (22, None)] + [(30 + i, f"{far} {i}") for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = {r.doc_id: r.text for r in pii.sanitise(df, broadcast_rows=limit).collect()}
+    assert all(out[i] == f"[TERM] [EMAIL] {far}[TERM]'s, Ünquorlin quorlin2 ([TERM])" for i in range(9))
+    assert out[20] == f"{far} [TERM]" and out[21] == far and out[22] is None
