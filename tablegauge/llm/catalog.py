@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablegauge.llm import decontaminate, html, licenses, licenses_sql, packing, pii, quality, records, rules, simhash, substrings
+from tablegauge.llm import (decontaminate, html, licenses, licenses_sql, neighbours, neighbours_sql, packing, pii, quality, records,
+                            rules, simhash, substrings)
 from tablegauge.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -108,3 +109,10 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         "ELSE concat('d', doc_id div 100, '/', doc_id, '.txt') END)").alias("path"))
     out = licenses.scan(files, licenses.templates(spark), id_col="doc_id", forms=licenses.form_templates(spark))
     return out.select(F.col("file_id").alias("doc_id"), "path", "license", "origin", F.round("cosine", 6).alias("cosine"), "from_dir")
+
+
+@query("op11_neighbours", neighbours_sql.SQL)
+def op11_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest rows of every 20th embedding, by largest inner product."""
+    rows = table(spark, sf_dir, "embeddings")
+    return neighbours.nearest(rows.filter(F.col("vec_id") % 20 == 0), rows, k=20)
