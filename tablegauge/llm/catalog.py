@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablegauge.llm import (decontaminate, html, licenses, licenses_sql, neighbours, neighbours_sql, packing, pii, quality, records,
-                            rules, simhash, substrings)
+from tablegauge.llm import (collocations, collocations_sql, decontaminate, html, licenses, licenses_sql, neighbours, neighbours_sql,
+                            packing, pii, quality, records, rules, simhash, substrings)
 from tablegauge.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -116,3 +116,9 @@ def op11_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest rows of every 20th embedding, by largest inner product."""
     rows = table(spark, sf_dir, "embeddings")
     return neighbours.nearest(rows.filter(F.col("vec_id") % 20 == 0), rows, k=20)
+
+
+@query("op12_collocations", collocations_sql.SQL)
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2,000 collocations of each language, over all documents."""
+    return collocations.collocations(table(spark, sf_dir, "documents"), keep=2000)

@@ -9,7 +9,7 @@ WITH v AS (
 pairs AS (
   SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e) AS score
   FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id AND len(c.e) = len(q.e))
-SELECT query_id, CAST(at AS INTEGER) AS rank, vec_id, score
-FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS at FROM pairs)
-WHERE at <= 20
+SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM pairs)
+WHERE place <= 20
 """
