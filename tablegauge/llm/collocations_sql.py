@@ -4,7 +4,7 @@ SQL = r"""
 WITH pieces AS (
   SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
-spelt AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), x -> x <> '') AS ws FROM pieces),
+spelt AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS ws FROM pieces),
 totals AS (SELECT lang, CAST(sum(len(ws)) AS BIGINT) AS n FROM spelt GROUP BY lang),
 windows AS (
   SELECT lang, ws, m, unnest(generate_series(1, len(ws) - m + 1)) AS i
