@@ -5,9 +5,9 @@ phrases of k - 1 words, the only ones that a candidate may start or end with
 (Apriori).  Numpy advances the states of all text positions of a block at
 once, symbol by symbol; a window of k words is a candidate if its first
 k - 1 words and, where one trie holds them all, its last k - 1 words reach an
-accepting state.  Candidates are counted by accepting state and next word in
-each block and the blocks' counts are summed by Spark, so what is shuffled
-are candidates' counts and nothing else.
+accepting state.  Candidates are counted in each block by their pair of accepting
+states (or state and next word) and the blocks' counts are summed by Spark,
+so what is shuffled are candidates' counts and nothing else.
 
 A trie holds at most ``MAX_PHRASES`` phrases of ``MAX_BYTES``; a level with
 more gets several tries, dealt by hash, broadcast and released one after
@@ -39,7 +39,7 @@ from tablegauge.llm.tries import Trie
 
 MAX_PHRASES = 1 << 20
 MAX_BYTES = 32 << 20
-_BLOCK = 8 << 20
+_BLOCK = 4 << 20
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -69,24 +69,21 @@ class Positions:
         begins[heads] = inside[heads]            # a text's first byte never continues a word
         at = np.flatnonzero(begins)
         self.doc = np.repeat(np.arange(n), np.diff(np.searchsorted(at, off)))
-        self.piece = np.cumsum(kind == 2)[at] + self.doc
-        ends = np.append((np.cumsum(inside) - inside)[at], inside.sum()).astype(np.int32)
+        self.piece = np.cumsum(kind == 2, dtype=np.int32)[at] + self.doc
+        before = np.cumsum(inside, dtype=np.int32)[at] - 1
+        ends = np.append(before, np.count_nonzero(inside)).astype(np.int32)
         spelt = pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(ends), pa.py_buffer(data[inside])])
         coded = spelt.dictionary_encode()
         self.words, self.word = coded.dictionary, coded.indices.to_numpy().astype(np.int64)
 
 
-def _counted(key: np.ndarray, word: np.ndarray, words: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
-    """Occurrences of each (key, word)."""
-    width = max(len(words), 1)
-    pair = key * width + word
-    if len(pair) and int(pair.max()) < 8 * len(pair):
-        n = np.bincount(pair)
-        pair = np.flatnonzero(n)
-        n = n[pair]
-    else:
-        pair, n = np.unique(pair, return_counts=True)
-    return pair // width, words.take(pa.array(pair % width)).cast(pa.string()), n.astype(np.int64)
+def _counted(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys and how often each occurs."""
+    if len(key) and int(key.max()) < 2 * len(key):
+        n = np.bincount(key)
+        key = np.flatnonzero(n)
+        return key, n[key]
+    return np.unique(key, return_counts=True)
 
 
 def _word_counts(rows: DataFrame) -> DataFrame:
@@ -95,8 +92,10 @@ def _word_counts(rows: DataFrame) -> DataFrame:
         for b in blocks(batches, "text", _BLOCK):
             p = Positions(b.column("text"))
             lang = b.column("lang").dictionary_encode()
-            key, word, n = _counted(lang.indices.to_numpy().astype(np.int64)[p.doc], p.word, p.words)
-            yield pa.RecordBatch.from_pydict({"lang": lang.dictionary.take(pa.array(key)), "phrase": word, "n": n})
+            width = max(len(p.words), 1)
+            key, n = _counted(lang.indices.to_numpy().astype(np.int64)[p.doc] * width + p.word)
+            yield pa.RecordBatch.from_pydict({"lang": lang.dictionary.take(pa.array(key // width)),
+                                              "phrase": p.words.take(pa.array(key % width)).cast(pa.string()), "n": n})
     return rows.mapInArrow(run, "lang string, phrase string, n long").groupBy("lang", "phrase").agg(F.sum("n").alias("f"))
 
 
@@ -118,21 +117,29 @@ def _extended(rows: DataFrame, trie: Trie, whole: bool, least: int) -> tuple[Dat
             if len(state) <= k:
                 continue
             fits = (state[:-k] >= 0) & (p.piece[:-k] == p.piece[k:])
+            follow = state[1:len(state) - k + 1] if whole else p.word[k:]
+            fits &= follow >= 0
+            width = len(t.phrases) if whole else len(p.words)
+            key, n = _counted(state[:-k][fits] * width + follow[fits])
             if whole:
-                fits &= state[1:len(state) - k + 1] >= 0
-            at = np.flatnonzero(fits)
-            key, word, n = _counted(state[at], p.word[at + k], p.words)
-            yield pa.RecordBatch.from_pydict({"state": key, "word": word, "n": n})
+                yield pa.RecordBatch.from_pydict({"key": key, "n": n})
+            else:
+                yield pa.RecordBatch.from_pydict({"key": key // width, "word": p.words.take(pa.array(key % width)).cast(pa.string()), "n": n})
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t: Trie = sent.value
         for b in batches:
-            at = b.column("state")
+            at = b.column("key")
+            if whole:                            # the next word is the last of the accepted suffix
+                key = at.to_numpy()
+                at, word = pa.array(key // len(t.phrases)), t.last.take(pa.array(key % len(t.phrases)))
+            else:
+                word = b.column("word")
             yield pa.RecordBatch.from_pydict({
-                "lang": t.lang_of.take(at), "phrase": pc.binary_join_element_wise(t.phrases.take(at), b.column("word"), " "),
-                "f": b.column("f")})
+                "lang": t.lang_of.take(at), "phrase": pc.binary_join_element_wise(t.phrases.take(at), word, " "), "f": b.column("f")})
 
-    counts = rows.mapInArrow(count, "state long, word string, n long").groupBy("state", "word").agg(F.sum("n").alias("f"))
+    names = ["key"] if whole else ["key", "word"]
+    counts = rows.mapInArrow(count, "key long, n long" if whole else "key long, word string, n long").groupBy(*names).agg(F.sum("n").alias("f"))
     return counts.filter(F.col("f") >= least).mapInArrow(spell, "lang string, phrase string, f long"), sent
 
 

@@ -12,9 +12,9 @@ windows AS (
 f AS (
   SELECT lang, m, ws[i:i + m - 1] AS p, count(*) AS f FROM windows GROUP BY ALL HAVING count(*) >= 30),
 cuts AS (
-  SELECT c.lang, c.p, c.f AS a, x.f AS l, y.f AS r, k, (CAST(2000000 AS HUGEINT) * c.f) // (CAST(x.f AS HUGEINT) + y.f) AS score
+  SELECT c.lang, c.p, c.f AS a, x.f AS l, y.f AS r, c.k, (CAST(2000000 AS HUGEINT) * c.f) // (CAST(x.f AS HUGEINT) + y.f) AS score
   FROM (SELECT *, unnest(generate_series(1, m - 1)) AS k FROM f WHERE m > 1) c
-  JOIN f x ON x.lang = c.lang AND x.p = c.p[1:k] JOIN f y ON y.lang = c.lang AND y.p = c.p[k + 1:m]),
+  JOIN f x ON x.lang = c.lang AND x.p = c.p[1:c.k] JOIN f y ON y.lang = c.lang AND y.p = c.p[c.k + 1:c.m]),
 cut AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1),
 inner_phrases AS (
   SELECT lang, f, p[i:i + s - 1] AS p FROM (SELECT *, unnest(generate_series(1, m - s + 1)) AS i

@@ -28,6 +28,7 @@ class Trie:
         v, self.digits = len(self.vocabulary), 1
         while _RADIX ** self.digits < v:
             self.digits += 1
+        self.last = self.vocabulary.take(words.indices[size - 1::size]) if len(phrases) else self.vocabulary
         numbers = words.indices.to_numpy().astype(np.int64).reshape(len(phrases), size)
         shifts = 8 * np.arange(self.digits - 1, -1, -1)
         symbols = ((numbers[:, :, None] >> shifts) & 255).reshape(len(phrases), size * self.digits)
