@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablegauge.llm import (collocations, collocations_sql, decontaminate, html, licenses, licenses_sql, neighbours, neighbours_sql,
-                            packing, pii, quality, records, rules, simhash, substrings)
+                            packing, pii, quality, records, rules, simhash, substrings, variants)
 from tablegauge.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -122,3 +122,9 @@ def op11_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first 2,000 collocations of each language, over all documents."""
     return collocations.collocations(table(spark, sf_dir, "documents"), keep=2000)
+
+
+@query("op13_spelling_variants")
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of all documents with its more frequent form and root."""
+    return variants.variants(table(spark, sf_dir, "documents"))
