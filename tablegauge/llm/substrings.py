@@ -19,7 +19,8 @@ Anchors, segments and windows are compared by count aggregates that combine
 before the shuffle and by equi-joins with one row for each key on one side,
 so a passage that a third of all documents share is a skewed join that the
 adaptive planner splits, never a group in one task.  No pairs of documents
-are formed.  Windows are told apart by 128 bits of hash.
+are formed.  Windows are told apart by two hashes that share neither the
+hash of a word nor a modulus' base (:mod:`tablegauge.llm.runhash`).
 
 Edge cases: null, blank and short texts have no window and lose nothing;
 repeated rows repeat each other's windows; null ids are handled like ids;
@@ -37,7 +38,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablegauge.llm.common import blocks, write_shared
-from tablegauge.llm.wordhash import Words, least_places, mix
+from tablegauge.llm.runhash import Runs
+from tablegauge.llm.wordhash import least_places, mix
 
 #: Words of an anchor; a window holds window - SEED_WORDS + 1 candidates.
 SEED_WORDS = 12
@@ -64,8 +66,8 @@ def _anchored(rows: DataFrame, window: int) -> DataFrame:
     the row's ``id`` and ``sum``, first window ``s`` and number of windows ``n``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in blocks(batches, "text", _BLOCK):
-            words = Words(b.column("text"))
-            total, first = len(words.hash), words.first
+            words = Runs(b.column("text"))
+            total, first = words.total, words.first
             if total < window:
                 continue
             gram = words.runs(np.arange(total - SEED_WORDS + 1), SEED_WORDS)
@@ -91,7 +93,7 @@ def _windows(rows: DataFrame, window: int) -> DataFrame:
     """``w1, w2, id, sum, s`` of the windows in the rows' ``parts`` (an array of ``s, n``)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in blocks(batches, "text", _BLOCK):
-            words = Words(b.column("text"))
+            words = Runs(b.column("text"))
             parts = b.column("parts")
             d = np.repeat(np.arange(b.num_rows), parts.value_lengths().to_numpy(zero_copy_only=False))
             flat = parts.flatten()

@@ -9,6 +9,7 @@ from conftest_llm import ODD
 from pyspark.sql import functions as F
 
 from tablegauge.llm import substrings
+from tablegauge.llm.runhash import Runs
 from tablegauge.llm.wordhash import Words, least_places
 
 
@@ -79,3 +80,37 @@ def test_spans_and_empty_table(spark):
     assert got[1].text == "a b c" and [tuple(s) for s in got[1].spans] == [(2, 42)]
     assert got[2].text == "" and got[2].n_removed == 40
     assert substrings.remove_repeats(df.limit(0)).collect() == []
+
+
+def thue_morse(n, a, b):
+    return [b if bin(i).count("1") % 2 else a for i in range(n)]
+
+
+@pytest.mark.parametrize("n", [1024, 4096, 65536])
+def test_words_in_a_pattern_do_not_collide(spark, n):
+    """A word in the Thue-Morse pattern and its complement, each before the same 34 words."""
+    tail = " ".join(f"t{i}" for i in range(34))
+    rows = [(1, "".join(thue_morse(n, "a", "b")) + " " + tail), (2, "".join(thue_morse(n, "b", "a")) + " " + tail)]
+    got = substrings.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert [(r.n_words, r.n_removed) for r in got] == [(35, 0)] * 2
+
+
+def test_runs_in_a_pattern_do_not_collide(spark):
+    """Runs of 4,096 words in the pattern, judged in windows as long."""
+    rows = [(1, " ".join(thue_morse(4096, "a", "b"))), (2, " ".join(thue_morse(4096, "b", "a")))]
+    got = substrings.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), window=4096).collect()
+    assert [(r.n_words, r.n_removed) for r in got] == [(4096, 0)] * 2
+
+
+def test_run_hashes():
+    texts = [b"", b"a bc  a", b"bc a", b" \n", b"a", "\u00fc bc".encode(), b"a bc a" * 3]
+    r = Runs(pa.array(texts, pa.binary()))
+    flat = [w for t in texts for w in t.split()]
+    assert np.diff(r.first).tolist() == [len(t.split()) for t in texts] and r.total == len(flat)
+    for which in (0, 1):
+        seen = {}
+        for m in range(1, 7):
+            starts = np.arange(len(flat) - m + 1)
+            for i, h in zip(starts, r.runs(starts, m, which).tolist()):
+                assert seen.setdefault(tuple(flat[i:i + m]), h) == h
+        assert len(set(seen.values())) == len(seen)
