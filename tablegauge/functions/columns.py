@@ -55,7 +55,7 @@ def present(c: str, dt: T.DataType) -> Column:
 def key_text(keys: Sequence[str]) -> list[Column]:
     """Keys rendered as text for hashing (integers and strings render the
     same way in Spark and DuckDB)."""
-    return [F.col(k).cast("string") for k in keys]
+    return [F.col(f"`{k}`").cast("string") for k in keys]
 
 
 def row_hash(seed: int | str, salt: str, keys: Sequence[str]) -> Column:
@@ -63,3 +63,13 @@ def row_hash(seed: int | str, salt: str, keys: Sequence[str]) -> Column:
     md5('seed|salt|key1|key2...')."""
     return F.md5(F.concat_ws("|", F.lit(str(seed)), F.lit(str(salt)), *key_text(keys)))
 
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with underscores added until no column of ``df`` has it."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out

@@ -22,6 +22,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tablegauge.errors import ValidationError, refuse
+from tablegauge.functions.columns import fresh
 from tablegauge.session import default_parallelism, ensure_checkpoint_dir
 
 
@@ -114,17 +116,24 @@ def global_rank(df: DataFrame, order: Sequence[Column], rank_col: str = "rank",
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     p = _parts(spark, num_partitions)
-    ranged = (df.repartitionByRange(p, *order)
-              .withColumn("_pid", F.spark_partition_id())
-              .checkpoint(eager=True))
-    sizes = {r["_pid"]: r["n"] for r in ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("n")).collect()}
+    (pid,) = fresh(df, "range_part")
+    ranged = df.repartitionByRange(p, *order).withColumn(pid, F.spark_partition_id()).checkpoint(eager=True)
+    # one row for each range partition
+    sizes = {r[0]: r[1] for r in ranged.groupBy(pid).agg(F.count(F.lit(1)).alias("n")).collect()}
     off, acc = {}, 0
-    for pid in sorted(sizes):
-        off[pid] = acc
-        acc += sizes[pid]
+    for i in sorted(sizes):
+        off[i] = acc
+        acc += sizes[i]
     offset = (F.create_map(*[x for k, v in off.items() for x in (F.lit(k), F.lit(v))])
               if off else F.create_map(F.lit(0), F.lit(0)))
-    w = Window.partitionBy("_pid").orderBy(*order)
-    return (ranged
-            .withColumn(rank_col, (offset[F.col("_pid")] + F.row_number().over(w)).cast("long"))
-            .drop("_pid"))
+    w = Window.partitionBy(pid).orderBy(*order)
+    return ranged.withColumn(rank_col, (offset[F.col(pid)] + F.row_number().over(w)).cast("long")).drop(pid)
+
+
+def in_order(df: DataFrame, order: Sequence[Column | str], position_col: str = "position") -> DataFrame:
+    """The rows with their 0-based place in a total order, from a
+    range-partitioned sort and the partitions' offsets.  A column called
+    like ``position_col`` is refused, not replaced."""
+    refuse(ValidationError, position_col=(position_col in df.columns, f"the table has a column {position_col!r} of its own"))
+    cols = [F.col(f"`{c}`") if isinstance(c, str) else c for c in order]
+    return global_rank(df, cols, position_col).withColumn(position_col, F.col(f"`{position_col}`") - 1)

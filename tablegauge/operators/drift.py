@@ -24,8 +24,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablegauge.errors import ValidationError, refuse
-from tablegauge.functions.columns import is_integral, is_numeric, present
-from tablegauge.functions.prefix import ks_distance
+from tablegauge.functions.columns import fresh, is_integral, is_numeric, present
+from tablegauge.functions.prefix import in_order, ks_distance
 from tablegauge.functions.stats import chi2_sf, ks_pvalue
 from tablegauge.operators.split import permute, sample_rows
 from tablegauge.session import ensure_checkpoint_dir
@@ -93,31 +93,48 @@ def apply_drift(batch: DataFrame, settings: Mapping[str, Mapping | FeatureDrift]
 
 @dataclass
 class MonitoringBatches:
-    reference: DataFrame
-    stable: DataFrame
-    drifted: DataFrame
+    """Three batches of the same rows.  ``placed`` holds each with its rows'
+    places (``position``, under another name if the table has one)."""
+    placed: dict[str, DataFrame]
+    position: str
+
+    @property
+    def reference(self) -> DataFrame:
+        return self.placed["reference"].drop(self.position)
+
+    @property
+    def stable(self) -> DataFrame:
+        return self.placed["stable"].drop(self.position)
+
+    @property
+    def drifted(self) -> DataFrame:
+        return self.placed["drifted"].drop(self.position)
 
     def union(self, batch_col: str = "batch") -> DataFrame:
-        cols = self.reference.columns
-        return (self.reference.withColumn(batch_col, F.lit("reference"))
-                .unionByName(self.stable.select(*cols).withColumn(batch_col, F.lit("stable")))
-                .unionByName(self.drifted.select(*cols).withColumn(batch_col, F.lit("drifted"))))
+        out = None
+        for name, frame in self.placed.items():
+            named = frame.withColumn(batch_col, F.lit(name))
+            out = named if out is None else out.unionByName(named)
+        return out
 
 
 def monitoring_batches(df: DataFrame, *, keys: Sequence[str], size: int, seed: int,
                        settings: Mapping[str, Mapping | FeatureDrift], target: str | None = None,
-                       production_size: int | None = None, rows: int | None = None) -> MonitoringBatches:
-    """reference = seeded sample of ``size`` rows; stable = the same rows
-    with a seeded shuffle key (``seed + 1``); drifted = stable with the
-    drift applied.  Sizes must match and fit the table."""
+                       production_size: int | None = None, order: Sequence[Column | str] | None = None) -> MonitoringBatches:
+    """reference = seeded sample of ``size`` rows, in the table's order
+    (``order``, by default the keys); stable = the same rows permuted by
+    ``seed + 1``; drifted = stable with the drift applied, in its order.
+    Sizes must match and fit the table."""
     if production_size is not None and production_size != size:
         raise ValidationError("reference and production batch sizes must match")
+    refuse(ValidationError, settings=(target in settings, f"the target {target!r} does not drift"))
     # kept once: everything else reads these rows and not the table
     ensure_checkpoint_dir(df.sparkSession)
-    ref = sample_rows(df, keys=keys, n=size, seed=seed, rows=rows).checkpoint(eager=True)
-    stable = permute(ref, keys=keys, seed=seed + 1).drop("shuffle_key")
-    drifted = apply_drift(stable, settings, target)
-    return MonitoringBatches(ref, stable, drifted)
+    (place,) = fresh(df, "position")
+    rows = sample_rows(df, keys=keys, n=size, seed=seed)
+    ref = in_order(rows, list(order or keys), place).checkpoint(eager=True)
+    stable = permute(ref.drop(place), keys=keys, seed=seed + 1, position_col=place)
+    return MonitoringBatches({"reference": ref, "stable": stable, "drifted": apply_drift(stable, settings, target)}, place)
 
 
 def target_mismatches(before: DataFrame, after: DataFrame, keys: Sequence[str], target: str) -> DataFrame:

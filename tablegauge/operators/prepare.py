@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from tablegauge.errors import PreparationError, refuse
 from tablegauge.functions.columns import is_numeric, row_hash
-from tablegauge.functions.hashrank import hash_thresholds, threshold_column
+from tablegauge.functions.hashrank import hash_thresholds, threshold_map
 from tablegauge.functions.quantile import exact_medians
 
 MAX_MISSING_FRACTION = 0.2
@@ -115,22 +115,20 @@ def inject_missing(df: DataFrame, *, keys: Sequence[str], fraction: float, seed:
     feature_types(df, eligible)         # the table itself must have both kinds
     feature_types(df, selected)         # and so must the selection
 
-    hashed = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("_s"), row_hash(seed, c, keys).alias("_h")) for c in selected
-    ])).alias("_x")).select("_x._s", "_x._h")
+    hashed = df.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("s"), row_hash(seed, c, keys).alias("h")) for c in selected])))
     got: dict[str, int] = {}
 
-    def cells(totals: dict[str, int]) -> dict[str, int]:
+    def cells(sizes: DataFrame) -> DataFrame:
         # every selected column has one hash per row: its total is the row count
-        n = int(rows) if rows is not None else max(totals.values(), default=0)
-        if n == 0:
-            raise PreparationError("rows: an empty table has no values to lose")
+        n = int(rows) if rows is not None else sizes.agg(F.coalesce(F.max("n"), F.lit(0))).first()[0]
+        refuse(PreparationError, rows=(n == 0, "an empty table has no values to lose"))
         got["m"] = missing_cells_per_column(n, fraction)
-        return {c: got["m"] for c in selected}
-    thr = hash_thresholds(hashed, "_s", "_h", cells)
+        return sizes.select("s", F.lit(got["m"]).cast("long").alias("k"))
+    limits = threshold_map(hash_thresholds(hashed, cells))      # one for each selected column
     m = got["m"]
     out = df.select(*[
-        F.when(row_hash(seed, c, keys) <= threshold_column(thr, F.lit(c)), F.lit(None))
+        F.when(row_hash(seed, c, keys) <= limits[c], F.lit(None))
         .otherwise(F.col(f"`{c}`")).cast(df.schema[c].dataType).alias(c)
         if c in selected else F.col(f"`{c}`")
         for c in df.columns])

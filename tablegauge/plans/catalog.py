@@ -417,13 +417,21 @@ def q_split_distribution(spark, sf):
     return S.split_distribution(_orders_split(spark, sf, True), "o_orderstatus")
 
 
-_BATCH = 300   # fixed batch size of the monitoring batches
+_BATCH = 300   # rows of a fixed-size batch
+_GROWN = "(SELECT count(*) // 3 FROM orders)"   # batches that grow: a third of the orders
 
 
-def _sample_sql() -> str:
+def _sample_sql(size=_BATCH) -> str:
     h = _hash_sql(_SPLIT_SEED, "sample", "o_orderkey")
     return (f"SELECT {', '.join(I.ORDERS_COLS)} FROM (SELECT *, row_number() OVER (ORDER BY {h}) AS rn "
-            f"FROM ({I.orders_features_sql()}) o) x WHERE rn <= {_BATCH}")
+            f"FROM ({I.orders_features_sql()}) o) x WHERE rn <= {size}")
+
+
+def _placed_sql(rows: str, order: str) -> str:
+    return f"SELECT *, row_number() OVER (ORDER BY {order}) - 1 AS position FROM ({rows}) p"
+
+
+_PERMUTED = _hash_sql(_SPLIT_SEED + 1, "permute", "o_orderkey")
 
 
 @query("sample_n", _sample_sql())
@@ -431,9 +439,9 @@ def q_sample_n(spark, sf):
     return S.sample_rows(I.orders_features(spark, sf), keys=["o_orderkey"], n=_BATCH, seed=_SPLIT_SEED)
 
 
-@query("stable_batch",
-       f"SELECT *, {_hash_sql(_SPLIT_SEED + 1, 'permute', 'o_orderkey')} AS shuffle_key FROM ({_sample_sql()}) s")
+@query("stable_batch", _placed_sql(_sample_sql(), _PERMUTED))
 def q_stable_batch(spark, sf):
+    """The rows of the sample with their places in the seeded permutation."""
     ref = S.sample_rows(I.orders_features(spark, sf), keys=["o_orderkey"], n=_BATCH, seed=_SPLIT_SEED)
     return S.permute(ref, keys=["o_orderkey"], seed=_SPLIT_SEED + 1)
 
@@ -587,8 +595,10 @@ _ORD_DRIFT = {
 _ORD_FEATURES = ["o_custkey", "o_totalprice", "o_orderpriority"]
 
 
-def _orders_batches(spark, sf):
-    return D.monitoring_batches(I.orders_features(spark, sf), keys=["o_orderkey"], size=_BATCH,
+def _orders_batches(spark, sf, size=None):
+    """Batches of a third of all orders, or of ``size`` rows."""
+    orders = I.orders_features(spark, sf)
+    return D.monitoring_batches(orders, keys=["o_orderkey"], size=orders.count() // 3 if size is None else size,
                                 seed=_SPLIT_SEED, settings=_ORD_DRIFT, target=_ORD_TARGET)
 
 
@@ -600,12 +610,16 @@ def _drifted_sql(src: str | None = None) -> str:
             f"'1-URGENT' AS o_orderpriority FROM ({src or _sample_sql()}) s")
 
 
-@query("drift_batches", _union([
-    f"SELECT *, 'reference' AS batch FROM ({_sample_sql()}) r",
-    f"SELECT *, 'stable' AS batch FROM ({_sample_sql()}) s",
-    f"SELECT *, 'drifted' AS batch FROM ({_drifted_sql()}) d"]))
+def _batches_sql(size=_BATCH) -> str:
+    sample = _sample_sql(size)
+    return _union([f"SELECT *, 'reference' AS batch FROM ({_placed_sql(sample, 'o_orderkey')}) r",
+                   f"SELECT *, 'stable' AS batch FROM ({_placed_sql(sample, _PERMUTED)}) s",
+                   f"SELECT *, 'drifted' AS batch FROM ({_placed_sql(_drifted_sql(sample), _PERMUTED)}) d"])
+
+
+@query("drift_batches", _batches_sql())
 def q_drift_batches(spark, sf):
-    return _orders_batches(spark, sf).union()
+    return _orders_batches(spark, sf, _BATCH).union()
 
 
 _ALL_DRIFTED = _drifted_sql(I.orders_features_sql())
@@ -735,7 +749,8 @@ def q_drift_summary(spark, sf):
 
 def _orders_compare(spark, sf, current: str):
     from tablegauge.plans.monitoring import run_monitoring
-    res = run_monitoring(I.orders_features(spark, sf), keys=["o_orderkey"], target=_ORD_TARGET, size=_BATCH,
+    orders = I.orders_features(spark, sf)
+    res = run_monitoring(orders, keys=["o_orderkey"], target=_ORD_TARGET, size=orders.count() // 3,
                          seed=_SPLIT_SEED, settings=_ORD_DRIFT, current=current, excluded=["o_orderkey"],
                          feature_threshold=_FEAT_THR, share_threshold=_SHARE_THR,
                          allowed_target_values=["F", "O", "P"])
@@ -887,21 +902,22 @@ def q_split_many_strata(spark, sf):
     from tablegauge.functions.columns import row_hash
     from tablegauge.functions.hashrank import select_smallest
     df = I.table(spark, sf, "orders").select("o_orderkey")
-    out = select_smallest(df, row_hash(42, "pick", ["o_orderkey"]), lambda totals: {s: 1 for s in totals},
+    out = select_smallest(df, row_hash(42, "pick", ["o_orderkey"]), lambda sizes: sizes.select("s", F.lit(1).alias("k")),
                           F.expr("o_orderkey div 8"), flag="picked")
     return out.select("o_orderkey", "picked")
 
 
-@query("batch_roundtrip", ORACLE["drift_batches"])
+@query("batch_roundtrip", _batches_sql(_GROWN))
 def q_batch_roundtrip(spark, sf):
+    """The batches written in their orders and read back with the places of the rows in the files."""
     from tablegauge.session import scratch_path
-    from tablegauge.sources.files import read_table, write_table
+    from tablegauge.sources.files import read_table, write_in_order
     b = _orders_batches(spark, sf)
     root = scratch_path(spark, "batches")
     out = None
-    for name, frame in (("reference", b.reference), ("stable", b.stable), ("drifted", b.drifted)):
-        path = write_table(frame, f"{root}/{name}.csv", fmt="csv")
-        back = read_table(spark, path, fmt="csv", schema=frame.schema).withColumn("batch", F.lit(name))
+    for name, frame in b.placed.items():
+        path = write_in_order(frame, f"{root}/{name}.csv", position_col=b.position, fmt="csv")
+        back = read_table(spark, path, fmt="csv", schema=b.reference.schema, position_col=b.position).withColumn("batch", F.lit(name))
         out = back if out is None else out.unionByName(back)
     return out
 
@@ -1004,30 +1020,12 @@ def q_experiment_sweep(spark, sf):
     return TP.sweep(_labelled_docs(spark, sf), cfgs).drop("run_id", "metrics")     # a run id is new each time
 
 
-# ============================================================ streaming drift monitor
-@query("drift_stream")
-def q_drift_stream(spark, sf):
-    """The stable and the drifted orders batch land as two files in a
-    folder; the streaming monitor compares each with the reference batch
-    (one summary row per file).  Rows only."""
-    from tablegauge.session import scratch_path
-    from tablegauge.streaming import run_drift_monitor_once
-    b = _orders_batches(spark, sf)
-    folder = scratch_path(spark, "incoming")
-    b.stable.coalesce(1).write.mode("append").parquet(folder)     # a batch is one file
-    b.drifted.coalesce(1).write.mode("append").parquet(folder)
-    out = run_drift_monitor_once(spark, b.reference, folder, schema=b.reference.schema,
-                                 features=_ORD_FEATURES, feature_threshold=_FEAT_THR,
-                                 share_threshold=_SHARE_THR)
-    return out.select("batch_id", "current_rows", "evaluated_feature_count", "drifted_feature_count",
-                      "gate_status", "drifted_feature_names")
-
-
 # ============================================================ orders monitoring batches: scores
 def _batch_obs_sql(features, as_type, current: str | None = None) -> str:
     """Observations of the reference (side 0) and the current (side 1, drifted by default) orders batch."""
     parts = []
-    for side, src in ((0, _sample_sql()), (1, current or _drifted_sql())):
+    sample = _sample_sql(_GROWN)
+    for side, src in ((0, sample), (1, current or _drifted_sql(sample))):
         for c in features:
             parts.append(f"SELECT '{c}' AS feature, CAST({c} AS {as_type}) AS v, {side} AS side "
                          f"FROM ({src}) b WHERE {c} IS NOT NULL")
@@ -1067,13 +1065,40 @@ def _orders_features_sql(current: str) -> str:
             f"FROM ({pos}) f LEFT JOIN ({scores}) k ON f.feature = k.feature")
 
 
-@query("drift_orders_drifted", _summary_sql(_orders_features_sql(_drifted_sql())))
+@query("drift_orders_drifted", _summary_sql(_orders_features_sql(_drifted_sql(_sample_sql(_GROWN)))))
 def q_drift_orders_drifted(spark, sf):
     """Reference vs drifted orders batch, KS and chi-square."""
     return _orders_compare(spark, sf, "drifted")[1]
 
 
-@query("drift_orders_stable", _summary_sql(_orders_features_sql(_sample_sql())))
+@query("drift_orders_stable", _summary_sql(_orders_features_sql(_sample_sql(_GROWN))))
 def q_drift_orders_stable(spark, sf):
     """Reference vs its own permutation: nothing drifts."""
     return _orders_compare(spark, sf, "stable")[1]
+
+
+# ============================================================ streaming drift monitor
+def _stream_sql() -> str:
+    sample = _sample_sql(_GROWN)
+    return _union([
+        f"SELECT CAST({i} AS INTEGER) AS batch_id, {_GROWN} AS current_rows, evaluated_feature_count, drifted_feature_count, "
+        f"gate_status, drifted_feature_names FROM ({_summary_sql(_orders_features_sql(src))}) s"
+        for i, src in enumerate((sample, _drifted_sql(sample)))])
+
+
+@query("drift_stream", _stream_sql())
+def q_drift_stream(spark, sf):
+    """The stable and the drifted orders batch land as equally many files in
+    a folder; the streaming monitor takes one batch's files at a time and
+    compares them with the reference batch."""
+    from tablegauge.session import scratch_path
+    from tablegauge.streaming import run_drift_monitor_once
+    b = _orders_batches(spark, sf)
+    files = 1 + b.reference.count() // 1_000_000
+    folder = scratch_path(spark, "incoming")
+    for frame in (b.stable, b.drifted):
+        frame.repartition(files).write.mode("append").parquet(folder)
+    out = run_drift_monitor_once(spark, b.reference, folder, schema=b.reference.schema, features=_ORD_FEATURES,
+                                 max_files_per_trigger=files, feature_threshold=_FEAT_THR, share_threshold=_SHARE_THR)
+    return out.select("batch_id", "current_rows", "evaluated_feature_count", "drifted_feature_count",
+                      "gate_status", "drifted_feature_names")

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablegauge.errors import TrainingError, refuse
+from tablegauge.functions.columns import fresh
 from tablegauge.operators import evaluate as E
 from tablegauge.operators import prepare as P
 from tablegauge.operators import split as S
@@ -129,10 +130,11 @@ def prepare_parts(df: DataFrame, cfg: TrainingConfig, *, cache_input: bool = Tru
 
 def _prepare_parts(base: DataFrame, cfg: TrainingConfig, feats: list[str]) -> Prepared:
     srep: dict = {}
+    (part,) = fresh(base, "part")
     split = S.split_train_test(base, keys=cfg.keys, test_size=cfg.test_size, seed=cfg.split_seed,
-                               target=cfg.target, stratify=cfg.stratify, report=srep)
-    train = split.where(F.col("part") == "train").drop("part")
-    test = split.where(F.col("part") == "test").drop("part")
+                               target=cfg.target, stratify=cfg.stratify, part_col=part, report=srep)
+    train = split.where(F.col(part) == "train").drop(part)
+    test = split.where(F.col(part) == "test").drop(part)
     if cfg.missing_enabled:
         kw = dict(keys=cfg.keys, fraction=cfg.missing_fraction, strategy=cfg.missing_strategy,
                   columns=cfg.missing_columns, protected=[cfg.target])
@@ -142,25 +144,16 @@ def _prepare_parts(base: DataFrame, cfg: TrainingConfig, feats: list[str]) -> Pr
     train = train.withColumn("label", label).persist(StorageLevel.MEMORY_AND_DISK)
     test = test.withColumn("label", label).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        if cfg.stratify:
-            # per-class sizes come from the split's own bucket counts
-            distribution = {}
-            for c, n in srep["class_counts"].items():
-                distribution[("test", c)] = srep["test_counts"][c]
-                distribution[("train", c)] = n - srep["test_counts"][c]
+        if cfg.stratify:                     # from the split's own bucket counts
+            sizes = srep["classes"].select("class_value", F.inline(F.array(
+                F.struct(F.lit("test").alias("part"), F.col("n_test").alias("n")),
+                F.struct(F.lit("train").alias("part"), (F.col("n") - F.col("n_test")).alias("n")))))
         else:
-            distribution = {(r["part"], r["class_value"]): r["n"]
-                            for r in S.split_distribution(split, cfg.target).collect()}
+            sizes = S.split_distribution(split, cfg.target, part)
+        distribution = _two_classes(sizes, cfg)
         n_train = sum(v for (p, _), v in distribution.items() if p == "train")
         n_test = sum(v for (p, _), v in distribution.items() if p == "test")
-        train_counts = {(1.0 if c == cfg.positive else 0.0): 0 for (p, c) in distribution if p == "train"}
-        for (p, c), v in distribution.items():
-            if p == "train":
-                train_counts[1.0 if c == cfg.positive else 0.0] += v
-        # one check of the target (V3), from counts that are there already: both classes and no other
-        seen = {p: {c for (q, c), n in distribution.items() if q == p and n} for p in ("train", "test")}
-        wanted = {cfg.positive, cfg.negative}
-        refuse(TrainingError, **{p: (s != wanted, f"classes {sorted(map(str, s))} where {sorted(wanted)} are needed") for p, s in seen.items()})
+        train_counts = {1.0: distribution["train", cfg.positive], 0.0: distribution["train", cfg.negative]}
         num, cat = P.feature_types(train, feats)
         fspec = P.fit_features(train, num, cat, keep=list(cfg.keys) + [cfg.target, "label"])
         # both parts are kept before the input that they come from is let go
@@ -173,6 +166,22 @@ def _prepare_parts(base: DataFrame, cfg: TrainingConfig, feats: list[str]) -> Pr
         raise
 
 
+def _two_classes(sizes: DataFrame, cfg: TrainingConfig) -> dict:
+    """Rows by (part, class) from ``(class_value, part, n)``, in one row
+    whatever the number of classes; both parts need both classes and no
+    other (V3)."""
+    cells = [(p, c) for p in ("train", "test") for c in (cfg.positive, cfg.negative)]
+    known = F.coalesce(F.col("class_value").isin(cfg.positive, cfg.negative), F.lit(False))
+    other = F.when(~known & (F.col("n") > 0), F.coalesce("class_value", F.lit("a missing value")))
+    row = sizes.agg(F.min(other).alias("other"), *[
+        F.coalesce(F.sum(F.when((F.col("part") == p) & (F.col("class_value") == c), F.col("n"))), F.lit(0)).alias(f"n{i}")
+        for i, (p, c) in enumerate(cells)]).first()
+    out = {cell: row[f"n{i}"] for i, cell in enumerate(cells)}
+    refuse(TrainingError, target=(row.other is not None, f"holds {row.other!r} beside {cfg.positive!r} and {cfg.negative!r}"),
+           **{p: (not out[p, cfg.positive] or not out[p, cfg.negative], "lacks one of the two classes") for p in ("train", "test")})
+    return out
+
+
 def fit_run(ready: Prepared, cfg: TrainingConfig, *, runs_path: str | None = None, enforce: bool = True) -> TrainingResult:
     """Fit, score, measure, gate and record one model on prepared parts."""
     spark = ready.train.sparkSession

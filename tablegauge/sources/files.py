@@ -10,12 +10,13 @@ from __future__ import annotations
 import os
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablegauge.errors import ValidationError
-from tablegauge.functions.columns import nan_to_null
+from tablegauge.functions.columns import fresh, nan_to_null
+from tablegauge.functions.prefix import in_order
 from tablegauge.session import read_if_there
 
 # The default missing-value markers of pandas' CSV reader
@@ -53,15 +54,28 @@ def normalise_missing(df: DataFrame, markers: Sequence[str] | None = CSV_MISSING
     ])
 
 
+def source_order() -> list[Column]:
+    """The order of rows in the files that a table is scanned from: number
+    of the part file, folder and name, offset of the block, row.  To be
+    taken right above the scan."""
+    meta = F.col("_metadata")
+    part = F.regexp_extract(meta["file_name"], r"^part-(\d+)", 1).try_cast("long")
+    return [F.coalesce(part, F.lit(-1)), meta["file_path"], meta["file_block_start"], F.monotonically_increasing_id()]
+
+
 def read_table(spark: SparkSession, source, *, fmt: str | None = None,
-               schema: T.StructType | str | None = None,
-               markers: Sequence[str] | None = CSV_MISSING_MARKERS) -> DataFrame:
+               schema: T.StructType | str | None = None, position_col: str | None = None,
+               multi_line: bool = False, markers: Sequence[str] | None = CSV_MISSING_MARKERS) -> DataFrame:
     """Load a table.
 
     * a DataFrame is passed through (NaN still normalised);
     * a path is read by format (from ``fmt`` or the suffix).  CSV has a
       header; without an explicit ``schema`` its types are inferred, which
       costs one extra pass — give a schema for large inputs.
+      ``multi_line`` reads quoted line breaks inside a value; a file is then
+      one task, whatever its size.
+    ``position_col`` adds the row's 0-based place in the files' order, by a
+    range-partitioned sort of the table.
     A missing path raises :class:`ValidationError`.
     """
     if isinstance(source, DataFrame):
@@ -73,7 +87,7 @@ def read_table(spark: SparkSession, source, *, fmt: str | None = None,
     if kind == "csv":
         # as text first: markers go before types are told or cast
         names = None if schema is None else (schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema))
-        reader = spark.read.option("header", True).option("mode", "FAILFAST")
+        reader = spark.read.option("header", True).option("mode", "FAILFAST").option("multiLine", multi_line)
         if names is not None:
             reader = reader.schema(T.StructType([T.StructField(f.name, T.StringType()) for f in names.fields]))
         df = read_if_there(lambda: reader.csv(path))
@@ -82,12 +96,18 @@ def read_table(spark: SparkSession, source, *, fmt: str | None = None,
         df = read_if_there(lambda: reader.format(kind).load(path))
     if df is None:
         raise ValidationError(f"table not found: {path}")
+    columns = df.columns
+    places = fresh(df, *(f"place{i}" for i in range(4))) if position_col else []
+    df = df.select("*", *[c.alias(n) for c, n in zip(source_order(), places)])
     if kind != "csv":
-        return nan_to_null(df)
-    text = normalise_missing(df, markers)
-    if names is None:
-        return text.select(*[F.col(f"`{c}`").cast(t).alias(c) for c, t in _told_types(text).items()])
-    return nan_to_null(text.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in names.fields]))
+        out = nan_to_null(df)
+    else:
+        text = normalise_missing(df.select(*columns), markers)
+        types = _told_types(text) if names is None else {f.name: f.dataType for f in names.fields}
+        text = normalise_missing(df, markers) if places else text
+        out = text.select(*[F.col(f"`{c}`").cast(t).alias(c) for c, t in types.items()], *places)
+        out = out if names is None else nan_to_null(out)
+    return in_order(out, places, position_col).drop(*places) if places else out
 
 
 def _told_types(text: DataFrame) -> dict[str, str]:
@@ -114,6 +134,13 @@ def write_table(df: DataFrame, path: str, *, fmt: str = "parquet", mode: str = "
     return path
 
 
+def write_in_order(df: DataFrame, path: str, *, position_col: str = "position", fmt: str = "parquet") -> str:
+    """Write a table sorted by a column of positions, which is left out: the
+    numbered files and the rows in them keep the order, and
+    ``read_table(..., position_col=...)`` gives the positions back."""
+    return write_table(df.orderBy(F.col(f"`{position_col}`")).drop(position_col), path, fmt=fmt)
+
+
 def write_report(df: DataFrame, path: str, *, fmt: str = "json") -> str:
     """Write a small report table (a summary row, rule rows, ranked runs) as
     one JSON or CSV file.  Only for bounded report tables: coalescing to one

@@ -37,9 +37,31 @@ def test_refinement_levels_are_exact(spark, monkeypatch):
     assert got == want
 
 
-def test_largest_remainder():
-    assert hashrank.largest_remainder(294, {"Yes": 237, "No": 1233}) == {"Yes": 47, "No": 247}
-    assert sum(hashrank.largest_remainder(10, {"a": 1, "b": 1, "c": 1}).values()) == 10
+def _shares(spark, total, counts):
+    sizes = spark.createDataFrame(list(counts.items()), "s string, n long")
+    return {r.s: r.k for r in hashrank.largest_remainder(sizes, total).collect()}
+
+
+def test_largest_remainder(spark, monkeypatch):
+    assert _shares(spark, 294, {"Yes": 237, "No": 1233}) == {"Yes": 47, "No": 247}
+    assert _shares(spark, 10, {"c": 1, "b": 1, "a": 1}) == {"a": 4, "b": 3, "c": 3}
+    monkeypatch.setattr(hashrank, "_RANK_ROWS", 7)              # remainders ranked over several partitions
+    counts = {f"k{i:03d}": (i * 7919) % 101 + 1 for i in range(200)}
+    n, total = sum(counts.values()), 3333
+    want = {s: total * c // n for s, c in counts.items()}
+    for s in sorted(counts, key=lambda s: (-(total * counts[s] % n), s))[:total - sum(want.values())]:
+        want[s] += 1
+    assert _shares(spark, total, counts) == want
+    big = 10 ** 17
+    assert _shares(spark, big, {"a": 3 * big, "b": big}) == {"a": 75 * 10 ** 15, "b": 25 * 10 ** 15}
+
+
+def test_strata_of_any_name_and_null(spark):
+    df = spark.range(0, 900).withColumn("g", F.when(F.col("id") % 3 > 0, F.concat(F.lit("x'"), F.col("id") % 3)))
+    out = hashrank.select_smallest(df, row_hash(5, "n", ["id"]), 10, F.col("g"), flag="sel")
+    for rest in (0, 1, 2):
+        got = {r.id for r in out.where(F.col("sel") & (F.col("id") % 3 == rest)).collect()}
+        assert got == set(sorted(range(rest, 900, 3), key=lambda i: _md5(5, "n", i))[:10])
 
 
 def test_ks_distance_brute_force(spark):

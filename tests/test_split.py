@@ -1,3 +1,5 @@
+import hashlib
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -11,8 +13,8 @@ def _orders(spark):
 
 def test_stratified_counts_exact(spark):
     df = _orders(spark)
-    counts = S.class_counts(df, "o_orderstatus")
-    alloc = S.test_allocation(counts, 0.2, True)
+    sizes = df.groupBy(F.col("o_orderstatus").alias("s")).agg(F.count("*").alias("n"))
+    alloc = {r.s: r.k for r in S.test_allocation(sizes, 0.2, True).collect()}
     out = S.split_train_test(df, keys=["o_orderkey"], test_size=0.2, seed=42, target="o_orderstatus")
     got = {r["class_value"]: r["n"] for r in S.split_distribution(out, "o_orderstatus")
            .where("part = 'test'").collect()}
@@ -35,7 +37,11 @@ def test_sample_and_permutation(spark):
     s = S.sample_rows(df, keys=["o_orderkey"], n=300, seed=42)
     assert s.count() == 300
     p = S.permute(s, keys=["o_orderkey"], seed=43)
-    assert sorted(p.drop("shuffle_key").collect()) == sorted(s.collect())
+    assert sorted(p.drop("position").collect()) == sorted(s.collect())
+    placed = [r.o_orderkey for r in p.orderBy("position").collect()]
+    want = sorted(placed, key=lambda k: hashlib.md5(f"43|permute|{k}".encode()).hexdigest())
+    assert placed == want != sorted(placed)
+    assert sorted(r.position for r in p.collect()) == list(range(300))
     with pytest.raises(ValidationError):
         S.sample_rows(df.limit(10), keys=["o_orderkey"], n=11, seed=1)
 
