@@ -2,26 +2,30 @@
 columns, feature typing, seeded missingness injection, median / most
 frequent imputation, one-hot encoding and the assembled feature vector.
 
-Learned state (medians, modes, categories) comes from the data it is fit
-on and is applied to any other part as literals, so applying it is a pure
-projection.
+Learned state comes from the data it is fit on and is applied to any other
+part: medians and modes as literals, categories (as many as there may be) as
+a table that is joined.
 """
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.ml import PipelineModel
-from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexerModel, VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import VectorUDT
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablegauge.errors import PreparationError, refuse
-from tablegauge.functions.columns import is_numeric, row_hash
+from tablegauge.functions.columns import fresh, is_numeric, row_hash
 from tablegauge.functions.hashrank import hash_thresholds, threshold_map
+from tablegauge.functions.prefix import global_rank
 from tablegauge.functions.quantile import exact_medians
+from tablegauge.session import scratch_path
 
 MAX_MISSING_FRACTION = 0.2
 
@@ -146,51 +150,29 @@ def column_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float | N
     return exact_medians(df, list(columns))
 
 
-def category_counts(df: DataFrame, columns: Sequence[str]) -> dict[str, dict[str, int]]:
-    """Non-NULL value counts per categorical column from ONE aggregate:
-    (column, value) counts with map-side partial aggregation.  The result,
-    one row per category, is the encoder's state and is collected."""
-    if not columns:
-        return {}
-    pairs = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("c"), F.col(f"`{c}`").cast("string").alias("v")) for c in columns
-    ])).alias("x")).select("x.c", "x.v").where(F.col("v").isNotNull())
-    out: dict[str, dict[str, int]] = {c: {} for c in columns}
-    for r in pairs.groupBy("c", "v").agg(F.count(F.lit(1)).alias("n")).collect():
-        out[r["c"]][r["v"]] = int(r["n"])
-    return out
-
+def category_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``(i, v, n)``: how often each non-NULL value of column number ``i``
+    occurs, from ONE aggregate with map-side partial counts.  A table: it
+    may be as long as the data."""
+    pairs = df.select(F.inline(F.array(*[
+        F.struct(F.lit(i).alias("i"), F.col(f"`{c}`").cast("string").alias("v")) for i, c in enumerate(columns)])))
+    return pairs.where(F.col("v").isNotNull()).groupBy("i", "v").agg(F.count(F.lit(1)).alias("n"))
 
-def column_modes(df: DataFrame, columns: Sequence[str],
-                 counts: Mapping[str, Mapping[str, int]] | None = None) -> dict[str, object]:
-    """Most frequent non-NULL value per column, ties to the smallest value.
 
-    From bounded category counts when given; otherwise distributed:
-    (column, value) counts with map-side partial aggregation, then
-    ``min_by(value, (-count, value))`` per column — constant-size buffers,
-    no per-column value map in one task."""
+def column_modes(df: DataFrame, columns: Sequence[str], counts: DataFrame | None = None) -> dict[str, object]:
+    """Most frequent non-NULL value per column, ties to the smallest value:
+    ``min_by(value, (-count, value))`` over :func:`category_counts`, so
+    buffers have constant size and one row per column is read."""
     if not columns:
         return {}
     types = {f.name: f.dataType for f in df.schema.fields}
-    if counts is not None:
-        found = {c: (min(counts[c].items(), key=lambda kv: (-kv[1], kv[0]))[0] if counts[c] else None)
-                 for c in columns}
-    else:
-        pairs = df.select(F.explode(F.array(*[
-            F.struct(F.lit(c).alias("c"), F.col(f"`{c}`").cast("string").alias("v")) for c in columns
-        ])).alias("x")).select("x.c", "x.v").where(F.col("v").isNotNull())
-        cnt = pairs.groupBy("c", "v").agg(F.count(F.lit(1)).alias("n"))
-        best = cnt.groupBy("c").agg(F.min_by("v", F.struct((-F.col("n")).alias("k"), F.col("v"))).alias("mode"))
-        found = {r["c"]: r["mode"] for r in best.collect()}   # one row per column
-    out = {}
-    for c in columns:
-        v = found.get(c)
-        out[c] = None if v is None else _typed(v, types[c])
-    return out
+    counts = category_counts(df, columns) if counts is None else counts
+    best = counts.groupBy("i").agg(F.min_by("v", F.struct((-F.col("n")).alias("k"), F.col("v"))).alias("mode"))
+    found = {r["i"]: r["mode"] for r in best.collect()}   # one row per column
+    return {c: None if found.get(i) is None else _typed(found[i], types[c]) for i, c in enumerate(columns)}
 
 
 def _typed(v: str, dt):
-    from pyspark.sql import types as T
     if isinstance(dt, T.StringType):
         return v
     if isinstance(dt, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
@@ -218,98 +200,152 @@ def impute(df: DataFrame, fills: Mapping[str, object]) -> DataFrame:
 
 
 # ---------------------------------------------------------------- F6–F9
-def fit_categories(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
-    """Categories per column (sorted ascending, NULL excluded) — one
-    distributed aggregate; the list is the encoder's state (its size is the
-    vector width)."""
-    return {c: sorted(v) for c, v in category_counts(df, columns).items()}
+@dataclass
+class Categories:
+    """The encoder's dictionary: a written table ``(i, v, position)`` of the
+    values of each column, sorted ascending, with their places in the
+    vector.  Its length is not bounded by anything, so it is joined to the
+    rows and never collected; ``first`` and ``width`` have a number per column."""
+    columns: list[str]
+    path: str
+    first: list[int]
+    width: list[int]
+
+    @property
+    def size(self) -> int:
+        return self.first[-1] + self.width[-1] if self.columns else 0
+
+    def table(self, spark: SparkSession) -> DataFrame:
+        return spark.read.schema("v string, position int, i int").parquet(self.path)
+
+    def names(self, spark: SparkSession) -> DataFrame:
+        """``(position, feature_name)`` of the encoded features."""
+        column = F.element_at(F.array(*[F.lit(c) for c in self.columns]), F.col("i") + 1)
+        return self.table(spark).select(F.col("position").cast("long").alias("position"),
+                                        F.concat(F.lit("categorical__"), column, F.lit("_"), F.col("v")).alias("feature_name"))
+
+    def join(self, df: DataFrame, names: Sequence[str]) -> DataFrame:
+        """``df`` with each column's place in the vector under ``names``
+        (NULL for a value that the dictionary lacks).  Spark broadcasts a
+        column's part of the dictionary if it is small, else shuffles on the value."""
+        out = df
+        for i, (c, name) in enumerate(zip(self.columns, names)):
+            (value,) = fresh(out, "dictionary_value")
+            part = self.table(df.sparkSession).where(F.col("i") == i).select(F.col("v").alias(value), F.col("position").alias(name))
+            out = out.join(part, F.col(f"`{c}`").cast("string") == F.col(value), "left").drop(value)
+        return out
+
+
+def fit_categories(df: DataFrame, columns: Sequence[str], *, first: int = 0, counts: DataFrame | None = None) -> Categories:
+    """F6 fit: the distinct values of every column get consecutive places
+    from ``first`` on, by a distributed rank of (column, value)."""
+    columns = list(columns)
+    counts = category_counts(df, columns) if counts is None else counts
+    ranked = global_rank(counts.select("i", "v"), [F.col("i"), F.col("v")], "place")
+    path = scratch_path(df.sparkSession, "categories")
+    ranked.select("v", (F.col("place") - 1 + first).cast("int").alias("position"), "i").write.partitionBy("i").parquet(path)
+    out = Categories(columns, path, [], [])
+    held = {r["i"]: r["n"] for r in out.table(df.sparkSession).groupBy("i").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row per column
+    out.width = [held.get(i, 0) for i in range(len(columns))]
+    out.first = [first + sum(out.width[:i]) for i in range(len(columns))]
+    return out
+
+
+def sparse_vectors(df: DataFrame, places: Sequence[tuple[Column, Column]], size: int, keep: Sequence[str], output: str) -> DataFrame:
+    """``keep`` and the sparse vector of the (place, value) pairs, ascending
+    by place; NULL places and zeros are left out.  The vector is written in
+    the fields of Spark ML's vector type and read back as that type, which
+    needs no Python and no list of names: a written table, ready for the
+    many passes of a fit."""
+    held = F.filter(F.array(*[F.struct(p.cast("int").alias("p"), v.alias("v")) for p, v in places]),
+                    lambda e: e["p"].isNotNull() & (e["v"] != 0))
+    fields = F.struct(F.lit(0).cast("tinyint").alias("type"), F.lit(size).alias("size"),
+                      F.transform(held, lambda e: e["p"]).alias("indices"), F.transform(held, lambda e: e["v"]).alias("values"))
+    rows = df.select(*[F.col(f"`{c}`") for c in keep], fields.alias(output))
+    path = scratch_path(df.sparkSession, "vectors")
+    rows.write.parquet(path)
+    schema = T.StructType([*rows.schema.fields[:-1], T.StructField(output, VectorUDT())])
+    return df.sparkSession.read.schema(schema).parquet(path)
 
 
-def onehot_names(numeric: Sequence[str], categories: Mapping[str, Sequence[str]]) -> list[str]:
-    """names of the encoded features, numeric first."""
-    return [f"numeric__{c}" for c in numeric] + [
-        f"categorical__{c}_{v}" for c, vals in categories.items() for v in vals]
+def onehot_long(df: DataFrame, categories: Categories, keep: Sequence[str]) -> DataFrame:
+    """F6 as rows ``(keep…, feature_name, value)``, 0 or 1 for every
+    category (an unseen or NULL value has zeros only)."""
+    return features_long(onehot(df, categories, keep), categories.names(df.sparkSession), keep)
 
 
-def onehot_wide(df: DataFrame, categories: Mapping[str, Sequence[str]], keep: Sequence[str] = ()) -> DataFrame:
-    """F6 as wide 0/1 columns (unseen or NULL -> all zeros), a projection."""
-    cols = [F.col(f"`{c}`") for c in keep]
-    for c, vals in categories.items():
-        for v in vals:
-            cols.append(F.when(F.col(f"`{c}`").cast("string") == F.lit(v), 1.0).otherwise(0.0)
-                        .alias(f"categorical__{c}_{v}"))
-    return df.select(*cols)
+def onehot(df: DataFrame, categories: Categories, keep: Sequence[str], output: str = "features") -> DataFrame:
+    """``keep`` and the sparse one-hot vector."""
+    at = fresh(df, *[f"place_{i}" for i in range(len(categories.columns))])
+    return sparse_vectors(categories.join(df, at), [(F.col(p), F.lit(1.0)) for p in at], categories.size, keep, output)
+
+
+def features_long(vectors: DataFrame, names: DataFrame, keep: Sequence[str], output: str = "features") -> DataFrame:
+    """A vector column as ``(keep…, feature_name, value)``."""
+    long = vectors.select(*[F.col(f"`{c}`") for c in keep], F.posexplode(vector_to_array(output)).alias("position", "value"))
+    return long.join(names, "position").select(*[F.col(f"`{c}`") for c in keep], "feature_name", "value")
 
 
 @dataclass
 class FeatureSpec:
-    """Fitted preparation state: fill values, categories and the Spark ML
-    stages that build the ``features`` vector."""
+    """Fitted preparation state: fill values and the category dictionary."""
     numeric: list[str]
     categorical: list[str]
     medians: dict[str, float | None]
     modes: dict[str, object]
-    categories: dict[str, list[str]]
-    model: PipelineModel
+    categories: Categories
+    keep: list[str]
+    output: str = "features"
 
-    @property
-    def names(self) -> list[str]:
-        return onehot_names(self.numeric, self.categories)
+    def names(self, spark: SparkSession) -> DataFrame:
+        """``(position, feature_name)``, numeric features first."""
+        numeric = spark.createDataFrame([(i, f"numeric__{c}") for i, c in enumerate(self.numeric)], "position long, feature_name string")
+        return numeric.unionByName(self.categories.names(spark))
 
     def transform(self, df: DataFrame) -> DataFrame:
-        return self.model.transform(df)
-
-
-def _impute_sql(numeric: Sequence[str], categorical: Sequence[str], medians, modes, keep) -> str:
-    def lit(v):
-        if isinstance(v, str):
-            return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
-        return repr(v)
-    parts = [f"`{c}`" for c in keep]
-    for c in numeric:
-        m = medians.get(c)
-        value = f"nanvl(CAST(`{c}` AS DOUBLE), CAST(NULL AS DOUBLE))"
-        parts.append(f"{value} AS `{c}`" if m is None else f"coalesce({value}, {float(m)!r}) AS `{c}`")
-    for c in categorical:
-        m = modes.get(c)
-        parts.append(f"CAST(`{c}` AS STRING) AS `{c}`" if m is None
-                     else f"coalesce(CAST(`{c}` AS STRING), {lit(str(m))}) AS `{c}`")
-    return "SELECT " + ", ".join(parts) + " FROM __THIS__"
+        """``keep``, the imputed features and the vector."""
+        def number(c: str) -> Column:
+            value = F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None).cast("double"))
+            fill = self.medians.get(c)
+            return F.coalesce(value, F.lit(float(fill)) if fill is not None else
+                              F.raise_error(F.lit(f"column {c} has missing values and had no value to learn a median from")).cast("double"))
+
+        def text(c: str) -> Column:
+            value, fill = F.col(f"`{c}`").cast("string"), self.modes.get(c)
+            return value if fill is None else F.coalesce(value, F.lit(str(fill)))
+        rows = df.select(*[F.col(f"`{c}`") for c in self.keep], *[number(c).alias(c) for c in self.numeric],
+                         *[text(c).alias(c) for c in self.categorical])
+        at = fresh(rows, *[f"place_{i}" for i in range(len(self.categorical))])
+        places = [(F.lit(i), F.col(f"`{c}`")) for i, c in enumerate(self.numeric)] + [(F.col(p), F.lit(1.0)) for p in at]
+        return sparse_vectors(self.categories.join(rows, at), places, len(self.numeric) + sum(self.categories.width),
+                              [*self.keep, *self.numeric, *self.categorical], self.output)
+
+    def save(self, spark: SparkSession, path: str) -> str:
+        """The state as one JSON line, the dictionary as a table."""
+        state = {k: getattr(self, k) for k in ("numeric", "categorical", "medians", "modes", "keep", "output")}
+        state |= {"first": self.categories.first, "width": self.categories.width}
+        spark.createDataFrame([(json.dumps(state, default=str),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/state")
+        self.categories.table(spark).write.mode("overwrite").partitionBy("i").parquet(f"{path}/categories")
+        return path
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> "FeatureSpec":
+        state = json.loads(spark.read.text(f"{path}/state").first()["value"])
+        state["categories"] = Categories(state["categorical"], f"{path}/categories", state.pop("first"), state.pop("width"))
+        return FeatureSpec(**state)
 
 
 def fit_features(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str],
                  keep: Sequence[str] = (), output: str = "features") -> FeatureSpec:
     """F7/F8 fit: medians and modes from ``df``, categories from the
-    imputed ``df``; returns a :class:`FeatureSpec` whose ``model`` is a
-    Spark ML ``PipelineModel`` (imputation as a SQL stage, string indexing
-    with an extra bucket for unseen values, one-hot with that bucket
-    dropped so unseen categories encode as zeros, and vector assembly,
-    numeric columns first).  ``keep`` columns pass through."""
+    imputed ``df`` (the mode is among the values already).  One written
+    count of (column, value) gives modes and dictionary."""
     _both_kinds(numeric, categorical)
     numeric, categorical = list(numeric), list(categorical)
     medians = column_medians(df, numeric)
-    counts = category_counts(df, categorical)        # one aggregate: modes, categories, width guard
+    path = scratch_path(df.sparkSession, "category_counts")
+    category_counts(df, categorical).write.parquet(path)
+    counts = df.sparkSession.read.parquet(path)
     modes = column_modes(df, categorical, counts)
-    # categories after imputation: the mode is already among the values
-    cats = {c: sorted(set(counts[c]) | ({str(modes[c])} if modes[c] is not None else set()))
-            for c in categorical}
-    imp = SQLTransformer(statement=_impute_sql(numeric, categorical, medians, modes, keep))
-    idx_cols = [f"__idx_{i}" for i in range(len(categorical))]
-    vec_cols = [f"__ohe_{i}" for i in range(len(categorical))]
-    # labels are known: build the indexer model directly instead of another pass
-    # (one model per column: the multi-column constructor pads label arrays)
-    indexers = [StringIndexerModel.from_labels(cats[c], inputCol=c, outputCol=idx_cols[i], handleInvalid="keep")
-                for i, c in enumerate(categorical)]
-    encoder = OneHotEncoder(inputCols=idx_cols, outputCols=vec_cols, dropLast=True,
-                            handleInvalid="error")
-    assembler = VectorAssembler(inputCols=numeric + vec_cols, outputCol=output)
-    drop = SQLTransformer(statement="SELECT " + ", ".join(
-        [f"`{c}`" for c in list(keep) + numeric + categorical] + [f"`{output}`"]) + " FROM __THIS__")
-    # every stage but the encoder is already fitted; the encoder reads its
-    # sizes from the indexer's column metadata
-    indexed = imp.transform(df)
-    for ix in indexers:
-        indexed = ix.transform(indexed)
-    enc_model = encoder.fit(indexed)
-    model = PipelineModel(stages=[imp, *indexers, enc_model, assembler, drop])
-    return FeatureSpec(numeric, categorical, medians, modes, cats, model)
+    return FeatureSpec(numeric, categorical, medians, modes,
+                       fit_categories(df, categorical, first=len(numeric), counts=counts), list(keep), output)

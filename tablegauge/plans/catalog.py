@@ -453,14 +453,7 @@ def q_stable_batch(spark, sf):
        "FROM customer, (SELECT DISTINCT c_mktsegment AS v FROM customer) cats")
 def q_onehot_encode(spark, sf):
     cust = I.table(spark, sf, "customer")
-    cats = P.fit_categories(cust, ["c_mktsegment"])
-    return _wide_to_long(P.onehot_wide(cust, cats, keep=["c_custkey"]), "c_custkey")
-
-
-def _wide_to_long(wide: DataFrame, key: str) -> DataFrame:
-    feats = [c for c in wide.columns if c != key]
-    return wide.select(key, F.inline(F.array(*[
-        F.struct(F.lit(c).alias("feature_name"), F.col(f"`{c}`").alias("value")) for c in feats])))
+    return P.onehot_long(cust, P.fit_categories(cust, ["c_mktsegment"]), keep=["c_custkey"])
 
 
 @query("onehot_unseen",
@@ -470,7 +463,7 @@ def _wide_to_long(wide: DataFrame, key: str) -> DataFrame:
 def q_onehot_unseen(spark, sf):
     cust = I.table(spark, sf, "customer")
     cats = P.fit_categories(cust.where(F.col("c_mktsegment") < "M"), ["c_mktsegment"])
-    return _wide_to_long(P.onehot_wide(cust, cats, keep=["c_custkey"]), "c_custkey")
+    return P.onehot_long(cust, cats, keep=["c_custkey"])
 
 
 _FM_NUM = ["c_acctbal", "c_nationkey"]
@@ -485,7 +478,7 @@ _FM_CAT = ["c_mktsegment"]
 def q_onehot_names(spark, sf):
     cust = I.table(spark, sf, "customer")
     spec = P.fit_features(cust, _FM_NUM, _FM_CAT, keep=["c_custkey"])
-    return spark.createDataFrame(list(enumerate(spec.names)), "position long, feature_name string")
+    return spec.names(spark)
 
 
 @query("feature_matrix",
@@ -494,12 +487,9 @@ def q_onehot_names(spark, sf):
        "SELECT c_custkey, 'categorical__c_mktsegment_' || v, CASE WHEN c_mktsegment = v THEN 1.0 ELSE 0.0 END "
        "FROM customer, (SELECT DISTINCT c_mktsegment AS v FROM customer) cats")
 def q_feature_matrix(spark, sf):
-    from pyspark.ml.functions import vector_to_array
     cust = I.table(spark, sf, "customer")
     spec = P.fit_features(cust, _FM_NUM, _FM_CAT, keep=["c_custkey"])
-    names = F.array(*[F.lit(n) for n in spec.names])
-    arr = spec.transform(cust).select("c_custkey", vector_to_array("features").alias("v"))
-    return arr.select("c_custkey", F.inline(F.arrays_zip(names.alias("feature_name"), F.col("v").alias("value"))))
+    return P.features_long(spec.transform(cust), spec.names(spark), ["c_custkey"])
 
 
 # ============================================================ evaluation (M1–M7, G1)

@@ -14,7 +14,7 @@ from dataclasses import asdict, dataclass, field
 
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablegauge.errors import TrainingError, refuse
@@ -52,9 +52,28 @@ class TrainingConfig:
     model_path: str | None = None       # folder that keeps the fitted preparation and model, one subfolder per run
 
 
+@dataclass
+class FittedModel:
+    """T1–T4 with the preparation in front, kept and found again as one folder."""
+    features: P.FeatureSpec
+    classifier: object
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        return self.classifier.transform(self.features.transform(df))
+
+    def save(self, spark: SparkSession, path: str) -> str:
+        self.features.save(spark, f"{path}/features")
+        PipelineModel(stages=[self.classifier]).write().overwrite().save(f"{path}/classifier")
+        return path
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> "FittedModel":
+        return FittedModel(P.FeatureSpec.load(spark, f"{path}/features"), PipelineModel.load(f"{path}/classifier").stages[0])
+
+
 @dataclass
 class TrainingResult:
-    model: PipelineModel
+    model: FittedModel
     features: P.FeatureSpec
     predictions: DataFrame
     metrics: dict
@@ -70,7 +89,7 @@ class TrainingResult:
 
 @dataclass
 class Prepared:
-    """Both parts of one split, kept, with the preparation fitted on the train part."""
+    """Both parts of one split as written vectors, with the preparation fitted on the train part."""
     train: DataFrame
     test: DataFrame
     features: P.FeatureSpec
@@ -80,10 +99,6 @@ class Prepared:
     train_rows: int
     test_rows: int
 
-    def release(self) -> None:
-        self.train.unpersist()
-        self.test.unpersist()
-
 
 def _preparation_key(cfg: TrainingConfig) -> str:
     """Equal for configurations that differ in nothing before the fit."""
@@ -103,11 +118,7 @@ def train_run(df: DataFrame, cfg: TrainingConfig, *, runs_path: str | None = Non
     split, missingness and scoring; with ``cache_input`` it is
     persisted once (memory and disk) instead of being recomputed — worth it
     whenever the input is a join or another derived table."""
-    ready = prepare_parts(df, cfg, cache_input=cache_input)
-    try:
-        return fit_run(ready, cfg, runs_path=runs_path, enforce=enforce)
-    finally:
-        ready.release()
+    return fit_run(prepare_parts(df, cfg, cache_input=cache_input), cfg, runs_path=runs_path, enforce=enforce)
 
 
 def prepare_parts(df: DataFrame, cfg: TrainingConfig, *, cache_input: bool = True) -> Prepared:
@@ -156,14 +167,12 @@ def _prepare_parts(base: DataFrame, cfg: TrainingConfig, feats: list[str]) -> Pr
         train_counts = {1.0: distribution["train", cfg.positive], 0.0: distribution["train", cfg.negative]}
         num, cat = P.feature_types(train, feats)
         fspec = P.fit_features(train, num, cat, keep=list(cfg.keys) + [cfg.target, "label"])
-        # both parts are kept before the input that they come from is let go
-        test.count()
-        return Prepared(train, test, fspec, {"numeric": list(num), "categorical": list(cat)}, train_counts, distribution,
+        # both parts are written before the input that they come from is let go
+        return Prepared(fspec.transform(train), fspec.transform(test), fspec, {"numeric": list(num), "categorical": list(cat)}, train_counts, distribution,
                         n_train, n_test)
-    except BaseException:
+    finally:
         train.unpersist()
         test.unpersist()
-        raise
 
 
 def _two_classes(sizes: DataFrame, cfg: TrainingConfig) -> dict:
@@ -186,16 +195,15 @@ def fit_run(ready: Prepared, cfg: TrainingConfig, *, runs_path: str | None = Non
     """Fit, score, measure, gate and record one model on prepared parts."""
     spark = ready.train.sparkSession
     fspec, counts = ready.features, ready.train_counts
-    prepared = fspec.transform(ready.train)
     weights = T.class_weight_map(ready.train, "label", cfg.model.class_weight, counts=counts,
                                  classes={cfg.positive: 1.0, cfg.negative: 0.0})
-    prepared = T.with_weights(prepared, "label", weights)
+    prepared = T.with_weights(ready.train, "label", weights)
     total = sum(n * (weights or {}).get(c, 1.0) for c, n in counts.items())
     est = T.build_estimator(cfg.model, seed=cfg.seed, n_train=ready.train_rows, weight_sum=total,
                             weight="weight" if cfg.model.algorithm != "gradient_boosting" else None)
     clf = est.fit(prepared)
-    model = PipelineModel(stages=[*fspec.model.stages, clf])
-    preds = T.score(model, ready.test, keys=cfg.keys, target=cfg.target,
+    model = FittedModel(fspec, clf)
+    preds = T.score(clf, ready.test, keys=cfg.keys, target=cfg.target,
                     positive=cfg.positive, negative=cfg.negative).persist(StorageLevel.MEMORY_AND_DISK)
     mets_df = E.classification_metrics(preds, positive=cfg.positive, negative=cfg.negative)
     metrics = mets_df.first().asDict()
@@ -208,7 +216,7 @@ def fit_run(ready: Prepared, cfg: TrainingConfig, *, runs_path: str | None = Non
     passed = all(r["passed"] for r in gate)
     run_id = uuid.uuid4().hex
     if cfg.model_path:
-        model.write().overwrite().save(f"{cfg.model_path.rstrip('/')}/{run_id}")
+        model.save(spark, f"{cfg.model_path.rstrip('/')}/{run_id}")
     run = R.run_record(spark, experiment=cfg.experiment, run_id=run_id,
                        run_name=cfg.run_name or f"{cfg.model.algorithm}", metrics=metrics,
                        params=_params(cfg) | {f"confusion.{k}": str(v) for k, v in confusion.items()}
@@ -263,7 +271,6 @@ def sweep(df: DataFrame, configs: Mapping[str, TrainingConfig], *, runs_path: st
                     res.predictions.unpersist()
                 except Exception as exc:  # noqa: BLE001 - recorded, the sweep goes on
                     failed(name, exc)
-            ready.release()
     finally:
         base.unpersist()
     return df.sparkSession.createDataFrame([rows[name] for name in sorted(rows)], SWEEP_SCHEMA)

@@ -67,24 +67,39 @@ def test_encoding_unseen_is_zero(spark, x3):
     feats = P.feature_columns(x3, "failed", EXCL)
     num, cat = P.feature_types(x3, feats)
     spec = P.fit_features(x3, num, cat, keep=["unit"])
-    assert len(spec.names) == 8
-    assert not any(e in n for n in spec.names for e in EXCL)
+    names = [r.feature_name for r in spec.names(spark).orderBy("position").collect()]
+    assert len(names) == 8 and names[:2] == [f"numeric__{c}" for c in num]
+    assert not any(e in n for n in names for e in EXCL)
     new = x3.limit(1).withColumn("maker", F.lit("NewDept"))
     vec = spec.transform(new).select(vector_to_array("features").alias("v")).first()["v"]
-    dept_idx = [i for i, n in enumerate(spec.names) if n.startswith("categorical__maker_")]
-    assert [vec[i] for i in dept_idx] == [0.0, 0.0, 0.0]
-    wide = P.onehot_wide(new, spec.categories, keep=["unit"]).first()
-    assert sum(v for k, v in wide.asDict().items() if k.startswith("categorical__maker")) == 0.0
+    dept_idx = [i for i, n in enumerate(names) if n.startswith("categorical__maker_")]
+    assert [vec[i] for i in dept_idx] == [0.0, 0.0, 0.0] and sum(vec) == 1.0 + sum(vec[:2])
+    long = P.onehot_long(new, P.fit_categories(x3, ["maker"]), keep=["unit"]).collect()
+    assert sorted(r.feature_name for r in long) == [f"categorical__maker_{v}" for v in ("Acme", "Bolt", "Crane")]
+    assert {r.value for r in long} == {0.0}
 
 
 def test_model_save_load_same_predictions(spark, x3, tmp_path):
-    from pyspark.ml import PipelineModel
+    from pyspark.ml.classification import LogisticRegression
+
+    from tablegauge.plans.training import FittedModel
     feats = P.feature_columns(x3, "failed", EXCL)
     num, cat = P.feature_types(x3, feats)
-    spec = P.fit_features(x3, num, cat, keep=["unit"])
-    path = str(tmp_path / "model")
-    spec.model.write().overwrite().save(path)
-    again = PipelineModel.load(path)
-    a = spec.transform(x3).select("unit", vector_to_array("features").alias("v")).collect()
-    b = again.transform(x3).select("unit", vector_to_array("features").alias("v")).collect()
-    assert sorted(a) == sorted(b)
+    spec = P.fit_features(x3, num, cat, keep=["unit", "failed"])
+    fit = LogisticRegression(maxIter=3).fit(spec.transform(x3).withColumn("label", (F.col("failed") == "Yes").cast("double")))
+    model = FittedModel(spec, fit)
+    model.save(spark, str(tmp_path / "model"))
+    again = FittedModel.load(spark, str(tmp_path / "model"))
+    a, b = ([tuple(r) for r in m.transform(x3).select("unit", vector_to_array("features"), vector_to_array("probability")).orderBy("unit").collect()]
+            for m in (model, again))
+    assert a == b and len(a) == 4
+
+
+def test_columns_without_values(spark):
+    df = spark.createDataFrame([(1.0, None, "x"), (None, None, None)], "n double, c string, d string")
+    spec = P.fit_features(df, ["n"], ["c", "d"], keep=["n"][:0])
+    assert spec.categories.width == [0, 1] and spec.modes == {"c": None, "d": "x"}
+    assert [r[0] for r in spec.transform(df).select(vector_to_array("features")).collect()] == [[1.0, 1.0]] * 2
+    none = P.fit_features(df.select("c", "d", F.lit(None).cast("double").alias("n")), ["n"], ["d"])
+    with pytest.raises(Exception, match="median"):
+        none.transform(df).collect()

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from tablegauge.errors import TrainingError
 from tablegauge.operators import rank as RK
@@ -97,5 +98,5 @@ def test_sweep_prepares_once_and_keeps_models(spark, tmp_path, monkeypatch):
     kept = {r.run_id: r for r in RS.load_runs(spark, path, "docs-quality").collect()}
     assert kept.keys() == {rows[0].run_id, rows[1].run_id}
     assert kept[rows[0].run_id].params["features.numeric"] == "n_chars"
-    from pyspark.ml import PipelineModel
-    assert len(PipelineModel.load(f"{tmp_path}/models/{rows[1].run_id}").stages) > 1
+    model = TP.FittedModel.load(spark, f"{tmp_path}/models/{rows[1].run_id}")
+    assert model.transform(df.withColumn("label", F.lit(0.0))).where("probability is null").count() == 0

@@ -98,3 +98,16 @@ def test_quoted_line_breaks(spark, tmp_path):
     (tmp_path / "q.csv").write_text('a,b\n1,"two\nlines"\n2,one\n')
     got = read_table(spark, str(tmp_path / "q.csv"), multi_line=True).collect()
     assert [tuple(r) for r in got] == [(1, "two\nlines"), (2, "one")]
+
+
+def test_two_million_categories_in_a_small_driver():
+    out = in_small_driver("""
+        from tablegauge.operators import prepare as P
+        df = spark.range(0, 4_000_000).select("id", (F.col("id") * 0.5).alias("x"), F.concat(F.lit("v"), F.col("id") % 2_000_000).alias("c"))
+        spec = P.fit_features(df, ["x"], ["c"], keep=["id"])
+        one = spec.transform(df.where("id % 1000000 = 7")).orderBy("id").collect()
+        names = {r.position: r.feature_name for r in spec.names(spark).where(F.col("position").isin([int(i) for r in one for i in r.features.indices])).collect()}
+        print(spec.categories.width, [(r.id, r.features.size, [names[int(i)] for i in r.features.indices]) for r in one])
+    """)
+    want = [(i, 2_000_001, ["numeric__x", f"categorical__c_v{i % 2_000_000}"]) for i in range(7, 4_000_000, 1_000_000)]
+    assert out.strip().splitlines()[-1] == f"[2000000] {want}"
