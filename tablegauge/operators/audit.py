@@ -9,10 +9,16 @@ the table; duplicates and class balance are one grouped aggregate each
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tablegauge.functions.columns import is_numeric, missing, present
+from tablegauge.errors import ValidationError, refuse
+from tablegauge.functions.columns import fresh, is_fractional, is_integral, is_numeric, missing, present
+from tablegauge.functions.prefix import in_order
+from tablegauge.sources.files import source_order
 
 # Fixed values of the audit's constraint checks.
 MIN_ROWS = 1000
@@ -81,12 +87,26 @@ def audit_missing(df: DataFrame) -> DataFrame:
 
 
 def duplicate_rows(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
-    """Rows beyond the first of each distinct row (NULLs equal each other):
-    one row ``(duplicate_row_count)``.  ``groupBy(all)`` with map-side
-    partial counts; the result sums ``n - 1``."""
+    """Rows beyond the first of each distinct row (NULLs equal each other, as
+    do NaNs and the two zeros): one row ``(duplicate_row_count)``.
+
+    Rows are counted by a 128-bit fingerprint (two 64-bit hashes with
+    different seeds), so a row costs the shuffle 24 bytes whatever it holds;
+    rows whose fingerprint occurs once are unique for certain, and only the
+    others are grouped by all their columns."""
     keys = cols or df.columns
-    grouped = df.groupBy(*[F.col(f"`{c}`") for c in keys]).agg(F.count(F.lit(1)).alias("__n"))
-    return grouped.agg(F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).cast("long").alias("duplicate_row_count"))
+    types = {f.name: f.dataType for f in df.schema.fields}
+    one, two, n = fresh(df, "print_one", "print_two", "rows_alike")
+    # NaN and -0.0 as grouping sees them
+    alike = [F.when(F.col(f"`{c}`") == 0, F.lit(0.0).cast(types[c])).otherwise(F.col(f"`{c}`")) if is_fractional(types[c]) else F.col(f"`{c}`")
+             for c in keys]
+    # a NULL leaves a hash as it is, so where the NULLs are is part of the print
+    holes = F.concat(*[F.when(F.col(f"`{c}`").isNull(), F.lit("1")).otherwise(F.lit("0")) for c in keys])
+    prints = df.select("*", F.xxhash64(*alike, holes).alias(one), F.xxhash64(F.lit(7919), holes, *reversed(alike)).alias(two))
+    twice = prints.groupBy(one, two).agg(F.count(F.lit(1)).alias(n)).where(F.col(n) > 1).select(one, two)
+    repeated = prints.join(twice, [one, two], "left_semi")
+    grouped = repeated.groupBy(*[F.col(f"`{c}`") for c in keys]).agg(F.count(F.lit(1)).alias(n))
+    return grouped.agg(F.coalesce(F.sum(F.col(n) - 1), F.lit(0)).cast("long").alias("duplicate_row_count"))
 
 
 def audit_duplicates(df: DataFrame) -> DataFrame:
@@ -99,10 +119,34 @@ def audit_distinct(df: DataFrame, *, approx: bool = False) -> DataFrame:
     return column_profile(df, approx_distinct=approx).select("column_name", "distinct_count")
 
 
+#: Values up to which :func:`bounded_distinct` is exact (2 to this power).
+_EXACT_BITS = 12
+
+
+def bounded_distinct(name: str, dt: T.DataType) -> Column:
+    """Distinct values of a column (NULL counted) as an aggregate of constant
+    size: a theta sketch, which keeps the smallest 64-bit value hashes.  Up
+    to 4,096 values it holds them all and the count is exact; beyond, it is
+    an estimate that is never near the small numbers asked for.  One pass,
+    no copy of the rows for each column."""
+    x = present(name, dt)
+    if is_integral(dt):
+        x = x.cast("long")
+    elif is_fractional(dt):
+        x = x.cast("double")
+    else:
+        x = F.concat(F.lit("="), x.cast("string"))      # the sketch passes over empty strings
+    return F.round(F.theta_sketch_estimate(F.theta_sketch_agg(x, _EXACT_BITS))).cast("long") + F.max(x.isNull().cast("long"))
+
+
 def audit_candidates(df: DataFrame, *, lo: int = CANDIDATE_MIN_EXCLUSIVE,
                      hi: int = CANDIDATE_MAX_INCLUSIVE) -> DataFrame:
-    """Columns with ``lo < distinct_count <= hi`` (candidate targets)."""
-    d = audit_distinct(df)
+    """Columns with ``lo < distinct_count <= hi`` (candidate targets),
+    from one pass of bounded counts."""
+    refuse(ValidationError, hi=(hi > 1 << (_EXACT_BITS - 1), f"{hi} is beyond the counts that are exact here"))
+    wide = df.agg(*[bounded_distinct(f.name, f.dataType).alias(f"d{i}") for i, f in enumerate(df.schema.fields)])
+    d = wide.select(_long([(f.name, F.coalesce(F.col(f"d{i}"), F.lit(0)).cast("long")) for i, f in enumerate(df.schema.fields)],
+                          "column_name", "distinct_count"))
     return d.where((F.col("distinct_count") > lo) & (F.col("distinct_count") <= hi))
 
 
@@ -117,10 +161,16 @@ def audit_class_balance(df: DataFrame, target: str, total: int | None = None) ->
     return counts.withColumn("class_proportion", F.col("class_count") / total)
 
 
-def audit_target_values(df: DataFrame, target: str) -> DataFrame:
-    """A10: distinct target values (NULL included), sorted — a DataFrame has
-    no first-seen order."""
-    return df.select(F.col(target).alias("target_value")).distinct()
+def audit_target_values(df: DataFrame, target: str, order: Sequence[Column | str] | None = None) -> DataFrame:
+    """A10: ``(position, target_value, data_type)``: the distinct target
+    values (NULL included) in the order in which they are first seen.  The
+    order of rows is ``order``; by default that of the files that ``df`` is
+    scanned from.  Each value's least place is a partial aggregate; only the
+    distinct values are sorted."""
+    places = source_order() if order is None else [F.col(f"`{c}`") if isinstance(c, str) else c for c in order]
+    seen = df.select(F.col(f"`{target}`").alias("target_value"), F.struct(*[p.alias(f"p{i}") for i, p in enumerate(places)]).alias("place"))
+    least = seen.groupBy("target_value").agg(F.min("place").alias("place"))
+    return in_order(least, ["place"]).select("position", "target_value", F.lit(df.schema[target].dataType.simpleString()).alias("data_type"))
 
 
 def audit_constraints(df: DataFrame, target: str | None = None, *, min_rows: int = MIN_ROWS,

@@ -9,7 +9,7 @@ Scores behave like p-values (lower = more drifted):
   p-value from the asymptotic series (a column expression);
 * categorical features — chi-square test of the category x batch table;
   statistic and degrees of freedom from one grouped aggregate, p-value
-  from the chi-square survival function applied to one number per feature.
+  from the chi-square survival function, a column expression too.
 
 NULLs are dropped per feature.  A feature without a score counts as 1.0,
 i.e. not drifted.
@@ -20,13 +20,15 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from tablegauge.errors import ValidationError, refuse
 from tablegauge.functions.columns import fresh, is_integral, is_numeric, present
 from tablegauge.functions.prefix import in_order, ks_distance
-from tablegauge.functions.stats import chi2_sf, ks_pvalue
+from tablegauge.functions.stats import KS_EXACT_ROWS, chi2_sf, ks_exact, ks_pvalue
 from tablegauge.operators.split import permute, sample_rows
 from tablegauge.session import ensure_checkpoint_dir
 
@@ -164,17 +166,25 @@ def _side_counts(ref: DataFrame, cur: DataFrame, features: Sequence[str], as_typ
 
 def ks_scores(ref: DataFrame, cur: DataFrame, features: Sequence[str],
               num_partitions: int | None = None) -> DataFrame:
-    """``(feature, statistic, p_value, n_ref, n_cur)`` per numeric feature."""
+    """``(feature, statistic, p_value, n_ref, n_cur)`` per numeric
+    feature; the p-value is exact for samples of up to ``KS_EXACT_ROWS`` rows."""
     if not features:
         return ref.sparkSession.createDataFrame(
             [], "feature string, statistic double, p_value double, n_ref long, n_cur long")
     counts = _side_counts(ref, cur, features, "double")
     d = ks_distance(counts, "feature", "value", "n_ref", "n_cur", num_partitions)
-    return d.select("feature", "statistic",
-                    ks_pvalue(F.col("statistic"), F.col("n_ref"), F.col("n_cur")).alias("p_value"),
+    small = F.greatest("n_ref", "n_cur") <= KS_EXACT_ROWS
+    # sizes that the series serves go to the path count as NULL
+    exact = _ks_exact(*[F.when(small, F.col(c)) for c in ("statistic", "n_ref", "n_cur")])
+    return d.select("feature", "statistic", F.coalesce(exact, ks_pvalue(F.col("statistic"), F.col("n_ref"), F.col("n_cur"))).alias("p_value"),
                     "n_ref", "n_cur")
 
 
+@F.pandas_udf(DoubleType())
+def _ks_exact(d: pd.Series, n: pd.Series, m: pd.Series) -> pd.Series:
+    return pd.Series([None if pd.isna(x) else ks_exact(x, int(a), int(b)) for x, a, b in zip(d, n, m)], dtype="float64")
+
+
 def chi2_statistics(ref: DataFrame, cur: DataFrame, features: Sequence[str]) -> DataFrame:
     """D10 statistic: ``(feature, statistic, dof, categories)`` per
     categorical feature, from the category x batch count table."""
@@ -200,18 +210,11 @@ def chi2_statistics(ref: DataFrame, cur: DataFrame, features: Sequence[str]) ->
 
 
 def chi2_scores(ref: DataFrame, cur: DataFrame, features: Sequence[str]) -> DataFrame:
-    """``(feature, statistic, p_value, dof)``; the p-value is computed
-    from (statistic, dof) — one number per feature."""
-    spark = ref.sparkSession
-    schema = "feature string, statistic double, p_value double, dof long"
+    """``(feature, statistic, p_value, dof)``, one lazy plan."""
     if not features:
-        return spark.createDataFrame([], schema)
-    stats = chi2_statistics(ref, cur, features).collect()   # one row per feature
-    rows = []
-    for r in stats:
-        p = None if r["statistic"] is None else chi2_sf(float(r["statistic"]), int(r["dof"]))
-        rows.append((r["feature"], r["statistic"], p, r["dof"]))
-    return spark.createDataFrame(rows, schema)
+        return ref.sparkSession.createDataFrame([], "feature string, statistic double, p_value double, dof long")
+    return chi2_statistics(ref, cur, features).select(
+        "feature", "statistic", chi2_sf(F.col("statistic"), F.col("dof")).alias("p_value"), "dof")
 
 
 def drift_scores(ref: DataFrame, cur: DataFrame, features: Sequence[str],

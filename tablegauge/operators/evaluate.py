@@ -57,8 +57,13 @@ def confusion_matrix(preds: DataFrame, *, y_true: str = "y_true", y_pred: str =
 
 def roc_auc(preds: DataFrame, *, y_true: str = "y_true", p_pos: str = "p_pos",
             positive: str = POSITIVE, num_partitions: int | None = None) -> DataFrame:
-    """M6: exact ROC AUC with ties, one row ``(roc_auc, n_pos, n_neg)``."""
-    counts = preds.groupBy(F.col(p_pos).cast("double").alias("score")).agg(
+    """M6: exact ROC AUC with ties, one row ``(roc_auc, n_pos, n_neg)``.  A
+    missing or NaN score and a missing truth are refused when the plan runs:
+    they have no place among the scores."""
+    p, t = F.col(p_pos).cast("double"), F.col(y_true)
+    said = F.concat(F.lit("predictions: score "), F.coalesce(p.cast("string"), F.lit("missing")), F.lit(", truth "), F.coalesce(t.cast("string"), F.lit("missing")))
+    score = F.when(p.isNull() | F.isnan(p) | t.isNull(), F.raise_error(said).cast("double")).otherwise(p)
+    counts = preds.groupBy(score.alias("score")).agg(
         F.sum((F.col(y_true) == positive).cast("long")).alias("pos"),
         F.sum((F.col(y_true) != positive).cast("long")).alias("neg"))
     return roc_auc_counts(counts, "score", "pos", "neg", num_partitions).withColumnRenamed("auc", "roc_auc")

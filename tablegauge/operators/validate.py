@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablegauge.errors import EvaluationError, ValidationError
+from tablegauge.operators.audit import bounded_distinct, duplicate_rows
 from tablegauge.functions.columns import is_numeric, present
 
 # Defaults of the labelled-table rules (target domain, domain
@@ -71,8 +72,9 @@ def validate_dataset(df: DataFrame, *, target: str, required_columns: Iterable[s
     """Compute every rule as rows; nothing is raised here (see :func:`enforce`).
 
     Schema-level rules (required columns, range column types, feature count)
-    need no job; the rest come from one aggregate and, when
-    ``max_duplicate_rows`` is not None, one grouped aggregate."""
+    need no job; the rest come from one aggregate of constant size and one
+    grouped aggregate each for the key and, when ``max_duplicate_rows`` is
+    not None, the duplicates."""
     cols = set(df.columns)
     types = {f.name: f.dataType for f in df.schema.fields}
     ranges = dict(ranges or {})
@@ -112,18 +114,14 @@ def validate_dataset(df: DataFrame, *, target: str, required_columns: Iterable[s
         if c not in cols:
             rows.append(_row("expected_constants", c, F.lit("missing column"), "1", F.lit(False)))
         else:
+            # least and greatest value decide; the count is told (exact up to 4,096)
             x = present(c, types[c])
-            aggs.append((F.count_distinct(x) + F.max(x.isNull().cast("long"))).alias(f"k{i}"))
-            rows.append(_row("expected_constants", c, F.col(f"k{i}"), "1", F.col(f"k{i}") == 1))
+            aggs += [bounded_distinct(c, types[c]).alias(f"k{i}"),
+                     ((F.count(x) == 0) | ((F.min(x) == F.max(x)) & (F.count(x) == F.count(F.lit(1))))).alias(f"c{i}")]
+            rows.append(_row("expected_constants", c, F.col(f"k{i}"), "1", (F.col("rows") > 0) & F.col(f"c{i}")))
 
-    if key_column is not None:
-        if key_column not in cols:
-            rows.append(_row("key_unique", key_column, F.lit("missing column"), "0", F.lit(False)))
-        else:
-            x = F.col(f"`{key_column}`")
-            aggs.append((F.count(F.lit(1)) - F.count_distinct(x)
-                         - F.max(x.isNull().cast("long"))).alias("key_dup"))
-            rows.append(_row("key_unique", key_column, F.col("key_dup"), "0", F.col("key_dup") == 0))
+    if key_column is not None and key_column not in cols:
+        rows.append(_row("key_unique", key_column, F.lit("missing column"), "0", F.lit(False)))
 
     rows.append(_row("minimum_rows", None, F.col("rows"), f">= {min_rows}", F.col("rows") >= min_rows))
     excluded = set(excluded_columns)
@@ -132,8 +130,11 @@ def validate_dataset(df: DataFrame, *, target: str, required_columns: Iterable[s
                      F.lit(usable >= min_features)))
 
     out = df.agg(*aggs).select(F.inline(F.array(*rows)))
+    if key_column in cols:
+        keys = key_duplicates(df, key_column).select(F.inline(F.array(_row(
+            "key_unique", key_column, F.col("duplicate_count"), "0", F.col("passed")))))
+        out = out.unionByName(keys)
     if max_duplicate_rows is not None:
-        from tablegauge.operators.audit import duplicate_rows
         dup = duplicate_rows(df).select(F.inline(F.array(_row(
             "duplicate_rows", None, F.col("duplicate_row_count"), f"<= {max_duplicate_rows}",
             F.col("duplicate_row_count") <= max_duplicate_rows))))
@@ -150,16 +151,21 @@ def key_duplicates(df: DataFrame, key_column: str) -> DataFrame:
                 (F.col("duplicate_count") == 0).alias("passed"))
 
 
-def enforce(rule_rows: DataFrame, *, exc=ValidationError) -> None:
+def enforce(rule_rows: DataFrame, *, exc=ValidationError, data: DataFrame | None = None, target: str | None = None,
+            allowed: Sequence[str] = DEFAULT_TARGET_VALUES) -> None:
     """Raise for the first failing rule (lowest ``rule_no``).  Only the
-    failing rule rows — a bounded set — reach the driver."""
+    failing rule rows — a bounded set — reach the driver.  With ``data``, a
+    failing target rule (V3) also says which values offend, the 20 smallest."""
     failing = (rule_rows.where(~F.col("passed"))
                .orderBy("rule_no", F.asc_nulls_first("column_name")).limit(1).collect())
     if failing:
         r = failing[0]
         col = f" '{r['column_name']}'" if r["column_name"] else ""
+        values = ""
+        if r["rule"] == "target_column" and data is not None and target in data.columns:
+            values = f"; not allowed: {invalid_target_examples(data, target, allowed)}"
         raise exc(f"rule {r['rule_no']} {r['rule']}{col} failed: observed {r['observed']}, "
-                  f"expected {r['expected']}")
+                  f"expected {r['expected']}{values}")
 
 
 def invalid_target_examples(df: DataFrame, target: str, allowed: Sequence[str], n: int = 20) -> list:

@@ -117,8 +117,11 @@ def q_audit_class_balance_nulls(spark, sf):
     return A.audit_class_balance(I.events_holes(spark, sf), "event_type")
 
 
-@query("audit_target_values", "SELECT DISTINCT o_orderpriority AS target_value FROM orders")
+@query("audit_target_values",
+       "SELECT row_number() OVER (ORDER BY first_key) - 1 AS position, target_value, 'string' AS data_type FROM "
+       "(SELECT o_orderpriority AS target_value, min(o_orderkey) AS first_key FROM orders GROUP BY 1) s")
 def q_audit_target_values(spark, sf):
+    """In first-seen order; the file holds the orders by ascending key."""
     return A.audit_target_values(I.table(spark, sf, "orders"), "o_orderpriority")
 
 
@@ -569,7 +572,7 @@ def q_gate_summary(spark, sf):
 
 
 # ============================================================ drift
-from tablegauge.functions.stats import ks_pvalue_sql  # noqa: E402
+from tablegauge.functions.stats import chi2_sf_sql, ks_pvalue_sql  # noqa: E402
 from tablegauge.operators import drift as D  # noqa: E402
 
 _ORD_TARGET = "o_orderstatus"
@@ -690,6 +693,26 @@ def q_drift_chi2(spark, sf):
     return D.chi2_statistics(ref, cur, ["event_type"]).withColumn("statistic", F.round("statistic", 9))
 
 
+_LI_CATEGORIES = ["l_returnflag", "l_linestatus", "l_linenumber", "l_quantity"]
+
+
+def _lineitem_categories_sql() -> str:
+    obs = _union([f"SELECT '{c}' AS feature, CAST({c} AS VARCHAR) AS v, CAST(l_orderkey % 2 AS INTEGER) AS side FROM lineitem"
+                  for c in _LI_CATEGORIES])
+    return (f"SELECT feature, statistic, round({chi2_sf_sql('statistic', 'dof')}, 8) AS p_value, dof "
+            f"FROM ({_chi2_sql(obs)}) s")
+
+
+@query("drift_chi2_scores", _lineitem_categories_sql())
+def q_drift_chi2_scores(spark, sf):
+    """Chi-square p-values of all line items, orders of even against odd
+    keys: categories with odd and with even degrees of freedom."""
+    li = I.table(spark, sf, "lineitem")
+    even = F.col("l_orderkey") % 2 == 0
+    return D.chi2_scores(li.where(even), li.where(~even), _LI_CATEGORIES) \
+        .select("feature", F.round("statistic", 9).alias("statistic"), F.round("p_value", 8).alias("p_value"), "dof")
+
+
 _FEAT_THR = 0.5
 _SHARE_THR = 0.15
 
@@ -1042,13 +1065,11 @@ def q_drift_orders_chi2(spark, sf):
 
 
 def _orders_features_sql(current: str) -> str:
-    """Scores of the drift features and the untouched ones of an orders batch.  The
-    chi-square tail of an even number of degrees of freedom (five priorities: 4) is
-    a finite sum; an odd number would need the error function."""
+    """Scores of the drift features and the untouched ones of an orders batch."""
     names = [c for c in I.ORDERS_COLS if c not in ("o_orderkey", _ORD_TARGET)]
     pos = " UNION ALL ".join(f"SELECT '{c}' AS feature, CAST({i} AS BIGINT) AS position" for i, c in enumerate(names))
     cat = [c for c in names if c not in _ORD_NUM]
-    tail = ("exp(-statistic / 2) * list_sum(list_transform(range(0, dof // 2), lambda j: power(statistic / 2, j) / gamma(j + 1)))")
+    tail = chi2_sf_sql("statistic", "dof")
     scores = (f"SELECT feature, p_value FROM ({_ks_sql(_batch_obs_sql(_ORD_NUM, 'DOUBLE', current))}) a UNION ALL "
               f"SELECT feature, {tail} AS p_value FROM ({_chi2_sql(_batch_obs_sql(cat, 'VARCHAR', current))}) b")
     return (f"SELECT f.feature, f.position, coalesce(k.p_value, 1.0) AS score, coalesce(k.p_value, 1.0) < {_FEAT_THR} AS drifted "

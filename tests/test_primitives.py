@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from tablegauge.functions import hashrank, prefix
 from tablegauge.functions.columns import row_hash
-from tablegauge.functions.stats import chi2_sf
 
 
 def _md5(*parts):
@@ -91,10 +90,65 @@ def test_global_rank_is_dense_and_ordered(spark):
     assert list(out.sort_values("rk").k) == sorted(out.k, reverse=True)
 
 
-def test_chi2_sf_known_values():
-    assert abs(chi2_sf(3.841458820694124, 1) - 0.05) < 1e-9
-    assert abs(chi2_sf(5.991464547107979, 2) - 0.05) < 1e-9
-    assert chi2_sf(0.0, 3) == 1.0 and chi2_sf(4.0, 0) == 1.0
+def test_chi2_tail_against_its_definition(spark):
+    """Odd and even degrees of freedom against numeric integration of the density, and limits."""
+    import math
+
+    import duckdb
+    import numpy as np
+
+    from tablegauge.functions.stats import chi2_sf, chi2_sf_sql
+    cases = [(x, k) for k in (1, 2, 3, 4, 5, 8, 49, 50, 301, 2000) for x in (1e-9, 0.3, 1.7, 4.0, 5.9, 6.1, 30.0, 0.8 * k, 1.0 * k, 1.3 * k)]
+    known = {(3.841458820694124, 1): 0.05, (5.991464547107979, 2): 0.05, (7.814727903251179, 3): 0.05, (0.0, 3): 1.0, (4.0, 0): 1.0}
+    rows = cases + list(known)
+    got = [r[0] for r in spark.createDataFrame(rows, "x double, k long").select(chi2_sf(F.col("x"), F.col("k"))).collect()]
+
+    def numeric(x, k):                          # the density in r = sqrt(x), smooth at zero for every k
+        r = np.linspace(math.sqrt(x), math.sqrt(x) + math.sqrt(k) + 12, 200_001)
+        with np.errstate(divide="ignore"):
+            f = np.exp((k - 1) * np.log(r) - r * r / 2 - (k / 2 - 1) * math.log(2) - math.lgamma(k / 2))
+        return float((f[:-1] + f[1:]).sum() * (r[1] - r[0]) / 2)
+    for (x, k), p in zip(rows, got):
+        assert abs(p - (known[x, k] if (x, k) in known else numeric(x, k))) < 1e-7, (x, k, p)
+    sql = [duckdb.sql(f"SELECT {chi2_sf_sql(f'CAST({x!r} AS DOUBLE)', str(k))}").fetchall()[0][0] for x, k in rows]
+    assert np.allclose(sql, got, rtol=0, atol=1e-9)
+    far = spark.sql("SELECT 1e6D AS x, 3L AS k UNION ALL SELECT NULL, 3L UNION ALL SELECT 1D, NULL").select(chi2_sf(F.col("x"), F.col("k"))).collect()
+    assert [r[0] for r in far] == [0.0, None, None]
+
+
+def test_small_sample_ks_against_all_arrangements():
+    import itertools
+    import math
+
+    from tablegauge.functions.stats import ks_exact
+    for n, m in ((1, 1), (2, 3), (4, 4), (3, 7), (6, 6), (5, 7)):
+        found = {}
+        for ref in itertools.combinations(range(n + m), n):
+            a = b = top = 0
+            for i in range(n + m):
+                a, b = (a + 1, b) if i in ref else (a, b + 1)
+                top = max(top, abs(a * m - b * n))
+            found[top] = found.get(top, 0) + 1
+        for top in found:
+            want = sum(c for t, c in found.items() if t >= top) / math.comb(n + m, n)
+            assert abs(ks_exact(top / (n * m), n, m) - want) < 1e-12
+    assert ks_exact(0.0, 9, 9) == 1.0
+    # equal sizes have a closed form: alternating sum of binomials
+    for n, k in ((12, 7), (300, 30), (300, 45)):
+        want = 2 * sum((-1) ** (j - 1) * math.comb(2 * n, n - j * k) / math.comb(2 * n, n) for j in range(1, n // k + 1))
+        assert abs(ks_exact(k / n, n, n) - want) < 1e-9
+
+
+def test_ks_scores_switch_from_paths_to_the_series(spark):
+    from tablegauge.functions.stats import KS_EXACT_ROWS, ks_exact
+    from tablegauge.operators.drift import ks_scores
+    for n in (20, KS_EXACT_ROWS, KS_EXACT_ROWS + 1):
+        df = spark.range(0, n).select((F.col("id") * 1.0).alias("x"))
+        r = ks_scores(df, df.select((F.col("x") + n // 10 + 0.5).alias("x")), ["x"]).first()
+        if n <= KS_EXACT_ROWS:
+            assert r.p_value == ks_exact(r.statistic, n, n)
+        else:
+            assert abs(r.p_value - ks_exact(r.statistic, n, n)) < 0.01
 
 
 def test_exact_median_bracketing(spark):
