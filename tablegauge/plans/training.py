@@ -23,6 +23,7 @@ from tablegauge.operators import evaluate as E
 from tablegauge.operators import prepare as P
 from tablegauge.operators import split as S
 from tablegauge.operators import train as T
+from tablegauge.operators import validate as V
 from tablegauge.sources import runs_store as R
 
 
@@ -47,7 +48,8 @@ class TrainingConfig:
     primary: str = "f1_pos"
     experiment: str = "default"
     run_name: str | None = None
-    validation: dict | None = None      # rule arguments of validate_dataset; None skips validation
+    # rule arguments of validate_dataset beside target, classes and key; None skips validation
+    validation: dict | None = field(default_factory=dict)
     dataset_path: str | None = None     # lineage: recorded as tags
     model_path: str | None = None       # folder that keeps the fitted preparation and model, one subfolder per run
 
@@ -125,8 +127,10 @@ def prepare_parts(df: DataFrame, cfg: TrainingConfig, *, cache_input: bool = Tru
     """Everything before the fit: rules, split, missingness, preparation."""
     if cfg.validation is not None:
         # rules see the whole table (excluded columns included)
-        from tablegauge.operators import validate as V
-        V.enforce(V.validate_dataset(df, target=cfg.target, excluded_columns=cfg.excluded, **cfg.validation))
+        rules = {"allowed_target_values": (cfg.negative, cfg.positive), **({"key_column": cfg.keys[0]} if len(cfg.keys) == 1 else {}),
+                 **cfg.validation}
+        V.enforce(V.validate_dataset(df, target=cfg.target, excluded_columns=cfg.excluded, **rules),
+                  data=df, target=cfg.target, allowed=rules["allowed_target_values"])
     # row keys identify rows; they are never features
     feats = P.feature_columns(df, cfg.target, list(cfg.excluded) + list(cfg.keys))
     base = df.select(*dict.fromkeys(list(cfg.keys) + [cfg.target] + feats))
@@ -205,19 +209,20 @@ def fit_run(ready: Prepared, cfg: TrainingConfig, *, runs_path: str | None = Non
     model = FittedModel(fspec, clf)
     preds = T.score(clf, ready.test, keys=cfg.keys, target=cfg.target,
                     positive=cfg.positive, negative=cfg.negative).persist(StorageLevel.MEMORY_AND_DISK)
+    V.enforce_predictions(V.validate_predictions(preds, labels=(cfg.negative, cfg.positive)))
     mets_df = E.classification_metrics(preds, positive=cfg.positive, negative=cfg.negative)
     metrics = mets_df.first().asDict()
     kept = spark.createDataFrame([tuple(metrics.values())], mets_df.schema)
     E.enforce_auc(kept)
-    confusion = {f"{r['actual']}/{r['predicted']}": r["n"] for r in
-                 E.confusion_matrix(preds, labels=(cfg.negative, cfg.positive)).collect()}
+    matrix = [r.asDict() for r in E.confusion_matrix(preds, labels=(cfg.negative, cfg.positive)).collect()]     # four cells
+    confusion = {f"{r['actual']}/{r['predicted']}": r["n"] for r in matrix}
     gate_df = E.quality_gate(kept, cfg.thresholds, primary=cfg.primary)
     gate = [r.asDict() for r in gate_df.collect()]
     passed = all(r["passed"] for r in gate)
     run_id = uuid.uuid4().hex
     if cfg.model_path:
         model.save(spark, f"{cfg.model_path.rstrip('/')}/{run_id}")
-    run = R.run_record(spark, experiment=cfg.experiment, run_id=run_id,
+    run = R.run_record(spark, experiment=cfg.experiment, run_id=run_id, gate=gate, confusion=matrix,
                        run_name=cfg.run_name or f"{cfg.model.algorithm}", metrics=metrics,
                        params=_params(cfg) | {f"confusion.{k}": str(v) for k, v in confusion.items()}
                        | R.flatten_params(ready.feature_columns, "features."),

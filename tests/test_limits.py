@@ -73,8 +73,9 @@ def test_paths_are_spark_paths(spark, tmp_path):
         assert RS.load_runs(spark, f"{prefix_}{tmp_path}/none", "e").count() == 0
         with pytest.raises(ValidationError):
             read_table(spark, f"{prefix_}{tmp_path}/none.parquet")
-    (tmp_path / "bad").mkdir()
-    (tmp_path / "bad" / "part-0.parquet").write_text("no table")
+    (tmp_path / "bad" / "commits" / "append=x").mkdir(parents=True)
+    (tmp_path / "bad" / "commits" / "append=x" / "part-0.parquet").write_text("no table")
+    (tmp_path / "bad" / "data").mkdir()
     with pytest.raises(Exception):
         RS.load_runs(spark, str(tmp_path / "bad"), "e").collect()
 
@@ -98,7 +99,7 @@ def _rows(spark, labels):
 
 def _cfg(**kw):
     return TP.TrainingConfig(target="t", keys=["id"], positive="Yes", negative="No", thresholds={"accuracy": 0.0}, primary="accuracy",
-                             **({"model": TR.ModelSpec("logistic_regression", None, 5, {})} | kw))
+                             **({"model": TR.ModelSpec("logistic_regression", None, 5, {}), "validation": None} | kw))
 
 
 def test_training_refuses_other_and_missing_classes(spark):
@@ -151,3 +152,57 @@ def test_nested_columns_in_a_csv_report(spark, tmp_path):
     write_report(df, f"{tmp_path}/r.csv", fmt="csv")
     row = spark.read.option("header", True).csv(f"{tmp_path}/r.csv").first()
     assert (row.run_id, row.names) == ("r1", '["x","y"]') and "a" in row.metrics
+
+
+def test_a_run_validates_its_table_by_default(spark):
+    df = _rows(spark, ["Yes", "No", "Perhaps"] * 20)
+    with pytest.raises(ValidationError, match=r"target_column.*\['Perhaps'\]"):
+        TP.train_run(df, _cfg(validation={"min_rows": 1, "min_features": 1}))
+    with pytest.raises(ValidationError, match="minimum_rows"):
+        TP.train_run(df.where("t <> 'Perhaps'"), _cfg(validation={}))
+
+
+def test_scores_without_a_place_are_refused(spark):
+    from tablegauge.operators.evaluate import roc_auc
+    rows = [("Yes", "Yes", 0.9), ("No", "No", 0.2)]
+    for bad in (("Yes", "Yes", float("nan")), ("No", "No", None), (None, "No", 0.5)):
+        with pytest.raises(Exception, match="predictions: score"):
+            roc_auc(spark.createDataFrame([*rows, bad], "y_true string, y_pred string, p_pos double")).collect()
+
+
+def test_bounded_distinct_and_plans(spark):
+    df = spark.range(0, 5000).select(*[((F.col("id") % n).cast(t) if n else F.lit(None).cast(t)).alias(f"c{i}") for i, (n, t) in enumerate(
+        [(0, "string"), (1, "int"), (2, "boolean"), (20, "string"), (21, "double"), (4000, "bigint"), (5000, "string"), (3, "timestamp"), (7, "decimal(9,2)")])])
+    df = df.withColumn("e", F.when(F.col("c3") == "0", "").when(F.col("c3") == "1", None).otherwise("x")) \
+        .withColumn("z", F.when(F.col("c3") == "0", -0.0).when(F.col("c3") == "1", float("nan")).otherwise(0.0))
+    wide = df.agg(*[A.bounded_distinct(f.name, f.dataType).alias(f.name) for f in df.schema]).first().asDict()
+    assert {k: v for k, v in wide.items() if k != "c6"} == {"c0": 1, "c1": 1, "c2": 2, "c3": 20, "c4": 21, "c5": 4000, "c7": 3, "c8": 7, "e": 3, "z": 2}
+    assert 4500 < wide["c6"] < 5500
+    found = A.audit_candidates(df)
+    assert {r.column_name for r in found.collect()} == {"c2", "c3", "c7", "c8", "e", "z"}
+    rules = V.validate_dataset(df, target="c3", constant_columns=["c0", "c1", "c2", "z"], key_column="c6", min_rows=1, min_features=1)
+    got = {(r.rule, r.column_name): (r.observed, r.passed) for r in rules.collect()}
+    assert got["expected_constants", "c0"] == ("1", True) and got["expected_constants", "c1"] == ("1", True)
+    assert got["expected_constants", "c2"] == ("2", False) and got["expected_constants", "z"] == ("2", False)
+    assert got["key_unique", "c6"] == ("0", True)
+    for plan in (found, rules):
+        assert "Expand" not in plan._jdf.queryExecution().toString()
+
+
+def test_duplicates_by_fingerprint(spark):
+    rows = [(None, "a", 0.0), ("a", None, 0.0), ("a", None, -0.0), (None, "a", float("nan")), (None, "a", float("nan")), ("", "a", 1.0),
+            ("a", "", 1.0), ("", "a", 1.0), (None, None, None), (None, None, None), (None, None, None), ("ab", "c", 2.0), ("a", "bc", 2.0)]
+    df = spark.createDataFrame(rows, "a string, b string, print_one double")
+    assert A.audit_duplicates(df).first()[0] == len(rows) - df.groupBy(*df.columns).count().count() == 5
+    assert A.audit_duplicates(df.limit(0)).first()[0] == 0
+
+
+def test_target_values_in_first_seen_order(spark, tmp_path):
+    words = ["m", "z", None, "a", "m", "k", "a"] * 30
+    spark.createDataFrame([(i, w) for i, w in enumerate(words)], "i long, t string").repartitionByRange(4, "i") \
+        .sortWithinPartitions("i").write.csv(f"{tmp_path}/t.csv", header=True)
+    want = [(0, "m", "string"), (1, "z", "string"), (2, None, "string"), (3, "a", "string"), (4, "k", "string")]
+    df = spark.read.csv(f"{tmp_path}/t.csv", header=True, schema="i long, t string")
+    assert sorted(map(tuple, A.audit_target_values(df, "t").collect())) == want
+    made = spark.createDataFrame([(i, w) for i, w in enumerate(words)], "i long, t string")
+    assert sorted(map(tuple, A.audit_target_values(made, "t", order=["i"]).collect())) == want

@@ -46,6 +46,34 @@ def test_runs_table_append_and_scan(spark, tmp_path):
     assert RS.load_runs(spark, str(tmp_path / "none"), "b").count() == 0
 
 
+def test_an_append_repeated_after_a_failure_leaves_one_run(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "runs")
+    gate = [{"metric": "f1_pos", "value": 0.5, "minimum_required": 0.45, "passed": True}]
+    rec = RS.run_record(spark, experiment="a", run_name="r", run_id="r1", metrics={"f1_pos": 0.5}, params={}, tags={}, gate=gate,
+                        confusion=[{"actual": "No", "predicted": "Yes", "n": 3}])
+    commit = RS._commit
+    monkeypatch.setattr(RS, "_commit", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+    with pytest.raises(OSError):
+        RS.append_runs(rec, path)
+    assert RS.load_runs(spark, path, "a").count() == 0        # rows are there, the commit is not
+    monkeypatch.setattr(RS, "_commit", commit)
+    for _ in range(3):
+        RS.append_runs(rec, path)
+    (row,) = RS.load_runs(spark, path, "a").collect()
+    assert [tuple(g) for g in row.gate] == [("f1_pos", 0.5, 0.45, True)] and [tuple(c) for c in row.confusion] == [("No", "Yes", 3)]
+    for i in range(4):
+        RS.append_runs(RS.run_record(spark, experiment="ab"[i % 2], run_name="r", run_id=f"more{i}", metrics={"f1_pos": 0.1}, params={}, tags={}), path)
+    before = sorted(r.run_id for e in "ab" for r in RS.load_runs(spark, path, e).collect())
+    monkeypatch.setattr(RS, "_commit", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+    with pytest.raises(OSError):
+        RS.compact_runs(spark, path)
+    monkeypatch.setattr(RS, "_commit", commit)
+    for _ in range(2):                                        # after a failed one, a whole one, then nothing to do
+        assert sorted(r.run_id for e in "ab" for r in RS.load_runs(spark, path, e).collect()) == before
+        RS.compact_runs(spark, path)
+    assert RS._committed(spark, path).count() == 1
+
+
 def test_estimator_checks():
     with pytest.raises(TrainingError):
         TR.build_estimator(TR.ModelSpec("svm"), seed=1, n_train=10)
