@@ -4,8 +4,10 @@ Every round replaces edges by edges to the smallest known neighbour (large
 star: from larger neighbours; small star: from smaller ones), so depth
 shrinks geometrically and nothing but the edge table is kept.  All of it
 stays distributed; a round ends in a checkpoint.  A node with a third of
-all edges only takes part in ``min`` aggregates, which combine before the
-shuffle, and in joins against one row for each node.
+all edges takes part in ``min`` aggregates, which combine before the
+shuffle, and in joins with one row for each node on the other side.  That
+side is written first: both sides of the join are then shuffled for the join
+alone, and the adaptive planner splits the hot node's edges.
 """
 
 from __future__ import annotations
@@ -18,13 +20,13 @@ from tablegauge.llm.common import cut_lineage
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
+    least = cut_lineage(both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m")))
     return both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = down.groupBy("a").agg(F.min("b").alias("m"))
+    least = cut_lineage(down.groupBy("a").agg(F.min("b").alias("m")))
     moved = down.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return moved.union(least.select("a", F.col("m").alias("b"))).filter("a <> b").distinct()
 
@@ -45,5 +47,5 @@ def connected_components(edges: DataFrame) -> DataFrame:
         if mark == before:
             break
         before = mark
-        cur = cut_lineage(_small_star(_large_star(cur)))
+        cur = cut_lineage(_small_star(cut_lineage(_large_star(cur))))
     return cur.select(F.col("a").alias("node"), F.col("b").alias("root")).union(cur.select("b", "b").distinct())
