@@ -165,19 +165,22 @@ def _side_counts(ref: DataFrame, cur: DataFrame, features: Sequence[str], as_typ
 
 
 def ks_scores(ref: DataFrame, cur: DataFrame, features: Sequence[str],
-              num_partitions: int | None = None) -> DataFrame:
+              num_partitions: int | None = None, exact_small: bool = True) -> DataFrame:
     """``(feature, statistic, p_value, n_ref, n_cur)`` per numeric
-    feature; the p-value is exact for samples of up to ``KS_EXACT_ROWS`` rows."""
+    feature; the p-value is exact for samples of up to ``KS_EXACT_ROWS``
+    rows.  Where samples are known to be larger, ``exact_small=False``
+    spares the Python worker; the values are the same."""
     if not features:
         return ref.sparkSession.createDataFrame(
             [], "feature string, statistic double, p_value double, n_ref long, n_cur long")
     counts = _side_counts(ref, cur, features, "double")
     d = ks_distance(counts, "feature", "value", "n_ref", "n_cur", num_partitions)
-    small = F.greatest("n_ref", "n_cur") <= KS_EXACT_ROWS
-    # sizes that the series serves go to the path count as NULL
-    exact = _ks_exact(*[F.when(small, F.col(c)) for c in ("statistic", "n_ref", "n_cur")])
-    return d.select("feature", "statistic", F.coalesce(exact, ks_pvalue(F.col("statistic"), F.col("n_ref"), F.col("n_cur"))).alias("p_value"),
-                    "n_ref", "n_cur")
+    p = ks_pvalue(F.col("statistic"), F.col("n_ref"), F.col("n_cur"))
+    if exact_small:
+        small = F.greatest("n_ref", "n_cur") <= KS_EXACT_ROWS
+        # sizes that the series serves go to the path count as NULL
+        p = F.coalesce(_ks_exact(*[F.when(small, F.col(c)) for c in ("statistic", "n_ref", "n_cur")]), p)
+    return d.select("feature", "statistic", p.alias("p_value"), "n_ref", "n_cur")
 
 
 @F.pandas_udf(DoubleType())

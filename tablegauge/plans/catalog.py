@@ -670,7 +670,7 @@ FROM d"""
 @query("drift_ks", _ks_sql())
 def q_drift_ks(spark, sf):
     ref, cur = _event_halves(spark, sf)
-    return D.ks_scores(ref, cur, _EV_NUM).withColumn("p_value", F.round("p_value", 9))
+    return D.ks_scores(ref, cur, _EV_NUM, exact_small=False).withColumn("p_value", F.round("p_value", 9))
 
 
 def _chi2_sql(obs: str | None = None) -> str:
@@ -727,7 +727,7 @@ def _features_sql() -> str:
 
 def _event_features(spark, sf):
     ref, cur = _event_halves(spark, sf)
-    scores = D.ks_scores(ref, cur, _EV_NUM).select("feature", F.round("p_value", 9).alias("score"))
+    scores = D.ks_scores(ref, cur, _EV_NUM, exact_small=False).select("feature", F.round("p_value", 9).alias("score"))
     return D.drifted_features(scores, _EV_NUM, _FEAT_THR)
 
 
