@@ -1,5 +1,6 @@
 import html as entities
 import math
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -133,3 +134,73 @@ def test_names_that_are_roles_still_drop():
     for inner in ('<div class="sidebar-left">x</div>', '<div class="ad ad--large">x</div>', '<div class="page__sidebar">x</div>', '<div id="ad-slot-3">x</div>',
                   '<p class="advertisement">x</p>', '<div HIDDEN>x</div>', '<a hidden="until-found" href=y>x</a>', '<nav><main>x</main></nav>', '<ol class="comment-list">x</ol>'):
         assert body("<p>one</p>" + inner) == "one", inner
+
+
+def test_page_overrules_names():
+    own = "<p>" + "Words of the article itself. " * 5 + "</p>"
+    words = ("Words of the article itself. " * 5).strip()
+    assert body(f"<form action=x><input name=state><nav>menu</nav><div><h1>T</h1>{own}</div></form>") == f"T\n{words}"
+    assert body(f"<form><nav>menu</nav><article><h1>T</h1>{own}</article></form>") == f"T\n{words}"
+    assert body(f"<article><header><h1>T</h1></header>{own}</article>") == f"T\n{words}"
+    for box in ('class="editor-comment"', 'id="how-search"', 'class="widget"', 'class="chapter social"'):
+        assert body(f"<article>{own}<div {box}><p>Kept.</p></div></article>") == f"{words}\nKept.", box
+        assert body(f"<article>{own}<div {box}><p><a href=x>Links only</a></p></div></article>") == words, box
+    # a box outside the article stays away however long it is, and so do comments and adverts in it
+    for box in ("<form><p>{}</p></form>", "<header><p>{}</p></header>", "<div class=widget><p>{}</p></div>", "<ol class=comment-list><li><p>{}</ol>",
+                "<div class=comments><p>{}</p></div>"):
+        assert body(f"<main><p>one</p></main>{box.format(words)}") == "one", box
+    for box in ("<div class=comments><p>{}</p></div>", "<div class=ad><p>{}</p></div>", "<ol class=comment-list><li><p>{}</ol>", "<form><p>{}</p></form>"):
+        assert body(f"<article>{own}{own}{box.format('Said.')}</article>") == f"{words}\n{words}", box
+    assert body("<div class=ad><p>Only this</p></div>") == ""
+
+
+def test_formulas_and_split_references():
+    assert body("<p>so <math><mi>a</mi><mo>+</mo><mi>b</mi></math> holds</p>") == "so a+b holds"
+    assert body("<p>x &am<b>p;</b> y</p>") == "x &am" + "p; y"
+
+
+def unnamed(n):
+    """Pages of one host without a telling tag or name, and their articles."""
+    rows, want = [], []
+    for i in range(n):
+        prose = [f"Title {i}", f"The first paragraph of page {i} says {i * i}.", f"The second one says {i * 7 + 1}."]
+        rows.append((i, f"http://u.example/{i}", "<div class=b1><div class=b2>Start Shop About</div><div class=b3><p>We bake things.</p></div>"
+                     f"<article><h1>{prose[0]}</h1><p>{prose[1]}</p><div class=b6>Buy now!</div><p>Get our letter.</p><p>{prose[2]}</p></article>"
+                     "<div class=b4>Imprint Terms</div></div>"))
+        want.append("\n".join(prose))
+    return rows, want
+
+
+def test_tree_alone_finds_the_article(spark):
+    rows, want = unnamed(40)
+    copies = [(100 + i, "http://u2.example/", r[2].replace("Start", f"Start {i}")) for i, r in enumerate(rows[:1] * 30)]
+    df = spark.createDataFrame(rows + copies, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in H.extract(df).collect()}
+    assert [got[i] for i in range(40)] == want
+    assert all("Get our letter." in got[100 + i] and "Title 0" in got[100 + i] for i in range(30))      # copies tell nothing of their lines
+    off = {r.page_id: r.text for r in H.extract(df, threshold=0.0, line_threshold=0.0).collect()}
+    assert all("Buy now!" in off[i] and "Get our letter." in off[i] and "Imprint" in off[i] for i in range(40))
+
+
+def test_few_pages_keep_shared_lines(spark):
+    rows, _ = unnamed(H.LINE_PAGES - 1)
+    got = [r.text for r in H.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()]
+    assert all("Get our letter." in t and "Buy now!" not in t for t in got)
+
+
+def test_shared_lines_against_brute_force(spark):
+    rng = random.Random(5)
+    lines = [f"Line {i}." for i in range(6)]
+    rows = []
+    for i in range(60):
+        some = [x for n, x in enumerate(lines) if rng.random() < 0.4 + n / 8] + [f"Own {i}."]
+        rows.append((i, f"http://{'a' if i % 3 else 'b'}.example/{i}", "<article>" + "".join(f"<p>{x}</p>" for x in some) + "</article>"))
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("host", H.host(F.col("url")))
+    held, pages = Counter(), Counter()
+    for _, url, page in rows:
+        h = url[7:16]
+        pages[h] += 1
+        held.update({(h, t) for _, t, _ in H.parse(page)[0]})
+    want = {(h, H._hash(f"/article/p\n{t}")) for (h, t), c in held.items() if 1 - math.log(c) / math.log(pages[h]) < H.LINE_THRESHOLD}
+    got = {(r.host, r.line) for r in H.shared_lines(H.counts(H.style_nodes(df))).collect()}
+    assert got == want and 0 < len(want) < len(held)
