@@ -1,24 +1,32 @@
 """PII by patterns and information-theoretic sanitisation, in SQL functions only.
 
 Patterns find protected entities: e-mail addresses, IPv4 addresses, payment
-card numbers (Luhn) and phone numbers.  Terms near an entity may give it
-away as well.  How strongly is estimated over the corpus, in documents:
+card numbers (Luhn) and phone numbers.  Protected is an entity itself and the
+class that it tells: the host of an address, the first two parts of an IP, a
+card's issuer digits, a phone's country code.  Terms in the same document may
+give them away.  How strongly is estimated over the corpus, in documents:
 
     PMI(t; e) = log2( p(t, e) / (p(t) p(e)) ),    IC(e) = -log2 p(e)
 
-with p(t, e) the share of documents that show term t within ``CONTEXT``
-words of entity e and p(t) the share that hold t anywhere.  PMI reaches
-IC(e) when t occurs with e only.  A term whose PMI is at least
-``ALPHA * IC(e)`` (and one bit), on ``SUPPORT`` documents or more, exceeds
-the disclosure threshold and is generalised wherever a document holds it, near
-that entity or not; everything protected is replaced by the name of its kind.
-
-Contexts are a few words for each match.  Entities, terms and pairs are
-counted by aggregates that combine before the shuffle, so an entity or word
-in a third of all documents is a partial count in every task.  Counting the
-candidate terms over all documents, and bringing terms back to documents,
-uses a broadcast while its measured size is under ``BROADCAST_ROWS`` rows
-and a shuffled join beyond.
+with p(t, e) the share of documents that hold entity or class e and, outside all
+entities and however far from it, term t, and p(t) the share that hold t.
+PMI reaches IC(e) when t occurs with e only.  A term whose PMI is at least
+``ALPHA * IC(e)`` (and one bit) exceeds the disclosure threshold and is
+generalised wherever a document holds it, near that entity or not; everything
+protected is replaced by the name of its kind.
+
+A pair needs ``SUPPORT`` witnesses, and copies of one document are one: documents
+of an entity are told apart by the least hash of their 3-word shingles, those of a class by
+their least entity of that class.  Otherwise any rare word of a text that was
+copied three times would go.
+
+Only documents with entities are cut into terms.  A term that more of them
+show than any pair with its entities allows is left out before pairs are
+built, which drops common words; what is left is exact.  Entities, terms and
+pairs are counted by aggregates that combine before the shuffle, so an entity
+or word in a third of all documents is a partial count in every task.  Terms
+meet documents by a broadcast while their measured number is under
+``BROADCAST_ROWS`` and by a shuffled join with a written table beyond.
 
 The quantified groups of the patterns are possessive, which changes no
 match and keeps the regular expression engine from recursing or rescanning.
@@ -37,12 +45,10 @@ from pyspark.sql import functions as F
 from tablegauge.llm.common import fresh, write_shared
 
 KINDS = ["email", "ip", "card", "phone"]
-CONTEXT = 5
 ALPHA = 0.9
 SUPPORT = 3
 BROADCAST_ROWS = 200_000
-#: Characters on each side of an entity that are cut into words first.
-_WINDOW = 512
+SHINGLE = 3
 
 _USER = r"[A-Za-z0-9._%+-]"
 _PART = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
@@ -114,21 +120,18 @@ def base_spans(text: Column) -> Column:
     return F.concat(*(_spans(text, k) for k in KINDS))
 
 
-_WORD_START = r"(?<=[\x20\x09-\x0D])(?=[^\x20\x09-\x0D])"
+def _class(kind: Column, found: Column) -> Column:
+    """The class of values that an entity belongs to."""
+    digits = F.regexp_replace(found, "[^0-9]", "")
+    return F.when(kind == 0, F.substring_index(found, "@", -1)).when(kind == 1, F.substring_index(found, ".", 2)) \
+        .when(kind == 2, F.substring(digits, 1, 6)).otherwise(F.regexp_extract(found, r"^\+[0-9]+", 0))
 
 
-def _around(text: Column, start: Column, end: Column, context: int) -> tuple[Column, Column]:
-    """The words of the whole text before and after a span, with the blanks
-    after each; the rest of a word that the span begins in counts as one.
-    A window is cut into words, or all of that side if it holds too few."""
-    size = F.lit(_WINDOW)
-    near = F.split(F.substring(text, F.greatest(start - size, F.lit(0)) + 1, F.least(start, size)), _WORD_START)
-    # the first word of a window may have lost its head, and the last its tail
-    before = F.when((start <= size) | (F.size(near) > context), near).otherwise(F.split(F.substring(text, F.lit(1), start), _WORD_START))
-    near = F.split(F.substring(text, end + 1, size), _WORD_START)
-    after = F.when((F.length(text) - end <= size) | (F.size(near) > context + 1), near) \
-        .otherwise(F.split(F.substring(text, end + 1, F.length(text)), _WORD_START))
-    return F.slice(before, F.greatest(F.size(before) - context + 1, F.lit(1)), F.lit(context)), F.slice(after, F.lit(1), F.lit(context + 1))
+def _signature(text: Column) -> Column:
+    """The least hash of the word shingles: mostly the same for near copies."""
+    words = F.split(F.trim(F.regexp_replace(text, r"[\x20\x09-\x0D]+", " ")), " ")
+    hashes = F.transform(F.sequence(F.lit(1), F.size(words) - (SHINGLE - 1)), lambda i: F.xxhash64(F.array_join(F.slice(words, i, SHINGLE), " ")))
+    return F.when(F.size(words) < SHINGLE, F.xxhash64(text)).otherwise(F.array_min(hashes))
 
 
 def _terms(text: Column, at: Column, pattern: Column | None = None) -> Column:
@@ -145,20 +148,21 @@ def _terms(text: Column, at: Column, pattern: Column | None = None) -> Column:
                        start, step, lambda acc: acc["out"])
 
 
-def contexts(docs: DataFrame, context: int = CONTEXT) -> DataFrame:
-    """``key, entity, term, start, end`` of the words around every entity,
-    whatever other matches lie between; each run of letters or digits in a
-    word is a term, in lower case, and the offsets are its own.  An entity
-    without terms has one row with a null term."""
+def holders(docs: DataFrame) -> DataFrame:
+    """Documents with entities: ``key``, their ``values`` (each entity and each
+    class with the mark that tells its witnesses apart) and the distinct
+    ``terms`` outside the entities, in lower case."""
     text = F.coalesce(F.col("text"), F.lit(""))
     maybe = _maybe("email", text) | _maybe("ip", text) | _maybe("card", text) | _maybe("phone", text)
-    spans = docs.filter(maybe).select("key", text.alias("text"), F.explode(base_spans(F.col("text"))).alias("s"))
-    before, after = _around(F.col("text"), F.col("s.start"), F.col("s.end"), context)
-    near = spans.select("key", F.concat_ws(":", F.col("s.kind").cast("string"), F.lower("s.found")).alias("entity"), "s.start", "s.end",
-                        F.array_join(before, "").alias("before"), F.array_join(after, "").alias("after"))
-    near = near.select("key", "entity", F.explode_outer(F.concat(_terms(F.col("before"), F.col("start") - F.length("before")),
-                                                                 _terms(F.col("after"), F.col("end")))).alias("t"))
-    return near.select("key", "entity", F.lower("t.term").alias("term"), "t.start", (F.col("t.start") + F.length("t.term")).alias("end"))
+    held = docs.filter(maybe).select("key", text.alias("text"), base_spans(F.col("text")).alias("spans")).filter(F.size("spans") > 0)
+    exact = F.transform("spans", lambda s: F.struct(F.concat_ws(":", s["kind"].cast("string"), F.lower(s["found"])).alias("entity"), F.col("mark").alias("mark")))
+    wide = F.transform("spans", lambda s: F.struct(F.concat_ws(":", F.lit("class"), s["kind"].cast("string"), _class(s["kind"], F.lower(s["found"]))).alias("entity"),
+                                                   F.xxhash64(F.lower(s["found"])).alias("mark")))
+    none = F.array().cast("array<struct<start:int,end:int>>")
+    rest = F.lower(_replaced(F.col("text"), F.col("spans"), none, blank=True))
+    return held.withColumn("mark", _signature(F.col("text"))).select(
+        "key", F.array_distinct(F.concat(exact, wide)).alias("values"),
+        F.filter(F.array_distinct(F.split(rest, _TERM_BREAK)), lambda t: t != "").alias("terms")).dropDuplicates(["key"])
 
 
 def _occurrences(text: Column, terms: Column) -> Column:
@@ -173,23 +177,35 @@ def _small(df: DataFrame, rows: int) -> bool:
     return df.limit(rows + 1).count() <= rows
 
 
-def disclosing(docs: DataFrame, near: DataFrame, alpha: float = ALPHA, support: int = SUPPORT,
+def disclosing(docs: DataFrame, held: DataFrame, alpha: float = ALPHA, support: int = SUPPORT,
                broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """``entity, term, pmi, ic`` of the pairs above the disclosure threshold."""
-    n = F.lit(float(max(docs.count(), 1)))
-    once = near.select("key", "entity", "term").distinct()
-    pairs = once.filter("term <> ''").groupBy("entity", "term").agg(F.count("*").alias("n_te")).filter(F.col("n_te") >= support)
-    entities = near.select("key", "entity").distinct().groupBy("entity").agg(F.count("*").alias("n_e"))
-    # documents that show the term beside any entity: at least so many hold it
-    shown = near.select("key", "term").distinct().groupBy("term").agg(F.count("*").alias("n_shown"))
+    read = docs.sparkSession.read.parquet
+    total = float(max(docs.count(), 1))
+    n = F.lit(total)
     ic = F.log2(n / F.col("n_e"))
     enough = F.greatest(F.lit(1.0), F.lit(alpha) * ic)
 
     def pmi(n_t):
         return F.log2(F.col("n_te") * n / (n_t * F.col("n_e")))
-    # a pair that fails with so few documents fails with all of them, so common words are not counted at all
-    pairs = pairs.join(entities, "entity").join(shown, "term").filter(pmi(F.col("n_shown")) >= enough)
-    pairs = docs.sparkSession.read.parquet(write_shared(pairs, "pairs"))
+
+    def beside(df, small, on, how="inner"):
+        return df.join(F.broadcast(small) if _small(small, broadcast_rows) else small, on, how)
+    has = held.select("key", F.explode("values").alias("v")).groupBy("key", F.col("v.entity").alias("entity")).agg(F.min("v.mark").alias("mark"))
+    # in how many documents a term may be at most, if all of the entity's hold it; rounding is left to the last filter
+    entities = has.groupBy("entity").agg(F.count("*").alias("n_e"), F.count_distinct("mark").alias("marks")).filter(F.col("marks") >= support) \
+        .select("entity", "n_e", (n / F.pow(F.lit(2.0), enough) + 1).alias("reach"))
+    entities = read(write_shared(entities, "entities"))
+    furthest = entities.agg(F.max("reach")).first()[0] or 0.0
+    cells = held.select("key", F.explode("terms").alias("term"))
+    # documents with any entity that show the term: at least so many hold it
+    shown = cells.groupBy("term").agg(F.count("*").alias("n_shown")).filter(F.col("n_shown").between(support, F.lit(furthest)))
+    shown = read(write_shared(shown, "shown"))
+    pairs = beside(cells, shown, "term").join(beside(has, entities, "entity"), "key").filter("n_shown <= reach") \
+        .groupBy("entity", "term").agg(F.count("*").alias("n_te"), F.count_distinct("mark").alias("marks"),
+                                       F.first("n_e").alias("n_e"), F.first("n_shown").alias("n_shown"))
+    pairs = pairs.filter((F.col("marks") >= support) & (pmi(F.col("n_shown")) >= enough)).drop("marks")
+    pairs = read(write_shared(pairs, "pairs"))
     wanted = pairs.select("term").distinct()
     words = docs.select(F.explode(F.array_distinct(F.split(F.lower(F.col("text")), _TERM_BREAK))).alias("term"))
     if _small(wanted, broadcast_rows):
@@ -200,7 +216,7 @@ def disclosing(docs: DataFrame, near: DataFrame, alpha: float = ALPHA, support:
         .filter("pmi >= enough").drop("enough")
 
 
-def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", context: int = CONTEXT, alpha: float = ALPHA,
+def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", alpha: float = ALPHA,
          support: int = SUPPORT, broadcast_rows: int = BROADCAST_ROWS, base_col: str = "base", terms_col: str = "terms") -> DataFrame:
     """The rows, all columns, with ``base_col`` (pattern spans) and ``terms_col``
     (spans of disclosing terms outside them, ``start, end``); columns of
@@ -210,8 +226,8 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", contex
     key = F.struct(F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("id"), F.col(id_col).isNull().alias("no_id"),
                    F.xxhash64(text_col).alias("hash"))
     keyed = docs.select(key.alias("key"), F.col(text_col).alias("text"))
-    near = spark.read.parquet(write_shared(contexts(keyed, context), "contexts"))
-    wanted = spark.read.parquet(write_shared(disclosing(keyed, near, alpha, support, broadcast_rows).select("term").distinct(), "disclosing"))
+    held = spark.read.parquet(write_shared(holders(keyed), "holders"))
+    wanted = spark.read.parquet(write_shared(disclosing(keyed, held, alpha, support, broadcast_rows).select("term").distinct(), "disclosing"))
     # a disclosing term gives its entity away in any document that holds it
     words = keyed.select("key", F.explode(F.array_distinct(F.split(F.lower("text"), _TERM_BREAK))).alias("term"))
     terms = words.join(F.broadcast(wanted) if _small(wanted, broadcast_rows) else wanted, "term", "left_semi") \
@@ -239,11 +255,11 @@ def count_kind(base: Column, kind: str) -> Column:
     return F.size(F.filter(base, lambda s: s["kind"] == KINDS.index(kind))).cast("long")
 
 
-def _replaced(text: Column, base: Column, terms: Column) -> Column:
-    """The text with each span, or run of overlapping spans, replaced by its first kind."""
+def _replaced(text: Column, base: Column, terms: Column, blank: bool = False) -> Column:
+    """The text with each span, or run of overlapping spans, replaced by its first kind or a blank."""
     both = F.array_sort(F.concat(F.transform(base, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))),
                                  F.transform(terms, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lit(len(KINDS)).alias("kind")))))
-    names = F.array(*(F.lit(f"[{k.upper()}]") for k in [*KINDS, "term"]))
+    names = F.array(*(F.lit(" " if blank else f"[{k.upper()}]") for k in [*KINDS, "term"]))
 
     def step(acc, s):
         inside = s["start"] < acc["at"]

@@ -53,34 +53,34 @@ def test_base_spans_against_patterns(spark):
         assert got[i] == text(brute(t)), t
 
 
-def brute_terms(rows, context=5, alpha=.9, support=3):
-    """Disclosing (entity, term) pairs by counting."""
-    near, held = defaultdict(set), defaultdict(set)
-    core = lambda w: re.match(r"[\W_]*([^\W_]*)", w)[1].lower()
-    for i, t in rows:
+def brute_terms(rows, alpha=.9, support=3):
+    """Disclosing (entity, term) pairs by counting, over whole documents."""
+    near, held, marks = defaultdict(set), defaultdict(set), defaultdict(set)
+    classes = {"email": lambda f: f.split("@")[-1], "ip": lambda f: ".".join(f.split(".")[:2]),
+               "card": lambda f: re.sub("[^0-9]", "", f)[:6], "phone": lambda f: re.match(r"\+[0-9]+", f)[0]}
+    for n, (i, t) in enumerate(rows):
         t = t or ""
-        for w in re.split(r"[\W_]+", t.lower()):
-            held[w].add(i)
-        for kind, p in (("email", EMAIL), ("ip", IP), ("card", CARD), ("phone", PHONE)):
-            all_matches = list(p.finditer(t))
-            for n, m in enumerate(all_matches):
-                if (kind, m.start(), m.end()) not in brute(t):
-                    continue
-                e = kind, m[0].lower()
-                near[e, None].add(i)
-                a = all_matches[n - 1].end() if n else 0
-                b = all_matches[n + 1].start() if n + 1 < len(all_matches) else len(t)
-                cut = lambda s: re.split(r"(?<=[\x20\x09-\x0d])(?=[^\x20\x09-\x0d])", s)
-                for w in cut(t[a:m.start()])[-context:] + cut(t[m.end():b])[:context + 1]:
-                    if core(w):
-                        near[e, core(w)].add(i)
+        spans = brute(t)
+        for w in set(re.split(r"[\W_]+", t.lower())):
+            held[w].add(n)
+        outside = "".join(" " if any(a <= p < b for _, a, b in spans) else c for p, c in enumerate(t))
+        words = set(re.split(r"[\W_]+", outside.lower())) - {""}
+        own = defaultdict(set)
+        for kind, a, b in spans:
+            f, k = t[a:b].lower(), ["email", "ip", "card", "phone"].index(kind)
+            own[f"{k}:{f}"].add(tuple(sorted(t.split())))           # no two planted documents are near copies
+            own[f"class:{k}:{classes[kind](f)}"].add(f)
+        for e, seen in own.items():
+            for w in words | {None}:
+                near[e, w].add(n)
+                marks[e, w].add(min(seen))
     out = set()
     for (e, w), at in near.items():
-        if w and len(at) >= support:
-            n, ne, nt = len(rows), len(near[e, None]), max(len(held[w]), len(at))
+        if w and len(marks[e, w]) >= support:
+            n, ne, nt = len(rows), len(near[e, None]), len(held[w])
             pmi, ic = math.log2(len(at) * n / (nt * ne)), math.log2(n / ne)
             if pmi >= max(1, alpha * ic):
-                out.add((f"{['email', 'ip', 'card', 'phone'].index(e[0])}:{e[1]}", w))
+                out.add((e, w))
     return out
 
 
@@ -100,7 +100,7 @@ def test_disclosing_terms_against_counts(spark, limit):
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("entity", F.lit("clash")).withColumn("key", F.lit(0))
     out = {r.doc_id: r for r in pii.find(df, broadcast_rows=limit).collect()}
     want = brute_terms(rows)
-    assert ("0:ann@corp.example", "zyx") in want and {w for _, w in want} >= {"zyx"}
+    assert ("0:ann@corp.example", "zyx") in want and {w for _, w in want} == {"zyx"}
     for i, t in rows:
         got = {(t or "")[s.start:s.end].lower() for s in out[i].terms}
         assert got == ({w for e, w in want if e == "0:ann@corp.example"} if i < 4 else set())
@@ -149,51 +149,24 @@ def test_columns_named_like_the_results(spark):
     assert {r.doc_id: (r.base, r.terms) for r in pii.find(more).collect()} == spans
 
 
-def context_runs(rows, context=5):
-    """(row, entity, term, start, end) of every letter or digit run in the words around
-    each valid span, by word positions in the whole text; no other match counts."""
-    out = set()
-    for i, t in rows:
-        starts = [m.start() for m in re.finditer(r"(?<![^\x20\x09-\x0d])[^\x20\x09-\x0d]+", t or "")]
-        for kind, a, b in brute(t):
-            entity = f"{['email', 'ip', 'card', 'phone'].index(kind)}:{t[a:b].lower()}"
-            head = [0, *(x for x in starts if 0 < x < a)][-context:]
-            tail = [x for x in starts if x > b]
-            lo, hi = head[0], tail[context] if len(tail) > context else len(t)
-            for m in re.finditer(r"[^\W_]+", t[lo:a]):
-                out.add((i, entity, m[0].lower(), lo + m.start(), lo + m.end()))
-            for m in re.finditer(r"[^\W_]+", t[b:hi]):
-                out.add((i, entity, m[0].lower(), b + m.start(), b + m.end()))
-    return out
-
-
-def contexts_of(spark, rows):
-    df = spark.createDataFrame(rows, "key long, text string")
-    return [tuple(r) for r in pii.contexts(df).select("key", "entity", "term", "start", "end").collect()]
-
-
-def test_context_reaches_over_other_matches(spark):
+def test_terms_and_values_of_a_document(spark):
+    """Every run of letters or digits outside the spans, however far from them."""
     card = "4111 1111 1111 1111"
-    plain = [(0, f"Alice Smith order 2024 card {card} paid on 12 May 2025 at noon"), (1, "write ann@a.example or bob@b.example soon please"),
-             (2, f"Ünï \U0001f600 name 77 88 99 {card} 10 11 12 end"), (3, "far " + "y" * 2000 + f" a b c {card} d e f " + "z" * 2000 + " far"), (4, card)]
-    plain += [(10 + n, f"{'w ' * n}{card}{' v' * n}") for n in range(9)]
-    got = contexts_of(spark, plain)
-    terms = {(i, e, w) for i, e, w, _, _ in got if w}
-    assert {(0, f"2:{card}", w) for w in ("alice", "smith", "order", "2024", "card", "paid", "on", "12", "may", "2025")} <= terms
-    assert {(1, "0:ann@a.example", w) for w in ("write", "or", "soon", "please")} <= terms
-    assert {(1, "0:bob@b.example", w) for w in ("write", "or", "soon", "please")} <= terms
-    assert (3, f"2:{card}", "far") in terms and (3, f"2:{card}", "z" * 2000) in terms
-    want = {x for x in context_runs(plain) if x[0] != 1}
-    assert {x for x in got if x[0] != 1 and x[2]} == want
-
-
-def test_every_run_of_a_context_word_is_a_term(spark):
-    rows = [(0, "call O'Brien or Jean-Luc, name:Alice user=alice,id=77,mail=x@y.example;tel=5 (Ünï-cödé \U0001f600x_y) end"), (1, "x@y.example"),
-            (2, "a@b.example,c@d.example\t10.0.0.1-e"), (3, "--- x@y.example ---"), (4, TRICKY[-1] + " ²x")]
-    got = contexts_of(spark, rows)
-    assert {x for x in got if x[2]} == context_runs(rows)
-    assert {w for i, _, w, _, _ in got if i == 0} >= {"o", "brien", "jean", "luc", "name", "alice", "user", "77"}
-    assert {(i, e) for i, e, *_ in got} == {(i, f"{pii.KINDS.index(k)}:{t[a:b].lower()}") for i, t in rows for k, a, b in brute(t)}
+    rows = [(0, f"Alice Smith order 2024 card {card} paid on 12 May 2025 at noon"), (1, "write ann@a.example or bob@b.example soon please"),
+            (2, "call O'Brien or Jean-Luc, name:Alice user=alice,id=77,mail=x@y.example;tel=5 (\u00dcn\u00ef-c\u00f6d\u00e9 \U0001f600x_y) end"), (3, "x@y.example"),
+            (4, "a@b.example,c@d.example\t10.0.0.1-e"), (5, "far " + "y" * 2000 + f" a {card} b " + "z" * 2000 + " far"), (6, TRICKY[-1] + " \u00b2x"),
+            (7, "nobody here"), (8, None), (9, "+1 (017) 555-7713 x " * 3), (9, "+1 (017) 555-7713 x " * 3)]
+    got = {r.key: r for r in pii.holders(spark.createDataFrame(rows, "key long, text string")).collect()}
+    assert got.keys() == {i for i, t in rows if brute(t)}
+    for i, t in rows:
+        spans = brute(t)
+        if spans:
+            outside = "".join(" " if any(a <= p < b for _, a, b in spans) else c for p, c in enumerate(t))
+            assert set(got[i].terms) == {w.lower() for w in re.findall(r"[^\W_]+", outside)}
+            exact = {f"{pii.KINDS.index(k)}:{t[a:b].lower()}" for k, a, b in spans}
+            assert {v.entity for v in got[i]["values"] if not v.entity.startswith("class")} == exact
+    assert {v.entity for v in got[4]["values"]} >= {"class:0:b.example", "class:0:d.example", "class:1:10.0"}
+    assert {v.entity for v in got[9]["values"]} == {"3:+1 (017) 555-7713", "class:3:+1"} and {v.entity for v in got[0]["values"]} == {f"2:{card}", "class:2:411111"}
 
 
 def test_later_parts_of_a_word_are_sanitised(spark):
@@ -205,9 +178,49 @@ def test_later_parts_of_a_word_are_sanitised(spark):
 @pytest.mark.parametrize("limit", [200_000, 0])
 def test_disclosing_terms_go_wherever_documents_hold_them(spark, limit):
     far = "some plain words that say nothing at all here " * 3
-    rows = [(i, f"Quorlin ann@corp.example {far}QUORLIN's, Ünquorlin quorlin2 (quorlin)") for i in range(9)]
-    rows += [(20, f"{far} quorlin"), (21, far), (22, None)] + [(30 + i, f"{far} {i}") for i in range(400)]
+    rng = random.Random(2)
+    own = [" ".join(rng.choice("abcdefghijklmnop") * 3 for _ in range(80)) for _ in range(409)]      # copies would be one witness
+    rows = [(i, f"Quorlin ann@corp.example {far}QUORLIN's, Ünquorlin quorlin2 (quorlin) {own[i]}") for i in range(9)]
+    rows += [(20, f"{far} quorlin"), (21, far), (22, None)] + [(30 + i, f"{far} it's Ünquorlin quorlin2 {i} {own[9 + i]}") for i in range(400)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     out = {r.doc_id: r.text for r in pii.sanitise(df, broadcast_rows=limit).collect()}
-    assert all(out[i] == f"[TERM] [EMAIL] {far}[TERM]'s, Ünquorlin quorlin2 ([TERM])" for i in range(9))
+    assert all(out[i] == f"[TERM] [EMAIL] {far}[TERM]'s, Ünquorlin quorlin2 ([TERM]) {own[i]}" for i in range(9))
     assert out[20] == f"{far} [TERM]" and out[21] == far and out[22] is None
+
+
+def letters():
+    """Names at the head of letters and addresses at the foot, copies, and a host's staff."""
+    rng = random.Random(3)
+    say = lambda n: " ".join(rng.choice("abcdefghijklmnopqrst") * 3 for _ in range(n))
+    rows = [(i, f"Dear Zyxwell,\n{say(300)}\nwrite to ann@corp.example") for i in range(4)]
+    copy = f"Unique wordings {say(60)} bob@two.example"
+    rows += [(10 + i, f"{copy} {say(1)}" if i % 2 else copy) for i in range(6)]
+    rows += [(20 + i, f"{say(40)} quuxcorp {say(40)} user{i}@staff.example") for i in range(5)]
+    return rows + [(100 + i, say(80)) for i in range(60)] + [(200, "Zyxwell again, no address"), (201, None)]
+
+
+def test_terms_far_from_their_entity(spark):
+    rows = letters()
+    out = {r.doc_id: r.text for r in pii.sanitise(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(out[i].startswith("Dear [TERM],") or out[i].startswith("[TERM] [TERM],") for i in range(4))
+    assert out[200] == "[TERM] again, no address"                    # where there is no entity, too
+    assert all("quuxcorp" not in out[20 + i] for i in range(5))      # tells the host, not one address
+    assert all(out[10 + i].startswith("Unique wordings ") for i in range(6))       # copies are one witness
+    assert all(out[i] == t for i, t in rows if 100 <= i < 200)
+
+
+@pytest.mark.parametrize("limit", [200_000, 0])
+def test_pairs_against_counts(spark, limit):
+    rng = random.Random(8)
+    people = [f"u{i}@{'xyz'[i % 3]}.example" for i in range(9)] + ["+1 (017) 555-7713", "+44 20 7946 0958", "10.1.2.3", "10.1.9.9", "4111 1111 1111 1111"]
+    rows = []
+    for i in range(150):
+        who = rng.sample(people, rng.randrange(3))
+        told = [f"t{people.index(w)}" for w in who if rng.random() < .8] + [f"h{w[-9]}" for w in who if "@" in w]
+        words = [rng.choice("abcdefghijklmnopqrstuvw") * 2 for _ in range(40)] + told
+        rng.shuffle(words)
+        rows.append((i, " ".join([*words[:20], *who, *words[20:]])))
+    keyed = spark.createDataFrame(rows, "key long, text string")
+    got = {(r.entity, r.term) for r in pii.disclosing(keyed, pii.holders(keyed), broadcast_rows=limit).collect()}
+    want = brute_terms(rows)
+    assert got == want and any(e.startswith("class") for e, _ in want) and any(not e.startswith("class") for e, _ in want)
