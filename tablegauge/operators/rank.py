@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablegauge.functions.prefix import global_rank
+from tablegauge.sources.files import write_report
 
 # Ranking keys (metric column, ranked column), in order.
 RANK_METRICS = (
@@ -84,3 +85,18 @@ def flatten_parameters(cmp: DataFrame, names: Sequence[str] = IMPORTANT_PARAMS)
     cols = [c for c in cmp.columns if c != "important_parameters"]
     return cmp.select(*cols, *[F.col("important_parameters").getField(k)
                                .alias("param_" + k.replace(".", "_")) for k in names])
+
+
+def write_comparison(runs: DataFrame, folder: str) -> dict[str, str]:
+    """The ranked comparison as JSON and as CSV, and one summary row with
+    the number of runs and the best one (null for an empty history, which
+    leaves a CSV of the header alone).  Returns the three paths."""
+    rows = comparison_rows(rank_runs(runs)).orderBy("rank")
+    kept = runs.sparkSession.read.schema(rows.schema).json(write_report(rows, f"{folder.rstrip('/')}/comparison.json"))
+    best = F.min_by(F.struct(*kept.columns), F.col("rank"))
+    summary = kept.agg(F.count(F.lit(1)).alias("runs"), best.alias("best_run"))
+    # as text, so that an absent best run is written as such
+    summary = summary.select("runs", F.to_json("best_run").alias("best_run"))
+    base = folder.rstrip("/")
+    return {"json": f"{base}/comparison.json", "csv": write_report(kept.orderBy("rank"), f"{base}/comparison.csv", fmt="csv"),
+            "summary": write_report(summary, f"{base}/summary.json")}

@@ -10,9 +10,10 @@ from __future__ import annotations
 import traceback
 import uuid
 from collections.abc import Mapping
-from dataclasses import asdict, dataclass, field
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import asdict, dataclass, field, replace
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +26,7 @@ from tablegauge.operators import split as S
 from tablegauge.operators import train as T
 from tablegauge.operators import validate as V
 from tablegauge.sources import runs_store as R
+from tablegauge.sources.files import source_path, write_report
 
 
 @dataclass
@@ -50,7 +52,7 @@ class TrainingConfig:
     run_name: str | None = None
     # rule arguments of validate_dataset beside target, classes and key; None skips validation
     validation: dict | None = field(default_factory=dict)
-    dataset_path: str | None = None     # lineage: recorded as tags
+    dataset_path: str | None = None     # lineage: recorded as tags; None takes it from the table's files
     model_path: str | None = None       # folder that keeps the fitted preparation and model, one subfolder per run
 
 
@@ -100,6 +102,7 @@ class Prepared:
     distribution: dict
     train_rows: int
     test_rows: int
+    dataset_path: str | None = None
 
 
 def _preparation_key(cfg: TrainingConfig) -> str:
@@ -123,21 +126,23 @@ def train_run(df: DataFrame, cfg: TrainingConfig, *, runs_path: str | None = Non
     return fit_run(prepare_parts(df, cfg, cache_input=cache_input), cfg, runs_path=runs_path, enforce=enforce)
 
 
-def prepare_parts(df: DataFrame, cfg: TrainingConfig, *, cache_input: bool = True) -> Prepared:
-    """Everything before the fit: rules, split, missingness, preparation."""
+def prepare_parts(df: DataFrame, cfg: TrainingConfig, *, cache_input: bool = True, dataset: str | None = None) -> Prepared:
+    """Everything before the fit: rules, split, missingness, preparation.
+    ``dataset`` names the source of a table whose plan no longer tells it."""
     if cfg.validation is not None:
         # rules see the whole table (excluded columns included)
         rules = {"allowed_target_values": (cfg.negative, cfg.positive), **({"key_column": cfg.keys[0]} if len(cfg.keys) == 1 else {}),
                  **cfg.validation}
         V.enforce(V.validate_dataset(df, target=cfg.target, excluded_columns=cfg.excluded, **rules),
                   data=df, target=cfg.target, allowed=rules["allowed_target_values"])
+    dataset = cfg.dataset_path or dataset or source_path(df)
     # row keys identify rows; they are never features
     feats = P.feature_columns(df, cfg.target, list(cfg.excluded) + list(cfg.keys))
     base = df.select(*dict.fromkeys(list(cfg.keys) + [cfg.target] + feats))
     if cache_input:
         base = base.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return _prepare_parts(base, cfg, feats)
+        return replace(_prepare_parts(base, cfg, feats), dataset_path=dataset)
     finally:
         if cache_input:
             base.unpersist()
@@ -220,6 +225,7 @@ def fit_run(ready: Prepared, cfg: TrainingConfig, *, runs_path: str | None = Non
     gate = [r.asDict() for r in gate_df.collect()]
     passed = all(r["passed"] for r in gate)
     run_id = uuid.uuid4().hex
+    dataset = cfg.dataset_path or ready.dataset_path
     if cfg.model_path:
         model.save(spark, f"{cfg.model_path.rstrip('/')}/{run_id}")
     run = R.run_record(spark, experiment=cfg.experiment, run_id=run_id, gate=gate, confusion=matrix,
@@ -228,9 +234,8 @@ def fit_run(ready: Prepared, cfg: TrainingConfig, *, runs_path: str | None = Non
                        | R.flatten_params(ready.feature_columns, "features."),
                        tags={"quality_gate.status": "passed" if passed else "failed",
                              "target.column": cfg.target, "run_name": cfg.run_name or cfg.model.algorithm,
-                             **({"dataset.path": cfg.dataset_path,
-                                 "dataset.name": cfg.dataset_path.rstrip("/").rsplit("/", 1)[-1]}
-                                if cfg.dataset_path else {})})
+                             **({"dataset.path": dataset, "dataset.name": dataset.rstrip("/").rsplit("/", 1)[-1]}
+                                if dataset else {})})
     if runs_path:
         R.append_runs(run, runs_path)
     result = TrainingResult(model, fspec, preds, metrics, gate, passed, ready.train_rows, ready.test_rows,
@@ -244,11 +249,16 @@ SWEEP_SCHEMA = ("config string, algorithm string, status string, error string, q
                 "primary_value double, run_id string, metrics map<string,double>")
 
 
-def sweep(df: DataFrame, configs: Mapping[str, TrainingConfig], *, runs_path: str | None = None) -> DataFrame:
-    """Train every configuration in name order without enforcing the
-    gate; a failing training is recorded as ``failed`` with its error and
-    the sweep goes on.  Configurations that share their preparation share
-    the prepared parts.  Returns one row per configuration."""
+def sweep(df: DataFrame, configs: Mapping[str, TrainingConfig], *, runs_path: str | None = None,
+          parallel: int = 4, report_path: str | None = None) -> DataFrame:
+    """Train every configuration without enforcing the gate; a failing
+    training is recorded as ``failed`` with its error and the sweep goes on.
+    Configurations that share their preparation share the prepared parts, and
+    up to ``parallel`` of them are fitted at a time, each in a scheduler pool
+    and a job group of its own, so that what a failing fit leaves running is cancelled
+    alone.  Returns one row per configuration in name order, written as JSON to ``report_path``
+    if given (S6)."""
+    sc = df.sparkSession.sparkContext
     rows: dict[str, tuple] = {}
     groups: dict[str, list[str]] = {}
     for name in sorted(configs):
@@ -258,24 +268,36 @@ def sweep(df: DataFrame, configs: Mapping[str, TrainingConfig], *, runs_path: st
         rows[name] = (name, configs[name].model.algorithm, "failed", f"{type(exc).__name__}: {exc}", None, None, None, None)
         traceback.clear_frames(exc.__traceback__)
 
+    def fit(ready: Prepared, name: str) -> None:
+        cfg, group = configs[name], f"sweep-{uuid.uuid4().hex}"
+        sc.setJobGroup(group, f"sweep {name}")
+        sc.setLocalProperty("spark.scheduler.pool", group)
+        try:
+            res = fit_run(ready, cfg, runs_path=runs_path, enforce=False)
+            rows[name] = (name, cfg.model.algorithm, "completed", None, "passed" if res.passed else "failed",
+                          res.metrics.get(cfg.primary), res.run_id, R.numeric_metrics(res.metrics))
+            res.predictions.unpersist()
+        except Exception as exc:  # noqa: BLE001 - recorded, the sweep goes on
+            sc.cancelJobGroup(group)
+            failed(name, exc)
+
+    dataset = source_path(df)                # before the rows are kept, which hides their files
     base = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         for names in groups.values():
             try:
-                ready = prepare_parts(base, configs[names[0]], cache_input=False)
+                ready = prepare_parts(base, configs[names[0]], cache_input=False, dataset=dataset)
             except Exception as exc:  # noqa: BLE001 - recorded, the sweep goes on
                 for name in names:
                     failed(name, exc)
                 continue
-            for name in names:
-                cfg = configs[name]
-                try:
-                    res = fit_run(ready, cfg, runs_path=runs_path, enforce=False)
-                    rows[name] = (name, cfg.model.algorithm, "completed", None, "passed" if res.passed else "failed",
-                                  res.metrics.get(cfg.primary), res.run_id, R.numeric_metrics(res.metrics))
-                    res.predictions.unpersist()
-                except Exception as exc:  # noqa: BLE001 - recorded, the sweep goes on
-                    failed(name, exc)
+            # each fit in a thread of its own, which starts with the caller's local properties
+            with ThreadPoolExecutor(max(1, parallel)) as pool:
+                for done in [pool.submit(inheritable_thread_target(fit), ready, name) for name in names]:
+                    done.result()
     finally:
         base.unpersist()
-    return df.sparkSession.createDataFrame([rows[name] for name in sorted(rows)], SWEEP_SCHEMA)
+    out = df.sparkSession.createDataFrame([rows[name] for name in sorted(rows)], SWEEP_SCHEMA)
+    if report_path:
+        write_report(out, report_path)
+    return out

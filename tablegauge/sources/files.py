@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 from collections.abc import Sequence
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -110,6 +111,32 @@ def read_table(spark: SparkSession, source, *, fmt: str | None = None,
     return in_order(out, places, position_col).drop(*places) if places else out
 
 
+def try_read_table(spark: SparkSession, source, **options) -> tuple[DataFrame | None, DataFrame]:
+    """A read whose failure is data.  Returns the table, or None, and one
+    row ``(source, ok, error)``.  What only reading the rows can tell, as a
+    broken file, is not looked for."""
+    name = None if source is None else "DataFrame" if isinstance(source, DataFrame) else os.fspath(source)
+    df, error = None, None
+    try:
+        df = read_table(spark, source, **options)
+    except (ValidationError, PySparkException) as exc:
+        error = f"{type(exc).__name__}: {exc}"
+    return df, spark.createDataFrame([(name, df is not None, error)], "source string, ok boolean, error string")
+
+
+def source_path(df: DataFrame) -> str | None:
+    """Where a table comes from: the files that its plan reads, part
+    files as their table's folder, above any partition folders; several are joined by
+    commas.  None where no file is read.  Nothing runs; the plan's own list of files is asked."""
+    found = set()
+    for path in df.inputFiles():
+        folder, _, name = path.rpartition("/")
+        while name.startswith("part-") and "=" in folder.rpartition("/")[2]:
+            folder = folder.rpartition("/")[0]
+        found.add(folder if name.startswith("part-") else path)
+    return ",".join(sorted(found)) or None
+
+
 def _told_types(text: DataFrame) -> dict[str, str]:
     """The narrowest of bigint, double, boolean and timestamp that takes every
     value of a text column, else string; one aggregate for all columns."""
