@@ -130,8 +130,12 @@ def _class(kind: Column, found: Column) -> Column:
 def _signature(text: Column) -> Column:
     """The least hash of the word shingles: mostly the same for near copies."""
     words = F.split(F.trim(F.regexp_replace(text, r"[\x20\x09-\x0D]+", " ")), " ")
-    hashes = F.transform(F.sequence(F.lit(1), F.size(words) - (SHINGLE - 1)), lambda i: F.xxhash64(F.array_join(F.slice(words, i, SHINGLE), " ")))
-    return F.when(F.size(words) < SHINGLE, F.xxhash64(text)).otherwise(F.array_min(hashes))
+
+    def least(w):
+        hashes = F.transform(F.sequence(F.lit(1), F.size(w) - (SHINGLE - 1)), lambda i: F.xxhash64(F.array_join(F.slice(w, i, SHINGLE), " ")))
+        return F.when(F.size(w) < SHINGLE, F.xxhash64(F.array_join(w, " "))).otherwise(F.array_min(hashes))
+    # as a lambda's argument the words are split once, not once a shingle
+    return F.element_at(F.transform(F.array(words), least), 1)
 
 
 def _terms(text: Column, at: Column, pattern: Column | None = None) -> Column:
@@ -154,13 +158,16 @@ def holders(docs: DataFrame) -> DataFrame:
     ``terms`` outside the entities, in lower case."""
     text = F.coalesce(F.col("text"), F.lit(""))
     maybe = _maybe("email", text) | _maybe("ip", text) | _maybe("card", text) | _maybe("phone", text)
-    held = docs.filter(maybe).select("key", text.alias("text"), base_spans(F.col("text")).alias("spans")).filter(F.size("spans") > 0)
+    held = docs.filter(maybe).select("key", text.alias("text"))
+    # exploded, so that both are computed once a row and not wherever they are named
+    once = F.explode(F.array(F.struct(base_spans(F.col("text")).alias("spans"), _signature(F.col("text")).alias("mark"))))
+    held = held.select("key", "text", once.alias("x")).select("key", "text", "x.*").filter(F.size("spans") > 0)
     exact = F.transform("spans", lambda s: F.struct(F.concat_ws(":", s["kind"].cast("string"), F.lower(s["found"])).alias("entity"), F.col("mark").alias("mark")))
     wide = F.transform("spans", lambda s: F.struct(F.concat_ws(":", F.lit("class"), s["kind"].cast("string"), _class(s["kind"], F.lower(s["found"]))).alias("entity"),
                                                    F.xxhash64(F.lower(s["found"])).alias("mark")))
     none = F.array().cast("array<struct<start:int,end:int>>")
     rest = F.lower(_replaced(F.col("text"), F.col("spans"), none, blank=True))
-    return held.withColumn("mark", _signature(F.col("text"))).select(
+    return held.select(
         "key", F.array_distinct(F.concat(exact, wide)).alias("values"),
         F.filter(F.array_distinct(F.split(rest, _TERM_BREAK)), lambda t: t != "").alias("terms")).dropDuplicates(["key"])
 
