@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablegauge.errors import TrainingError, refuse
+from tablegauge.operators import fits
 
 # Algorithm names.
 ALGORITHMS = ("logistic_regression", "random_forest", "gradient_boosting")
@@ -32,6 +33,7 @@ class ModelSpec:
     class_weight: object = None
     max_iter: int | None = None
     params: dict = field(default_factory=dict)
+    penalise_intercept: bool = True     # of logistic regression
 
 
 # Parameters that the run sets itself.
@@ -44,7 +46,7 @@ _RESERVED = {
 
 #: Parameters that each algorithm takes, without those the run sets itself.
 _PARAMS = {k: v - _RESERVED[k] for k, v in {
-    "logistic_regression": {"C"},
+    "logistic_regression": {"C", "tol"},
     "random_forest": {"n_estimators", "max_depth", "min_samples_leaf"},
     "gradient_boosting": {"n_estimators", "learning_rate", "subsample", "max_depth", "min_samples_leaf"},
 }.items()}
@@ -61,12 +63,10 @@ def class_weight_map(df: DataFrame, label: str, class_weight,
                      classes: Mapping[str, float] | None = None) -> dict[float, float] | None:
     """T5: ``None`` -> no weights; ``'balanced'`` -> ``n / (k * n_class)``
     from one class-count aggregate; a mapping -> given weights.
-    ``'balanced_subsample'`` needs per-tree weights, which Spark ML lacks."""
-    if class_weight in (None, "", {}):
+    ``'balanced_subsample'`` has no weights of the whole table: each tree has
+    its own (:func:`fits.draw_weights`)."""
+    if class_weight in (None, "", {}) or class_weight == "balanced_subsample":
         return None
-    if class_weight == "balanced_subsample":
-        raise TrainingError("class_weight 'balanced_subsample' is not supported: Spark ML has no "
-                            "per-tree class weights; use 'balanced'")
     if class_weight == "balanced":
         if counts is None:
             counts = {r[0]: r[1] for r in df.groupBy(label).count().collect()}   # one row per class
@@ -99,7 +99,8 @@ def build_estimator(spec: ModelSpec, *, seed: int, n_train: int, features: str =
     known = _PARAMS[spec.algorithm]
     refuse(TrainingError,
            params=(not set(params) <= known, f"{sorted(set(params) - known)} can't be set here, only {sorted(known)}"),
-           class_weight=(spec.algorithm == "gradient_boosting" and spec.class_weight not in (None, "", {}), "boosting takes no weights"))
+           class_weight=(spec.algorithm == "gradient_boosting" and spec.class_weight not in (None, "", {}), "boosting takes no weights"),
+           subsample=(spec.class_weight == "balanced_subsample" and spec.algorithm != "random_forest", "weights belong to a forest's draws"))
     common = dict(featuresCol=features, labelCol=label, probabilityCol="probability",
                   predictionCol="prediction", rawPredictionCol="rawPrediction")
     if spec.algorithm == "logistic_regression":
@@ -108,7 +109,7 @@ def build_estimator(spec: ModelSpec, *, seed: int, n_train: int, features: str =
         c = float(params.pop("C", 1.0))
         # penalty C * sum(w * loss) + |b|^2 / 2  ==  weighted mean loss + regParam * |b|^2 / 2
         reg = 1.0 / (c * max(1e-9, float(n_train if weight_sum is None else weight_sum)))
-        return LogisticRegression(maxIter=spec.max_iter, regParam=reg, elasticNetParam=0.0,
+        return LogisticRegression(maxIter=spec.max_iter, regParam=reg, elasticNetParam=0.0, tol=float(params.pop("tol", 1e-6)),
                                   standardization=False, weightCol=weight, **common)
     if spec.algorithm == "random_forest":
         return RandomForestClassifier(
@@ -122,6 +123,23 @@ def build_estimator(spec: ModelSpec, *, seed: int, n_train: int, features: str =
         seed=seed, featuresCol=features, labelCol=label, predictionCol="prediction")
 
 
+def fit_classifier(spec: ModelSpec, df: DataFrame, *, keys: Sequence[str], seed: int, n_train: int, weight_sum: float | None = None):
+    """The fitted Spark ML model of a specification on ``features``,
+    ``label`` and ``weight`` columns.  Logistic regression penalises its
+    intercept like its coefficients unless ``spec.penalise_intercept`` is
+    off; a forest with ``balanced_subsample`` weighs each tree's own draw."""
+    est = build_estimator(spec, seed=seed, n_train=n_train, weight_sum=weight_sum,
+                          weight="weight" if spec.algorithm != "gradient_boosting" else None)
+    params = spec.params or {}
+    if spec.algorithm == "logistic_regression" and spec.penalise_intercept:
+        return fits.fit_penalised_logistic(df, c=float(params.get("C", 1.0)), max_iter=spec.max_iter, tol=est.getTol(),
+                                           weight_sum=float(n_train if weight_sum is None else weight_sum))
+    if spec.class_weight == "balanced_subsample":
+        return fits.fit_subsample_forest(df, keys=keys, seed=seed, trees=est.getNumTrees(), max_depth=est.getMaxDepth(),
+                                         min_rows=est.getMinInstancesPerNode())
+    return est.fit(df)
+
+
 def score(model, df: DataFrame, *, keys: Sequence[str], target: str, positive: str,
           negative: str) -> DataFrame:
     """``(keys…, y_true, y_pred, p_pos)``; the positive class is

@@ -945,6 +945,7 @@ def q_json_roundtrip(spark, sf):
 
 
 # ============================================================ training
+from tablegauge.operators import fits as FT  # noqa: E402
 from tablegauge.operators import train as TR  # noqa: E402
 from tablegauge.plans import training as TP  # noqa: E402
 
@@ -969,6 +970,19 @@ def q_class_weights(spark, sf):
                          m[F.col("label")].alias("weight"))
 
 
+_DRAW_TREES = 10
+_U = f"CAST('0x' || substr({_hash_sql(42, 'draw', 'tree').replace('CAST(tree AS VARCHAR)', 'CAST(tree AS VARCHAR), CAST(doc_id AS VARCHAR)')}, 1, {FT.DRAW_BITS // 4}) AS BIGINT)"
+
+
+@query("subsample_weights", f"""
+WITH d AS (SELECT CAST(tree AS INTEGER) AS tree, CAST(quality AS DOUBLE) AS label, {_U} AS u FROM labels, range({_DRAW_TREES}) r(tree)),
+n AS (SELECT tree, label, CAST(sum({" + ".join(f"(u >= {c})::INT" for c in FT.poisson_cuts())}) AS BIGINT) AS n FROM d GROUP BY 1, 2)
+SELECT tree, label, n, sum(n) OVER (PARTITION BY tree) / (count(*) OVER (PARTITION BY tree) * n) AS weight FROM n WHERE n > 0""")
+def q_subsample_weights(spark, sf):
+    return FT.draw_weights(I.table(spark, sf, "labels").select("doc_id", F.col("quality").cast("double").alias("label")),
+                           "label", ["doc_id"], 42, _DRAW_TREES)
+
+
 def _train_cfg(spec: TR.ModelSpec, name: str) -> TP.TrainingConfig:
     return TP.TrainingConfig(target="quality", keys=["doc_id"], positive="1", negative="0", model=spec,
                              test_size=0.2, split_seed=42, stratify=True, seed=42, missing_enabled=True,
@@ -989,6 +1003,7 @@ _SPECS = {
                                        {"n_estimators": 50, "max_depth": 8, "min_samples_leaf": 2}),
     "05_gbt": TR.ModelSpec("gradient_boosting", None, None,
                            {"n_estimators": 30, "learning_rate": 0.05, "subsample": 0.9}),
+    "06_forest_subsample": TR.ModelSpec("random_forest", "balanced_subsample", None, {"n_estimators": 8, "max_depth": 6}),
 }
 
 
@@ -1028,8 +1043,7 @@ def q_train_gbt(spark, sf):
 @query("experiment_sweep")
 def q_experiment_sweep(spark, sf):
     cfgs = {n: _train_cfg(s, n) for n, s in _SPECS.items()}
-    cfgs["06_bad_subsample"] = _train_cfg(TR.ModelSpec("random_forest", "balanced_subsample", None, {}),
-                                          "06_bad_subsample")
+    cfgs["07_bad_weights"] = _train_cfg(TR.ModelSpec("random_forest", "no such weights", None, {}), "07_bad_weights")
     return TP.sweep(_labelled_docs(spark, sf), cfgs).drop("run_id", "metrics")     # a run id is new each time
 
 

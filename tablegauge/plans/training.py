@@ -208,9 +208,7 @@ def fit_run(ready: Prepared, cfg: TrainingConfig, *, runs_path: str | None = Non
                                  classes={cfg.positive: 1.0, cfg.negative: 0.0})
     prepared = T.with_weights(ready.train, "label", weights)
     total = sum(n * (weights or {}).get(c, 1.0) for c, n in counts.items())
-    est = T.build_estimator(cfg.model, seed=cfg.seed, n_train=ready.train_rows, weight_sum=total,
-                            weight="weight" if cfg.model.algorithm != "gradient_boosting" else None)
-    clf = est.fit(prepared)
+    clf = T.fit_classifier(cfg.model, prepared, keys=cfg.keys, seed=cfg.seed, n_train=ready.train_rows, weight_sum=total)
     model = FittedModel(fspec, clf)
     preds = T.score(clf, ready.test, keys=cfg.keys, target=cfg.target,
                     positive=cfg.positive, negative=cfg.negative).persist(StorageLevel.MEMORY_AND_DISK)

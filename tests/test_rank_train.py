@@ -81,6 +81,8 @@ def test_estimator_checks():
         TR.build_estimator(TR.ModelSpec("logistic_regression", None, 100, {"solver": "x"}), seed=1, n_train=10)
     with pytest.raises(TrainingError):
         TR.build_estimator(TR.ModelSpec("gradient_boosting", "balanced"), seed=1, n_train=10)
+    with pytest.raises(TrainingError):
+        TR.build_estimator(TR.ModelSpec("logistic_regression", "balanced_subsample", 100), seed=1, n_train=10)
 
 
 def test_training_run_repeatable_and_recorded(spark, tmp_path):
@@ -111,7 +113,7 @@ def test_sweep_prepares_once_and_keeps_models(spark, tmp_path, monkeypatch):
     cfgs = {n: C._train_cfg(spec, n) for n in ("a", "b", "c", "d")}
     cfgs["b"].thresholds = {"f1_pos": 1.01}                 # the gate fails, the sweep doesn't
     cfgs["b"].model_path = str(tmp_path / "models")
-    cfgs["c"].model = TR.ModelSpec("random_forest", "balanced_subsample", None, {})
+    cfgs["c"].model = TR.ModelSpec("random_forest", "no such weights", None, {})
     cfgs["d"].positive = "7"                                # another preparation, which fails
     seen = []
     prepare = TP.prepare_parts
@@ -122,7 +124,7 @@ def test_sweep_prepares_once_and_keeps_models(spark, tmp_path, monkeypatch):
     assert [(r.config, r.status, r.quality_gate_status) for r in rows] == [
         ("a", "completed", "passed"), ("b", "completed", "failed"), ("c", "failed", None), ("d", "failed", None)]
     assert rows[0].metrics == rows[1].metrics and rows[0].primary_value == rows[0].metrics["f1_pos"]
-    assert "balanced_subsample" in rows[2].error and rows[2].run_id is None
+    assert "no such weights" in rows[2].error and rows[2].run_id is None
     kept = {r.run_id: r for r in RS.load_runs(spark, path, "docs-quality").collect()}
     assert kept.keys() == {rows[0].run_id, rows[1].run_id}
     assert kept[rows[0].run_id].params["features.numeric"] == "n_chars"
