@@ -32,7 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tablegauge.llm.common import blocks
@@ -44,6 +44,9 @@ _HEAD = struct.Struct("<QI")
 _ID = struct.Struct("<BqB")
 _INDEX = struct.Struct("<qQII")
 
+#: Token bytes (four a token at most) that a reading task is given.
+READ_BYTES = 8 << 20
+
 MANIFEST = "part int, file int, path string, n_docs long, n_tokens long"
 
 
@@ -79,6 +82,28 @@ def parse(payload: bytes) -> tuple[int | None, np.ndarray]:
     return (key if has_id else None), ids
 
 
+#: Schemes of Hadoop's file systems and what Arrow calls them.
+SCHEMES = {"file": "file", "hdfs": "hdfs", "viewfs": "viewfs", "s3": "s3", "s3a": "s3", "s3n": "s3", "gs": "gs",
+           "abfs": "abfs", "abfss": "abfss"}
+
+
+def shared_folder(spark: SparkSession, folder: str) -> str:
+    """The folder as Arrow names it.  A path without a scheme is one of the
+    session's default file system, as everywhere in Spark, and not of each
+    executor's own disk; a file system that Arrow lacks is refused here,
+    before any task runs."""
+    sc = spark.sparkContext
+    path = sc._jvm.org.apache.hadoop.fs.Path(folder)
+    if path.toUri().getScheme() is None:
+        path = path.getFileSystem(sc._jsc.hadoopConfiguration()).makeQualified(path)
+        if path.toUri().getScheme() == "file":
+            return folder
+    scheme, _, rest = path.toString().partition(":")
+    if scheme not in SCHEMES:
+        raise ValueError(f"records can't be written to {scheme}: folders, only to {', '.join(sorted(SCHEMES))}")
+    return f"{SCHEMES[scheme]}:{rest}"
+
+
 def open_fs(path: str):
     """File system and inner path, for local paths and whatever URI Arrow knows."""
     from pyarrow import fs
@@ -118,11 +143,12 @@ def write_records(df: DataFrame, folder: str, tokenizer: str, end_id: int, id_co
                   text_col: str = "text", file_bytes: int = 64 << 20) -> DataFrame:
     """Write every row's token ids plus ``end_id`` in ascending id order.
 
-    :param folder: a folder that all executors share
+    :param folder: a folder that all executors share (see :func:`shared_folder`)
     :param file_bytes: a data file is closed when it reaches this size
     :return: the manifest, one row per data file, read from ``folder``
     """
     spark = df.sparkSession
+    given, folder = folder, shared_folder(spark, folder)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -152,7 +178,7 @@ def write_records(df: DataFrame, folder: str, tokenizer: str, end_id: int, id_co
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     ordered = rows.repartitionByRange(default_parallelism(spark), F.col("id").asc_nulls_first()) \
         .sortWithinPartitions(F.col("id").asc_nulls_first(), "text")
-    path = f"{folder.rstrip('/')}/manifest"
+    path = f"{given.rstrip('/')}/manifest"
     ordered.mapInArrow(write, MANIFEST).write.mode("error").parquet(path)
     return spark.read.schema(MANIFEST).parquet(path)
 
@@ -160,7 +186,8 @@ def write_records(df: DataFrame, folder: str, tokenizer: str, end_id: int, id_co
 def read_records(manifest: DataFrame) -> DataFrame:
     """One row per record of the files in the manifest: its id, the tokens
     before it in the whole set, its token count and the CRC-32 of its ids
-    as 32-bit integers.  Every checksum is verified."""
+    as 32-bit integers.  Every checksum is verified.  The files are dealt to
+    as many tasks as their bytes ask for."""
     per_part = manifest.groupBy("part").agg(F.sum("n_tokens").alias("t"))
     # one row per writing task, so the running sum over them is small
     before = per_part.select("part", (F.sum("t").over(Window.orderBy("part")) - F.col("t")).alias("before"))
@@ -184,7 +211,10 @@ def read_records(manifest: DataFrame) -> DataFrame:
                     if rows:
                         yield _table(rows)
 
-    return todo.repartition("path").mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    # a number that the planner keeps: the manifest's own few bytes would end in one task
+    size = manifest.agg(F.count("*"), F.sum("n_tokens")).first()
+    tasks = max(1, min(size[0], -(-4 * (size[1] or 0) // READ_BYTES)))
+    return todo.repartition(tasks).mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def _table(rows: list[tuple]) -> pa.RecordBatch:

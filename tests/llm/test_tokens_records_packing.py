@@ -66,6 +66,35 @@ def test_records_index_and_checksums(spark, tokenizer, plain, tmp_path):
             pass
 
 
+def test_records_are_read_by_as_many_tasks_as_their_bytes_ask_for(spark, tokenizer, tmp_path, monkeypatch):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    m = records.write_records(docs, str(tmp_path / "r"), tokenizer, 2, file_bytes=3000)
+    files, tokens = m.count(), m.agg(F.sum("n_tokens")).first()[0]
+    assert files > 8
+    whole = sorted(tuple(r) for r in records.read_records(m).collect())
+    for size, tasks in ((tokens, 4), (1, files), (1 << 40, 1)):
+        monkeypatch.setattr(records, "READ_BYTES", size)
+        out = records.read_records(m)
+        assert out.rdd.getNumPartitions() == tasks
+        assert sorted(tuple(r) for r in out.collect()) == whole
+
+
+def test_record_folders(spark, tokenizer, tmp_path, monkeypatch):
+    assert records.shared_folder(spark, str(tmp_path)) == str(tmp_path)
+    assert records.shared_folder(spark, f"file://{tmp_path}") == f"file:{tmp_path}"
+    assert records.shared_folder(spark, "s3a://bucket/a") == "s3://bucket/a"
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    kept = conf.get("fs.defaultFS")
+    conf.set("fs.defaultFS", "viewfs://elsewhere/")      # a folder without a scheme is not the executor's own
+    conf.set("fs.viewfs.mounttable.elsewhere.link./a", f"file://{tmp_path}")
+    try:
+        assert records.shared_folder(spark, "/a/b") == "viewfs://elsewhere/a/b"
+    finally:
+        conf.set("fs.defaultFS", kept)
+    with pytest.raises(ValueError, match="ftp"):
+        records.write_records(spark.createDataFrame([(1, "a")], "doc_id long, text string"), "ftp://host/a", tokenizer, 2)
+
+
 def test_records_empty_table(spark, tokenizer):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert records.token_records(df, tokenizer, 2).collect() == []
