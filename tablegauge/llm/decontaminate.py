@@ -14,8 +14,8 @@ diagonals that drift by at most ``k``:
 3. retained regions are verified by alignment inside the band.
 
 Nothing within the budget is lost.  The items are the stated query set: they
-are sent to the tasks in blocks of bounded size, and every block runs over
-all documents.  Long texts are scanned in overlapping pieces.  Items under
+are sent to the tasks in parts of bounded size, one at a time, and every
+part runs over all documents.  Long texts are scanned in overlapping pieces.  Items under
 ``q`` characters name no passage: they match only a document that is the
 item as a whole.
 
@@ -27,21 +27,22 @@ empty table on either side gives no match; other columns are kept by
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablegauge.llm.common import blocks
+from tablegauge.llm.common import blocks, fresh, write_shared
 from tablegauge.llm.wordhash import _Powers, mix
 
 Q = 8
 EDIT_RATE = 0.1
 #: Characters of items that are sent to the tasks at a time.
-ITEM_BLOCK_CHARS = 16 << 20
+ITEM_BLOCK_CHARS = 4 << 20
 
 _BAND = 6                      # least diagonals to a band, as a power of two
 _SLOTS = 20                    # bits of the q-gram table's address
@@ -231,31 +232,48 @@ def align(item: str, text: str, first: int, last: int, k: int) -> tuple[int, int
     return (int(cost[b]), int(start[b]), int(m + d[b])) if cost[b] <= k else None
 
 
-def _item_blocks(items: DataFrame, id_col: str, text_col: str, block_chars: int) -> Iterator[list[tuple]]:
+def _item_blocks(items: DataFrame, id_col: str, text_col: str, block_chars: int) -> list[DataFrame]:
+    """The items in parts of about ``block_chars`` characters, by hash."""
     rows = items.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).filter("text is not null")
-    total = rows.agg(F.sum(F.length("text"))).first()[0] or 0
-    n = -(-total // block_chars)
-    for b in range(n):
-        part = rows if n == 1 else rows.filter(F.pmod(F.xxhash64("id", "text"), F.lit(n)) == b)
-        yield sorted((r.id is not None, r.id or 0, r.text) for r in part.collect())
+    n = -(-(rows.agg(F.sum(F.length("text"))).first()[0] or 0) // block_chars)
+    return [rows if n == 1 else rows.filter(F.pmod(F.xxhash64("id", "text"), F.lit(n)) == b) for b in range(n)]
 
 
-def _indexes(items: DataFrame, id_col: str, text_col: str, q: int, edit_rate: float, block_chars: int):
-    for rows in _item_blocks(items, id_col, text_col, block_chars):
-        yield items.sparkSession.sparkContext.broadcast(
-            ItemIndex([(k if has else None, t) for has, k, t in rows], q, edit_rate))
+def _send(part: DataFrame, q: int, edit_rate: float) -> Broadcast:
+    """The index of one part of the items, bounded by its characters."""
+    rows = sorted((r.id is not None, r.id or 0, r.text) for r in part.collect())
+    return part.sparkSession.sparkContext.broadcast(ItemIndex([(k if has else None, t) for has, k, t in rows], q, edit_rate))
+
+
+def _one_at_a_time(parts: list[DataFrame], q: int, edit_rate: float, search: Callable[[Broadcast], DataFrame], name: str) -> DataFrame:
+    """The rows that ``search`` finds with every part.  Of several parts each
+    result is written before the next index is built, so the driver and the
+    tasks hold one index at a time, whatever the number of items."""
+    if len(parts) == 1:
+        return search(_send(parts[0], q, edit_rate))
+    paths = []
+    for part in parts:
+        index = _send(part, q, edit_rate)
+        paths.append(write_shared(search(index), name))
+        index.destroy()
+    spark = parts[0].sparkSession
+    return spark.read.schema(spark.read.parquet(paths[0]).schema).parquet(*paths)
 
 
 def matches(docs: DataFrame, items: DataFrame, q: int = Q, edit_rate: float = EDIT_RATE, id_col: str = "doc_id",
             text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text",
             block_chars: int = ITEM_BLOCK_CHARS) -> DataFrame:
     """One row for each document and item that it holds: ``doc_id, item_id``,
-    the least ``distance`` and its place in the normalised text."""
+    the least ``distance`` and its place in the normalised text (of equal
+    distances the first place)."""
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     schema = "doc_id long, item_id long, distance int, start long, end long, item_chars int"
-    out = docs.sparkSession.createDataFrame([], schema)
-    for index in _indexes(items, item_id_col, item_text_col, q, edit_rate, block_chars):
-        def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
+    parts = _item_blocks(items, item_id_col, item_text_col, block_chars)
+    if not parts:
+        return docs.sparkSession.createDataFrame([], schema)
+
+    def search(index: Broadcast) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in blocks(batches, "text"):
                 found = index.value.scan(b.column("text").to_pylist())
                 got = [(key, index.value.keys[x.item], x.distance, x.start, x.end, int(index.value.size[x.item]))
@@ -264,16 +282,35 @@ def matches(docs: DataFrame, items: DataFrame, q: int = Q, edit_rate: float = ED
                     kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32()]
                     names = ["doc_id", "item_id", "distance", "start", "end", "item_chars"]
                     yield pa.RecordBatch.from_pydict({n: pa.array(c, t) for n, t, c in zip(names, kinds, zip(*got))})
-        out = out.union(rows.mapInArrow(run, schema))
-    return out
+        return rows.mapInArrow(run, schema)
+
+    return _one_at_a_time(parts, q, edit_rate, search, "matches")
 
 
 def clean(docs: DataFrame, items: DataFrame, q: int = Q, edit_rate: float = EDIT_RATE, text_col: str = "text",
           item_id_col: str = "item_id", item_text_col: str = "text", block_chars: int = ITEM_BLOCK_CHARS) -> DataFrame:
-    """The documents, all columns, that hold no item."""
-    for index in _indexes(items, item_id_col, item_text_col, q, edit_rate, block_chars):
-        def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
+    """The documents, all columns, that hold no item.  With several parts of
+    items the rows are numbered and written first, and those that hold an
+    item go by their number."""
+    parts = _item_blocks(items, item_id_col, item_text_col, block_chars)
+    if not parts:
+        return docs
+    if len(parts) == 1:
+        index = _send(parts[0], q, edit_rate)
+
+        def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in blocks(batches, text_col):
                 yield b.filter(pa.array([not x for x in index.value.scan(b.column(text_col).to_pylist())]))
-        docs = docs.mapInArrow(run, docs.schema)
-    return docs
+        return docs.mapInArrow(keep, docs.schema)
+    row, gone = fresh(docs, "row", "gone")
+    numbered = docs.sparkSession.read.parquet(write_shared(docs.withColumn(row, F.monotonically_increasing_id()), "numbered"))
+    rows = numbered.select(F.col(row).alias("at"), F.col(text_col).alias("text"))
+
+    def search(index: Broadcast) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in blocks(batches, "text"):
+                yield b.select(["at"]).filter(pa.array([bool(x) for x in index.value.scan(b.column("text").to_pylist())]))
+        return rows.mapInArrow(run, "at long")
+
+    holding = _one_at_a_time(parts, q, edit_rate, search, "holding").select(F.col("at").alias(gone))
+    return numbered.join(holding, F.col(row) == F.col(gone), "left_anti").drop(row)

@@ -119,3 +119,34 @@ def test_long_items_whose_region_drifts(m, edits):
     for s in ("".join(grown) + item[last:], "".join(shrunk) + item[last:]):
         ((found,),) = D.ItemIndex([(1, item)]).scan([filler + " " + s + " " + filler])
         assert 0 < found.distance <= edits
+
+
+def test_one_index_at_a_time(spark, monkeypatch):
+    """Several parts of items give what one gives, and each part's index goes before the next is built."""
+    rng = random.Random(11)
+    items = [(i, make(rng, 20)) for i in range(30)] + [(30, None), (None, make(rng, 15))]
+    texts = [make(rng, 60) for _ in range(40)]
+    for i in range(0, 40, 3):
+        texts[i] += " " + edit(rng, items[i % 30][1], 3) + " " + make(rng, 10)
+    docs = spark.createDataFrame([(i % 30, t, "x", 1) for i, t in enumerate(texts + ODD)] + [(None, texts[0], None, 2)],
+                                 "doc_id long, text string, row string, gone int")
+    it = spark.createDataFrame(items, "item_id long, text string")
+    alive, most, parts = set(), [], []
+    send = D._send
+
+    def counted(part, q, rate):
+        index = send(part, q, rate)
+        parts.append(len(index.value.texts))
+        alive.add(id(index))
+        most.append(len(alive))
+        destroy = index.destroy
+        monkeypatch.setattr(index, "destroy", lambda: (alive.discard(id(index)), destroy()))
+        return index
+    want = sorted(map(tuple, D.matches(docs, it).collect()), key=repr)
+    kept = sorted(map(tuple, D.clean(docs, it).collect()), key=repr)
+    monkeypatch.setattr(D, "_send", counted)
+    assert sorted(map(tuple, D.matches(docs, it, block_chars=500).collect()), key=repr) == want
+    out = D.clean(docs, it, block_chars=500)
+    assert out.columns == docs.columns and sorted(map(tuple, out.collect()), key=repr) == kept
+    assert len(parts) > 8 and set(most) == {1} and sum(parts) == 2 * 31
+    assert 10 < len(want) and 0 < len(kept) < docs.count() - 10
