@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import ctypes
+import functools
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -53,6 +55,25 @@ def write_shared(df: DataFrame, name: str) -> str:
     return path
 
 
+def give_back() -> None:
+    """Return memory that this process has freed to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # glibc has it
+    if trim:
+        trim(0)
+
+
+def trimmed(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The pass ``run``, which at its end gives back what it has freed.  Spark
+    keeps a Python worker for later tasks, and what it holds meanwhile is
+    missing to the executor's stages without Python."""
+    @functools.wraps(run)
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        give_back()         # here the variables of run are gone
+    return task
+
+
 def blocks(batches: Iterable[pa.RecordBatch], text_col: str, size: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of the Arrow batches with about ``size`` bytes of text each, so
     that long texts don't pile up in a task."""

@@ -36,7 +36,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablegauge.llm.common import blocks, fresh, write_shared
+from tablegauge.llm.common import blocks, fresh, trimmed, write_shared
 from tablegauge.llm.wordhash import _Powers, mix
 
 Q = 8
@@ -273,6 +273,7 @@ def matches(docs: DataFrame, items: DataFrame, q: int = Q, edit_rate: float = ED
         return docs.sparkSession.createDataFrame([], schema)
 
     def search(index: Broadcast) -> DataFrame:
+        @trimmed
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in blocks(batches, "text"):
                 found = index.value.scan(b.column("text").to_pylist())
@@ -298,6 +299,7 @@ def clean(docs: DataFrame, items: DataFrame, q: int = Q, edit_rate: float = EDIT
     if len(parts) == 1:
         index = _send(parts[0], q, edit_rate)
 
+        @trimmed
         def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in blocks(batches, text_col):
                 yield b.filter(pa.array([not x for x in index.value.scan(b.column(text_col).to_pylist())]))
@@ -307,6 +309,7 @@ def clean(docs: DataFrame, items: DataFrame, q: int = Q, edit_rate: float = EDIT
     rows = numbered.select(F.col(row).alias("at"), F.col(text_col).alias("text"))
 
     def search(index: Broadcast) -> DataFrame:
+        @trimmed
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in blocks(batches, "text"):
                 yield b.select(["at"]).filter(pa.array([bool(x) for x in index.value.scan(b.column("text").to_pylist())]))

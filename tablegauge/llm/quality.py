@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablegauge.llm.common import blocks
+from tablegauge.llm.common import blocks, trimmed
 from tablegauge.llm.wordhash import Words
 
 PASSAGE_WORDS = 64
@@ -178,6 +178,7 @@ def labelled(docs: DataFrame, labels: DataFrame, label_col: str, max_docs: int =
 
 def fit(rows: DataFrame, max_passages: int = 64, **settings) -> Model:
     """Learn from ``text, label`` rows; their number must be bounded."""
+    @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in blocks(batches, "text"):
             bags = [encode(t or b"") for t in b.column("text").to_pylist()]
@@ -193,6 +194,7 @@ def fit(rows: DataFrame, max_passages: int = 64, **settings) -> Model:
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, score, passages`` and the largest attention weight of each document."""
+    @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in blocks(batches, "text"):
             bags = [encode(t or b"") for t in b.column("text").to_pylist()]
@@ -208,6 +210,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
 def keep(docs: DataFrame, model: Model, threshold: float = 0.3, text_col: str = "text") -> DataFrame:
     """The documents, all columns, that score at least ``threshold``."""
+    @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in blocks(batches, text_col):
             p, _ = model.score([encode((t or "").encode()) for t in b.column(text_col).to_pylist()])

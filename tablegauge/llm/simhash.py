@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablegauge.llm.common import blocks, cut_lineage
+from tablegauge.llm.common import blocks, cut_lineage, trimmed
 from tablegauge.llm.components import connected_components
 
 SEED = 42
@@ -73,6 +73,7 @@ def fingerprint(text: bytes, shingle: int = 3) -> int:
 
 def fingerprints(df: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, fp)``; ``fp`` holds the 64 bits as a signed long."""
+    @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in blocks(batches, "text"):
             fps = [fingerprint(t or b"", shingle) for t in b.column("text").to_pylist()]
