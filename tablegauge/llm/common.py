@@ -63,12 +63,19 @@ def give_back() -> None:
         trim(0)
 
 
-def trimmed(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+#: What a Python worker keeps from task to task, by name.
+KEPT: dict[str, object] = {}
+
+
+def trimmed(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], keeps: str | None = None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """The pass ``run``, which at its end gives back what it has freed.  Spark
     keeps a Python worker for later tasks, and what it holds meanwhile is
-    missing to the executor's stages without Python."""
+    missing to the executor's stages without Python.  Of what earlier passes
+    left in ``KEPT`` only ``keeps`` stays."""
     @functools.wraps(run)
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for name in KEPT.keys() - {keeps}:
+            del KEPT[name]
         yield from run(batches)
         give_back()         # here the variables of run are gone
     return task

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablegauge.llm.common import blocks, trimmed
+from tablegauge.llm.common import blocks, give_back, trimmed
 from tablegauge.llm.tokens import encoder
 
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
@@ -136,7 +136,6 @@ def pack(df: DataFrame, tokenizer: str, end_id: int, limits: Limits = Limits(),
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"),
                      F.when(share.between(0.0, 1.0), share).otherwise(1.0).alias("share"))
 
-    @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
         enc, base = encoder(tokenizer), TaskContext.get().partitionId() << 40
@@ -159,11 +158,12 @@ def pack(df: DataFrame, tokenizer: str, end_id: int, limits: Limits = Limits(),
             if out:
                 yield _batch(out)
                 out.clear()
+            give_back()
         packer.finish()
         if out:
             yield _batch(out)
 
-    return rows.mapInArrow(run, SCHEMA)
+    return rows.mapInArrow(trimmed(run, keeps="encoders"), SCHEMA)
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:

@@ -35,6 +35,9 @@ from pyspark.sql import functions as F
 from tablegauge.llm.common import blocks, trimmed
 from tablegauge.llm.wordhash import Words
 
+#: Bytes of text that are scored at a time beside rows that pass through: their features take ten times that.
+_BLOCK = 2 << 20
+
 PASSAGE_WORDS = 64
 
 #: Byte classes: blank, line break, lower, upper, digit, stop, comma, mark, symbol, bracket or quote, other, non-ASCII.
@@ -212,7 +215,7 @@ def keep(docs: DataFrame, model: Model, threshold: float = 0.3, text_col: str =
     """The documents, all columns, that score at least ``threshold``."""
     @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in blocks(batches, text_col):
+        for b in blocks(batches, text_col, _BLOCK):
             p, _ = model.score([encode((t or "").encode()) for t in b.column(text_col).to_pylist()])
             yield b.filter(pa.array(p >= threshold))
     return docs.mapInArrow(run, docs.schema)

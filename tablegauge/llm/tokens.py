@@ -16,6 +16,8 @@ import os
 
 import numpy as np
 
+from tablegauge.llm.common import KEPT
+
 #: Blanks other than " " and "\n", and the mark used for cutting: such texts go through the library whole.
 _RARE = ["\x00", "\t", "\r", "\x0b", "\x0c", "\x1c", "\x1d", "\x1e", "\x1f", "\x85", "\xa0", " ",
          *map(chr, range(0x2000, 0x200b)), " ", " ", " ", " ", "　"]
@@ -115,11 +117,9 @@ class TextEncoder:
         return [next(whole) if c is None else np.frombuffer(b"".join(c[0]), dtype=np.uint32) for c in cut]
 
 
-_ENCODERS: dict[str, TextEncoder] = {}
-
-
 def encoder(path: str) -> TextEncoder:
-    """The encoder of a Python worker, made once."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = TextEncoder(path)
-    return _ENCODERS[path]
+    """The encoder of a Python worker, made once and kept while the worker's tasks encode."""
+    made = KEPT.setdefault("encoders", {})
+    if path not in made:
+        made[path] = TextEncoder(path)
+    return made[path]
